@@ -68,9 +68,9 @@ def windows_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     per = np.maximum(1, -(-lengths // WINDOW))
     first = np.concatenate([[0], np.cumsum(per)])
     out = np.zeros(int(first[-1]) * WINDOW, np.uint8)
-    # Byte i of a text lands at first * WINDOW + i: one shift per text.
-    shift = np.repeat(first[:-1] * WINDOW - offsets[:-1], lengths)
-    out[np.arange(len(data)) + shift] = data
+    starts, ends = offsets[:-1].tolist(), offsets[1:].tolist()
+    for at, start, end in zip((first[:-1] * WINDOW).tolist(), starts, ends):
+        out[at : at + end - start] = data[start:end]
     return out.reshape(-1, WINDOW), np.repeat(np.arange(len(lengths)), per)
 
 

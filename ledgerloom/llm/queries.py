@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, langid, sharding, toxicity
+from ledgerloom.llm import ann, exact_dedup, jaccard, langid, packing, piece_sampling, secret_scan, sharding, token_output, toxicity
 from ledgerloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op3_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.encode_digests(read_table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sharding.write_shards(read_table(spark, sf_dir, "documents"), shards=8)
     return sharding.read_shards(spark, path).select(
@@ -26,25 +38,57 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_output.write_packed(read_table(spark, sf_dir, "documents"))
+    return token_output.segments(spark, path).select(
+        "doc_id", "piece", "start", "length", "sequence_id", "offset", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_decisions(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
     )
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return scanned.select(
+        "doc_id", *map(count, secret_scan.BASE), F.sha2(secret_scan.span_list(base), 256).alias("base_sha256"), secret_scan.span_list(F.col("spans")).alias("spans")
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Query] = {
-    "op4_sharding": op4_sharding,
-    "op6_language_id": op6_language_id,
-    "op8_exact_dedup": op8_exact_dedup,
-    "op10_toxicity": op10_toxicity,
+    f.__name__: f
+    for f in (
+        op1_ann,
+        op2_jaccard_join,
+        op3_piece_sampling,
+        op4_sharding,
+        op5_token_output,
+        op6_language_id,
+        op7_best_fit_packing,
+        op8_exact_dedup,
+        op9_secret_scan,
+        op10_toxicity,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
