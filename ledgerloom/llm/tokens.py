@@ -31,26 +31,44 @@ def tokenizer_json(path: str | None = None) -> str:
         return file.read()
 
 
+def _byte_letters() -> list[str]:
+    """The letter by which byte-level BPE writes each byte: printable ones themselves, others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
+_LETTERS = _byte_letters()
+
+
 class _Chunks(dict):
-    """Chunk -> little-endian uint32 ids; computes what it lacks and starts afresh when full."""
+    """Chunk -> little-endian uint32 ids; computes what it lacks. When full it starts afresh, but
+    keeps the last generation to look into, so frequent chunks stay."""
 
     def __init__(self, tokenizer: Tokenizer, entries: int):
         super().__init__()
-        self.tokenizer, self.entries = tokenizer, entries
+        self.tokenizer, self.model, self.entries = tokenizer, tokenizer.model, entries
+        self.last: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(chunk) > 1 and chunk[-1] in _MARKS and chunk[:-1].isalpha():
-            ids = self[chunk[:-1]] + self[chunk[-1]]
-        else:
-            ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.last.get(chunk)
+        if ids is None:
+            if chunk.isalpha():  # one pre-token, so the model alone gives its ids
+                word = chunk if chunk.isascii() else "".join([_LETTERS[b] for b in chunk.encode()])
+                ids = np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
+            elif chunk[-1] in _MARKS and chunk[:-1].isalpha():
+                ids = self[chunk[:-1]] + self[chunk[-1]]
+            else:
+                ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self) >= self.entries:
+            self.last = dict(self)
             self.clear()
         self[chunk] = ids
         return ids
 
 
 class CachedTokenizer:
-    def __init__(self, json: str, entries: int = 400_000):
+    def __init__(self, json: str, entries: int = 300_000):
         self.tokenizer = Tokenizer.from_str(json)
         self.chunks = _Chunks(self.tokenizer, entries)
 
