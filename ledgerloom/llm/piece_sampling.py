@@ -9,7 +9,7 @@ same on any cluster, in any order and after any retry.
 
 The vocabulary is a BPE model, whose scores are ranks. Weights follow Zipf's law over the ranks:
 (rank + 10) ** -alpha; a larger alpha gives fewer, longer pieces. A character without a piece is
-spelled in byte pieces. A space is the piece symbol's bar; a bar in the text itself is spelled in
+spelled in byte pieces, together as rare as the last rank. A space is the piece symbol's bar; a bar in the text itself is spelled in
 bytes, and nothing is normalised, so decoding gives the text back byte for byte.
 
 Defined cases: a null text is encoded as the empty one (no ids, lossless) by the query, null stays
@@ -19,12 +19,12 @@ segmentations, repeated rows the same one; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +34,14 @@ BAR = "▁"
 ALPHA = 1.5
 #: Longest piece looked up, in characters.
 LONGEST = 24
-_WORD = regex.compile(r" ?\w+| ?[^\w ]+| ")
+_WORD = re.compile(r" ?\w+| ?[^\w ]+| ")
 _NO_PIECE = "\x00"
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _slot(h: np.ndarray) -> np.ndarray:
+    """Places of hashes in a table of 65,536 bits."""
+    return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(48)
 
 
 def default_path() -> str:
@@ -57,11 +63,16 @@ def load_pieces(path: str | None = None) -> list[tuple[str, int, bool]]:
 
 
 class Lattice:
-    """Forward-filtered lattices of words, kept in a bounded cache, and backward sampling over them."""
+    """Lattices of words, filtered forward together, and backward sampling over them."""
 
-    def __init__(self, pieces: list[tuple[str, int, bool]], alpha: float = ALPHA, seed: int = 3, words: int = 200_000):
+    #: Words up to this length are filtered on arrays, longer ones one by one.
+    SHORT = 48
+    #: Every edge's weight is multiplied by this per character: all ways through a word gain the same factor.
+    SCALE = 100.0
+
+    def __init__(self, pieces: list[tuple[str, int, bool]], alpha: float = ALPHA, seed: int = 3):
         self.weight: dict[str, tuple[float, int]] = {}
-        self.byte_id = [-1] * 256
+        self.byte_id = np.full(256, -1, np.int64)
         text_of: dict[int, bytes] = {}
         for rank, (piece, i, is_byte) in enumerate(pieces):
             if is_byte:
@@ -71,73 +82,131 @@ class Lattice:
             elif _NO_PIECE not in piece:
                 self.weight[piece] = ((rank + 10.0) ** -alpha, i)
                 text_of[i] = piece.replace(BAR, " ").encode()
-        if min(self.byte_id) < 0:
+        if self.byte_id.min() < 0:
             raise ValueError("the vocabulary has no piece for some byte")
         self.text_of = [text_of.get(i, b"") for i in range(max(text_of) + 1)]
         self.longest = min(LONGEST, max(map(len, self.weight)))
-        self.byte_weight = (len(pieces) + 10.0) ** -alpha
-        self.seed, self.words = np.uint64(seed * 0x9E3779B97F4A7C15 & (2**64 - 1)), words
-        self.cache: dict[str, tuple[bytes, bytes, bytes, int, int]] = {}
-
-    def forward(self, word: str) -> tuple[bytes, bytes, bytes, int, int]:
-        """Edges into each place: place + cumulative share, the place they come from, and their piece.
-
-        A piece below 0 spells the character before the place in bytes: -1 - its code point."""
+        self.spelled_weight = (len(pieces) + 10.0) ** -alpha
+        self.seed = np.uint64(seed * 0x9E3779B97F4A7C15 & (2**64 - 1))
+        self.by_length = [self._table(n) for n in range(1, self.longest + 1)]
+
+    def _table(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the pieces of n characters: a small bit table of hashes, sorted hashes, weights and ids."""
+        pieces = [p for p in self.weight if len(p) == n]
+        codes = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64).reshape(-1, n)
+        h = np.zeros(len(pieces), np.uint64)
+        for k in range(n):
+            h = h * _STEP + codes[:, k]
+        order = np.argsort(h)
+        maybe = np.zeros(1 << 16, bool)
+        maybe[_slot(h)] = True
+        return maybe, h[order], np.array([self.weight[p][0] for p in pieces])[order] * self.SCALE**n, np.array([self.weight[p][1] for p in pieces], np.int64)[order]
+
+    def _edges(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """Edges of short words' lattices: source and target node, place of the target, weight and piece; a piece
+        below 0 spells a character in bytes: -1 - its code point. A word of n characters has n + 1 nodes."""
+        lengths = np.array([len(w) for w in words], np.int64)
+        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        ends = np.cumsum(lengths)
+        first = ends - lengths
+        symbol = np.where(code == ord(BAR), 0, code)
+        symbol[first[code[first] == ord(" ")]] = ord(BAR)
+        word = np.repeat(np.arange(len(words)), lengths)
+        left = ends[word] - np.arange(len(code))  # characters from here to the word's end
+        at, h = np.arange(len(code)), np.zeros(len(code), np.uint64)
+        symbols = symbol.astype(np.uint64)
+        single = np.zeros(len(code), bool)
+        out = []
+        for n, (maybe, hashes, weights, ids) in enumerate(self.by_length, 1):
+            if n > 1:
+                keep = left[at] >= n
+                at, h = at[keep], h[keep]
+            if not len(at):
+                break
+            h = h * _STEP + symbols[at + n - 1]
+            hit = np.flatnonzero(maybe[_slot(h)]) if len(hashes) else np.zeros(0, np.int64)
+            place = np.minimum(np.searchsorted(hashes, h[hit]), max(0, len(hashes) - 1))
+            good = hashes[place] == h[hit] if len(hit) else np.zeros(0, bool)
+            start, place = at[hit[good]], place[good]
+            if n == 1:
+                single[start] = True
+            out.append((start, np.full(len(start), n), weights[place], ids[place]))
+        bare = np.flatnonzero(~single)
+        out.append((bare, np.ones(len(bare), np.int64), np.full(len(bare), self.spelled_weight * self.SCALE), -1 - code[bare]))
+        start, n, weight, piece = (np.concatenate(x) for x in zip(*out))
+        source = start + word[start]
+        return source, source + n, start - first[word[start]] + n, weight, piece
+
+    def _filtered(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Forward filtering: keys (target node + cumulative share of each edge into it), sources and pieces of all edges."""
+        source, target, place, weight, piece = self._edges(words)
+        sums = np.zeros(sum(map(len, words)) + len(words))
+        first = np.cumsum([0, *[len(w) + 1 for w in words[:-1]]])
+        sums[first] = 1.0
+        order = np.argsort(place.astype(np.int16), kind="stable")
+        cuts = np.searchsorted(place[order], np.arange(1, place.max() + 2))
+        way = np.empty(len(order))
+        for a, b in zip(cuts[:-1], cuts[1:]):  # places in order: all that lead to one are known before it is left
+            e = order[a:b]
+            way[e] = sums[source[e]] * weight[e]
+            np.add.at(sums, target[e], way[e])
+        order = np.argsort(target, kind="stable")
+        target, source, piece, way = target[order], source[order], piece[order], way[order]
+        run = np.cumsum(way / sums[target])
+        last = np.flatnonzero(np.diff(target, append=-1))
+        before = np.repeat(np.concatenate([[0.0], run[last[:-1]]]), np.diff(last, prepend=-1))
+        key = target + np.minimum(run - before, 1.0)
+        key[last] = target[last] + 1.0
+        return key, source, piece
+
+    def _filtered_long(self, word: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As `_filtered` for one long word, with sums scaled on the way."""
         s = (BAR + word[1:].replace(BAR, _NO_PIECE)) if word[0] == " " else word.replace(BAR, _NO_PIECE)
         n, weight = len(s), self.weight
         sums = [1.0] + [0.0] * n
         keys, sources, ids = [], [], []
         for end in range(1, n + 1):
-            total, edges = 0.0, []
+            edges = []
             for start in range(max(0, end - self.longest), end):
                 found = weight.get(s[start:end])
                 if found is not None:
-                    w = sums[start] * found[0]
-                    total += w
-                    edges.append((w, start, found[1]))
+                    edges.append((sums[start] * found[0], start, found[1]))
             if s[end - 1] not in weight:
-                w = sums[end - 1] * self.byte_weight ** len(word[end - 1].encode())
-                total += w
-                edges.append((w, end - 1, -1 - ord(word[end - 1])))
-            run = 0.0
+                edges.append((sums[end - 1] * self.spelled_weight, end - 1, -1 - ord(word[end - 1])))
+            total, run = sum(e[0] for e in edges), 0.0
             for w, start, piece in edges:
                 run += w
-                keys.append(end + run / total)
+                keys.append(end + min(1.0, run / total))
                 sources.append(start)
                 ids.append(piece)
             keys[-1] = end + 1.0
             sums[end] = total
             if total < 1e-200:  # only relations matter, and no edge reaches back further than the longest piece
-                back = range(max(0, end - self.longest), end + 1)
-                for i in back:
+                for i in range(max(0, end - self.longest), end + 1):
                     sums[i] *= 1e200
-        return np.array(keys).tobytes(), np.array(sources, np.int64).tobytes(), np.array(ids, np.int64).tobytes(), n + 1, len(keys)
+        return np.array(keys), np.array(sources, np.int64), np.array(ids, np.int64)
 
     def encode(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
         """Sampled ids (int64) of each text."""
-        cache = self.cache
         found = [_WORD.findall(t) for t in texts]
         number: dict[str, int] = {}
         index = [number.setdefault(w, len(number)) for words in found for w in words]
         if not index:
             return [np.zeros(0, np.int64) for _ in texts]
-        lattices = []
-        for w in number:
-            lattice = cache.get(w)
-            if lattice is None:
-                lattice = self.forward(w)
-                if len(w) <= 32:
-                    if len(cache) >= self.words:
-                        cache.clear()
-                    cache[w] = lattice
-            lattices.append(lattice)
-        nodes = np.array([x[3] for x in lattices], np.int64)
-        edges = np.array([x[4] for x in lattices], np.int64)
-        base = np.cumsum(nodes) - nodes
-        shift = np.repeat(base, edges)
-        edge_key = np.frombuffer(b"".join([x[0] for x in lattices])) + shift
-        source = np.frombuffer(b"".join([x[1] for x in lattices]), np.int64) + shift
-        piece = np.frombuffer(b"".join([x[2] for x in lattices]), np.int64)
+        words = list(number)
+        lengths = np.array([len(w) for w in words], np.int64)
+        short = np.flatnonzero(lengths <= self.SHORT)
+        base, tables, nodes = np.empty(len(words), np.int64), [], 0
+        if len(short):
+            tables.append(self._filtered([words[i] for i in short]))
+            base[short] = np.cumsum(lengths[short] + 1) - lengths[short] - 1
+            nodes = int((lengths[short] + 1).sum())
+        for i in np.flatnonzero(lengths > self.SHORT):
+            key, source, piece = self._filtered_long(words[i])
+            base[i] = nodes
+            tables.append((key + nodes, source + nodes, piece))
+            nodes += int(lengths[i]) + 1
+        edge_key, source, piece = (np.concatenate(x) for x in zip(*tables))
 
         word = np.array(index, np.int64)
         counts = np.array([len(w) for w in found], np.int64)
@@ -145,37 +214,44 @@ class Lattice:
         row = mix64(np.array([(k or 0) & (2**64 - 1) for k in keys], np.uint64) + self.seed)
         stream = mix64(np.repeat(row, counts) + nth.astype(np.uint64))
         first = base[word]
-        at = first + nodes[word] - 1
+        at = first + lengths[word]
         live = np.arange(len(word))
         steps: list[tuple[np.ndarray, np.ndarray]] = []
         taken = np.zeros(len(word), np.int64)
         while len(live):
             step = np.uint64((len(steps) + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
             draw = (mix64(stream[live] + step) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-            # Edges into place p have keys above p and up to p + 1.
-            edge = np.searchsorted(edge_key, at[live] + draw, side="right")
+            # Edges into node p have keys above p and up to p + 1.
+            edge = np.minimum(np.searchsorted(edge_key, at[live] + draw, side="right"), len(edge_key) - 1)
             steps.append((live, piece[edge]))
             taken[live] += 1
             at[live] = source[edge]
             live = live[at[live] > first[live]]
-        out = np.empty(int(taken.sum()), np.int64)
-        last = np.cumsum(taken) - 1
-        for n, (who, what) in enumerate(steps):  # walks go from a word's end to its start
-            out[last[who] - n] = what
         ends = np.cumsum(taken)
-        bounds = np.concatenate([[0], ends[np.cumsum(counts)[counts > 0] - 1]])
-        result, k = [], 0
-        for c in counts:
-            ids = out[bounds[k] : bounds[k + 1]] if c else out[:0]
-            k += bool(c)
-            result.append(self._spelled(ids) if len(ids) and ids.min() < 0 else ids)
-        return result
-
-    def _spelled(self, ids: np.ndarray) -> np.ndarray:
-        out: list[int] = []
-        for i in ids.tolist():
-            out.extend([i] if i >= 0 else [self.byte_id[b] for b in chr(-1 - i).encode()])
-        return np.array(out, np.int64)
+        out = np.empty(int(ends[-1]), np.int64)
+        for n, (who, what) in enumerate(steps):  # walks go from a word's end to its start
+            out[ends[who] - 1 - n] = what
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        out, bounds = self._spelled(out, bounds)
+        return [out[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+    def _spelled(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids with the bytes of spelled characters in place, and the texts' bounds in them."""
+        bare = np.flatnonzero(ids < 0)
+        code = -1 - ids[bare]
+        width = np.ones(len(ids), np.int64)
+        width[bare] = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+        ends = np.cumsum(width)
+        out = np.repeat(ids, width)
+        for k in range(4):
+            n = width[bare]
+            part = n > k
+            shift = 6 * (n[part] - 1 - k)
+            value = code[part] >> shift
+            lead = np.array([0, 0x00, 0xC0, 0xE0, 0xF0])[n[part]]
+            value = np.where(n[part] == 1, value, lead | value if k == 0 else 0x80 | (value & 0x3F))
+            out[ends[bare[part]] - n[part] + k] = self.byte_id[value]
+        return out, np.concatenate([[0], ends])[bounds]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.text_of.__getitem__, ids.tolist()))
@@ -193,7 +269,7 @@ def _loaded(shared, alpha: float, seed: int) -> Lattice:
     return _LOADED[key]
 
 
-def _slices(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `size` bytes of text, so that the walks' arrays stay small."""
     lengths = np.array([len(x) if x else 0 for x in batch.column(1).to_pylist()], np.int64)
     part = np.cumsum(lengths) // size
