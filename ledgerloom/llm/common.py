@@ -1,18 +1,14 @@
-"""Helpers shared by the operators: tables in the cluster's shared folder, and byte views of Arrow text."""
+"""Helpers shared by the operators: input tables, held-out rows, and byte views of Arrow text."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import materialize, shared_dir, shared_path
 from ledgerloom.shipping import ship_package
 
 
@@ -21,30 +17,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A temporary one is made only where the
-    session names none, as in tests on one machine."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-    return path.rstrip("/")
-
-
-def shared_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/ledgerloom/{tag}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
-    """Write `df` as Parquet in the shared folder and read it back: lineage ends here and an
-    executor that is lost later takes nothing with it."""
-    spark = df.sparkSession
-    path = shared_path(spark, tag)
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def id_crc(column: str | Column) -> Column:
     """crc32 of an id written as text."""
     column = F.col(column) if isinstance(column, str) else column
@@ -76,3 +48,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+__all__ = ["id_crc", "is_held_out", "materialize", "mix64", "read_table", "shared_dir", "shared_path", "text_bytes"]

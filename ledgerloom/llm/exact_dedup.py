@@ -74,9 +74,7 @@ def _winner() -> Column:
 
 
 def dedup_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """One row per row of `docs`: doc_id, keep_id, group_size, kept, text_sha256, digest, repeats.
-
-    `repeats` counts the rows that share the id and digest of the row."""
+    """One row per row of `docs`: doc_id, keep_id, group_size, kept, text_sha256 and the digest's bytes."""
     slim = materialize(
         docs.select(
             F.monotonically_increasing_id().alias("row_id"),
@@ -116,23 +114,14 @@ def dedup_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """`docs` with one row of each group of equal texts, all columns as they were."""
-    decided = dedup_decisions(docs, id_col, text_col, counters).filter("kept")
-    kept = decided.select(F.col("doc_id").alias("__keep_id"), F.col("digest").alias("__keep_digest"))
-    keyed = docs.withColumn("__digest", text_digest(text_col))
-    found = keyed.join(
-        kept, F.col(id_col).eqNullSafe(F.col("__keep_id")) & (F.col("__digest") == F.col("__keep_digest")), "left_semi"
-    )
-    # Rows that repeat both id and text are still there; ids are unique in ordinary tables.
-    repeated = (
-        docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(F.col(id_col).alias("__twice"))
-    )
-    twice = F.col(id_col).eqNullSafe(F.col("__twice"))
-    longest = Window.partitionBy(id_col, "__digest").orderBy(F.char_length(text_col).desc())
-    once = (
-        found.join(repeated, twice, "left_semi")
-        .withColumn("__rank", F.row_number().over(longest))
-        .filter("__rank = 1")
-        .drop("__rank")
-    )
-    return found.join(repeated, twice, "left_anti").unionByName(once).select(*docs.columns)
+    """`docs` with one row of each group of equal texts, all columns as they were.
+
+    The winners meet the rows on (id, digest). Only rows that repeat both are left after that; they are
+    numbered under the same partitioning, so texts are shuffled once."""
+    keys = ["__id", "__none", "__digest"]
+    key_of = lambda c: {"__id": F.coalesce(F.col(c).cast("string"), F.lit("")), "__none": F.col(c).isNull()}
+    winners = dedup_decisions(docs, id_col, text_col, counters).filter("kept").withColumns(key_of("doc_id"))
+    winners = winners.withColumnRenamed("digest", "__digest").select(*keys)
+    found = docs.withColumns({**key_of(id_col), "__digest": text_digest(text_col)}).join(winners, keys)
+    longest = Window.partitionBy(*keys).orderBy(F.char_length(text_col).desc())
+    return found.withColumn("__place", F.row_number().over(longest)).filter("__place = 1").select(*docs.columns)

@@ -183,41 +183,56 @@ def train(sample: pd.DataFrame, seed: int = 6) -> ByteCNN | None:
     return ByteCNN(languages, seed).fit(rows, labels, (1.0 / np.maximum(counts, 1))[labels].astype(np.float32), seed=seed)
 
 
-def predict_languages(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, lang_pred and score for each row, with the columns in `keep` carried along."""
-    id_type = docs.schema[id_col].dataType.simpleString()
-    carried = [c for c in keep if c not in (id_col, "lang_pred", "score")]
+def _classify(net: FoldedCNN, text: pa.Array, lettered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The language and score of each text; windows are built for few texts at a time."""
+    names = np.array(net.languages, dtype=object)
+    total = np.zeros((len(text), len(names)))
+    for begin in range(0, len(text), 256):
+        data, offsets = text_bytes(text.slice(begin, 256))
+        window, owner = windows_of(data, offsets)
+        for start in range(0, len(window), 4096):
+            part = slice(start, start + 4096)
+            np.add.at(total, begin + owner[part], net.log_probabilities(window[part]))
+        total[begin : begin + 256] /= np.bincount(owner, minlength=len(offsets) - 1)[:, None]
+    prob = np.exp(total - total.max(axis=1, keepdims=True))
+    prob /= prob.sum(axis=1, keepdims=True)
+    return np.where(lettered, names[prob.argmax(axis=1)], UNDETERMINED), np.where(lettered, prob.max(axis=1), 0.0)
+
+
+def _lettered(text_col: str):
+    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__lettered")
+
+
+def predict_languages(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, lang_pred and score of each row."""
     if model is None:
-        return docs.select(id_col, *carried, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(id_col, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     folded = docs.sparkSession.sparkContext.broadcast(model.folded())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = folded.value
-        names = np.array(net.languages, dtype=object)
         for batch in batches:
-            data, offsets = text_bytes(batch.column("__text"))
-            window, owner = windows_of(data, offsets)
-            total = np.zeros((batch.num_rows, len(names)))
-            used = np.zeros((batch.num_rows, 1))
-            for start in range(0, len(window), 4096):
-                part = slice(start, start + 4096)
-                np.add.at(total, owner[part], net.log_probabilities(window[part]))
-                np.add.at(used, owner[part], 1)
-            mean = total / np.maximum(used, 1)
-            prob = np.exp(mean - mean.max(axis=1, keepdims=True))
-            prob /= prob.sum(axis=1, keepdims=True)
+            best, prob = _classify(folded.value, batch.column(1), batch.column(2).to_numpy(zero_copy_only=False).astype(bool))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best, pa.string()), pa.array(prob)], names=[id_col, "lang_pred", "score"])
+
+    id_type = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col, _lettered(text_col)).mapInArrow(score, f"`{id_col}` {id_type}, lang_pred string, score double")
+
+
+def keep_languages(docs: DataFrame, model: ByteCNN | None, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose language is determined with at least this score, all columns as they were."""
+    if model is None:
+        return docs.limit(0)
+    folded = docs.sparkSession.sparkContext.broadcast(model.folded())
+    columns = docs.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             lettered = batch.column("__lettered").to_numpy(zero_copy_only=False).astype(bool)
-            best = prob.argmax(axis=1)
-            columns = [batch.column(c) for c in (id_col, *carried)]
-            columns.append(pa.array(np.where(lettered, names[best], UNDETERMINED), pa.string()))
-            columns.append(pa.array(np.where(lettered, prob.max(axis=1), 0.0)))
-            yield pa.RecordBatch.from_arrays(columns, names=[id_col, *carried, "lang_pred", "score"])
-
-    source = docs.select(
-        id_col, *carried, F.col(text_col).alias("__text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__lettered")
-    )
-    schema = ", ".join([f"`{id_col}` {id_type}", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried), "lang_pred string", "score double"])
-    return source.mapInArrow(score, schema)
+            best, prob = _classify(folded.value, batch.column(text_col), lettered)
+            kept = batch.filter(pa.array((best != UNDETERMINED) & (prob >= least_score)))
+            yield kept.select(columns)
+
+    return docs.select("*", _lettered(text_col)).mapInArrow(keep, docs.schema)
 
 
 def identify(docs: DataFrame, bound: TrainingBound = TrainingBound()) -> DataFrame:
@@ -225,4 +240,4 @@ def identify(docs: DataFrame, bound: TrainingBound = TrainingBound()) -> DataFra
     return predict_languages(docs, train(labelled_sample(docs, bound))).withColumn("held_out", is_held_out("doc_id"))
 
 
-__all__ = ["ByteCNN", "TrainingBound", "id_crc", "identify", "labelled_sample", "predict_languages", "train"]
+__all__ = ["ByteCNN", "TrainingBound", "id_crc", "identify", "keep_languages", "labelled_sample", "predict_languages", "train"]

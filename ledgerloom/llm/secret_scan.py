@@ -132,7 +132,7 @@ def span_list(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact_secrets(docs: DataFrame, mark: str = "[REDACTED]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redact_secrets(docs: DataFrame, mark: str = "[REDACTED]", id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """`docs` with every reported span of the text replaced by `mark`; all rows stay."""
     found = (
         scan_secrets(docs, id_col, text_col)
@@ -160,4 +160,8 @@ def redact_secrets(docs: DataFrame, mark: str = "[REDACTED]", id_col: str = "doc
         ),
         lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col(text_col), (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))),
     )
-    return joined.withColumn(text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(fold)).select(*docs.columns)
+    out = joined.withColumn(text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(fold))
+    if length_col:  # a column that holds the text's length follows the changed texts
+        kind = docs.schema[length_col].dataType
+        out = out.withColumn(length_col, F.when(F.col("__spans").isNull(), F.col(length_col)).otherwise(F.char_length(text_col).cast(kind)))
+    return out.select(*docs.columns)
