@@ -15,6 +15,10 @@ are first decided from what is known of their leaders: overlap(x, y) is between
 overlap(lx, ly) minus and plus what x and y lack of, or have beyond, their leaders. Only pairs that
 this leaves open are compared themselves, and pairs that are already connected are never formed.
 
+*Bitmaps.* Before whole sets are sent anywhere, a pair must pass a bound on small bitmaps: a bit is
+the parity of the shingles that fall on it, so two bitmaps differ in at most as many bits as the sets
+differ in shingles. The bound is exact: it never refuses a link.
+
 Defined cases: a text without words, or null, has the empty set and is linked with nothing; a text
 with fewer words than a shingle has one element, the whole; equal texts are linked; rows that repeat
 an id are one document with several sets; a row without an id has component null; an empty table
@@ -41,6 +45,8 @@ MOST_FREQUENT = 400_000
 #: Distinct shingles of documents that a task counts together, and the count below which it reports nothing.
 COUNTED, LEAST_COUNT = 1_500_000, 3
 LEADER_ROUNDS = 2
+#: Groups over which the list of a frequent shingle is spread where only its presence in others matters.
+SALTS = 1024
 #: Values that ids of candidate documents are hashed to, so that what is broadcast to find them is bounded.
 ID_BUCKETS = 1 << 20
 
@@ -99,9 +105,16 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Parities of a set's shingles over a power of two of bits, two bits a shingle or more, as longs."""
+    size = max(64, 1 << (2 * len(s) - 1).bit_length()) if len(s) else 64
+    parity = np.bincount((mix64(s ^ np.uint64(0x3C3C3C3C)) & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint8) & 1
+    return np.packbits(parity, bitorder="little").view(np.int64)
+
+
 def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Written table of two kinds of rows: doc_id, n, d1, d2 (size and digest of a set), and token, seen (counts of
-    shingles that repeat in a part of the corpus)."""
+    """Written table of two kinds of rows: doc_id, n, d1, d2, bits (size, digest and bitmap of a set), and token, seen
+    (counts of shingles that repeat in a part of the corpus)."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -111,32 +124,38 @@ def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
             tokens, seen = np.unique(np.concatenate(held), return_counts=True)
             many = seen >= LEAST_COUNT
             none = pa.nulls(int(many.sum()), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, none, _signed(tokens[many]), pa.array(seen[many])], names=names)
+            bare = pa.nulls(len(none), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([none, none, none, none, bare, _signed(tokens[many]), pa.array(seen[many])], names=names)
 
-        names = ["doc_id", "n", "d1", "d2", "token", "seen"]
+        names = ["doc_id", "n", "d1", "d2", "bits", "token", "seen"]
         for batch in batches:
-            n, d1, d2 = [], [], []
+            n, d1, d2, bits = [], [], [], []
             for s in shingle_sets(batch.column(1), words):
                 n.append(len(s))
                 d1.append(int(mix64(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64)))
                 d2.append(int(mix64(s ^ np.uint64(0x5A5A5A5A5A5A)).sum(dtype=np.uint64)))
+                bits.append(bitmap(s))
                 held.append(s)
                 size += len(s)
                 if size >= COUNTED:
                     yield counted()
                     held, size = [], 0
             none = pa.nulls(len(n), pa.int64())
-            columns = [batch.column(0), pa.array(n, pa.int64()), _signed(np.array(d1, np.uint64)), _signed(np.array(d2, np.uint64)), none, none]
+            cut = np.concatenate([[0], np.cumsum([len(b) for b in bits])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(bits or [np.zeros(0, np.int64)])))
+            columns = [batch.column(0), pa.array(n, pa.int64()), _signed(np.array(d1, np.uint64)), _signed(np.array(d2, np.uint64)), lists, none, none]
             yield pa.RecordBatch.from_arrays(columns, names=names)
         if held:
             yield counted()
 
-    schema = "doc_id long, n long, d1 long, d2 long, token long, seen long"
+    schema = "doc_id long, n long, d1 long, d2 long, bits array<long>, token long, seen long"
     return materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(profile, schema), "jaccard-profiles")
 
 
 def prefix_postings(docs: DataFrame, frequent: np.ndarray, words: int = WORDS) -> DataFrame:
-    """token, doc_id, n, p for the prefix of each set; `frequent` holds frequent shingles (sorted) and their ranks."""
+    """token, doc_id, np, frequent for the prefix of each set; np packs the set's size and the shingle's place.
+
+    `frequent` holds frequent shingles (sorted) and their ranks."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,23 +163,27 @@ def prefix_postings(docs: DataFrame, frequent: np.ndarray, words: int = WORDS) -
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                heads, sizes = [], []
+                heads, sizes, often = [], [], []
                 for s in shingle_sets(part.column(1), words):
                     length = len(s) - -(-3 * len(s) // 4) + 1 if len(s) else 0
+                    rank = np.zeros(len(s), np.int32)
                     if length and len(tokens):
                         at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
                         rank = np.where(tokens[at] == s, ranks[at], 0)
-                        s = s[np.argsort(rank, kind="stable")]
+                        by_rank = np.argsort(rank, kind="stable")
+                        s, rank = s[by_rank], rank[by_rank]
                     heads.append(s[:length])
+                    often.append(rank[:length] > 0)
                     sizes.append(len(s))
                 counts = np.array([len(h) for h in heads], np.int64)
                 p = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
                 owner = np.repeat(np.arange(len(heads)), counts)
                 np_ = np.array(sizes, np.int64)[owner] << 32 | p
                 ids = part.column(0).take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(heads or [np.zeros(0, np.uint64)])), ids, pa.array(np_)], names=["token", "doc_id", "np"])
+                columns = [_signed(np.concatenate(heads or [np.zeros(0, np.uint64)])), ids, pa.array(np_), pa.array(np.concatenate(often or [np.zeros(0, bool)]))]
+                yield pa.RecordBatch.from_arrays(columns, names=["token", "doc_id", "np", "frequent"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(invert, "token long, doc_id long, np long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(invert, "token long, doc_id long, np long, frequent boolean")
 
 
 def shingle_arrays(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -178,9 +201,20 @@ def shingle_arrays(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sets, "doc_id long, tokens array<long>")
 
 
+def plausible(pairs: DataFrame, bitmaps: DataFrame, tag: str) -> DataFrame:
+    """Written table: those of `pairs` (a, b) whose bitmaps (doc_id, n, bits) allow a link."""
+    for side in ("a", "b"):
+        pairs = pairs.join(bitmaps.select(F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    # Bitmaps of sizes that allow a link differ by a factor of two at most; the longer one is folded.
+    half = F.least(F.size("bits_a"), F.size("bits_b"))
+    exact = lambda x: F.when(F.size(x) > half, F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda i, j: i.bitwiseXOR(j))).otherwise(F.col(x))
+    apart = F.aggregate(F.zip_with(exact("bits_a"), exact("bits_b"), lambda i, j: F.bit_count(i.bitwiseXOR(j))), F.lit(0), lambda total, x: total + x)
+    sizes = (4 * F.col("n_a") >= 3 * F.col("n_b")) & (4 * F.col("n_b") >= 3 * F.col("n_a"))
+    return materialize(pairs.filter(sizes & (7 * apart <= F.col("n_a") + F.col("n_b"))).select("a", "b").distinct(), tag)
+
+
 def overlaps(docs: DataFrame, pairs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Written table: `pairs` (a, b) with n_a, n_b and common, from the whole sets of both."""
-    pairs = materialize(pairs, "jaccard-pairs")
+    """Written table: `pairs` (a, b; read more than once) with n_a, n_b and common, from the whole sets of both."""
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BUCKETS)).cast("int")
     wanted = pairs.select(bucket("a").alias("bucket")).union(pairs.select(bucket("b"))).distinct()
     # At most ID_BUCKETS integers: others' sets that share a bucket are sent in vain, none is missed.
@@ -231,6 +265,13 @@ def _with_component(df: DataFrame, column: str, components: DataFrame | None, ou
     return df.join(named, column, "left").withColumn(out, F.coalesce(out, column))
 
 
+def live_postings(postings: DataFrame, components: DataFrame, tag: str) -> DataFrame:
+    """Written table: `postings` with their component (comp), without the lists that only one component is left in."""
+    placed = _with_component(postings.drop("comp"), "doc_id", components, "comp")
+    mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
+    return materialize(placed.join(mixed, "token", "left_semi"), tag)
+
+
 def leader_pairs(postings: DataFrame, round_no: int) -> DataFrame:
     """(a, b): each node with the one leader it shares most prefix shingles with, unless both are connected already.
 
@@ -291,34 +332,39 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     named = materialize(filled.join(nodes, ["n", "d1", "d2"]).select("doc_id", "node").distinct(), "jaccard-nodes")
     links = named.filter("doc_id <> node").groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("v")).filter("u <> v").select("u", "v")
 
-    shared = Window.partitionBy("token")
+    # Shingles that stand in one prefix only lead nowhere. Frequent ones are known not to be such, so their lists need not meet.
+    salt = F.when(F.col("frequent"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0)
     postings = (
         prefix_postings(docs, (tokens[order], ranks), words)
-        .withColumn("lists", F.count(F.lit(1)).over(shared))
-        .filter((F.col("lists") > 1) & F.col("doc_id").isNotNull())
+        .withColumn("lists", F.count(F.lit(1)).over(Window.partitionBy("token", salt)))
+        .filter((F.col("frequent") | (F.col("lists") > 1)) & F.col("doc_id").isNotNull())
         .select("token", "doc_id", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(F.lit(0xFFFFFFFF)).alias("p"))
     )
     copies = named.filter("doc_id <> node").select("doc_id").join(named.filter("doc_id = node").select("doc_id"), "doc_id", "left_anti")
-    postings = materialize(materialize(postings, "jaccard-lists").join(copies, "doc_id", "left_anti"), "jaccard-postings")
+    postings = materialize(postings.join(copies, "doc_id", "left_anti").withColumn("comp", F.col("doc_id")), "jaccard-postings")
+    bitmaps = profile.filter("seen is null and n > 0 and doc_id is not null").select("doc_id", "n", "bits")
 
-    components, leaders = None, None
+    leaders = None
     for n in range(LEADER_ROUNDS):
-        compared = overlaps(docs, leader_pairs(_with_component(postings, "doc_id", components, "comp"), n), words)
+        led = plausible(leader_pairs(postings, n), bitmaps, "jaccard-led-pairs")
+        compared = overlaps(docs, led, words)
         linked = compared.filter(is_link(F.col("n_a"), F.col("n_b"), F.col("common")))
         links = links.union(linked.select("a", "b"))
         leaders = linked if leaders is None else leaders.union(linked)
         components = connected_components(links)
+        postings = live_postings(postings, components, "jaccard-live")
     led = materialize(
         leaders.groupBy("a").agg(F.max(F.struct("common", "b", "n_a", "n_b")).alias("l")).select(F.col("a").alias("x"), F.col("l.b").alias("lx"), (F.col("l.n_a") - F.col("l.common")).alias("beyond"), (F.col("l.n_b") - F.col("l.common")).alias("lacks")),
         "jaccard-leaders",
     )
-    pairs = materialize(block_pairs(_with_component(postings, "doc_id", components, "comp")), "jaccard-candidates")
+    pairs = plausible(block_pairs(postings), bitmaps, "jaccard-candidates")
     for side in ("a", "b"):
         pairs = pairs.join(led.select(F.col("x").alias(side), F.col("lx").alias(f"l{side}"), F.col("beyond").alias(f"beyond_{side}"), F.col("lacks").alias(f"lacks_{side}")), side, "left").withColumns(
             {f"l{side}": F.coalesce(f"l{side}", side), f"beyond_{side}": F.coalesce(f"beyond_{side}", F.lit(0)), f"lacks_{side}": F.coalesce(f"lacks_{side}", F.lit(0))}
         )
     pairs = materialize(pairs, "jaccard-led")
-    heads = overlaps(docs, pairs.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).filter("a <> b").distinct(), words)
+    heads = pairs.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).filter("a <> b").distinct()
+    heads = overlaps(docs, materialize(heads, "jaccard-head-pairs"), words)
     heads = heads.select(F.col("a").alias("h1"), F.col("b").alias("h2"), F.col("n_a").alias("n1"), F.col("n_b").alias("n2"), F.col("common"))
     judged = pairs.join(heads, (F.least("la", "lb") == F.col("h1")) & (F.greatest("la", "lb") == F.col("h2")), "left")
     # Sizes follow from the leaders': what a node has beyond its leader is added, what it lacks taken away.
