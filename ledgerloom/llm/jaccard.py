@@ -236,12 +236,12 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Alternating stars: each node is tied to the smallest node around it until nothing changes."""
     edges = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
-    before = None
     for _ in range(most_rounds):
-        state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == before or not state["n"]:
+        # Done when every node has one smaller neighbour at most, and those that are such a neighbour have none.
+        ends = edges.select(F.col("u").alias("node"), F.col("v").alias("to")).union(edges.select("v", F.lit(None).cast("long")))
+        open_ends = ends.groupBy("node").agg(F.min("to").alias("lo"), F.max("to").alias("hi"), F.count_if(F.col("to").isNull()).alias("below")).filter("lo < hi or (lo is not null and below > 0)")
+        if edges.isEmpty() or not open_ends.count():
             break
-        before = state
         # Large star: neighbours larger than a node go to the smallest node around it.
         around = edges.union(edges.select("v", "u"))
         least = around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
@@ -314,6 +314,37 @@ def block_pairs(postings: DataFrame) -> DataFrame:
     return met.select("a", "b").distinct()
 
 
+def _decided(docs: DataFrame, pairs: DataFrame, leaders: DataFrame, words: int) -> DataFrame:
+    """The links among `pairs` (a, b): derived from the leaders' overlaps where these decide, else from the sets themselves."""
+    led = materialize(
+        leaders.groupBy("a").agg(F.max(F.struct("common", "b", "n_a", "n_b")).alias("l")).select(F.col("a").alias("x"), F.col("l.b").alias("lx"), (F.col("l.n_a") - F.col("l.common")).alias("beyond"), (F.col("l.n_b") - F.col("l.common")).alias("lacks")),
+        "jaccard-leaders",
+    )
+    for side in ("a", "b"):
+        pairs = pairs.join(led.select(F.col("x").alias(side), F.col("lx").alias(f"l{side}"), F.col("beyond").alias(f"beyond_{side}"), F.col("lacks").alias(f"lacks_{side}")), side, "left").withColumns(
+            {f"l{side}": F.coalesce(f"l{side}", side), f"beyond_{side}": F.coalesce(f"beyond_{side}", F.lit(0)), f"lacks_{side}": F.coalesce(f"lacks_{side}", F.lit(0))}
+        )
+    pairs = materialize(pairs, "jaccard-led")
+    heads = pairs.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).filter("a <> b").distinct()
+    heads = overlaps(docs, materialize(heads, "jaccard-head-pairs"), words)
+    heads = heads.select(F.col("a").alias("h1"), F.col("b").alias("h2"), F.col("n_a").alias("n1"), F.col("n_b").alias("n2"), F.col("common"))
+    judged = pairs.join(heads, (F.least("la", "lb") == F.col("h1")) & (F.greatest("la", "lb") == F.col("h2")), "left")
+    # Sizes follow from the leaders': what a node has beyond its leader is added, what it lacks taken away.
+    swapped = F.col("la") > F.col("lb")
+    n_a = F.when(swapped, F.col("n2")).otherwise(F.col("n1")) + F.col("beyond_a") - F.col("lacks_a")
+    n_b = F.when(swapped, F.col("n1")).otherwise(F.col("n2")) + F.col("beyond_b") - F.col("lacks_b")
+    low = F.col("common") - F.col("lacks_a") - F.col("lacks_b")
+    high = F.col("common") + F.col("beyond_a") + F.col("beyond_b")
+    judged = materialize(
+        judged.select("a", "b", is_link(n_a, n_b, low).alias("sure"), (F.col("common").isNull() | is_link(n_a, n_b, high)).alias("open")), "jaccard-judged"
+    )
+    late = judged.filter("sure").select("a", "b")
+    undecided = judged.filter("open and not coalesce(sure, false)").select("a", "b")
+    if undecided.isEmpty():
+        return late
+    return late.union(overlaps(docs, undecided, words).filter(is_link(F.col("n_a"), F.col("n_b"), F.col("common"))).select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of `docs`."""
     profile = profiles(docs, words)
@@ -344,41 +375,25 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     postings = materialize(postings.join(copies, "doc_id", "left_anti").withColumn("comp", F.col("doc_id")), "jaccard-postings")
     bitmaps = profile.filter("seen is null and n > 0 and doc_id is not null").select("doc_id", "n", "bits")
 
-    leaders = None
+    components = None
+    leaders = postings.sparkSession.createDataFrame([], "a long, b long, n_a long, n_b long, common long")
     for n in range(LEADER_ROUNDS):
         led = plausible(leader_pairs(postings, n), bitmaps, "jaccard-led-pairs")
+        if led.isEmpty():
+            break
         compared = overlaps(docs, led, words)
         linked = compared.filter(is_link(F.col("n_a"), F.col("n_b"), F.col("common")))
         links = links.union(linked.select("a", "b"))
-        leaders = linked if leaders is None else leaders.union(linked)
+        leaders = leaders.union(linked.select(leaders.columns))
         components = connected_components(links)
         postings = live_postings(postings, components, "jaccard-live")
-    led = materialize(
-        leaders.groupBy("a").agg(F.max(F.struct("common", "b", "n_a", "n_b")).alias("l")).select(F.col("a").alias("x"), F.col("l.b").alias("lx"), (F.col("l.n_a") - F.col("l.common")).alias("beyond"), (F.col("l.n_b") - F.col("l.common")).alias("lacks")),
-        "jaccard-leaders",
-    )
     pairs = plausible(block_pairs(postings), bitmaps, "jaccard-candidates")
-    for side in ("a", "b"):
-        pairs = pairs.join(led.select(F.col("x").alias(side), F.col("lx").alias(f"l{side}"), F.col("beyond").alias(f"beyond_{side}"), F.col("lacks").alias(f"lacks_{side}")), side, "left").withColumns(
-            {f"l{side}": F.coalesce(f"l{side}", side), f"beyond_{side}": F.coalesce(f"beyond_{side}", F.lit(0)), f"lacks_{side}": F.coalesce(f"lacks_{side}", F.lit(0))}
-        )
-    pairs = materialize(pairs, "jaccard-led")
-    heads = pairs.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).filter("a <> b").distinct()
-    heads = overlaps(docs, materialize(heads, "jaccard-head-pairs"), words)
-    heads = heads.select(F.col("a").alias("h1"), F.col("b").alias("h2"), F.col("n_a").alias("n1"), F.col("n_b").alias("n2"), F.col("common"))
-    judged = pairs.join(heads, (F.least("la", "lb") == F.col("h1")) & (F.greatest("la", "lb") == F.col("h2")), "left")
-    # Sizes follow from the leaders': what a node has beyond its leader is added, what it lacks taken away.
-    swapped = F.col("la") > F.col("lb")
-    n_a = F.when(swapped, F.col("n2")).otherwise(F.col("n1")) + F.col("beyond_a") - F.col("lacks_a")
-    n_b = F.when(swapped, F.col("n1")).otherwise(F.col("n2")) + F.col("beyond_b") - F.col("lacks_b")
-    low = F.col("common") - F.col("lacks_a") - F.col("lacks_b")
-    high = F.col("common") + F.col("beyond_a") + F.col("beyond_b")
-    judged = materialize(
-        judged.select("a", "b", is_link(n_a, n_b, low).alias("sure"), (F.col("common").isNull() | is_link(n_a, n_b, high)).alias("open")), "jaccard-judged"
-    )
-    compared = overlaps(docs, judged.filter("open and not coalesce(sure, false)").select("a", "b"), words)
-    links = links.union(judged.filter("sure").select("a", "b")).union(compared.filter(is_link(F.col("n_a"), F.col("n_b"), F.col("common"))).select("a", "b"))
-    components = connected_components(links)
+    if not pairs.isEmpty():
+        more = materialize(_decided(docs, pairs, leaders, words), "jaccard-late-links")
+        if not more.isEmpty():
+            links, components = links.union(more), None
+    if components is None and not links.isEmpty():
+        components = connected_components(links)
 
     of_doc = _with_component(named.groupBy("doc_id").agg(F.min("node").alias("node")), "node", components, "component")
     smallest = of_doc.select(F.col("doc_id").alias("d"), "component")
