@@ -10,7 +10,7 @@ are cut into blocks of partner sizes; an entry stands in the blocks of its inter
 late in its set in fewer or none, and a probing set reads the one block of its own size.
 
 *Derived answers.* Equal sets are one node. In each leader round, every node is compared with the
-one leader that it shares most prefix shingles with; overlap with the leader is kept. Later pairs
+leaders that it shares most prefix shingles with; overlap with the leader is kept. Later pairs
 are first decided from what is known of their leaders: overlap(x, y) is between
 overlap(lx, ly) minus and plus what x and y lack of, or have beyond, their leaders. Only pairs that
 this leaves open are compared themselves, and pairs that are already connected are never formed.
@@ -44,7 +44,9 @@ FREQUENT = 24
 MOST_FREQUENT = 400_000
 #: Distinct shingles of documents that a task counts together, and the count below which it reports nothing.
 COUNTED, LEAST_COUNT = 1_500_000, 3
-LEADER_ROUNDS = 2
+#: Leaders that each node is compared with, by round. In a loose group a node may miss any one leader, so those that are
+#: left after the first round try several at once.
+LEADERS = (1, 8, 32)
 #: Groups over which the list of a frequent shingle is spread where only its presence in others matters.
 SALTS = 1024
 #: Values that ids of candidate documents are hashed to, so that what is broadcast to find them is bounded.
@@ -272,20 +274,19 @@ def live_postings(postings: DataFrame, components: DataFrame, tag: str) -> DataF
     return materialize(placed.join(mixed, "token", "left_semi"), tag)
 
 
-def leader_pairs(postings: DataFrame, round_no: int) -> DataFrame:
-    """(a, b): each node with the one leader it shares most prefix shingles with, unless both are connected already.
+def leader_pairs(postings: DataFrame, round_no: int, leaders: int) -> DataFrame:
+    """(a, b): each node with the `leaders` ones it shares most prefix shingles with, unless both are connected already.
 
-    A list's leader is the node whose hash, seeded by the round, is least; sizes must allow a link."""
-    rank = F.xxhash64(F.lit(round_no), "doc_id")
-    leads = postings.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), F.col("doc_id").alias("id"), F.col("n").alias("n"), F.col("comp").alias("comp"))).alias("lead"))
-    votes = (
-        postings.join(leads, "token")
-        .filter((F.col("doc_id") != F.col("lead.id")) & (F.col("comp") != F.col("lead.comp")))
-        .filter((4 * F.col("n") >= 3 * F.col("lead.n")) & (4 * F.col("lead.n") >= 3 * F.col("n")))
-        .groupBy(F.col("doc_id").alias("a"), F.col("lead.id").alias("b"))
-        .agg(F.count(F.lit(1)).alias("votes"))
-    )
-    return votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    A list's leaders are the nodes whose hashes, seeded by the round, are least. Sizes and the shingle's places must
+    allow a link, as they do at the first shingle that two linked sets share."""
+    node = [F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("p").alias("p_b"), F.col("comp").alias("comp_b")]
+    least = [F.min_by(F.struct(*node), F.xxhash64(F.lit(round_no), F.lit(k), "doc_id")) for k in range(leaders)]
+    leads = postings.groupBy("token").agg(F.array_distinct(F.array(*least)).alias("leads")).select("token", F.inline("leads"))
+    met = (F.col("doc_id") != F.col("b")) & (F.col("comp") != F.col("comp_b")) & (4 * F.col("n") >= 3 * F.col("n_b")) & (4 * F.col("n_b") >= 3 * F.col("n"))
+    most = F.least(F.col("n") - F.col("p"), F.col("n_b") - F.col("p_b"))
+    votes = postings.join(leads, "token").filter(met & (7 * most >= 3 * (F.col("n") + F.col("n_b")))).groupBy(F.col("doc_id").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"))
+    most = Window.partitionBy("a").orderBy(F.desc("votes"), "b")
+    return votes.withColumn("place", F.row_number().over(most)).filter(F.col("place") <= leaders).select("a", "b")
 
 
 def block_pairs(postings: DataFrame) -> DataFrame:
@@ -377,8 +378,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     components = None
     leaders = postings.sparkSession.createDataFrame([], "a long, b long, n_a long, n_b long, common long")
-    for n in range(LEADER_ROUNDS):
-        led = plausible(leader_pairs(postings, n), bitmaps, "jaccard-led-pairs")
+    for n, each in enumerate(LEADERS):
+        led = plausible(leader_pairs(postings, n, each), bitmaps, "jaccard-led-pairs")
         if led.isEmpty():
             break
         compared = overlaps(docs, led, words)
