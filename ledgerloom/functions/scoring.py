@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import null_if_empty, trimmed
+from ledgerloom.functions.text import bound, null_if_empty, trimmed
 from ledgerloom.operators.lookups import exclusion_reason, site_kind
 
 #: Words for a score, strongest first.
@@ -22,7 +24,10 @@ WIDER_SCOPES = ["parent_group", "affiliate", "umbrella_organization"]
 
 def score(value: Column) -> Column:
     """0..100 of a number, a text with one, or words for one."""
-    low = F.lower(trimmed(value))
+    return bound(F.lower(trimmed(value)), _points)
+
+
+def _points(low: Column) -> Column:
     number = null_if_empty(F.regexp_extract(low, r"\b(\d{1,3})\b", 1)).cast("int")
     words = F.when(F.lit(False), F.lit(0))
     for said, points in SCORE_WORDS:
@@ -43,9 +48,13 @@ def site_check(answer: Column, final_domain: Column, crawl_status: Column) -> Co
     """struct<score, decision, site_type, relationship, owned_domain> of a verification answer (JSON text)."""
     said = lambda k: F.get_json_object(answer, f"$.{k}")
     verdict = F.when(crawl_status != "succeeded", "rejected").otherwise(decision(said("decision")))
+    return bound(F.struct(verdict.alias("decision"), exclusion_reason(final_domain).isNull().alias("own")), lambda v: _check(said, v["decision"], v["own"]))
+
+
+def _check(said: Callable[[str], Column], verdict: Column, own: Column) -> Column:
     accepted = verdict == "accepted"
     site = F.lower(trimmed(F.coalesce(null_if_empty(said("site_type")), F.lit("unrelated"))))
-    site = F.when(accepted & said("site_type").isNull() & exclusion_reason(final_domain).isNull(), "company_website").otherwise(site)
+    site = F.when(accepted & said("site_type").isNull() & own, "company_website").otherwise(site)
     own_site = site == "company_website"
     relation = F.lower(trimmed(F.coalesce(null_if_empty(said("relationship")), F.lit("unrelated"))))
     relation = F.when(accepted & said("relationship").isNull() & own_site, "primary_web_presence").otherwise(relation)
@@ -61,7 +70,10 @@ def site_check(answer: Column, final_domain: Column, crawl_status: Column) -> Co
 
 def with_known_site(check: Column, domain: Column) -> Column:
     """A site check after what is known of the site: never owned; a social profile counts as a presence."""
-    kind = site_kind(domain)
+    return bound(F.struct(check.alias("check"), site_kind(domain).alias("kind")), lambda x: _known(x["check"], x["kind"]))
+
+
+def _known(check: Column, kind: Column) -> Column:
     site = F.coalesce(kind["site_type"], check["site_type"])
     relation = F.coalesce(kind["relationship"], check["relationship"])
     social = (site == "social_profile") & (F.coalesce(relation, F.lit("")).isin("", "unrelated"))
@@ -76,6 +88,10 @@ def with_known_site(check: Column, domain: Column) -> Column:
 def with_context(check: Column, answer: Column) -> Column:
     """A site check after the context rules: without legal identity, a conflicting activity makes a company site
     uncertain (60 at most), and a wider scope makes it a supporting reference (80 at most)."""
+    return bound(check, lambda c: _in_context(c, answer))
+
+
+def _in_context(check: Column, answer: Column) -> Column:
     said = lambda k: F.lower(trimmed(F.coalesce(F.get_json_object(answer, f"$.{k}"), F.lit(""))))
     truth = lambda k: F.coalesce(~F.get_json_object(answer, f"$.identity_signals.{k}").isin("", "0", "false"), F.lit(False))
     legal = truth("legal_name") | truth("organization_number") | truth("address_or_city")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def trimmed(x: Column) -> Column:
     return F.regexp_replace(x, rf"^{SPACE}+|{SPACE}+$", "")
 
 
+def bound(x: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that it uses many times: evaluated once, and the plan holds its expression once."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
 def null_if_empty(x: Column) -> Column:
     return F.nullif(x, F.lit(""))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.domains import domain_suffixes, normalized_domain
+from ledgerloom.functions.text import bound
 
 #: Directories whose pages describe companies but are not theirs.
 DIRECTORY_DOMAINS = [
@@ -90,23 +91,26 @@ def listed_suffix(domain: Column, listed: Sequence[str]) -> Column:
 
 def exclusion_reason(domain: Column, excluded: Sequence[str] = (*DIRECTORY_DOMAINS, *REGISTRY_DOMAINS), allowed: Sequence[str] = ()) -> Column:
     """struct<reason, matched>: why a domain is no candidate; null if it may be one."""
-    d = normalized_domain(domain)
-    engine, directory = listed_suffix(d, SEARCH_DOMAINS), listed_suffix(d, excluded)
-    why = F.when(engine.isNotNull(), F.struct(F.lit("search_provider").alias("reason"), engine.alias("matched"))).when(
-        directory.isNotNull(), F.struct(F.lit("directory_or_registry").alias("reason"), directory.alias("matched"))
-    )
-    return F.when((d != "") & listed_suffix(d, allowed).isNull(), why)
+
+    def why(d: Column) -> Column:
+        engine, directory = listed_suffix(d, SEARCH_DOMAINS), listed_suffix(d, excluded)
+        found = F.when(engine.isNotNull(), F.struct(F.lit("search_provider").alias("reason"), engine.alias("matched"))).when(
+            directory.isNotNull(), F.struct(F.lit("directory_or_registry").alias("reason"), directory.alias("matched"))
+        )
+        return F.when((d != "") & listed_suffix(d, allowed).isNull(), found)
+
+    return bound(normalized_domain(domain), why)
 
 
 def site_kind(domain: Column) -> Column:
     """struct<site_type, relationship> of well-known sites, else null; relationship may be null."""
-    d = normalized_domain(domain)
     kind = lambda site, relation: F.struct(F.lit(site).alias("site_type"), F.lit(relation).cast("string").alias("relationship"))
-    return (
-        F.when(listed_suffix(d, SOCIAL_DOMAINS).isNotNull(), kind("social_profile", None))
+    return bound(
+        normalized_domain(domain),
+        lambda d: F.when(listed_suffix(d, SOCIAL_DOMAINS).isNotNull(), kind("social_profile", None))
         .when(listed_suffix(d, REFERENCE_DOMAINS).isNotNull(), kind("reference_page", "supporting_reference"))
         .when(listed_suffix(d, REGISTRY_DOMAINS).isNotNull(), kind("registry_profile", "evidence_profile"))
-        .when(listed_suffix(d, DIRECTORY_DOMAINS).isNotNull(), kind("directory_profile", "evidence_profile"))
+        .when(listed_suffix(d, DIRECTORY_DOMAINS).isNotNull(), kind("directory_profile", "evidence_profile")),
     )
 
 

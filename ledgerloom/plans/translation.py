@@ -69,12 +69,16 @@ def extract_terms(payloads: DataFrame, source: str, payload: str = "payload") ->
             texts = F.array(value)
         else:
             items = F.when(value.startswith("["), F.from_json(value, "array<string>"))
-            texts = items if member == "" else F.transform(items, lambda x, m=None, name=member: F.get_json_object(x, f"$.{name}"))
+            texts = items if member == "" else F.transform(items, _member(member))
         found.append(F.transform(texts, _as_term(n, category)))
     every = F.filter(F.flatten(F.array(*[F.coalesce(x, F.array().cast("array<struct<path:int,at:int,category:string,text:string>>")) for x in found])), lambda t: F.coalesce(t["text"], F.lit("")) != "")
     return payloads.select("id", F.posexplode(every).alias("place", "t")).select("id", "place", "t.category", "t.text")
 
 
+def _member(name: str) -> Callable[[Column], Column]:
+    return lambda x: F.get_json_object(x, f"$.{name}")
+
+
 def _as_term(path: int, category: str):
     return lambda text, at: F.struct(F.lit(path).alias("path"), at.alias("at"), F.lit(category).alias("category"), text.alias("text"))
 

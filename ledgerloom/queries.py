@@ -642,7 +642,7 @@ def scored_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @registered("""
-WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), x -> regexp_replace(trim(x), '\\s+', ' ', 'g')), x -> x <> '') AS lines FROM documents)
+WITH l AS (SELECT doc_id, [y FOR y IN [regexp_replace(trim(x), '\\s+', ' ', 'g') FOR x IN string_split(text, chr(10))] IF y <> ''] AS lines FROM documents)
 SELECT doc_id, regexp_replace(substring(array_to_string(lines, chr(10)), 1, 2500), '\\n$', '') AS compact FROM l
 """)
 def compact_lines(spark: SparkSession, sf: str) -> DataFrame:
