@@ -57,7 +57,7 @@ def external_call(rows: DataFrame, call: Callable[[dict], dict], schema: str) ->
                 except Exception as error:  # one company's failure is not the batch's
                     answer = {"error": f"{type(error).__name__}: {error}"}
                 out.append({**row, **answer})
-            yield pd.DataFrame(out, columns=names)
+            yield pd.DataFrame({c: pd.Series([r.get(c) for r in out], dtype=object) for c in names})
 
     return rows.mapInPandas(run, schema)
 

@@ -244,7 +244,8 @@ def other_english(rows: DataFrame, source: str, payload: str = "payload") -> Dat
     ]
     for path, category, name in ((form, "legal_form", "legal_form"), ("registration_status", "status", "status"), ("signing_rule", "signing_rule", "signing_rule")):
         if (path, None, category) in TERMS[source]:
-            parts.append(F.concat(F.lit(f'"{name}":'), quoted(_translate(category, F.nullif(text(path), F.lit(""))))))
+            said = _translate(category, F.nullif(text(path), F.lit("")))
+            parts.append(F.when(said.isNotNull(), F.concat(F.lit(f'"{name}":'), quoted(said))))
     missing = F.coalesce(F.col("missing"), F.lit(0)) > 0
     return rows.select("id", F.when(~missing, F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))).alias("payload_en"), F.when(missing, F.lit("missing translation")).alias("error"))
 

@@ -17,7 +17,7 @@ def page_title(html: Column) -> Column:
 
 def page_text(html: Column) -> Column:
     """Visible text, a line per block."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style|head|noscript)\b.*?</\1\s*>|<!--.*?-->", " ")
+    bare = F.regexp_replace(html, r"(?is)<(script|style|head|title|noscript)\b.*?</\1\s*>|<!--.*?-->", " ")
     lines = F.regexp_replace(bare, r"(?i)</?(p|div|li|ul|ol|h[1-6]|tr|br|table|section|article|header|footer|nav)\b[^>]*>", "\n")
     plain = F.regexp_replace(lines, "(?s)<[^>]*>", "")
     for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
