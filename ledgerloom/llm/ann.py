@@ -4,9 +4,12 @@ Vectors are lifted by one component so that the largest inner product is the sma
 balanced bisection of a bounded sample gives centroids. They are few (`max_lists`), so each task
 holds them and searches them by a graph of their neighbours. A vector goes to its nearest list and,
 if it stands near a boundary, to further ones (replicas whose distance is within `replicate` of the
-nearest, and that are not closer to a list chosen before). A query probes the lists whose distance
-is within `prune` of the nearest. Lists meet their queries in a shuffle on (list, part); long lists
-are dealt in parts. Scores are inner products of the original vectors in double precision.
+nearest, and that are not closer to a list chosen before). A query probes all lists whose distance
+is within `prune` of the nearest, however many: the graph finds those of most queries, and where its
+`beam` ends within the ratio all centroids are compared. Short neighbouring lists form one group of
+about `part_rows` / 2 rows, which is scored whole, so a query goes to a group once. Groups meet their
+queries in a shuffle on (list, part); long lists are dealt in parts. Scores are inner products of the
+original vectors in double precision.
 
 Equal vectors count once in the index: of each only the k + 1 smallest ids can be in a result, and a
 per-group limit drops the others before the shuffle. Equal queries are searched once. This loses
@@ -41,7 +44,7 @@ class IndexBound:
     replicate: float = 1.15
     prune: float = 1.35
     least_probes: int = 24
-    most_probes: int = 128
+    beam: int = 160
     part_rows: int = 4_096
 
 
@@ -142,11 +145,20 @@ class CentroidGraph:
         return ids[rows, order], np.sqrt(np.maximum(d, 0))
 
 
+    def all_of(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and distances of all centroids of each query, nearest first."""
+        q = q.astype(np.float32)
+        d = (q**2).sum(axis=1)[:, None] + self.sq - 2 * q @ self.c.T
+        ids = np.argsort(d, axis=1, kind="stable")
+        return ids, np.sqrt(np.maximum(np.take_along_axis(d, ids, axis=1), 0))
+
+
 @dataclass(frozen=True)
 class Index:
     graph: CentroidGraph
     scale: float  # the largest norm
     bound: IndexBound
+    together: int = 1  # neighbouring lists in a group
 
     def lifted(self, x: np.ndarray, stored: bool) -> np.ndarray:
         x = x / self.scale
@@ -154,7 +166,7 @@ class Index:
         return np.concatenate([x, last[:, None]], axis=1)
 
     def lists_of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: the nearest list of each vector and its boundary replicas."""
+        """(row, group) pairs: the nearest list of each vector and its boundary replicas."""
         b, rows, lists = self.bound, [], []
         for start in range(0, len(x), 256):
             ids, d = self.graph.search(self.lifted(x[start : start + 256], stored=True), 32)
@@ -168,22 +180,26 @@ class Index:
             r, c = np.nonzero(take)
             rows.append(r + start)
             lists.append(ids[r, c])
-        return np.concatenate(rows), np.concatenate(lists)
+        return self._grouped(rows, lists)
 
     def probes_of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: lists within the ratio of the nearest, `least_probes` at least."""
+        """(row, group) pairs: all lists within the ratio of the nearest, `least_probes` at least."""
         b, rows, lists = self.bound, [], []
         for start in range(0, len(x), 256):
             part = x[start : start + 256]
             # A query's length does not change its order of inner products; at norm 1 distances compare with the lists'.
-            part = part / np.sqrt((part**2).sum(axis=1, keepdims=True)) * self.scale
-            ids, d = self.graph.search(self.lifted(part, stored=False), b.most_probes + 32)
-            ids, d = ids[:, : b.most_probes], d[:, : b.most_probes]
-            take = ((d <= b.prune * d[:, :1]) | (np.arange(d.shape[1]) < b.least_probes)) & np.isfinite(d)
-            r, c = np.nonzero(take)
-            rows.append(r + start)
-            lists.append(ids[r, c])
-        return np.concatenate(rows), np.concatenate(lists)
+            part = self.lifted(part / np.sqrt((part**2).sum(axis=1, keepdims=True)) * self.scale, stored=False)
+            ids, d = self.graph.search(part, b.beam)
+            more = ~(np.isfinite(d[:, -1]) & (d[:, -1] > b.prune * d[:, 0]))  # the beam may have missed some
+            for found, near, at in ((ids[~more], d[~more], np.flatnonzero(~more)), (*self.graph.all_of(part[more]), np.flatnonzero(more))):
+                r, c = np.nonzero((near <= b.prune * near[:, :1]) | (np.arange(near.shape[1]) < b.least_probes))
+                rows.append(at[r] + start)
+                lists.append(found[r, c])
+        return self._grouped(rows, lists)
+
+    def _grouped(self, rows: list[np.ndarray], lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        groups = len(self.graph.c) // self.together + 1
+        return np.divmod(np.unique(np.concatenate(rows) * groups + np.concatenate(lists) // self.together), groups)
 
 
 def build_index(points: DataFrame, bound: IndexBound = IndexBound()) -> Index | None:
@@ -200,11 +216,12 @@ def build_index(points: DataFrame, bound: IndexBound = IndexBound()) -> Index |
     lists = max(1, min(bound.max_lists, stats["n"] // bound.list_rows, max(1, len(x) // 4)))
     scale = float(np.sqrt(stats["sq"]))
     lift = Index(None, scale, bound).lifted(x, stored=True)
-    return Index(CentroidGraph(balanced_centroids(lift, lists)), scale, bound)
+    together = max(1, bound.part_rows * lists // (2 * stats["n"]))  # bisection numbers neighbouring lists in a row
+    return Index(CentroidGraph(balanced_centroids(lift, lists)), scale, bound, together)
 
 
 def _dealt(df: DataFrame, index, pairs: str, out: str) -> DataFrame:
-    """(list, id, vec) rows of each vector's lists."""
+    """(list, id, vec) rows of each vector's groups of lists."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

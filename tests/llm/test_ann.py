@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import ann
@@ -76,3 +78,25 @@ def test_graph_search_finds_nearest():
 def test_bisection_is_balanced():
     x = np.random.default_rng(0).normal(size=(1000, 4))
     assert ann.balanced_centroids(x, 37).shape == (37, 4)
+
+
+def test_recall_where_most_lists_are_far(spark, tmp_path):
+    """100,000 vectors without clusters: no fixed number of lists would do, and most are not probed."""
+    n, every = 100_000, 400
+    x = np.random.default_rng(11).normal(size=(n, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    path = str(tmp_path / "vectors.parquet")
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(x))}), path, row_group_size=n // 8)
+    df = spark.read.parquet(path).repartition(8)
+    got = ann.nearest(df, F.col("vec_id") % every == 0).toPandas()
+    by = got.groupby("query_id")["vec_id"].apply(set)
+    hit = 0
+    for row in range(0, n, every):
+        s = x @ x[row]
+        s[row] = -np.inf
+        hit += len(set(np.argpartition(s, -20)[-20:]) & by[row])
+    assert hit / (20 * (n // every)) >= 0.95
+    points = df.withColumn("place", F.lit(1)).withColumnRenamed("embedding", "vec")
+    index = ann.build_index(points)
+    single = ann.Index(index.graph, index.scale, index.bound)
+    assert len(single.probes_of(x[::every])[0]) < 0.5 * (n // every) * len(index.graph.c)
