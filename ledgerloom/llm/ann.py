@@ -11,9 +11,9 @@ about `part_rows` / 2 rows, which is scored whole, so a query goes to a group on
 queries in a shuffle on (list, part); long lists are dealt in parts. Scores are inner products of the
 original vectors in double precision.
 
-Equal vectors count once in the index: of each only the k + 1 smallest ids can be in a result, and a
-per-group limit drops the others before the shuffle. Equal queries are searched once. This loses
-no result and keeps a very common vector from filling one list.
+Rows with equal id and vector are one row. Of equal vectors only the k + 1 smallest ids can be in a
+result, and a per-group limit drops the others before the shuffle. Equal queries are searched once.
+This loses no result and keeps a very common vector from filling one list.
 
 Defined cases: null, zero or non-finite vectors, rows without an id, and vectors of another length
 than the most frequent one take no part; of rows that repeat an id the best score counts; ties go to
@@ -203,14 +203,14 @@ class Index:
 
 
 def build_index(points: DataFrame, bound: IndexBound = IndexBound()) -> Index | None:
-    """Fit centroids on a bounded sample of the distinct vectors (chosen by hash of the id)."""
+    """Fit centroids on a bounded sample of the distinct vectors (chosen by hash of id and vector)."""
     first = points.filter("place = 1")
     norm = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x)
     stats = first.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("sq")).first()
     if not stats["n"]:
         return None
     share = 0.95 * bound.sample_rows * (1 << 30) / stats["n"]
-    chosen = first.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < share) if share < (1 << 30) else first
+    chosen = first.filter(F.pmod(F.xxhash64("vec_id", "vec"), F.lit(1 << 30)) < share) if share < (1 << 30) else first
     sample = chosen.select("vec_id", "vec").limit(bound.sample_rows).toArrow().sort_by("vec_id")
     x = _matrix(sample["vec"])
     lists = max(1, min(bound.max_lists, stats["n"] // bound.list_rows, max(1, len(x) // 4)))
@@ -239,7 +239,8 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row that `is_query` (a condition on vec_id) holds for."""
     spark = df.sparkSession
-    vectors = materialize(usable_vectors(df, id_col, vector_col), "ann-vectors")
+    # Every limit below counts ids, so rows that repeat an id with the same vector go first.
+    vectors = materialize(usable_vectors(df, id_col, vector_col).dropDuplicates(["vec_id", "vec_hash", "vec"]), "ann-vectors")
     same = Window.partitionBy("vec_hash", "vec")
     points = materialize(
         vectors.withColumn("place", F.row_number().over(same.orderBy("vec_id"))).filter(F.col("place") <= k + 1).drop("vec_hash"), "ann-points"
@@ -249,14 +250,18 @@ def nearest(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = spark.sparkContext.broadcast(fitted)
     postings = materialize(_dealt(points.select("vec_id", "vec"), index, "lists_of", "vec_id"), "ann-lists")
+    # An id may have several vectors, so a row number names each distinct query vector.
     queries = materialize(
-        vectors.filter(is_query).select(F.col("vec_id").alias("query_id"), F.min("vec_id").over(same).alias("same_as"), "vec"), "ann-queries"
+        vectors.filter(is_query)
+        .withColumn("row", F.monotonically_increasing_id())
+        .select(F.col("vec_id").alias("query_id"), "row", F.min("row").over(same).alias("same_as"), "vec"),
+        "ann-queries",
     )
-    distinct = queries.filter("query_id = same_as").dropDuplicates(["query_id"]).select("query_id", "vec")
+    distinct = queries.filter("row = same_as").select(F.col("row").alias("query_id"), "vec")
     # Long lists are dealt in parts; at most `max_lists` rows.
     parts = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / bound.part_rows).cast("int").alias("parts"))
     parts = F.broadcast(parts)
-    lists = postings.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")).drop("parts")
+    lists = postings.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("vec_id", "vec"), F.col("parts")).cast("int")).drop("parts")
     probes = (
         _dealt(distinct, index, "probes_of", "query_id")
         .join(parts, "list")
@@ -267,19 +272,28 @@ def nearest(
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         x, q = _matrix(left["vec"]), _matrix(right["vec"])
         ids, of = left["vec_id"].to_numpy(), right["query_id"].to_numpy()
+        by_id = np.argsort(ids, kind="stable")
+        x, ids = x[by_id], ids[by_id]
+        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])[: len(ids)])
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         for start in range(0, len(q) if len(x) else 0, 512):
             rough = q[start : start + 512] @ x.T
-            if rough.shape[1] > k + 1:
-                least = np.partition(rough, -(k + 1), axis=1)[:, -(k + 1)]
+            each = rough if len(first) == len(ids) else np.maximum.reduceat(rough, first, axis=1)  # the best of each id
+            if each.shape[1] > k + 1:
+                least = np.partition(each, -(k + 1), axis=1)[:, -(k + 1)]
             else:
-                least = rough.min(axis=1)
+                least = each.min(axis=1)
             r, c = np.nonzero(rough >= (least - 1e-9 * (1 + np.abs(least)))[:, None])
             exact = (q[start + r] * x[c]).sum(axis=1)  # each row alone, so equal vectors score equally
             out.append((of[start + r], ids[c], exact))
         query, vec, value = (np.concatenate(v) for v in zip(*out))
         order = np.lexsort((vec, -value, query))
         query, vec, value = query[order], vec[order], value[order]
+        if len(first) < len(ids):  # of each query's rows of an id the first has the best score
+            once = np.lexsort((np.arange(len(vec)), vec, query))
+            new = np.append(True, (query[once][1:] != query[once][:-1]) | (vec[once][1:] != vec[once][:-1]))[: len(once)]
+            keep = np.sort(once[new])
+            query, vec, value = query[keep], vec[keep], value[keep]
         place = np.arange(len(query)) - np.searchsorted(query, query)
         top = place <= k
         return pa.table({"query_id": query[top], "vec_id": vec[top], "score": value[top]})
@@ -297,6 +311,8 @@ def nearest(
         queries.select("query_id", "same_as")
         .join(top, "same_as")
         .filter("vec_id <> query_id")
+        .groupBy("query_id", "vec_id")
+        .agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -100,3 +100,24 @@ def test_recall_where_most_lists_are_far(spark, tmp_path):
     index = ann.build_index(points)
     single = ann.Index(index.graph, index.scale, index.bound)
     assert len(single.probes_of(x[::every])[0]) < 0.5 * (n // every) * len(index.graph.c)
+
+
+def test_repeated_ids(spark):
+    """One row 50 times, one id with 50 vectors, every row twice: limits count ids."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] * 2
+    rows += [(i, (9 * x[0]).tolist()) for i in (20, 500)] + [(500, (9 * x[0]).tolist())] * 50 + [(0, x[0].tolist())] * 50
+    rows += [(501, (5 * x[40] + 0.01 * v).tolist()) for v in rng.normal(size=(50, 8))] + [(40, v.tolist()) for v in rng.normal(size=(3, 8))]
+    best = {}
+    for q, a in rows:
+        if q % 20 == 0:
+            for j, b in rows:
+                if j != q:
+                    best.setdefault(q, {})[j] = max(best.get(q, {}).get(j, -np.inf), float((np.array(a) * np.array(b)).sum()))
+    got = run(spark, [(i, v, 1, "") for i, v in rows])
+    assert set(got) == set(best)
+    for q, scores in best.items():
+        want = sorted(scores.items(), key=lambda s: (-s[1], s[0]))[:20]
+        assert len({v for v, _ in got[q]}) == 20
+        assert np.allclose([s for _, s in got[q]], [s for _, s in want]) and [v for v, _ in got[q]] == [v for v, _ in want]
