@@ -362,7 +362,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     filled = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     nodes = filled.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
     named = materialize(filled.join(nodes, ["n", "d1", "d2"]).select("doc_id", "node").distinct(), "jaccard-nodes")
-    links = named.filter("doc_id <> node").groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("v")).filter("u <> v").select("u", "v")
+    # A repeated id with several sets links all their nodes.
+    several = named.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("most")).filter("u < most")
+    links = named.join(several, "doc_id").filter("u <> node").select("u", F.col("node").alias("v"))
 
     # Shingles that stand in one prefix only lead nowhere. Frequent ones are known not to be such, so their lists need not meet.
     salt = F.when(F.col("frequent"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0)

@@ -393,3 +393,12 @@ def test_toxicity_odd(spark, odd, odd_rows, empty):
     none = toxicity.toxicity(odd, labels.limit(0)).collect()
     assert len({r["score"] for r in none}) == 1
     assert toxicity.toxicity(empty, labels).count() == 0
+
+
+def test_jaccard_links_all_sets_of_a_repeated_id(spark):
+    texts = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(5)]
+    rows = [(k + 1, texts[k]) for k in range(5)] + [(30, texts[k]) for k in range(4)] + [(20, texts[4]), (20, "own " + " ".join(f"own{i}" for i in range(40)))]
+    rows.append((25, rows[-1][1]))  # a copy of the set that only id 20 is named by
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(df).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 30: 1, 5: 5, 20: 5, 25: 5}
