@@ -1,19 +1,22 @@
 """Exact n-gram Jaccard self-join with set-relation skipping, and the components of its links.
 
-A document's set holds its distinct word shingles (hashed to 64 bits). Sets are ordered by frequency:
-shingles that many documents share, found by counting all shingles, come last, the others by hash.
-Two sets can only be similar if they share a shingle of their prefixes, so prefixes are inverted.
+A document's set holds its distinct word shingles (hashed to 64 bits). Equal sets are one node.
 
-*Skipping by position.* A set of size n with a shared shingle at place p has at most n - p shingles
-from there on, so it can only match partners of sizes lo..hi that follow from n and p. Index lists
-are cut into blocks of partner sizes; an entry stands in the blocks of its interval, one that comes
-late in its set in fewer or none, and a probing set reads the one block of its own size.
+*Lonely shingles.* A set has at most a quarter of its shingles beyond a partner. So a set with more shingles than that
+which occur in no other set is linked with nothing. This is first judged on the shingles of a fixed third of all hash
+values, which every set sends whole; only what may still be linked sends all its shingles, which gives exact counts.
 
-*Derived answers.* Equal sets are one node. In each leader round, every node is compared with the
-leaders that it shares most prefix shingles with; overlap with the leader is kept. Later pairs
-are first decided from what is known of their leaders: overlap(x, y) is between
-overlap(lx, ly) minus and plus what x and y lack of, or have beyond, their leaders. Only pairs that
-this leaves open are compared themselves, and pairs that are already connected are never formed.
+*Skipping by position.* The sets left are ordered by these counts, rarest first, and the prefixes in which linked sets
+must meet are inverted. A set of size n with a shared shingle at place p has at most n - p shingles from there on, so it
+can only match partners of sizes that follow from n and p. Index lists are cut into blocks of partner sizes; an entry
+stands in the blocks of its interval, and a probe reads the blocks of its own size.
+
+*Derived answers.* In each leader round, every node is compared with the leaders that it shares most prefix shingles
+with. Nodes that are similar to one leader form its group, and what each has beyond its leader or lacks of it is kept.
+An index list then holds one entry a group, with the widest bounds of its members, and is probed once a group. The
+members' answers are derived from the leader's: overlap(x, y) is between overlap(lx, ly) minus and plus what x and y
+lack of, or have beyond, their leaders. Only pairs that this leaves open are compared themselves; groups that are
+already connected are never paired.
 
 *Bitmaps.* Before whole sets are sent anywhere, a pair must pass a bound on small bitmaps: a bit is
 the parity of the shingles that fall on it, so two bitmaps differ in at most as many bits as the sets
@@ -27,6 +30,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -38,28 +42,29 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import materialize, mix64, text_bytes
 
 WORDS = 5
-#: A shingle in this many documents or more is put last in the order of sets.
+#: A shingle that tasks have reported so often is frequent: its list is hot, so it is told to the tasks and never shuffled to be counted.
 FREQUENT = 24
-#: At most so many frequent shingles are told to the tasks; any others keep their place by hash.
+#: At most so many are told, the most frequent ones; the others are counted by a shuffle, each with a bounded share of the rows.
 MOST_FREQUENT = 400_000
 #: Distinct shingles of documents that a task counts together, and the count below which it reports nothing.
 COUNTED, LEAST_COUNT = 1_500_000, 3
 #: Leaders that each node is compared with, by round. In a loose group a node may miss any one leader, so those that are
 #: left after the first round try several at once.
-LEADERS = (1, 8, 32)
-#: Groups over which the list of a frequent shingle is spread where only its presence in others matters.
-SALTS = 1024
-#: Values that ids of candidate documents are hashed to, so that what is broadcast to find them is bounded.
-ID_BUCKETS = 1 << 20
+LEADERS = (1, 6, 24)
+#: Bits of the map of ids that tells tasks which documents to read again, so that what is broadcast is bounded (4 MB).
+#: What it lets pass by chance is dropped by a join.
+ID_BITS = 1 << 25
+#: Pairs of one leader that meet in one group of a join.
+PAIRS_TOGETHER = 512
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_POWERS = np.ones(4096, np.uint64)
-for _i in range(1, 4096):
-    _POWERS[_i] = np.uint64(int(_POWERS[_i - 1]) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 _PLACES = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+#: Hashes below this are the third of all shingles that is judged first.
+_THIRD = np.uint64((1 << 64) // 3)
 
 
 def shingle_sets(column: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
@@ -70,25 +75,33 @@ def shingle_sets(column: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
         yield from _sets(*text_bytes(column.slice(start, stop - start)), words)
 
 
-def _sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word of all texts, and where each text's words begin. Eight bytes at a time are mixed with their place."""
     inside = ~_SPACE[data]
-    begins = inside.copy()
+    begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
-    edge = offsets[:-1][offsets[:-1] < len(data)]
+    ends[:-1] &= ~inside[1:]
+    edge = offsets[(offsets > 0) & (offsets < len(data))]
     begins[edge] = inside[edge]  # a word never goes on into the next text
+    ends[edge - 1] = inside[edge - 1]
     first = np.flatnonzero(begins)
     if not len(first):
-        for _ in range(len(offsets) - 1):
-            yield np.zeros(0, np.uint64)
-        return
-    # A word's hash: its bytes, weighted by their places, summed.
-    place = np.arange(len(data)) - first[0]
-    place[first[0] :] -= np.repeat(first - first[0], np.diff(np.append(first, len(data))))
-    value = _LOWER[data].astype(np.uint64) + np.uint64(1)
-    value *= _POWERS[place & 4095] + (place >> 12).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    value[~inside] = 0
-    word = mix64(np.add.reduceat(value, first))
-    cut = np.searchsorted(first, offsets)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    length = np.flatnonzero(ends) + 1 - first
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = _LOWER[data]
+    eight = np.ndarray((len(data),), "<u8", padded, strides=(1,))
+    parts = (length + 7) >> 3
+    start = np.cumsum(parts) - parts
+    k = np.arange(int(parts.sum())) - np.repeat(start, parts)
+    value = eight[np.repeat(first, parts) + 8 * k] & _MASKS[np.minimum(np.repeat(length, parts) - 8 * k, 8)]
+    value = mix64(value + mix64(k.astype(np.uint64) + np.uint64(0x51ED270B)))
+    total = np.add.reduceat(value, start) + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return mix64(total), np.searchsorted(first, offsets)
+
+
+def _sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
+    word, cut = word_hashes(data, offsets)
     grams = word * _PLACES[0]
     for k in range(1, words):
         grams[:-k] += word[k:] * _PLACES[k]
@@ -97,8 +110,7 @@ def _sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndar
         if b - a >= words:
             yield np.unique(grams[a : b - words + 1])
         elif b > a:  # fewer words than a shingle: the whole sequence, told apart by its length
-            short = (word[a:b] * _PLACES[: b - a]).sum(dtype=np.uint64) + _PLACES[32 + b - a]
-            yield mix64(np.array([short], np.uint64))
+            yield mix64((word[a:b] * _PLACES[: b - a]).sum(dtype=np.uint64, keepdims=True) + _PLACES[32 + b - a : 33 + b - a])
         else:
             yield np.zeros(0, np.uint64)
 
@@ -107,6 +119,11 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    cut = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(parts or [np.zeros(0, np.int64)]).view(np.int64)))
+
+
 def bitmap(s: np.ndarray) -> np.ndarray:
     """Parities of a set's shingles over a power of two of bits, two bits a shingle or more, as longs."""
     size = max(64, 1 << (2 * len(s) - 1).bit_length()) if len(s) else 64
@@ -114,9 +131,15 @@ def bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(parity, bitorder="little").view(np.int64)
 
 
-def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Written table of two kinds of rows: doc_id, n, d1, d2, bits (size, digest and bitmap of a set), and token, seen
-    (counts of shingles that repeat in a part of the corpus)."""
+def digest(s: np.ndarray, seed: int) -> int:
+    """Of a set, for one seed: two sets of different digests are different."""
+    return int(mix64(s ^ mix64(np.array([seed], np.uint64))).sum(dtype=np.uint64).view(np.int64))
+
+
+def profiles(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """Written table of two kinds of rows: doc_id, n, d, d2, third (a set's size, its digest by two seeds, its shingles in
+    the third), and token, seen (counts of shingles that repeat in a part of the corpus)."""
+    names = ["doc_id", "n", "d", "d2", "third", "token", "seen"]
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -126,107 +149,158 @@ def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
             tokens, seen = np.unique(np.concatenate(held), return_counts=True)
             many = seen >= LEAST_COUNT
             none = pa.nulls(int(many.sum()), pa.int64())
-            bare = pa.nulls(len(none), pa.list_(pa.int64()))
-            return pa.RecordBatch.from_arrays([none, none, none, none, bare, _signed(tokens[many]), pa.array(seen[many])], names=names)
+            return pa.RecordBatch.from_arrays([none] * 5 + [_signed(tokens[many]), pa.array(seen[many])], names=names)
 
-        names = ["doc_id", "n", "d1", "d2", "bits", "token", "seen"]
         for batch in batches:
-            n, d1, d2, bits = [], [], [], []
+            rows = []
             for s in shingle_sets(batch.column(1), words):
-                n.append(len(s))
-                d1.append(int(mix64(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64)))
-                d2.append(int(mix64(s ^ np.uint64(0x5A5A5A5A5A5A)).sum(dtype=np.uint64)))
-                bits.append(bitmap(s))
+                rows.append((len(s), digest(s, 2 * seed), digest(s, 2 * seed + 1), int(np.searchsorted(s, _THIRD))))
                 held.append(s)
                 size += len(s)
                 if size >= COUNTED:
                     yield counted()
                     held, size = [], 0
-            none = pa.nulls(len(n), pa.int64())
-            cut = np.concatenate([[0], np.cumsum([len(b) for b in bits])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(bits or [np.zeros(0, np.int64)])))
-            columns = [batch.column(0), pa.array(n, pa.int64()), _signed(np.array(d1, np.uint64)), _signed(np.array(d2, np.uint64)), lists, none, none]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            columns = np.array(rows, np.int64).reshape(-1, 4)
+            none = pa.nulls(len(rows), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns.T), none, none], names=names)
         if held:
             yield counted()
 
-    schema = "doc_id long, n long, d1 long, d2 long, bits array<long>, token long, seen long"
+    schema = ", ".join(f"{n} long" for n in names)
     return materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(profile, schema), "jaccard-profiles")
 
 
-def prefix_postings(docs: DataFrame, frequent: np.ndarray, words: int = WORDS) -> DataFrame:
-    """token, doc_id, np, frequent for the prefix of each set; np packs the set's size and the shingle's place.
+def frequent_shingles(profile: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles, sorted, and how often each was reported; at most MOST_FREQUENT."""
+    seen = profile.filter("seen is not null").groupBy("token").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= FREQUENT)
+    table = seen.orderBy(F.desc("seen"), "token").limit(MOST_FREQUENT).toArrow()
+    tokens = table["token"].to_numpy().view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], table["seen"].to_numpy()[order]
+
+
+def _among(s: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each element of s would stand in `tokens`, and whether it is there."""
+    if not len(tokens):
+        return np.zeros(len(s), np.int64), np.zeros(len(s), bool)
+    at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
+    return at, tokens[at] == s
 
-    `frequent` holds frequent shingles (sorted) and their ranks."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
-    def invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, ranks = shared.value
+def shared_in_third(docs: DataFrame, frequent, words: int, seed: int) -> DataFrame:
+    """d and shared: how many shingles of the set's third are in other sets too, times the rows with this set."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = frequent.value[0]
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
-                heads, sizes, often = [], [], []
-                for s in shingle_sets(part.column(1), words):
-                    length = len(s) - -(-3 * len(s) // 4) + 1 if len(s) else 0
-                    rank = np.zeros(len(s), np.int32)
-                    if length and len(tokens):
-                        at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
-                        rank = np.where(tokens[at] == s, ranks[at], 0)
-                        by_rank = np.argsort(rank, kind="stable")
-                        s, rank = s[by_rank], rank[by_rank]
-                    heads.append(s[:length])
-                    often.append(rank[:length] > 0)
-                    sizes.append(len(s))
-                counts = np.array([len(h) for h in heads], np.int64)
-                p = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                owner = np.repeat(np.arange(len(heads)), counts)
-                np_ = np.array(sizes, np.int64)[owner] << 32 | p
-                ids = part.column(0).take(pa.array(owner))
-                columns = [_signed(np.concatenate(heads or [np.zeros(0, np.uint64)])), ids, pa.array(np_), pa.array(np.concatenate(often or [np.zeros(0, bool)]))]
-                yield pa.RecordBatch.from_arrays(columns, names=["token", "doc_id", "np", "frequent"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(invert, "token long, doc_id long, np long, frequent boolean")
-
-
-def shingle_arrays(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id and its whole set as array<long>."""
+                parts, owners, known = [], [], []
+                for s in shingle_sets(batch.column(1).slice(start, 1024), words):
+                    some = s[: np.searchsorted(s, _THIRD)]
+                    often = _among(some, tokens)[1]
+                    parts.append(some[~often])
+                    owners.append(digest(s, 2 * seed))
+                    known.append(int(often.sum()))
+                counts = [len(p) for p in parts]
+                owner, known = np.array(owners, np.int64), np.array(known, np.int32)
+                with_known = known > 0  # frequent ones are in other sets, so they need not meet: one row counts them all
+                columns = [
+                    _signed(np.concatenate([*parts, owner[with_known].view(np.uint64)])),
+                    pa.array(np.concatenate([np.repeat(owner, counts), owner[with_known]])),
+                    pa.array(np.concatenate([np.zeros(sum(counts), np.int32), known[with_known]])),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["token", "d", "known"])
+
+    rows = docs.select("doc_id", "text").mapInArrow(send, "token long, d long, known int")
+    of = Window.partitionBy("token")
+    met = rows.withColumns({"lo": F.min("d").over(of), "hi": F.max("d").over(of)}).filter("lo < hi or known > 0")
+    return met.groupBy("d").agg(F.sum(F.greatest("known", F.lit(1))).alias("shared"))
+
+
+def id_map(ids: DataFrame) -> np.ndarray:
+    """A bitmap over hashes of the column `id`, built by the executors; ID_BITS at any size."""
+    place = F.col("h") + 1
+    maps = (
+        ids.select(_id_bit("id").alias("h")).groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    )
+    out = np.zeros((ID_BITS >> 15, 4096), np.uint8)
+    for row in maps:
+        out[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def _id_bit(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(ID_BITS))
+
+
+def alive_sets(docs: DataFrame, alive: DataFrame, frequent, words: int, seed: int) -> DataFrame:
+    """Written table of the sets of `alive` (d, n, node): d, node, n, bits, light and often (its frequent shingles, rarest first)."""
+    wanted = docs.sparkSession.sparkContext.broadcast(id_map(alive.select(F.col("node").alias("id"))))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, (tokens, seen) = wanted.value, frequent.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                found = list(shingle_sets(part.column(1), words))
-                cut = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(cut), _signed(np.concatenate(found or [np.zeros(0, np.uint64)])))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "tokens"])
+            h = batch.column(2).to_numpy()
+            some = batch.filter(pa.array((bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1))
+            for start in range(0, some.num_rows, 256):
+                part = some.slice(start, 256)
+                light, often, bitmaps, owners = [], [], [], []
+                for s in shingle_sets(part.column(1), words):
+                    at, there = _among(s, tokens)
+                    light.append(s[~there])
+                    often.append(s[there][np.argsort(seen[at[there]], kind="stable")] if len(tokens) else s[:0])
+                    bitmaps.append(bitmap(s))
+                    owners.append(digest(s, 2 * seed))
+                columns = [pa.array(np.array(owners, np.int64)), part.column(0), _lists(light), _lists(often), _lists(bitmaps)]
+                yield pa.RecordBatch.from_arrays(columns, names=["d", "doc_id", "light", "often", "bits"])
+
+    read = docs.select("doc_id", "text", _id_bit("doc_id").alias("h")).mapInArrow(sets, "d long, doc_id long, light array<long>, often array<long>, bits array<long>")
+    one = read.groupBy("d").agg(*[F.first(c).alias(c) for c in ("light", "often", "bits")])
+    return materialize(alive.join(one, "d").select("d", "node", "n", "bits", "light", "often"), "jaccard-sets")
+
+
+def prefix_postings(sets: DataFrame) -> DataFrame:
+    """Written table token, d, node, n, p for the prefix of each set that may be linked, by exact counts."""
+    counted = sets.select("d", F.explode("light").alias("token")).withColumn("seen", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("seen > 1")
+    shared = counted.groupBy("d").agg(F.sort_array(F.collect_list(F.struct("seen", "token"))).alias("shared"))
+    joined = sets.select("d", "node", "n", "light", "often").join(shared, "d", "left").withColumn("shared", F.coalesce(F.col("shared.token"), F.array().cast("array<long>")))
+    ordered = joined.select("d", "node", "n", (F.size("light") - F.size("shared")).cast("long").alias("alone"), F.concat("shared", "often").alias("rest"))
+    length = (F.floor(F.col("n") / 4) + 1 - F.col("alone")).cast("int")
+    posted = ordered.filter(4 * F.col("alone") <= F.col("n")).select("d", "node", "n", "alone", F.posexplode(F.slice("rest", F.lit(1), length)).alias("at", "token"))
+    return materialize(posted.select("token", "d", "node", "n", (F.col("alone") + F.col("at")).alias("p")), "jaccard-postings")
+
+
+def plausible(pairs: DataFrame, sets: DataFrame, tag: str, slack: Column | None = None) -> DataFrame:
+    """Written table: those of `pairs` (a, b, ...) whose bitmaps allow a link, or one of sets that differ from them by `slack`."""
+    kept = pairs.columns
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("d").alias(side), F.col("n").alias(f"size_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    # The longer bitmap is folded until both are as long: parities of halves add up.
+    short, long_ = F.least(F.size("bits_a"), F.size("bits_b")), F.when(F.size("bits_a") < F.size("bits_b"), F.col("bits_b")).otherwise(F.col("bits_a"))
+    other = F.when(F.size("bits_a") < F.size("bits_b"), F.col("bits_a")).otherwise(F.col("bits_b"))
+    pairs = pairs.select(*kept, "size_a", "size_b", other.alias("one"), long_.alias("two"), short.alias("short"))
+    folded = F.when(F.size("two") == F.col("short"), F.col("two")).otherwise(
+        F.transform(F.sequence(F.lit(1), F.col("short")), lambda i: F.aggregate(F.sequence(i, F.size("two"), F.col("short")), F.lit(0).cast("long"), lambda x, j: x.bitwiseXOR(F.element_at("two", j))))
+    )
+    apart = F.aggregate(F.zip_with("one", folded, lambda i, j: F.bit_count(i.bitwiseXOR(j))), F.lit(0), lambda total, x: total + x)
+    most = F.col("size_a") + F.col("size_b") + (F.lit(0) if slack is None else slack)
+    return materialize(pairs.filter(7 * apart <= most).select(*kept), tag)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sets, "doc_id long, tokens array<long>")
 
+def overlaps(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Written table: `pairs` (a, b, ...; read more than once) with node_a, node_b, n_a, n_b and common, from the whole sets of both.
 
-def plausible(pairs: DataFrame, bitmaps: DataFrame, tag: str) -> DataFrame:
-    """Written table: those of `pairs` (a, b) whose bitmaps (doc_id, n, bits) allow a link."""
-    for side in ("a", "b"):
-        pairs = pairs.join(bitmaps.select(F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
-    # Bitmaps of sizes that allow a link differ by a factor of two at most; the longer one is folded.
-    half = F.least(F.size("bits_a"), F.size("bits_b"))
-    exact = lambda x: F.when(F.size(x) > half, F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda i, j: i.bitwiseXOR(j))).otherwise(F.col(x))
-    apart = F.aggregate(F.zip_with(exact("bits_a"), exact("bits_b"), lambda i, j: F.bit_count(i.bitwiseXOR(j))), F.lit(0), lambda total, x: total + x)
-    sizes = (4 * F.col("n_a") >= 3 * F.col("n_b")) & (4 * F.col("n_b") >= 3 * F.col("n_a"))
-    return materialize(pairs.filter(sizes & (7 * apart <= F.col("n_a") + F.col("n_b"))).select("a", "b").distinct(), tag)
-
-
-def overlaps(docs: DataFrame, pairs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Written table: `pairs` (a, b; read more than once) with n_a, n_b and common, from the whole sets of both."""
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BUCKETS)).cast("int")
-    wanted = pairs.select(bucket("a").alias("bucket")).union(pairs.select(bucket("b"))).distinct()
-    # At most ID_BUCKETS integers: others' sets that share a bucket are sent in vain, none is missed.
-    some = docs.withColumn("bucket", bucket(F.col("doc_id").cast("long"))).join(F.broadcast(wanted), "bucket", "left_semi")
-    sets = shingle_arrays(some, words)
-    a = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("s_a"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("s_b"))
-    both = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
-    compared = both.select("a", "b", F.size("s_a").cast("long").alias("n_a"), F.size("s_b").cast("long").alias("n_b"), F.size(F.array_intersect("s_a", "s_b")).cast("long").alias("common"))
-    return materialize(compared, "jaccard-overlaps")
+    A set that is in many pairs, such as a leader's, meets them in parts of PAIRS_TOGETHER."""
+    whole = sets.select("d", "node", "n", F.concat("light", "often").alias("s"))
+    parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PAIRS_TOGETHER).cast("int").alias("parts"))
+    a = whole.select(F.col("d").alias("a"), F.col("node").alias("node_a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"))
+    b = parts.join(whole.select(F.col("d").alias("b"), F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("s").alias("s_b")), "b")
+    b = b.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    dealt = pairs.join(parts, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")).drop("parts")
+    both = dealt.join(a, "a").join(b, ["b", "part"])
+    common = F.size(F.array_intersect("s_a", "s_b")).cast("long").alias("common")
+    return materialize(both.select(*pairs.columns, "node_a", "node_b", "n_a", "n_b", common), "jaccard-overlaps")
 
 
 def is_link(n_a: Column, n_b: Column, common: Column) -> Column:
@@ -236,7 +310,8 @@ def is_link(n_a: Column, n_b: Column, common: Column) -> Column:
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Written table (node, component) for the nodes of `edges` (u, v); component is the smallest node reached.
 
-    Alternating stars: each node is tied to the smallest node around it until nothing changes."""
+    Alternating stars: each node is tied to the smallest node around it until nothing changes. The rounds grow with
+    the logarithm of the longest path; past `most_rounds` this raises, and a larger limit may be given."""
     edges = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
     for _ in range(most_rounds):
         # Done when every node has one smaller neighbour at most, and those that are such a neighbour have none.
@@ -255,7 +330,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         small = joined.select("u", F.col("m").alias("v")).union(joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
         edges = materialize(small, "cc-small")
     else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+        raise RuntimeError(f"components did not settle in {most_rounds} rounds; give more")
     found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return found.union(edges.select("v", "v").distinct().toDF("node", "component"))
 
@@ -267,9 +342,9 @@ def _with_component(df: DataFrame, column: str, components: DataFrame | None, ou
     return df.join(named, column, "left").withColumn(out, F.coalesce(out, column))
 
 
-def live_postings(postings: DataFrame, components: DataFrame, tag: str) -> DataFrame:
+def live_postings(postings: DataFrame, components: DataFrame | None, tag: str) -> DataFrame:
     """Written table: `postings` with their component (comp), without the lists that only one component is left in."""
-    placed = _with_component(postings.drop("comp"), "doc_id", components, "comp")
+    placed = _with_component(postings.drop("comp"), "node", components, "comp")
     mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
     return materialize(placed.join(mixed, "token", "left_semi"), tag)
 
@@ -279,128 +354,147 @@ def leader_pairs(postings: DataFrame, round_no: int, leaders: int) -> DataFrame:
 
     A list's leaders are the nodes whose hashes, seeded by the round, are least. Sizes and the shingle's places must
     allow a link, as they do at the first shingle that two linked sets share."""
-    node = [F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("p").alias("p_b"), F.col("comp").alias("comp_b")]
-    least = [F.min_by(F.struct(*node), F.xxhash64(F.lit(round_no), F.lit(k), "doc_id")) for k in range(leaders)]
+    node = [F.col("d").alias("b"), F.col("n").alias("n_b"), F.col("p").alias("p_b"), F.col("comp").alias("comp_b")]
+    least = [F.min_by(F.struct(*node), F.xxhash64(F.lit(round_no), F.lit(k), "d")) for k in range(leaders)]
     leads = postings.groupBy("token").agg(F.array_distinct(F.array(*least)).alias("leads")).select("token", F.inline("leads"))
-    met = (F.col("doc_id") != F.col("b")) & (F.col("comp") != F.col("comp_b")) & (4 * F.col("n") >= 3 * F.col("n_b")) & (4 * F.col("n_b") >= 3 * F.col("n"))
+    met = (F.col("d") != F.col("b")) & (F.col("comp") != F.col("comp_b")) & (4 * F.col("n") >= 3 * F.col("n_b")) & (4 * F.col("n_b") >= 3 * F.col("n"))
     most = F.least(F.col("n") - F.col("p"), F.col("n_b") - F.col("p_b"))
-    votes = postings.join(leads, "token").filter(met & (7 * most >= 3 * (F.col("n") + F.col("n_b")))).groupBy(F.col("doc_id").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"))
+    votes = postings.join(leads, "token").filter(met & (7 * most >= 3 * (F.col("n") + F.col("n_b")))).groupBy(F.col("d").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"))
     most = Window.partitionBy("a").orderBy(F.desc("votes"), "b")
     return votes.withColumn("place", F.row_number().over(most)).filter(F.col("place") <= leaders).select("a", "b")
 
 
-def block_pairs(postings: DataFrame) -> DataFrame:
-    """(a, b) of different components that share a prefix shingle at places that allow a link; a is not larger."""
+def similar_groups(led: DataFrame) -> DataFrame:
+    """Written table d, head, beyond, lacks of the members of groups: each is similar to its head, which is in no other group.
+
+    `led` holds links (a, b, n_a, n_b, common) of nodes and leaders. A node's choice is the leader it overlaps most with;
+    heads are the nodes that are chosen more often than their own choice."""
+    best = led.groupBy("a").agg(F.max(F.struct("common", "b", "n_a", "n_b")).alias("l")).select(
+        F.col("a").alias("d"), F.col("l.b").alias("head"), (F.col("l.n_a") - F.col("l.common")).alias("beyond"), (F.col("l.n_b") - F.col("l.common")).alias("lacks")
+    )
+    best = materialize(best, "jaccard-choices")
+    chosen = best.groupBy(F.col("head").alias("x")).agg(F.count(F.lit(1)).alias("times"))
+    weight = lambda c, out: chosen.select(F.col("x").alias(c), F.col("times").alias(out))
+    rated = best.join(weight("d", "own"), "d", "left").join(weight("head", "its"), "head").withColumn("own", F.coalesce("own", F.lit(0)))
+    rated = materialize(rated.withColumn("leads", F.struct("own", "d") > F.struct("its", "head")), "jaccard-rated")
+    follows = rated.filter(~F.col("leads")).select(F.col("d").alias("head"))  # these are heads of nobody
+    return materialize(rated.filter(~F.col("leads")).join(follows, "head", "left_anti").select("d", "head", "beyond", "lacks"), "jaccard-groups")
+
+
+def group_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b): heads of groups of different components of which members share a prefix shingle at places that allow a link.
+
+    Written with n and slack of both: the smallest and largest member, and by how much one may differ from its head."""
     step = math.log(4 / 3)
     block = lambda n: F.floor(F.log(n.cast("double")) / step)
-    rest = F.col("n") - F.col("p")
-    # Partner sizes m with needed(m, n) <= rest, and within the ratio; a probe is the smaller set of the pair.
-    most = F.least(F.col("n"), F.floor(7 * rest / 3).cast("long") - F.col("n"))
-    least = F.ceil(3 * F.col("n") / 4).cast("long")
-    index = postings.withColumn("most", most).filter(F.col("most") >= least)
-    index = index.select(
-        "token", F.explode(F.sequence(block(least), block(F.col("most")))).alias("block"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), F.col("most").alias("most_b")
+    placed = postings.join(groups, "d", "left").select(
+        "token", "n", "p", "comp", F.coalesce("head", "d").alias("g"), F.coalesce("beyond", F.lit(0)).alias("beyond"), (F.coalesce("beyond", F.lit(0)) + F.coalesce("lacks", F.lit(0))).alias("slack")
     )
-    own = F.floor(7 * rest / 3).cast("long") - F.col("n")
-    probe = postings.filter(own >= F.col("n")).select(
-        "token", block(F.col("n")).alias("block"), F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"), own.alias("own")
+    rest = F.col("n") - F.col("p")
+    own = F.floor(7 * rest / 3).cast("long") - F.col("n")  # the largest partner that the places allow
+    entries = placed.withColumns({"own": own}).groupBy("token", "g", "comp").agg(
+        F.min("n").alias("n"), F.max("n").alias("most_n"), F.max("own").alias("own"), F.max("slack").alias("slack"), F.max("beyond").alias("beyond")
     )
+    # A probe is the smaller set of a pair; partner sizes m are within the ratio and at most `own`.
+    least = F.ceil(3 * F.col("n") / 4).cast("long")
+    most = F.least("most_n", "own")
+    named = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("comp", "n", "most_n", "own", "slack", "beyond")]
+    index = entries.filter(most >= least).select("token", F.explode(F.sequence(block(least), block(most))).alias("block"), F.col("g").alias("b"), *named("b"))
+    probe = entries.filter(F.col("own") >= F.col("n")).select("token", F.explode(F.sequence(block(F.col("n")), block(F.col("most_n")))).alias("block"), F.col("g").alias("a"), *named("a"))
     met = probe.join(index, ["token", "block"]).filter(
         (F.col("comp_a") != F.col("comp_b"))
-        & ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))))
-        & (4 * F.col("n_a") >= 3 * F.col("n_b"))
-        & (F.col("n_a") <= F.col("most_b"))
-        & (F.col("n_b") <= F.col("own"))
-    )
-    return met.select("a", "b").distinct()
-
-
-def _decided(docs: DataFrame, pairs: DataFrame, leaders: DataFrame, words: int) -> DataFrame:
-    """The links among `pairs` (a, b): derived from the leaders' overlaps where these decide, else from the sets themselves."""
-    led = materialize(
-        leaders.groupBy("a").agg(F.max(F.struct("common", "b", "n_a", "n_b")).alias("l")).select(F.col("a").alias("x"), F.col("l.b").alias("lx"), (F.col("l.n_a") - F.col("l.common")).alias("beyond"), (F.col("l.n_b") - F.col("l.common")).alias("lacks")),
-        "jaccard-leaders",
+        & (F.col("n_a") <= F.col("most_n_b"))
+        & (4 * F.col("most_n_a") >= 3 * F.col("n_b"))
+        & (F.col("n_a") <= F.col("own_b"))
+        & (F.col("n_b") <= F.col("own_a"))
+        & ((F.col("most_n_a") > F.col("n_a")) | (F.col("most_n_b") > F.col("n_b")) | (F.col("n_a") < F.col("n_b")) | (F.col("a") < F.col("b")))
     )
-    for side in ("a", "b"):
-        pairs = pairs.join(led.select(F.col("x").alias(side), F.col("lx").alias(f"l{side}"), F.col("beyond").alias(f"beyond_{side}"), F.col("lacks").alias(f"lacks_{side}")), side, "left").withColumns(
-            {f"l{side}": F.coalesce(f"l{side}", side), f"beyond_{side}": F.coalesce(f"beyond_{side}", F.lit(0)), f"lacks_{side}": F.coalesce(f"lacks_{side}", F.lit(0))}
-        )
-    pairs = materialize(pairs, "jaccard-led")
-    heads = pairs.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).filter("a <> b").distinct()
-    heads = overlaps(docs, materialize(heads, "jaccard-head-pairs"), words)
-    heads = heads.select(F.col("a").alias("h1"), F.col("b").alias("h2"), F.col("n_a").alias("n1"), F.col("n_b").alias("n2"), F.col("common"))
-    judged = pairs.join(heads, (F.least("la", "lb") == F.col("h1")) & (F.greatest("la", "lb") == F.col("h2")), "left")
-    # Sizes follow from the leaders': what a node has beyond its leader is added, what it lacks taken away.
-    swapped = F.col("la") > F.col("lb")
-    n_a = F.when(swapped, F.col("n2")).otherwise(F.col("n1")) + F.col("beyond_a") - F.col("lacks_a")
-    n_b = F.when(swapped, F.col("n1")).otherwise(F.col("n2")) + F.col("beyond_b") - F.col("lacks_b")
-    low = F.col("common") - F.col("lacks_a") - F.col("lacks_b")
+    turned = F.col("a") > F.col("b")
+    pick = lambda c, one, two: F.when(turned, F.col(f"{c}_{two}")).otherwise(F.col(f"{c}_{one}"))
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *[pick(c, s, "ba"["ab".index(s)]).alias(f"{c}_{s}") for c in ("n", "slack", "beyond", "most_n") for s in "ab"])
+    return pairs.groupBy("a", "b").agg(*[(F.min if c == "n" else F.max)(f"{c}_{s}").alias(f"{c}{'' if c != 'n' else 's'}_{s}") for c in ("n", "slack", "beyond", "most_n") for s in "ab"])
+
+
+def late_links(sets: DataFrame, postings: DataFrame, groups: DataFrame) -> DataFrame:
+    """Links (u, v) between nodes of different components: derived from the heads' overlap where that decides, else from the sets themselves."""
+    # The sizes in a pair's bitmap bound are the heads'; members may be larger by what they have beyond them.
+    slack = F.col("beyond_a") + F.col("beyond_b") + 7 * (F.col("slack_a") + F.col("slack_b"))
+    heads = overlaps(sets, plausible(group_pairs(postings, groups), sets, "jaccard-candidates", slack))
+    open_heads = heads.filter(7 * (F.col("common") + F.col("beyond_a") + F.col("beyond_b")) >= 3 * (F.col("ns_a") + F.col("ns_b")))
+    open_heads = materialize(open_heads.select("a", "b", "common"), "jaccard-open-heads")
+    wanted = open_heads.select(F.col("a").alias("g")).union(open_heads.select("b")).distinct()
+    named = sets.select("d", "node", "n").join(groups, "d", "left").select("d", "node", "n", F.coalesce("head", "d").alias("g"), F.coalesce("beyond", F.lit(0)).alias("beyond"), F.coalesce("lacks", F.lit(0)).alias("lacks"))
+    members = materialize(named.join(wanted, "g", "left_semi"), "jaccard-members")
+    side = lambda s: members.select(F.col("g").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("d", "node", "n", "beyond", "lacks")])
     high = F.col("common") + F.col("beyond_a") + F.col("beyond_b")
-    judged = materialize(
-        judged.select("a", "b", is_link(n_a, n_b, low).alias("sure"), (F.col("common").isNull() | is_link(n_a, n_b, high)).alias("open")), "jaccard-judged"
-    )
-    late = judged.filter("sure").select("a", "b")
-    undecided = judged.filter("open and not coalesce(sure, false)").select("a", "b")
+    low = F.col("common") - F.col("lacks_a") - F.col("lacks_b")
+    both = open_heads.join(side("a"), "a").join(side("b"), "b").filter(is_link(F.col("n_a"), F.col("n_b"), high))
+    judged = materialize(both.select("d_a", "d_b", "node_a", "node_b", is_link(F.col("n_a"), F.col("n_b"), low).alias("sure")), "jaccard-judged")
+    sure = judged.filter("sure").select(F.col("node_a").alias("u"), F.col("node_b").alias("v"))
+    undecided = judged.filter("not sure").select(F.col("d_a").alias("a"), F.col("d_b").alias("b"))
     if undecided.isEmpty():
-        return late
-    return late.union(overlaps(docs, undecided, words).filter(is_link(F.col("n_a"), F.col("n_b"), F.col("common"))).select("a", "b"))
+        return sure
+    compared = overlaps(sets, plausible(undecided, sets, "jaccard-undecided"))
+    return sure.union(compared.filter(is_link(F.col("n_a"), F.col("n_b"), F.col("common"))).select("node_a", "node_b"))
+
+
+def _profiled(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, int]:
+    """Profiles, nodes (d, n, node: the smallest id with this set, rows) and the seed under which no two sets share a digest."""
+    for seed in itertools.count():
+        profile = profiles(docs, words, seed)
+        filled = profile.filter("seen is null and n > 0 and doc_id is not null")
+        one = F.count(F.lit(1)).alias("rows")
+        nodes = filled.groupBy("d").agg(F.min("doc_id").alias("node"), F.max("n").alias("n"), F.max("third").alias("third"), F.min("n").alias("least_n"), F.min("d2").alias("lo"), F.max("d2").alias("hi"), one)
+        nodes = materialize(nodes, "jaccard-nodes")
+        if nodes.filter("least_n < n or lo < hi").isEmpty():
+            return profile, nodes, seed
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of `docs`."""
-    profile = profiles(docs, words)
-    frequent = (
-        profile.filter("seen is not null").groupBy("token").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= FREQUENT)
-        .orderBy(F.desc("seen"), "token").limit(MOST_FREQUENT).toArrow()
-    )
-    tokens = frequent["token"].to_numpy().view(np.uint64)
-    order = np.argsort(tokens)
-    ranks = np.floor(4 * np.log2(frequent["seen"].to_numpy()[order])).astype(np.int32)
-    rows = profile.filter("seen is null").select("doc_id", "n", "d1", "d2")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    known = docs.filter("doc_id is not null")
+    profile, nodes, seed = _profiled(docs, words)
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(profile))
 
-    # Equal sets are one node, named by its smallest id.
-    filled = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    nodes = filled.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
-    named = materialize(filled.join(nodes, ["n", "d1", "d2"]).select("doc_id", "node").distinct(), "jaccard-nodes")
-    # A repeated id with several sets links all their nodes.
-    several = named.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("most")).filter("u < most")
-    links = named.join(several, "doc_id").filter("u <> node").select("u", F.col("node").alias("v"))
-
-    # Shingles that stand in one prefix only lead nowhere. Frequent ones are known not to be such, so their lists need not meet.
-    salt = F.when(F.col("frequent"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0)
-    postings = (
-        prefix_postings(docs, (tokens[order], ranks), words)
-        .withColumn("lists", F.count(F.lit(1)).over(Window.partitionBy("token", salt)))
-        .filter((F.col("frequent") | (F.col("lists") > 1)) & F.col("doc_id").isNotNull())
-        .select("token", "doc_id", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(F.lit(0xFFFFFFFF)).alias("p"))
-    )
-    copies = named.filter("doc_id <> node").select("doc_id").join(named.filter("doc_id = node").select("doc_id"), "doc_id", "left_anti")
-    postings = materialize(postings.join(copies, "doc_id", "left_anti").withColumn("comp", F.col("doc_id")), "jaccard-postings")
-    bitmaps = profile.filter("seen is null and n > 0 and doc_id is not null").select("doc_id", "n", "bits")
+    shared = shared_in_third(known, frequent, words, seed)
+    lonely = F.col("third") - F.coalesce(F.col("shared") / F.col("rows"), F.lit(0))
+    alive = nodes.join(shared, "d", "left").filter(4 * lonely <= F.col("n")).select("d", "node", "n")
+    sets = alive_sets(known, materialize(alive, "jaccard-alive"), frequent, words, seed)
+    postings = prefix_postings(sets)
 
-    components = None
-    leaders = postings.sparkSession.createDataFrame([], "a long, b long, n_a long, n_b long, common long")
+    # A repeated id with several sets links all their nodes.
+    rows = profile.filter("seen is null").select("doc_id", "n", "d")
+    several = rows.filter("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo < hi").select("doc_id")
+    links = several.join(rows.filter("n > 0"), "doc_id").join(nodes.select("d", "node"), "d").select(F.col("doc_id").alias("u"), F.col("node").alias("v")).distinct()
+    links = materialize(links, "jaccard-same-id")
+
+    components = None if links.isEmpty() else connected_components(links)
+    led = postings.sparkSession.createDataFrame([], "a long, b long, n_a long, n_b long, common long")
+    postings = live_postings(postings, components, "jaccard-live")
     for n, each in enumerate(LEADERS):
-        led = plausible(leader_pairs(postings, n, each), bitmaps, "jaccard-led-pairs")
-        if led.isEmpty():
+        pairs = plausible(leader_pairs(postings, n, each), sets, "jaccard-led-pairs")
+        if pairs.isEmpty():
             break
-        compared = overlaps(docs, led, words)
-        linked = compared.filter(is_link(F.col("n_a"), F.col("n_b"), F.col("common")))
-        links = links.union(linked.select("a", "b"))
-        leaders = leaders.union(linked.select(leaders.columns))
+        linked = overlaps(sets, pairs).filter(is_link(F.col("n_a"), F.col("n_b"), F.col("common")))
+        links = links.union(linked.select("node_a", "node_b"))
+        led = led.union(linked.select(led.columns))
         components = connected_components(links)
         postings = live_postings(postings, components, "jaccard-live")
-    pairs = plausible(block_pairs(postings), bitmaps, "jaccard-candidates")
-    if not pairs.isEmpty():
-        more = materialize(_decided(docs, pairs, leaders, words), "jaccard-late-links")
-        if not more.isEmpty():
-            links, components = links.union(more), None
-    if components is None and not links.isEmpty():
-        components = connected_components(links)
-
-    of_doc = _with_component(named.groupBy("doc_id").agg(F.min("node").alias("node")), "node", components, "component")
-    smallest = of_doc.select(F.col("doc_id").alias("d"), "component")
-    return (
-        rows.join(smallest, F.col("doc_id") == F.col("d"), "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-    )
+    more = materialize(late_links(sets, postings, similar_groups(led)), "jaccard-late-links")
+    if not more.isEmpty():
+        components = connected_components(links.union(more))
+
+    named = _with_component(nodes.select("d", "node", "rows"), "node", components, "component").select(F.col("d").alias("of"), "component", F.col("rows").alias("copies"))
+    named = materialize(named, "jaccard-components")
+    return _with_copies(rows, named).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _with_copies(rows: DataFrame, named: DataFrame, most: int = 2048) -> DataFrame:
+    """`rows` with the component of their set. Sets of so many rows that at most `most` can be such are broadcast, so no key is hot."""
+    limit = named.agg(F.sum("copies").alias("n")).first()["n"] or 0
+    hot = F.broadcast(named.filter(F.col("copies") * most > limit).select("of", F.col("component").alias("hot")))
+    marked = rows.join(hot, (F.col("d") == F.col("of")) & (F.col("n") > 0), "left").drop("of")
+    rest = marked.filter("hot is null").join(named.select("of", "component"), (F.col("d") == F.col("of")) & (F.col("n") > 0), "left")
+    columns = [F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component")]
+    return rest.select("doc_id", "n", *columns).union(marked.filter("hot is not null").select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("hot"))))
