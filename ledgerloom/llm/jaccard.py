@@ -13,10 +13,11 @@ stands in the blocks of its interval, and a probe reads the blocks of its own si
 
 *Derived answers.* In each leader round, every node is compared with the leaders that it shares most prefix shingles
 with. Nodes that are similar to one leader form its group, and what each has beyond its leader or lacks of it is kept.
-An index list then holds one entry a group, with the widest bounds of its members, and is probed once a group. The
-members' answers are derived from the leader's: overlap(x, y) is between overlap(lx, ly) minus and plus what x and y
-lack of, or have beyond, their leaders. Only pairs that this leaves open are compared themselves; groups that are
-already connected are never paired.
+An index list then holds one entry a group, with the widest bounds of its members, and is probed once a group; groups
+that are already connected are never paired. What a set y shares with the members of a group is derived from what it
+shares with their leader L: let y and a member x differ from L in D(y) and D(x); then x and y have
+overlap(L, y) - |lacked by x| + |D(x) and D(y) shared| in common. So x can only be linked with y if it shares about half
+of its few differences with y's, and an inverted index over part of the differences finds those members.
 
 *Bitmaps.* Before whole sets are sent anywhere, a pair must pass a bound on small bitmaps: a bit is
 the parity of the shingles that fall on it, so two bitmaps differ in at most as many bits as the sets
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import materialize, mix64, text_bytes
+from ledgerloom.llm.common import discard, materialize, mix64, text_bytes
 
 WORDS = 5
 #: A shingle that tasks have reported so often is frequent: its list is hot, so it is told to the tasks and never shuffled to be counted.
@@ -288,9 +289,10 @@ def plausible(pairs: DataFrame, sets: DataFrame, tag: str, slack: Column | None
     return materialize(pairs.filter(7 * apart <= most).select(*kept), tag)
 
 
-def overlaps(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+def overlaps(sets: DataFrame, pairs: DataFrame, differences: Column | None = None) -> DataFrame:
     """Written table: `pairs` (a, b, ...; read more than once) with node_a, node_b, n_a, n_b and common, from the whole sets of both.
 
+    Where the condition `differences` holds, also only_a and only_b: what one set has and the other has not.
     A set that is in many pairs, such as a leader's, meets them in parts of PAIRS_TOGETHER."""
     whole = sets.select("d", "node", "n", F.concat("light", "often").alias("s"))
     parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PAIRS_TOGETHER).cast("int").alias("parts"))
@@ -298,9 +300,9 @@ def overlaps(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     b = parts.join(whole.select(F.col("d").alias("b"), F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("s").alias("s_b")), "b")
     b = b.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     dealt = pairs.join(parts, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")).drop("parts")
-    both = dealt.join(a, "a").join(b, ["b", "part"])
-    common = F.size(F.array_intersect("s_a", "s_b")).cast("long").alias("common")
-    return materialize(both.select(*pairs.columns, "node_a", "node_b", "n_a", "n_b", common), "jaccard-overlaps")
+    both = dealt.join(a, "a").join(b, ["b", "part"]).withColumn("common", F.size(F.array_intersect("s_a", "s_b")).cast("long"))
+    more = [] if differences is None else [F.when(differences, F.array_except(f"s_{x}", f"s_{y}")).alias(f"only_{x}") for x, y in ("ab", "ba")]
+    return materialize(both.select(*pairs.columns, "node_a", "node_b", "n_a", "n_b", "common", *more), "jaccard-overlaps")
 
 
 def is_link(n_a: Column, n_b: Column, common: Column) -> Column:
@@ -317,7 +319,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         # Done when every node has one smaller neighbour at most, and those that are such a neighbour have none.
         ends = edges.select(F.col("u").alias("node"), F.col("v").alias("to")).union(edges.select("v", F.lit(None).cast("long")))
         open_ends = ends.groupBy("node").agg(F.min("to").alias("lo"), F.max("to").alias("hi"), F.count_if(F.col("to").isNull()).alias("below")).filter("lo < hi or (lo is not null and below > 0)")
-        if edges.isEmpty() or not open_ends.count():
+        if open_ends.isEmpty():
             break
         # Large star: neighbours larger than a node go to the smallest node around it.
         around = edges.union(edges.select("v", "u"))
@@ -328,7 +330,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select("u", F.col("m").alias("v")).union(joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        edges = materialize(small, "cc-small")
+        before, edges = edges, materialize(small, "cc-small")
+        discard(before, large)
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds; give more")
     found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -365,20 +368,19 @@ def leader_pairs(postings: DataFrame, round_no: int, leaders: int) -> DataFrame:
 
 
 def similar_groups(led: DataFrame) -> DataFrame:
-    """Written table d, head, beyond, lacks of the members of groups: each is similar to its head, which is in no other group.
+    """Written table d, node, head, beyond, lacks of the members of groups: each is similar to its head, which is in no other
+    group; it has `beyond` more than its head and lacks `lacks` of it.
 
-    `led` holds links (a, b, n_a, n_b, common) of nodes and leaders. A node's choice is the leader it overlaps most with;
-    heads are the nodes that are chosen more often than their own choice."""
-    best = led.groupBy("a").agg(F.max(F.struct("common", "b", "n_a", "n_b")).alias("l")).select(
-        F.col("a").alias("d"), F.col("l.b").alias("head"), (F.col("l.n_a") - F.col("l.common")).alias("beyond"), (F.col("l.n_b") - F.col("l.common")).alias("lacks")
-    )
-    best = materialize(best, "jaccard-choices")
+    `led` holds links (a, b, node_a, common, only_a, only_b) of nodes and leaders. A node's choice is the leader it overlaps
+    most with; heads are the nodes that are chosen more often than their own choice."""
+    best = led.groupBy("a").agg(F.max(F.struct("common", "b", "node_a", "only_a", "only_b")).alias("l"))
+    best = materialize(best.select(F.col("a").alias("d"), F.col("l.node_a").alias("node"), F.col("l.b").alias("head"), F.col("l.only_a").alias("beyond"), F.col("l.only_b").alias("lacks")), "jaccard-choices")
     chosen = best.groupBy(F.col("head").alias("x")).agg(F.count(F.lit(1)).alias("times"))
     weight = lambda c, out: chosen.select(F.col("x").alias(c), F.col("times").alias(out))
-    rated = best.join(weight("d", "own"), "d", "left").join(weight("head", "its"), "head").withColumn("own", F.coalesce("own", F.lit(0)))
-    rated = materialize(rated.withColumn("leads", F.struct("own", "d") > F.struct("its", "head")), "jaccard-rated")
-    follows = rated.filter(~F.col("leads")).select(F.col("d").alias("head"))  # these are heads of nobody
-    return materialize(rated.filter(~F.col("leads")).join(follows, "head", "left_anti").select("d", "head", "beyond", "lacks"), "jaccard-groups")
+    rated = best.select("d", "head").join(weight("d", "own"), "d", "left").join(weight("head", "its"), "head").withColumn("own", F.coalesce("own", F.lit(0)))
+    follows = materialize(rated.filter(F.struct("own", "d") < F.struct("its", "head")).select("d", "head"), "jaccard-follows")
+    members = follows.join(follows.select(F.col("d").alias("head")), "head", "left_anti").select("d")  # a follower is nobody's head
+    return materialize(best.join(members, "d"), "jaccard-groups")
 
 
 def group_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
@@ -416,26 +418,41 @@ def group_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def late_links(sets: DataFrame, postings: DataFrame, groups: DataFrame) -> DataFrame:
-    """Links (u, v) between nodes of different components: derived from the heads' overlap where that decides, else from the sets themselves."""
+    """Links (u, v) between nodes of different components.
+
+    Heads of groups are compared first. Where members may still be linked, each member y of the smaller group is compared
+    with the larger one's head L, and what y shares with L's other members follows from that."""
+    sizes = groups.select("d", "head", F.size("beyond").cast("long").alias("beyond"), F.size("lacks").cast("long").alias("lacks"))
     # The sizes in a pair's bitmap bound are the heads'; members may be larger by what they have beyond them.
-    slack = F.col("beyond_a") + F.col("beyond_b") + 7 * (F.col("slack_a") + F.col("slack_b"))
-    heads = overlaps(sets, plausible(group_pairs(postings, groups), sets, "jaccard-candidates", slack))
-    open_heads = heads.filter(7 * (F.col("common") + F.col("beyond_a") + F.col("beyond_b")) >= 3 * (F.col("ns_a") + F.col("ns_b")))
-    open_heads = materialize(open_heads.select("a", "b", "common"), "jaccard-open-heads")
-    wanted = open_heads.select(F.col("a").alias("g")).union(open_heads.select("b")).distinct()
-    named = sets.select("d", "node", "n").join(groups, "d", "left").select("d", "node", "n", F.coalesce("head", "d").alias("g"), F.coalesce("beyond", F.lit(0)).alias("beyond"), F.coalesce("lacks", F.lit(0)).alias("lacks"))
-    members = materialize(named.join(wanted, "g", "left_semi"), "jaccard-members")
-    side = lambda s: members.select(F.col("g").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("d", "node", "n", "beyond", "lacks")])
-    high = F.col("common") + F.col("beyond_a") + F.col("beyond_b")
-    low = F.col("common") - F.col("lacks_a") - F.col("lacks_b")
-    both = open_heads.join(side("a"), "a").join(side("b"), "b").filter(is_link(F.col("n_a"), F.col("n_b"), high))
-    judged = materialize(both.select("d_a", "d_b", "node_a", "node_b", is_link(F.col("n_a"), F.col("n_b"), low).alias("sure")), "jaccard-judged")
-    sure = judged.filter("sure").select(F.col("node_a").alias("u"), F.col("node_b").alias("v"))
-    undecided = judged.filter("not sure").select(F.col("d_a").alias("a"), F.col("d_b").alias("b"))
-    if undecided.isEmpty():
-        return sure
-    compared = overlaps(sets, plausible(undecided, sets, "jaccard-undecided"))
-    return sure.union(compared.filter(is_link(F.col("n_a"), F.col("n_b"), F.col("common"))).select("node_a", "node_b"))
+    slack = lambda sides: sum((F.col(f"beyond_{s}") + 7 * F.col(f"slack_{s}") for s in sides), F.lit(0))
+    heads = overlaps(sets, plausible(group_pairs(postings, sizes), sets, "jaccard-candidates", slack("ab")))
+    linked = is_link(F.col("n_a"), F.col("n_b"), F.col("common"))
+    links = heads.filter(linked).select(F.col("node_a").alias("u"), F.col("node_b").alias("v"))
+    still = heads.filter(~linked & (7 * (F.col("common") + F.col("beyond_a") + F.col("beyond_b")) >= 3 * (F.col("ns_a") + F.col("ns_b"))))
+    # A link's worth is 7 overlap - 3 (sizes); of L and y, a member x gains 4 by what both have beyond L and 3 by what both lack of it.
+    members = groups.groupBy("head").agg(F.count(F.lit(1)).alias("members"), F.max(4 * F.size("beyond") + 3 * F.size("lacks")).cast("long").alias("gain"))
+    of = lambda s: members.select(F.col("head").alias(s), F.col("members").alias(f"members_{s}"), F.col("gain").alias(f"gain_{s}"))
+    sided = still.join(of("a"), "a", "left").join(of("b"), "b", "left").filter("members_a is not null or members_b is not null")
+    turned = F.coalesce("members_a", F.lit(0)) > F.coalesce("members_b", F.lit(0))
+    pick = lambda x, y: F.when(turned, F.col(x)).otherwise(F.col(y))
+    sided = sided.select(pick("b", "a").alias("small"), pick("a", "b").alias("b"), *[pick(f"{c}_a", f"{c}_b").alias(f"{c}_b") for c in ("beyond", "slack", "gain")])
+    sided = materialize(sided, "jaccard-open")
+    if sided.isEmpty():
+        return links
+    own = sided.withColumnRenamed("small", "a").unionByName(sided.join(groups.select(F.col("head").alias("small"), F.col("d").alias("a")), "small").drop("small"))
+    near = overlaps(sets, plausible(own.distinct(), sets, "jaccard-near", slack("b")), F.lit(True))
+    links = links.union(near.filter(linked).select("node_a", "node_b"))
+    worth = 7 * F.col("common") - 3 * (F.col("n_a") + F.col("n_b"))
+    rest = near.filter(~linked & (worth + F.col("gain_b") >= 0)).select("a", "b", F.col("node_a").alias("u"), worth.alias("worth"), F.concat("only_a", "only_b").alias("differs"))
+    # x must share so many of its differences, even with a y that is all but linked with L; so part of them will do, first what it has beyond L.
+    beyond, lacks = F.size("beyond"), F.size("lacks")
+    part = beyond + lacks - F.ceil((1 + 3 * beyond + 4 * lacks) / 7).cast("int") + 1
+    index = groups.filter(part > 0).select(F.col("head").alias("b"), F.col("d").alias("x"), F.explode(F.slice(F.concat("beyond", "lacks"), F.lit(1), part)).alias("token"))
+    probe = rest.select("a", "b", F.explode("differs").alias("token"))
+    met = probe.join(index, ["b", "token"]).select("a", "b", "x").distinct()
+    both = met.join(rest, ["a", "b"]).join(groups.select(F.col("d").alias("x"), F.col("node").alias("v"), "beyond", "lacks"), "x")
+    shared = F.size(F.array_intersect(F.concat("beyond", "lacks"), "differs"))
+    return links.union(both.filter(F.col("worth") + 7 * shared - 3 * beyond - 4 * lacks >= 0).select("u", "v"))
 
 
 def _profiled(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, int]:
@@ -470,17 +487,21 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     links = materialize(links, "jaccard-same-id")
 
     components = None if links.isEmpty() else connected_components(links)
-    led = postings.sparkSession.createDataFrame([], "a long, b long, n_a long, n_b long, common long")
+    led = None
     postings = live_postings(postings, components, "jaccard-live")
     for n, each in enumerate(LEADERS):
         pairs = plausible(leader_pairs(postings, n, each), sets, "jaccard-led-pairs")
         if pairs.isEmpty():
             break
-        linked = overlaps(sets, pairs).filter(is_link(F.col("n_a"), F.col("n_b"), F.col("common")))
+        linked = is_link(F.col("n_a"), F.col("n_b"), F.col("common"))
+        linked = overlaps(sets, pairs, linked).filter(linked)
         links = links.union(linked.select("node_a", "node_b"))
-        led = led.union(linked.select(led.columns))
+        led = linked if led is None else led.union(linked)
         components = connected_components(links)
-        postings = live_postings(postings, components, "jaccard-live")
+        before, postings = postings, live_postings(postings, components, "jaccard-live")
+        discard(before, pairs)
+    if led is None:
+        led = sets.sparkSession.createDataFrame([], "a long, b long, node_a long, common long, only_a array<long>, only_b array<long>")
     more = materialize(late_links(sets, postings, similar_groups(led)), "jaccard-late-links")
     if not more.isEmpty():
         components = connected_components(links.union(more))
