@@ -4,16 +4,22 @@ Vectors are lifted by one component so that the largest inner product is the sma
 balanced bisection of a bounded sample gives centroids. They are few (`max_lists`), so each task
 holds them and searches them by a graph of their neighbours. A vector goes to its nearest list and,
 if it stands near a boundary, to further ones (replicas whose distance is within `replicate` of the
-nearest, and that are not closer to a list chosen before). A query probes all lists whose distance
+nearest, and that are not much closer to a list chosen before). A query probes all lists whose distance
 is within `prune` of the nearest, however many: the graph finds those of most queries, and where its
-`beam` ends within the ratio all centroids are compared. Short neighbouring lists form one group of
-about `part_rows` / 2 rows, which is scored whole, so a query goes to a group once. Groups meet their
-queries in a shuffle on (list, part); long lists are dealt in parts. Scores are inner products of the
-original vectors in double precision.
+`beam` ends within the ratio all centroids are compared.
+
+Lists follow the table's size. Short neighbouring ones form a group of about `part_rows` / 2 rows, which
+is scored whole, so a query goes to a group once. Long ones are split by centroids of their own, fitted
+on the list's sample: vectors go to the nearest part and boundary replicas, queries to the parts within
+the ratio. What the broadcast holds does not grow; the parts' centroids meet their list in a shuffle.
+
+A query's nearest group is scored first. Its worst score there bounds what the other groups send.
+Scores are inner products of the original vectors in double precision.
 
 Rows with equal id and vector are one row. Of equal vectors only the k + 1 smallest ids can be in a
-result, and a per-group limit drops the others before the shuffle. Equal queries are searched once.
-This loses no result and keeps a very common vector from filling one list.
+result, and a per-group limit drops the others before the shuffle. Equal queries are searched once;
+very common ones take their answer from a broadcast of fewer than 2,048 of them.
+This loses no result and keeps a very common vector from filling one list or task.
 
 Defined cases: null, zero or non-finite vectors, rows without an id, and vectors of another length
 than the most frequent one take no part; of rows that repeat an id the best score counts; ties go to
@@ -30,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import materialize
+from ledgerloom.llm.common import join_uneven, materialize
 
 
 @dataclass(frozen=True)
@@ -40,17 +46,19 @@ class IndexBound:
     sample_rows: int = 32_768
     max_lists: int = 8_192
     list_rows: int = 64
-    replicas: int = 4
+    replicas: int = 3
     replicate: float = 1.15
-    prune: float = 1.35
-    least_probes: int = 24
+    closer: float = 0.5
+    prune: float = 1.12
+    least_probes: int = 4
     beam: int = 160
     part_rows: int = 4_096
 
 
 def usable_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id, vec (double) and vec_hash of the rows that take part."""
-    vec = F.col(vector_col).cast("array<double>")
+    """vec_id, vec and vec_hash of the rows that take part. Single-precision vectors stay so, which loses nothing."""
+    element = df.schema[vector_col].dataType.elementType.simpleString()
+    vec = F.col(vector_col).cast(f"array<{'float' if element == 'float' else 'double'}>")
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = df.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec")).filter(
         F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0)
@@ -61,7 +69,7 @@ def usable_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def _matrix(column: pa.Array) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
 def balanced_centroids(x: np.ndarray, lists: int, seed: int = 1) -> np.ndarray:
@@ -153,6 +161,35 @@ class CentroidGraph:
         return ids, np.sqrt(np.maximum(np.take_along_axis(d, ids, axis=1), 0))
 
 
+def lifted(x: np.ndarray, scale: float, stored: bool) -> np.ndarray:
+    """Vectors over the largest norm, with a last component that brings stored ones to norm 1. A query's length does not
+    change its order of inner products, so it is brought to norm 1 as well and distances compare with the lists'."""
+    x = x / scale
+    if stored:
+        return np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x**2).sum(axis=1)))[:, None]], axis=1)
+    x = x / np.abs(x).max(axis=1, keepdims=True, initial=1e-300)
+    return np.concatenate([x / np.sqrt((x**2).sum(axis=1, keepdims=True)), np.zeros((len(x), 1))], axis=1)
+
+
+def stored_lists(centroids: np.ndarray, ids: np.ndarray, d: np.ndarray, bound: IndexBound) -> tuple[np.ndarray, np.ndarray]:
+    """(row, list) pairs of vectors whose nearest lists are `ids` at distances `d`: the nearest and boundary replicas."""
+    ids, d = ids[:, : 2 * bound.replicas], d[:, : 2 * bound.replicas]
+    take = (d <= bound.replicate * d[:, :1]) & np.isfinite(d)
+    for j in range(1, ids.shape[1]):
+        for i in range(j):  # a list that is much nearer to one chosen before adds little
+            gap = np.sqrt(((centroids[ids[:, j]] - centroids[ids[:, i]]) ** 2).sum(axis=1))
+            take[:, j] &= ~(take[:, i] & (gap < bound.closer * d[:, j]))
+    take &= take.cumsum(axis=1) <= bound.replicas
+    rows, at = np.nonzero(take)
+    return rows, ids[rows, at]
+
+
+def probed_lists(ids: np.ndarray, d: np.ndarray, bound: IndexBound, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, list) pairs, nearest first: lists within the ratio of the nearest, `least` at least."""
+    rows, at = np.nonzero((d <= bound.prune * d[:, :1]) | (np.arange(d.shape[1]) < least))
+    return rows, ids[rows, at]
+
+
 @dataclass(frozen=True)
 class Index:
     graph: CentroidGraph
@@ -160,53 +197,34 @@ class Index:
     bound: IndexBound
     together: int = 1  # neighbouring lists in a group
 
-    def lifted(self, x: np.ndarray, stored: bool) -> np.ndarray:
-        x = x / self.scale
-        last = np.sqrt(np.maximum(0, 1 - (x**2).sum(axis=1))) if stored else np.zeros(len(x))
-        return np.concatenate([x, last[:, None]], axis=1)
-
-    def lists_of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, group) pairs: the nearest list of each vector and its boundary replicas."""
-        b, rows, lists = self.bound, [], []
+    def dealt(self, x: np.ndarray, stored: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, group, whether it is the row's nearest) of vectors to store or of queries."""
+        rows, lists, nearest = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
         for start in range(0, len(x), 256):
-            ids, d = self.graph.search(self.lifted(x[start : start + 256], stored=True), 32)
-            ids, d = ids[:, : 2 * b.replicas], d[:, : 2 * b.replicas]
-            take = (d <= b.replicate * d[:, :1]) & np.isfinite(d)
-            for j in range(1, ids.shape[1]):
-                for i in range(j):  # a list that is nearer to one chosen before adds little
-                    gap = np.sqrt(((self.graph.c[ids[:, j]] - self.graph.c[ids[:, i]]) ** 2).sum(axis=1))
-                    take[:, j] &= ~(take[:, i] & (gap < 0.8 * d[:, j]))
-            take &= take.cumsum(axis=1) <= b.replicas
-            r, c = np.nonzero(take)
-            rows.append(r + start)
-            lists.append(ids[r, c])
-        return self._grouped(rows, lists)
-
-    def probes_of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, group) pairs: all lists within the ratio of the nearest, `least_probes` at least."""
-        b, rows, lists = self.bound, [], []
-        for start in range(0, len(x), 256):
-            part = x[start : start + 256]
-            # A query's length does not change its order of inner products; at norm 1 distances compare with the lists'.
-            part = self.lifted(part / np.sqrt((part**2).sum(axis=1, keepdims=True)) * self.scale, stored=False)
-            ids, d = self.graph.search(part, b.beam)
-            more = ~(np.isfinite(d[:, -1]) & (d[:, -1] > b.prune * d[:, 0]))  # the beam may have missed some
-            for found, near, at in ((ids[~more], d[~more], np.flatnonzero(~more)), (*self.graph.all_of(part[more]), np.flatnonzero(more))):
-                r, c = np.nonzero((near <= b.prune * near[:, :1]) | (np.arange(near.shape[1]) < b.least_probes))
+            part = lifted(x[start : start + 256], self.scale, stored)
+            if stored:
+                ids, d = self.graph.search(part, 32)
+                found = [(np.arange(len(part)), *stored_lists(self.graph.c, ids, d, self.bound))]
+            else:
+                ids, d = self.graph.search(part, self.bound.beam)
+                more = ~(np.isfinite(d[:, -1]) & (d[:, -1] > self.bound.prune * d[:, 0]))  # the beam may have missed some
+                every = self.graph.all_of(part[more])
+                found = [(np.flatnonzero(~more), *probed_lists(ids[~more], d[~more], self.bound, self.bound.least_probes)), (np.flatnonzero(more), *probed_lists(*every, self.bound, self.bound.least_probes))]
+            nearest.append(ids[:, 0] // self.together)
+            for at, r, c in found:
                 rows.append(at[r] + start)
-                lists.append(found[r, c])
-        return self._grouped(rows, lists)
-
-    def _grouped(self, rows: list[np.ndarray], lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+                lists.append(c // self.together)
         groups = len(self.graph.c) // self.together + 1
-        return np.divmod(np.unique(np.concatenate(rows) * groups + np.concatenate(lists) // self.together), groups)
+        row, group = np.divmod(np.unique(np.concatenate(rows) * groups + np.concatenate(lists)), groups)
+        return row, group, group == np.concatenate(nearest or [np.zeros(0, np.int64)])[row]
 
 
 def build_index(points: DataFrame, bound: IndexBound = IndexBound()) -> Index | None:
     """Fit centroids on a bounded sample of the distinct vectors (chosen by hash of id and vector)."""
     first = points.filter("place = 1")
-    norm = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x)
-    stats = first.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("sq")).first()
+    largest = F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double"))))
+    norm = largest * F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + (x / largest) * (x / largest)))
+    stats = first.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("norm")).first()
     if not stats["n"]:
         return None
     share = 0.95 * bound.sample_rows * (1 << 30) / stats["n"]
@@ -214,64 +232,82 @@ def build_index(points: DataFrame, bound: IndexBound = IndexBound()) -> Index |
     sample = chosen.select("vec_id", "vec").limit(bound.sample_rows).toArrow().sort_by("vec_id")
     x = _matrix(sample["vec"])
     lists = max(1, min(bound.max_lists, stats["n"] // bound.list_rows, max(1, len(x) // 4)))
-    scale = float(np.sqrt(stats["sq"]))
-    lift = Index(None, scale, bound).lifted(x, stored=True)
+    scale = min(float(stats["norm"]), 1e308)
     together = max(1, bound.part_rows * lists // (2 * stats["n"]))  # bisection numbers neighbouring lists in a row
-    return Index(CentroidGraph(balanced_centroids(lift, lists)), scale, bound, together)
+    return Index(CentroidGraph(balanced_centroids(lifted(x, scale, True), lists)), scale, bound, together)
 
 
-def _dealt(df: DataFrame, index, pairs: str, out: str) -> DataFrame:
-    """(list, id, vec) rows of each vector's groups of lists."""
+def _dealt(df: DataFrame, index, stored: bool) -> DataFrame:
+    """(list, id, vec, near) rows of each vector's groups of lists."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
-                rows, lists = getattr(index.value, pairs)(_matrix(part.column(1)))
+                rows, lists, near = index.value.dealt(_matrix(part.column(1)), stored)
                 take = part.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), take.column(0), take.column(1)], names=["list", out, "vec"])
+                yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), take.column(0), take.column(1), pa.array(near)], names=["list", "id", "vec", "near"])
+
+    return df.mapInArrow(deal, f"list int, id long, vec {df.schema['vec'].dataType.simpleString()}, near boolean")
+
+
+def _divided(rows: DataFrame, parts: DataFrame, centers: DataFrame | None, index, stored: bool) -> DataFrame:
+    """`rows` (list, id, vec, near) with `part`: 0 in a list of one part, else the nearest parts by the list's own centroids.
+
+    A long list's rows meet its centroids in groups of about `part_rows` rows."""
+    if centers is None:
+        return rows.withColumn("part", F.lit(0))
+    bound, scale = index.bound, index.scale
+    schema = "list int, id long, vec {}, near boolean, part int".format(rows.schema["vec"].dataType.simpleString())
+
+    def place(left: pa.Table, right: pa.Table) -> pa.Table:
+        c = _matrix(right["centers"].combine_chunks().flatten()).astype(np.float32) if right.num_rows else np.zeros((1, 1), np.float32)
+        rows_, parts_, near_ = [], [], []
+        x = _matrix(left["vec"])
+        for start in range(0, len(x), 1024):
+            q = lifted(x[start : start + 1024], scale, stored).astype(np.float32)
+            d = np.sqrt(np.maximum(0, (q**2).sum(axis=1)[:, None] + (c**2).sum(axis=1) - 2 * q @ c.T))
+            ids = np.argsort(d, axis=1, kind="stable")
+            d = np.take_along_axis(d, ids, axis=1)
+            r, at = stored_lists(c, ids, d, bound) if stored else probed_lists(ids, d, bound, 1)
+            rows_.append(r + start)
+            parts_.append(at)
+            near_.append(at == ids[r, 0])
+        take = np.concatenate(rows_ or [np.zeros(0, np.int64)])
+        out = left.select(["list", "id", "vec", "near"]).take(pa.array(take))
+        near = np.concatenate(near_ or [np.zeros(0, bool)]) & out["near"].to_numpy().astype(bool)
+        return pa.table([out["list"], out["id"], out["vec"], pa.array(near), pa.array(np.concatenate(parts_ or [np.zeros(0, np.int64)]).astype(np.int32))], names=["list", "id", "vec", "near", "part"])
+
+    long_ = parts.filter("parts > 1")
+    groups = rows.join(long_, "list").groupBy("list").agg(F.ceil(F.count(F.lit(1)) / bound.part_rows).cast("int").alias("groups"))
+    salted = rows.join(groups, "list").withColumn("salt", F.pmod(F.xxhash64("id", "vec"), F.col("groups")).cast("int")).drop("groups")
+    met = centers.join(groups, "list").select("list", "centers", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"))
+    placed = salted.groupBy("list", "salt").cogroup(met.groupBy("list", "salt")).applyInArrow(place, schema)
+    return rows.join(long_, "list", "left_anti").withColumn("part", F.lit(0)).unionByName(placed)
+
+
+def list_centers(postings: DataFrame, parts: DataFrame, index) -> DataFrame | None:
+    """Written table of the centroids of the parts of long lists (list, centers), from a sample of 64 rows a part; none if no list is long."""
+    long_ = materialize(parts.filter("parts > 1"), "ann-long-lists")
+    if long_.isEmpty():
+        return None
+    sample = postings.join(long_, "list").filter(F.pmod(F.xxhash64(F.lit(5), "id", "vec"), F.lit(1 << 30)) < F.lit(64.0 * (1 << 30)) * F.col("parts") / F.col("n"))
+    scale = index.scale
 
-    return df.mapInArrow(deal, f"list int, {out} long, vec array<double>")
+    def fit(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("id")
+        c = balanced_centroids(lifted(_matrix(rows["vec"]), scale, True), min(rows["parts"][0].as_py(), rows.num_rows))
+        return pa.table({"list": [key[0].as_py()], "centers": [c.tolist()]}, schema=pa.schema([("list", pa.int32()), ("centers", pa.list_(pa.list_(pa.float32())))]))
 
+    return materialize(sample.groupBy("list").applyInArrow(fit, "list int, centers array<array<float>>"), "ann-centers")
 
-def nearest(
-    df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", bound: IndexBound = IndexBound()
-) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found of each row that `is_query` (a condition on vec_id) holds for."""
-    spark = df.sparkSession
-    # Every limit below counts ids, so rows that repeat an id with the same vector go first.
-    vectors = materialize(usable_vectors(df, id_col, vector_col).dropDuplicates(["vec_id", "vec_hash", "vec"]), "ann-vectors")
-    same = Window.partitionBy("vec_hash", "vec")
-    points = materialize(
-        vectors.withColumn("place", F.row_number().over(same.orderBy("vec_id"))).filter(F.col("place") <= k + 1).drop("vec_hash"), "ann-points"
-    )
-    fitted = build_index(points, bound)
-    if fitted is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    index = spark.sparkContext.broadcast(fitted)
-    postings = materialize(_dealt(points.select("vec_id", "vec"), index, "lists_of", "vec_id"), "ann-lists")
-    # An id may have several vectors, so a row number names each distinct query vector.
-    queries = materialize(
-        vectors.filter(is_query)
-        .withColumn("row", F.monotonically_increasing_id())
-        .select(F.col("vec_id").alias("query_id"), "row", F.min("row").over(same).alias("same_as"), "vec"),
-        "ann-queries",
-    )
-    distinct = queries.filter("row = same_as").select(F.col("row").alias("query_id"), "vec")
-    # Long lists are dealt in parts; at most `max_lists` rows.
-    parts = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / bound.part_rows).cast("int").alias("parts"))
-    parts = F.broadcast(parts)
-    lists = postings.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("vec_id", "vec"), F.col("parts")).cast("int")).drop("parts")
-    probes = (
-        _dealt(distinct, index, "probes_of", "query_id")
-        .join(parts, "list")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .drop("parts")
-    )
+
+def _scored(lists: DataFrame, probes: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, score of the best k + 1 ids of each query in each part, above the query's `least` score."""
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         x, q = _matrix(left["vec"]), _matrix(right["vec"])
-        ids, of = left["vec_id"].to_numpy(), right["query_id"].to_numpy()
+        ids, of, bar = left["id"].to_numpy(), right["id"].to_numpy(), right["least"].to_numpy()
         by_id = np.argsort(ids, kind="stable")
         x, ids = x[by_id], ids[by_id]
         first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])[: len(ids)])
@@ -283,6 +319,7 @@ def nearest(
                 least = np.partition(each, -(k + 1), axis=1)[:, -(k + 1)]
             else:
                 least = each.min(axis=1)
+            least = np.maximum(least, bar[start : start + 512])
             r, c = np.nonzero(rough >= (least - 1e-9 * (1 + np.abs(least)))[:, None])
             exact = (q[start + r] * x[c]).sum(axis=1)  # each row alone, so equal vectors score equally
             out.append((of[start + r], ids[c], exact))
@@ -298,18 +335,61 @@ def nearest(
         top = place <= k
         return pa.table({"query_id": query[top], "vec_id": vec[top], "score": value[top]})
 
-    found = lists.groupBy("list", "part").cogroup(probes.groupBy("list", "part")).applyInArrow(score, "query_id long, vec_id long, score double")
+    keys = ["list", "part", "slice"]
+    return lists.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInArrow(score, "query_id long, vec_id long, score double")
+
+
+def nearest(
+    df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", bound: IndexBound = IndexBound()
+) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest found of each row that `is_query` (a condition on vec_id) holds for."""
+    spark = df.sparkSession
+    # Every limit below counts ids, so rows that repeat an id with the same vector go first.
+    vectors = materialize(usable_vectors(df, id_col, vector_col).dropDuplicates(["vec_id", "vec_hash", "vec"]), "ann-vectors")
+    same = Window.partitionBy("vec_hash", "vec").orderBy("vec_id")
+    points = materialize(vectors.withColumn("place", F.row_number().over(same)).filter(F.col("place") <= k + 1).drop("vec_hash"), "ann-points")
+    fitted = build_index(points, bound)
+    if fitted is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    index = spark.sparkContext.broadcast(fitted)
+    postings = materialize(_dealt(points.select("vec_id", "vec"), index, stored=True), "ann-lists")
+    asked = vectors.filter(is_query).select(F.col("vec_id").alias("query_id"), "vec_hash", "vec")
+    # Each distinct query vector has a number of its own; an id may have several vectors.
+    distinct = asked.groupBy("vec_hash", "vec").agg(F.count(F.lit(1)).alias("rows"))
+    distinct = materialize(distinct.withColumn("qid", F.monotonically_increasing_id()), "ann-queries")
+
+    # Lists of more than two parts' rows are divided; a part that is still too long is dealt in slices that all its queries meet.
+    parts = materialize(postings.groupBy("list").agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.when(F.col("n") > 2 * bound.part_rows, F.ceil(F.col("n") / bound.part_rows)).otherwise(1).cast("int")), "ann-list-sizes")
+    centers = list_centers(postings, parts, fitted)
+    stored = _divided(postings, parts, centers, fitted, stored=True)
+    probes = _divided(_dealt(distinct.select("qid", "vec"), index, stored=False), parts, centers, fitted, stored=False)
+    if centers is not None:
+        stored, probes = materialize(stored, "ann-parts"), materialize(probes, "ann-probes")
+    slices = stored.groupBy("list", "part").agg(F.ceil(F.count(F.lit(1)) / (4 * bound.part_rows)).cast("int").alias("slices"))
+    slices = materialize(slices, "ann-slices")
+    stored = stored.join(slices, ["list", "part"]).withColumn("slice", F.pmod(F.xxhash64("id", "vec"), F.col("slices")).cast("int")).drop("slices", "near")
+    probes = probes.join(slices, ["list", "part"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    probes = materialize(probes, "ann-probes")
+
+    lowest = F.lit(-float("inf"))
+    near = materialize(_scored(stored, probes.filter("near").withColumn("least", lowest), k), "ann-near")
+    each = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    scores = F.sort_array(F.collect_list("score"), asc=False)  # those of one group's parts
+    kth = each.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count(F.lit(1)) > k, F.get(scores, F.lit(k))).alias("bar"))
+    far = _scored(stored, probes.filter("not near").join(kth, "id", "left").withColumn("least", F.coalesce("bar", lowest)).drop("bar"), k)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     top = (
-        found.groupBy("query_id", "vec_id")
+        near.union(far)
+        .groupBy("query_id", "vec_id")
         .agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k + 1)
-        .select(F.col("query_id").alias("same_as"), "vec_id", "score")
+        .select(F.col("query_id").alias("qid"), "vec_id", "score")
     )
+    numbered = join_uneven(asked, distinct, ["vec_hash", "vec"], "rows").select("query_id", "qid")
+    answers = materialize(top.join(distinct.select("qid", "rows"), "qid"), "ann-top")
     return (
-        queries.select("query_id", "same_as")
-        .join(top, "same_as")
+        join_uneven(numbered, answers, ["qid"], "rows")
         .filter("vec_id <> query_id")
         .groupBy("query_id", "vec_id")
         .agg(F.max("score").alias("score"))

@@ -8,15 +8,34 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.session import materialize, shared_dir, shared_path
+from ledgerloom.session import discard, materialize, shared_dir, shared_path
 from ledgerloom.shipping import ship_package
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Ship the package, and let tasks exchange whole texts in batches of 1,000 rows unless the session has its own size."""
     ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default, which holds a hundred megabytes of long texts
+        spark.conf.set(key, "1000")
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def join_uneven(left: DataFrame, right: DataFrame, keys: list[str], weight: str, most: int = 2048) -> DataFrame:
+    """Inner join in which a key may hold a large part of `left`; `right` (read more than once) tells by `weight` how many rows.
+
+    Keys of more than 1 / `most` of all these rows, fewer than `most` at any size, are broadcast; only the others are shuffled."""
+    total = right.dropDuplicates(keys).agg(F.sum(weight).alias("n")).first()["n"] or 0
+    heavy = F.col(weight) * most > total
+    hot = right.filter(heavy).drop(weight)
+    rest = left.join(F.broadcast(hot.select(*keys).distinct()), keys, "left_anti").join(right.filter(~heavy).drop(weight), keys)
+    return left.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def id_crc(column: str | Column) -> Column:
     """crc32 of an id written as text."""
     column = F.col(column) if isinstance(column, str) else column
@@ -50,4 +69,4 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-__all__ = ["id_crc", "is_held_out", "materialize", "mix64", "read_table", "shared_dir", "shared_path", "text_bytes"]
+__all__ = ["discard", "id_crc", "is_held_out", "join_uneven", "materialize", "mix64", "prepare", "read_table", "shared_dir", "shared_path", "text_bytes"]

@@ -19,10 +19,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import id_crc, is_held_out, text_bytes
+from ledgerloom.llm.common import id_crc, is_held_out, materialize, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -33,45 +33,47 @@ UNDETERMINED = "und"
 
 @dataclass(frozen=True)
 class TrainingBound:
-    """Bounds of the labelled sample that the network is fitted on, in rows and languages."""
+    """Bounds of the labelled sample that the network is fitted on: rows of each language, and rows of all together.
+
+    Every labelled language is learned; where there are more than rows / per_language of them, each gets an equal share."""
 
     per_language: int = 500
-    languages: int = 100
+    rows: int = 50_000
     windows_per_text: int = 3
 
 
 def labelled_sample(docs: DataFrame, bound: TrainingBound = TrainingBound()) -> pd.DataFrame:
-    """About `per_language` rows of each language, chosen by the hash of their id; columns lang, w0, w1, ...
-
-    The `languages` most frequent ones are learned. Counts cover all rows."""
+    """At most `per_language` rows of each language, those whose ids hash lowest; columns lang, w0, w1, ..."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out("doc_id"))
-    counts = (
-        known.groupBy(F.col("lang").alias("lang"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(bound.languages)
-        .withColumn("share", F.lit(1.2 * bound.per_language * (1 << 20)) / F.col("n"))
-    )
-    chosen = known.join(F.broadcast(counts), "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share"))
+    counts = materialize(known.groupBy(F.col("lang").alias("lang")).agg(F.count(F.lit(1)).alias("n")), "langid-counts")
+    each = min(bound.per_language, max(1, bound.rows // max(1, counts.count())))
+    # Twice the share by hash, so that hardly more than the sample is sorted; the order decides the rest.
+    shares = F.broadcast(counts.select("lang", (F.lit(2.0 * each * (1 << 20)) / F.col("n") + 64).alias("share")))  # a row for each language
+    chosen = known.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))).join(shares, "lang").filter(F.col("place") < F.col("share"))
     length = F.char_length("text")
     pieces = [
         F.substring("text", (F.lit(1) + F.floor(F.greatest(length - WINDOW, F.lit(0)) * (i / max(1, bound.windows_per_text - 1)))).cast("int"), F.lit(WINDOW)).alias(f"w{i}")
         for i in range(bound.windows_per_text)
     ]
-    most = 2 * bound.per_language * bound.languages
-    return chosen.select("lang", "doc_id", *pieces).limit(most).toPandas().sort_values(["lang", "doc_id"], kind="stable").drop(columns="doc_id")
+    windows = [f"w{i}" for i in range(bound.windows_per_text)]
+    first = Window.partitionBy("lang").orderBy("place", "doc_id", *windows)
+    rows = chosen.select("lang", "doc_id", "place", *pieces).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= each)
+    return rows.toPandas().sort_values(["lang", "n"], kind="stable")[["lang", *windows]]
 
 
 def windows_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of all texts as rows of WINDOW bytes, zero-padded at each text's end; and each row's text."""
-    lengths = np.diff(offsets)
-    per = np.maximum(1, -(-lengths // WINDOW))
-    first = np.concatenate([[0], np.cumsum(per)])
-    out = np.zeros(int(first[-1]) * WINDOW, np.uint8)
-    starts, ends = offsets[:-1].tolist(), offsets[1:].tolist()
-    for at, start, end in zip((first[:-1] * WINDOW).tolist(), starts, ends):
-        out[at : at + end - start] = data[start:end]
-    return out.reshape(-1, WINDOW), np.repeat(np.arange(len(lengths)), per)
+    """All bytes of all texts as rows of WINDOW bytes, zero-padded at each text's end; and each row's text.
+
+    A window begins with the last bytes of the one before it, so that no filter misses bytes across an edge."""
+    shared = max(WIDTHS) - 1
+    step = WINDOW - shared
+    per = np.maximum(1, -(-(np.diff(offsets) - shared) // step))
+    owner = np.repeat(np.arange(len(per)), per)
+    begin = offsets[:-1][owner] + step * (np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per))
+    padded = np.concatenate([data, np.zeros(WINDOW, np.uint8)])
+    rows = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[begin].copy()
+    rows[np.arange(WINDOW) >= (offsets[1:][owner] - begin)[:, None]] = 0
+    return rows, owner
 
 
 class ByteCNN:
@@ -200,7 +202,7 @@ def _classify(net: FoldedCNN, text: pa.Array, lettered: np.ndarray) -> tuple[np.
 
 
 def _lettered(text_col: str):
-    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__lettered")
+    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
 
 
 def predict_languages(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -215,24 +217,23 @@ def predict_languages(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best, pa.string()), pa.array(prob)], names=[id_col, "lang_pred", "score"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col, _lettered(text_col)).mapInArrow(score, f"`{id_col}` {id_type}, lang_pred string, score double")
+    return docs.select(id_col, text_col, _lettered(text_col).alias("__lettered")).mapInArrow(score, f"`{id_col}` {id_type}, lang_pred string, score double")
 
 
 def keep_languages(docs: DataFrame, model: ByteCNN | None, least_score: float, text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose language is determined with at least this score, all columns as they were."""
+    """The rows of `docs` whose language is determined with at least this score, all columns as they were.
+
+    Without a model (no labelled row) nothing can be refused, so all rows stay. Only texts go through Python."""
     if model is None:
-        return docs.limit(0)
+        return docs
     folded = docs.sparkSession.sparkContext.broadcast(model.folded())
-    columns = docs.columns
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lettered = batch.column("__lettered").to_numpy(zero_copy_only=False).astype(bool)
-            best, prob = _classify(folded.value, batch.column(text_col), lettered)
-            kept = batch.filter(pa.array((best != UNDETERMINED) & (prob >= least_score)))
-            yield kept.select(columns)
+    @F.arrow_udf("boolean")
+    def confident(text: pa.Array, lettered: pa.Array) -> pa.Array:
+        best, prob = _classify(folded.value, text, lettered.to_numpy(zero_copy_only=False).astype(bool))
+        return pa.array((best != UNDETERMINED) & (prob >= least_score))
 
-    return docs.select("*", _lettered(text_col)).mapInArrow(keep, docs.schema)
+    return docs.filter(confident(F.col(text_col), _lettered(text_col)))
 
 
 def identify(docs: DataFrame, bound: TrainingBound = TrainingBound()) -> DataFrame:

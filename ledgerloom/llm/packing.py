@@ -1,16 +1,15 @@
 """Bulk-synchronous best-fit packing of documents into sequences of a fixed capacity.
 
-A document's ids are cut into pieces of at most `capacity` ids. In each superstep documents and open
-gaps stand in order of size; every document seeks its successor, the smallest gap that holds it,
-largest documents first; where more documents than gaps meet, ranks decide; gaps are updated; and
-documents larger than every gap open new sequences. This repeats until no document is left.
-
-Sizes are whole numbers up to `capacity`, and documents of one length, like sequences with one gap,
-are interchangeable. So the supersteps work on runs of equals: a run of documents is an interval of
-ranks within its length, a run of sequences an interval of sequence ids. What the driver handles is
-the histogram of lengths (at most `capacity` numbers, at any size of the corpus) and the list of
-matched runs. Spark does what grows: it counts lengths, ranks the documents of each length over
-salted groups, and joins ranks to runs.
+A document's ids are cut into pieces of at most `capacity` ids. Documents go in bands of size, the
+largest first. In each superstep the documents of a band and the open gaps are sorted together by
+size and cut into ranges, each swept by a task: from the largest size down, every document takes its
+successor, the smallest open gap that holds it. What a range leaves over meets the next ranges: all
+gaps of an earlier range hold all documents of a later one, so ranks decide which document gets
+which gap. Gaps are then updated. Documents that found no gap open new sequences.
+
+The driver sees one count for each size up to the capacity, and two for each of at most MOST_RANGES
+ranges, at any size of the corpus. No group holds more than a range: one length, or one id, however
+frequent, is dealt over many.
 
 Defined cases: a null text is an empty one, whose only id is the end id; a text without any word is
 the same; repeated rows are packed each; an empty table gives no rows; other columns are ignored.
@@ -20,9 +19,9 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,8 +31,12 @@ from ledgerloom.llm.tokens import loaded, tokenizer_json
 
 CAPACITY = 2048
 END_ID = 0
-#: Groups over which the documents of one length are ranked, so that a frequent length is no hot key.
-SALTS = 64
+#: Rows of a range, more if there would be more than MOST_RANGES ranges.
+RANGE_ROWS, MOST_RANGES = 1 << 15, 4096
+#: Times that what is left of a band is swept against the updated gaps before it opens new sequences.
+SWEEPS = 2
+#: Documents of at most the capacity's share 1 / LAST_BAND are one band.
+LAST_BAND = 32
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -62,115 +65,176 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES + (", ids binary" if with_ids else ""))
 
 
-class Gaps:
-    """Open sequences by gap: runs (first sequence, count), and which gaps there are."""
-
-    def __init__(self, capacity: int):
-        self.runs: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
-
-    def add(self, gap: int, first: int, n: int) -> None:
-        if gap > 0 and n:
-            self.runs[gap].append((first, n))
-
-    def largest(self) -> int:
-        return next((g for g in range(len(self.runs) - 1, 0, -1) if self.runs[g]), 0)
-
-
-def superstep(left: np.ndarray, gaps: Gaps) -> list[tuple[int, int, int, int]]:
-    """Match each document with its successor gap, each gap at most once: (length, gap, first sequence, count).
-
-    Lengths are swept from the largest down, and the gaps that no larger document took stand in
-    order, so a length's successors are found by one pointer that jumps over emptied gaps."""
-    capacity = len(left) - 1
-    after = list(range(capacity + 2))  # after[g]: the smallest gap >= g that still has sequences
-
-    def find(g: int) -> int:
-        while g <= capacity and not gaps.runs[g]:
-            if after[g] == g:
-                after[g] = g + 1
-            after[g] = after[after[g]] if after[g] <= capacity else after[g]
-            g = after[g]
-        return g
-
-    matched = []
-    for length in range(capacity, 0, -1):
-        while left[length] and (gap := find(length)) <= capacity:
-            first, n = gaps.runs[gap].pop()
-            take = min(int(left[length]), n)
-            if take < n:
-                gaps.runs[gap].append((first + take, n - take))
-            left[length] -= take
-            matched.append((length, gap, first, take))
-    return matched
-
-
-def plan(counts: np.ndarray) -> pd.DataFrame:
-    """Where every rank of every length goes: length, rank_lo, rank_hi, sequence_lo, offset.
-
-    `counts[l]` is the number of documents of length l; index 0 is unused."""
-    capacity = len(counts) - 1
-    left = counts.astype(np.int64).copy()
-    left[0] = 0
-    ranked = np.zeros(capacity + 1, np.int64)
-    gaps, sequences, rows = Gaps(capacity), 0, []
-
-    def place(length: int, gap: int, first: int, n: int) -> None:
-        rows.append((length, ranked[length], ranked[length] + n, first, capacity - gap))
-        ranked[length] += n
-
-    while left.any():
-        matched = superstep(left, gaps)
-        for length, gap, first, n in matched:
-            place(length, gap, first, n)
-        for length, gap, first, n in matched:  # gaps change between supersteps, not within one
-            gaps.add(gap - length, first, n)
-        smallest_opened = None
-        for length in range(capacity, gaps.largest(), -1):
-            n = int(left[length])
-            if not n:
-                continue
-            if smallest_opened is not None and length + smallest_opened <= capacity:
-                break  # it fits beside one that has just been opened
-            each = capacity // length
-            new = n if each == 1 else -(-n // each)
-            left[length] -= new
-            place(length, capacity, sequences, new)
-            gaps.add(capacity - length, sequences, new)
-            sequences += new
-            smallest_opened = length
-    return pd.DataFrame(rows, columns=["length", "rank_lo", "rank_hi", "sequence_lo", "offset"]).astype("int64")
+SWEPT = "kind string, doc long, sequence long, size long, range long, rank long"
+
+
+def sweep_range(rows: pa.Table) -> pa.Table:
+    """One range's documents and gaps from the largest size down: each document takes the smallest open gap that holds it.
+
+    Larger gaps come before smaller ones, so that gap is always the last one not taken. What is left, documents that
+    met no gap and gaps that met no document, is ranked in order, for the ranges beside this one."""
+    size, gap, ident = (rows[c].to_numpy() for c in ("size", "gap", "id"))
+    gap = gap.astype(bool)
+    order = np.lexsort((rows["slot"].to_numpy(), ident, ~gap, -size))
+    open_gaps: list[int] = []
+    taken: list[tuple[int, int]] = []
+    alone: list[int] = []
+    for i, is_gap in zip(order.tolist(), gap[order].tolist()):
+        if is_gap:
+            open_gaps.append(i)
+        elif open_gaps:
+            taken.append((i, open_gaps.pop()))
+        else:
+            alone.append(i)
+    docs = [d for d, _ in taken]
+    at = np.array([*docs, *alone, *open_gaps], np.int64)
+    n, none = len(at), np.zeros(len(at), bool)
+    none[len(docs) + len(alone) :] = True
+    sequence = np.where(none, ident[at] if n else at, 0)
+    sequence[: len(docs)] = ident[[g for _, g in taken]] if docs else 0
+    no_sequence = np.zeros(n, bool)
+    no_sequence[len(docs) : len(docs) + len(alone)] = True
+    kind = ["matched"] * len(docs) + ["document"] * len(alone) + ["gap"] * len(open_gaps)
+    rank = np.concatenate([np.zeros(len(docs)), np.arange(len(alone)), np.arange(len(open_gaps))]).astype(np.int64)
+    columns = [
+        pa.array(kind, pa.string()), pa.array(ident[at] if n else at, mask=none), pa.array(sequence, mask=no_sequence),
+        pa.array(size[at] if n else at), pa.array(np.full(n, rows["range"][0].as_py() if rows.num_rows else 0)), pa.array(rank),
+    ]
+    return pa.table(columns, names=[c.split()[0] for c in SWEPT.split(", ")])
+
+
+def neighbours(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Which ranks of documents left in a range meet which ranks of gaps left in ranges before it.
+
+    `counts` holds (range, documents left, gaps left), largest sizes first. Every gap of an earlier range holds every
+    document of a later one, so ranks alone decide. Gives (range, first rank, count, range of the gaps, their first rank)."""
+    open_gaps: list[list[int]] = []
+    runs = []
+    for at, docs, gaps in counts:
+        met = 0
+        while met < docs and open_gaps:
+            n = min(docs - met, open_gaps[-1][1])
+            open_gaps[-1][1] -= n
+            runs.append((at, met, n, open_gaps[-1][0], open_gaps[-1][1]))
+            met += n
+            if not open_gaps[-1][1]:
+                open_gaps.pop()
+        if gaps:
+            open_gaps.append([at, gaps])
+    return runs
+
+
+def next_fit(rows: pa.Table, capacity: int, keep_last: bool) -> pa.Table:
+    """New sequences for documents that no gap holds, filled in order of size; a sequence is named by its first document.
+
+    Without `keep_last` the documents of the last sequence, which is not full, get none."""
+    size, ident = rows["size"].to_numpy(), rows["id"].to_numpy()
+    out, free, name = np.empty(len(size), np.int64), 0, 0
+    order = np.lexsort((ident, -size))
+    for i, n in zip(order.tolist(), size[order].tolist()):
+        if n > free:
+            free, name = capacity, ident[i]
+        out[i] = name
+        free -= n
+    mask = (out == name) if not keep_last and len(out) else np.zeros(len(out), bool)
+    return pa.table({"doc": ident, "size": size, "sequence": pa.array(out, mask=mask)})
+
+
+def _ranges(entries: DataFrame) -> DataFrame:
+    """`entries` (size, gap, id, slot) with `range`: intervals of the descending order of about RANGE_ROWS rows, MOST_RANGES at most.
+
+    One size, however frequent, is dealt over as many ranges as it needs. The driver sees one count a size."""
+    counts = entries.groupBy("size", "gap").agg(F.count(F.lit(1)).alias("n")).collect()  # two rows at most for each size up to the capacity
+    total = sum(r["n"] for r in counts)
+    rows = max(RANGE_ROWS, -(-total // MOST_RANGES))
+    cuts, at, held = [], 0, 0
+    for r in sorted(counts, key=lambda r: (-r["size"], not r["gap"])):
+        if held and held + r["n"] > rows:
+            at, held = at + 1, 0
+        parts = -(-r["n"] // rows)
+        cuts.append((r["size"], r["gap"], at, parts))
+        at, held = (at, held + r["n"]) if parts == 1 else (at + parts, 0)
+    spark = entries.sparkSession
+    cuts = spark.createDataFrame(cuts, "c_size long, c_gap boolean, first long, parts long")
+    placed = entries.join(F.broadcast(cuts), (F.col("size") == F.col("c_size")) & (F.col("gap") == F.col("c_gap")))
+    return placed.select("size", "gap", "id", "slot", (F.col("first") + F.pmod(F.xxhash64("id", "slot"), F.col("parts"))).alias("range"))
+
+
+def superstep(docs: DataFrame, gaps: DataFrame, largest: int) -> tuple[DataFrame, DataFrame]:
+    """Match documents (doc, size) and gaps (sequence, size), each gap's slots once: (doc, size, sequence) of those that
+    found a place, and (doc, size) of those that found none; both written.
+
+    `largest` is the size of the largest document. A gap in which several such fit is offered as several slots."""
+    slots = F.greatest(F.floor(F.col("size") / largest), F.lit(1)).cast("int")
+    offered = gaps.select("sequence", "size", F.explode(F.sequence(F.lit(1), slots)).alias("slot"), slots.alias("slots")).select(
+        F.when(F.col("slot") < F.col("slots"), F.lit(largest)).otherwise(F.col("size") - (F.col("slots") - 1) * largest).cast("long").alias("size"), F.lit(True).alias("gap"), F.col("sequence").alias("id"), "slot"
+    )
+    entries = docs.select("size", F.lit(False).alias("gap"), F.col("doc").alias("id"), F.lit(0).alias("slot")).union(offered)
+    swept = materialize(_ranges(entries).groupBy("range").applyInArrow(sweep_range, SWEPT), "pack-sweep")
+    matched = swept.filter("kind = 'matched'").select("doc", "size", "sequence")
+    counts = swept.filter("kind <> 'matched'").groupBy("range").agg(F.count_if(F.col("kind") == "document").alias("docs"), F.count_if(F.col("kind") == "gap").alias("gaps"))
+    runs = neighbours([tuple(r) for r in counts.orderBy("range").collect()])  # MOST_RANGES rows and about as many sizes
+    left = swept.filter("kind = 'document'").select("doc", "size", "range", "rank")
+    if not runs:
+        return matched, left.select("doc", "size", "range")
+    plan = F.broadcast(docs.sparkSession.createDataFrame([(n, *r) for n, r in enumerate(runs)], "run long, d_range long, d_first long, n long, g_range long, g_first long"))
+    inside = lambda side: (F.col("range") == F.col(f"{side}_range")) & (F.col("rank") >= F.col(f"{side}_first")) & (F.col("rank") < F.col(f"{side}_first") + F.col("n"))
+    ranked = left.join(plan, inside("d"), "left").select("doc", "size", "range", "run", (F.col("rank") - F.col("d_first")).alias("place"))
+    free = swept.filter("kind = 'gap'").select("sequence", "range", "rank").join(plan, inside("g")).select("sequence", "run", (F.col("rank") - F.col("g_first")).alias("place"))
+    met = ranked.filter("run is not null").join(free, ["run", "place"]).select("doc", "size", "sequence")
+    return materialize(matched.union(met), "pack-matched"), materialize(ranked.filter("run is null").select("doc", "size", "range"), "pack-left")
 
 
 def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """`pieces` (doc_id, piece, length, ...) with sequence_id and offset."""
-    spark = pieces.sparkSession
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
-    counts = materialize(salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "pack-lengths")
-    totals = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most `capacity` rows
-    histogram = np.zeros(capacity + 1, np.int64)
-    for row in totals:
-        histogram[row["length"]] = row["n"]
-    runs = plan(histogram)
-    runs_df = spark.createDataFrame(pa.Table.from_pandas(runs, preserve_index=False)).withColumnRenamed("length", "run_length")
-    begins = counts.select(
-        F.col("length").alias("b_length"),
-        F.col("salt").alias("b_salt"),
-        (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("begin"),
-    )
-    local = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = (
-        salted.withColumn("place", F.row_number().over(local))
-        # At most capacity * SALTS rows, and runs bounded by capacity and supersteps: both fit on every executor.
-        .join(F.broadcast(begins), (F.col("length") == F.col("b_length")) & (F.col("salt") == F.col("b_salt")))
-        .withColumn("rank", F.col("begin") + F.col("place") - 1)
-    )
-    return ranked.join(
-        F.broadcast(runs_df),
-        (F.col("length") == F.col("run_length")) & (F.col("rank") >= F.col("rank_lo")) & (F.col("rank") < F.col("rank_hi")),
-    ).select(*pieces.columns, (F.col("sequence_lo") + F.col("rank") - F.col("rank_lo")).alias("sequence_id"), "offset")
+    """`pieces` (length and other columns) with sequence_id and offset."""
+    columns = pieces.columns
+    pieces = materialize(pieces.withColumn("__doc", F.monotonically_increasing_id()), "pack-numbered")
+    sized = pieces.select(F.col("__doc").alias("doc"), F.col("length").alias("size"))
+
+    def open_new(band: DataFrame, keep_last: bool) -> DataFrame:
+        def fill(rows: pa.Table) -> pa.Table:
+            return next_fit(rows, capacity, keep_last)
+
+        ranged = band.select("range", "size", F.col("doc").alias("id")).groupBy("range")
+        return materialize(ranged.applyInArrow(fill, "doc long, size long, sequence long"), "pack-new")
+
+    # Documents over half the capacity open one sequence each: no two fit together.
+    opened = sized.filter(F.col("size") > capacity // 2).select("doc", "size", F.col("doc").alias("sequence"))
+    placed = [opened]
+    gaps = materialize(opened.filter(F.col("size") < capacity).select("sequence", (capacity - F.col("size")).alias("size")), "pack-gaps")
+    largest = capacity // 2
+    while largest:
+        least = largest // 2 if largest > capacity // LAST_BAND else 0
+        band = sized.filter((F.col("size") > least) & (F.col("size") <= largest))
+        most = band.agg(F.max("size")).first()[0]
+        # In the last band the documents of sequences that would not be full are swept once more together.
+        sweeps = SWEEPS + (least == 0)
+        for sweep in range(sweeps if most else 0):
+            matched, band = superstep(band.select("doc", "size"), gaps.filter(F.col("size") > least), most)
+            placed.append(matched)
+            opened = None
+            if sweep >= SWEEPS - 1:
+                opened = open_new(band, keep_last=sweep == sweeps - 1)
+                band, opened = opened.filter("sequence is null"), opened.filter("sequence is not null")
+                placed.append(opened)
+            gaps = _updated(gaps, matched, opened, capacity)
+            most = band.agg(F.max("size")).first()[0] if sweep < sweeps - 1 else None
+            if not most:
+                break
+        largest = least
+    sequence = reduce(DataFrame.union, placed).select(F.col("doc").alias("__doc"), F.col("sequence").alias("sequence_id"))
+    order = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "__doc")
+    return pieces.join(sequence, "__doc").withColumn("offset", F.sum("length").over(order) - F.col("length")).select(*columns, "sequence_id", "offset")
+
+
+def _updated(gaps: DataFrame, matched: DataFrame, new: DataFrame | None, capacity: int) -> DataFrame:
+    """Written table of the gaps (sequence, size) after documents have been placed."""
+    changes = gaps.union(matched.select("sequence", -F.col("size")))
+    if new is not None:
+        changes = changes.union(new.select("sequence", -F.col("size"))).union(new.filter("doc = sequence").select("sequence", F.lit(capacity).cast("long")))
+    return materialize(changes.groupBy("sequence").agg(F.sum("size").alias("size")).filter("size > 0"), "pack-gaps")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None = None) -> DataFrame:
     """One row per piece of every document: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = materialize(token_pieces(docs, capacity, tokenizer_path), "pack-pieces")
-    return assign_sequences(pieces, capacity)
+    return assign_sequences(token_pieces(docs, capacity, tokenizer_path), capacity)

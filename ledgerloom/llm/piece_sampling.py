@@ -1,11 +1,13 @@
 """SentencePiece encoding by forward filtering and backward sampling, and lossless decoding.
 
-A text is cut into words (an optional leading space and letters, or a run of other characters); its
-piece lattice is the product of the words' lattices. Forward filtering sums, at each place of a
+A text is cut only where no piece of the vocabulary crosses, into words with their leading spaces; so its
+piece lattice is the product of the words' lattices. (With a vocabulary whose pieces cross such places, a
+text is one word.) Forward filtering sums, at each place of a
 word, the weights of all ways to reach it; backward sampling walks from the word's end, choosing
 each piece with its share of that sum. The walks of all words of a slice of texts are made together
-on arrays. A draw is a hash of (seed, row key, word number, step), so a row's segmentation is the
-same on any cluster, in any order and after any retry.
+on arrays. A draw is a hash of (seed, row key, word number, step) against whole-numbered shares that
+depend on the word alone, so a row's segmentation is the same on any cluster, in any order and slice,
+and after any retry.
 
 The vocabulary is a BPE model, whose scores are ranks. Weights follow Zipf's law over the ranks:
 (rank + 10) ** -alpha; a larger alpha gives fewer, longer pieces. A character without a piece is
@@ -14,7 +16,7 @@ bytes, and nothing is normalised, so decoding gives the text back byte for byte.
 
 Defined cases: a null text is encoded as the empty one (no ids, lossless) by the query, null stays
 null in `decode_texts`; a null key counts as key 0; equal texts under different keys get their own
-segmentations, repeated rows the same one; other columns are ignored.
+segmentations, repeated rows the same one; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,11 +36,29 @@ BAR = "▁"
 ALPHA = 1.5
 #: Longest piece looked up, in characters.
 LONGEST = 24
-_WORD = re.compile(r" ?\w+| ?[^\w ]+| ")
+_WHOLE = re.compile(r"(?s).+")
+#: Shares of a node's edges are whole numbers up to this.
+_SHARES = 1 << 32
 _NO_PIECE = "\x00"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def word_pattern(pieces: list[str]) -> re.Pattern:
+    """A pattern of words such that no piece crosses from one to the next: spaces, then letters or other marks, which only
+    some letters join to each other: those that stand beside other marks in a piece."""
+    letter = lambda c: re.match(r"\w", c) is not None
+    joiners = {"_"}
+    for piece in pieces:
+        for a, b in zip(piece, piece[1:]):
+            if b == BAR and a != BAR:
+                return _WHOLE
+            if a != BAR and letter(a) != letter(b):
+                joiners.add(a if letter(a) else b)
+    j = "".join(map(re.escape, sorted(joiners)))
+    run, join = rf"(?:[^\W{j}]+|[^\w ]+)", f"[{j}]+"
+    return re.compile(rf" *(?:{run}(?:{join}{run}?)*|(?:{join}{run}?)+)| +")
+
+
 def _slot(h: np.ndarray) -> np.ndarray:
     """Places of hashes in a table of 65,536 bits."""
     return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(48)
@@ -86,6 +106,7 @@ class Lattice:
             raise ValueError("the vocabulary has no piece for some byte")
         self.text_of = [text_of.get(i, b"") for i in range(max(text_of) + 1)]
         self.longest = min(LONGEST, max(map(len, self.weight)))
+        self.word = word_pattern(list(self.weight))
         self.spelled_weight = (len(pieces) + 10.0) ** -alpha
         self.seed = np.uint64(seed * 0x9E3779B97F4A7C15 & (2**64 - 1))
         self.by_length = [self._table(n) for n in range(1, self.longest + 1)]
@@ -110,7 +131,7 @@ class Lattice:
         ends = np.cumsum(lengths)
         first = ends - lengths
         symbol = np.where(code == ord(BAR), 0, code)
-        symbol[first[code[first] == ord(" ")]] = ord(BAR)
+        symbol[code == ord(" ")] = ord(BAR)
         word = np.repeat(np.arange(len(words)), lengths)
         left = ends[word] - np.arange(len(code))  # characters from here to the word's end
         at, h = np.arange(len(code)), np.zeros(len(code), np.uint64)
@@ -138,7 +159,7 @@ class Lattice:
         return source, source + n, start - first[word[start]] + n, weight, piece
 
     def _filtered(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Forward filtering: keys (target node + cumulative share of each edge into it), sources and pieces of all edges."""
+        """Forward filtering: keys (target node and cumulative share of each edge into it), sources and pieces of all edges."""
         source, target, place, weight, piece = self._edges(words)
         sums = np.zeros(sum(map(len, words)) + len(words))
         first = np.cumsum([0, *[len(w) + 1 for w in words[:-1]]])
@@ -152,16 +173,19 @@ class Lattice:
             np.add.at(sums, target[e], way[e])
         order = np.argsort(target, kind="stable")
         target, source, piece, way = target[order], source[order], piece[order], way[order]
-        run = np.cumsum(way / sums[target])
-        last = np.flatnonzero(np.diff(target, append=-1))
-        before = np.repeat(np.concatenate([[0.0], run[last[:-1]]]), np.diff(last, prepend=-1))
-        key = target + np.minimum(run - before, 1.0)
-        key[last] = target[last] + 1.0
-        return key, source, piece
+        begins = np.flatnonzero(np.diff(target, prepend=-1))
+        nth = np.arange(len(target)) - np.repeat(begins, np.diff(np.append(begins, len(target))))
+        run = way.copy()
+        for n in range(1, int(nth.max(initial=0)) + 1):  # each node's edges are summed by themselves
+            at = np.flatnonzero(nth == n)
+            run[at] += run[at - 1]
+        share = np.minimum(run / sums[target] * _SHARES, _SHARES).astype(np.int64)
+        share[np.append(begins[1:], len(target)) - 1] = _SHARES
+        return target * _SHARES + share, source, piece
 
     def _filtered_long(self, word: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """As `_filtered` for one long word, with sums scaled on the way."""
-        s = (BAR + word[1:].replace(BAR, _NO_PIECE)) if word[0] == " " else word.replace(BAR, _NO_PIECE)
+        s = word.replace(BAR, _NO_PIECE).replace(" ", BAR)
         n, weight = len(s), self.weight
         sums = [1.0] + [0.0] * n
         keys, sources, ids = [], [], []
@@ -176,19 +200,19 @@ class Lattice:
             total, run = sum(e[0] for e in edges), 0.0
             for w, start, piece in edges:
                 run += w
-                keys.append(end + min(1.0, run / total))
+                keys.append(end * _SHARES + min(_SHARES, int(run / total * _SHARES)))
                 sources.append(start)
                 ids.append(piece)
-            keys[-1] = end + 1.0
+            keys[-1] = (end + 1) * _SHARES
             sums[end] = total
             if total < 1e-200:  # only relations matter, and no edge reaches back further than the longest piece
                 for i in range(max(0, end - self.longest), end + 1):
                     sums[i] *= 1e200
-        return np.array(keys), np.array(sources, np.int64), np.array(ids, np.int64)
+        return np.array(keys, np.int64), np.array(sources, np.int64), np.array(ids, np.int64)
 
     def encode(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
         """Sampled ids (int64) of each text."""
-        found = [_WORD.findall(t) for t in texts]
+        found = [self.word.findall(t) for t in texts]
         number: dict[str, int] = {}
         index = [number.setdefault(w, len(number)) for words in found for w in words]
         if not index:
@@ -204,7 +228,7 @@ class Lattice:
         for i in np.flatnonzero(lengths > self.SHORT):
             key, source, piece = self._filtered_long(words[i])
             base[i] = nodes
-            tables.append((key + nodes, source + nodes, piece))
+            tables.append((key + nodes * _SHARES, source + nodes, piece))
             nodes += int(lengths[i]) + 1
         edge_key, source, piece = (np.concatenate(x) for x in zip(*tables))
 
@@ -220,9 +244,9 @@ class Lattice:
         taken = np.zeros(len(word), np.int64)
         while len(live):
             step = np.uint64((len(steps) + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
-            draw = (mix64(stream[live] + step) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-            # Edges into node p have keys above p and up to p + 1.
-            edge = np.minimum(np.searchsorted(edge_key, at[live] + draw, side="right"), len(edge_key) - 1)
+            draw = (mix64(stream[live] + step) >> np.uint64(32)).astype(np.int64)
+            # Edges into node p have keys above p and up to p + 1, in units of _SHARES.
+            edge = np.searchsorted(edge_key, at[live] * _SHARES + draw, side="right")
             steps.append((live, piece[edge]))
             taken[live] += 1
             at[live] = source[edge]
@@ -278,6 +302,11 @@ def _slices(batch: pa.RecordBatch, size: int = 1 << 21) -> Iterator[pa.RecordBat
         yield batch.slice(rows[0], len(rows))
 
 
+def _id_lists(ids: list[np.ndarray]) -> pa.Array:
+    cut = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(ids or [np.zeros(0, np.int64)]).astype(np.int32)))
+
+
 def encode_texts(
     docs: DataFrame, model_path: str | None = None, alpha: float = ALPHA, seed: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -289,7 +318,7 @@ def encode_texts(
         for batch in batches:
             for part in _slices(batch):
                 ids = lattice.encode([t or "" for t in part.column(1).to_pylist()], part.column(0).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))], names=[id_col, "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), _id_lists(ids)], names=[id_col, "ids"])
 
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(encode, f"`{id_col}` long, ids array<int>")
 
@@ -308,8 +337,8 @@ def decode_texts(encoded: DataFrame, model_path: str | None = None, id_col: str
 
 
 def encode_digests(docs: DataFrame, model_path: str | None = None, alpha: float = ALPHA, seed: int = 3) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32 (little-endian uint32 ids) and lossless (the decoded ids are the text), one task step
-    for both directions so that ids of all texts are never stored."""
+    """doc_id, ids, n_pieces, ids_crc32 (little-endian uint32 ids) and lossless (the decoded ids are the text), both
+    directions in one task step."""
     shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,10 +349,11 @@ def encode_digests(docs: DataFrame, model_path: str | None = None, alpha: float
                 ids = lattice.encode(texts, part.column(0).to_pylist())
                 columns = [
                     part.column(0),
+                    _id_lists(ids),
                     pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
                     pa.array([lattice.decode(x) == t.encode() for x, t in zip(ids, texts)], pa.bool_()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_pieces", "ids_crc32", "lossless"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_pieces", "ids_crc32", "lossless"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(digest, "doc_id long, n_pieces long, ids_crc32 long, lossless boolean")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(digest, "doc_id long, ids array<int>, n_pieces long, ids_crc32 long, lossless boolean")

@@ -80,26 +80,55 @@ def test_bisection_is_balanced():
     assert ann.balanced_centroids(x, 37).shape == (37, 4)
 
 
-def test_recall_where_most_lists_are_far(spark, tmp_path):
-    """100,000 vectors without clusters: no fixed number of lists would do, and most are not probed."""
-    n, every = 100_000, 400
-    x = np.random.default_rng(11).normal(size=(n, 32))
-    x /= np.linalg.norm(x, axis=1)[:, None]
-    path = str(tmp_path / "vectors.parquet")
-    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(x))}), path, row_group_size=n // 8)
+def recall_and_scan(spark, path, x, every, bound):
+    """Recall@20 against brute force, the share of stored entries that a query meets, and replicas a vector."""
+    n = len(x)
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(x.astype(np.float32)))}), path, row_group_size=n // 8)
     df = spark.read.parquet(path).repartition(8)
-    got = ann.nearest(df, F.col("vec_id") % every == 0).toPandas()
+    x = x.astype(np.float32).astype(float)
+    got = ann.nearest(df, F.col("vec_id") % every == 0, bound=bound).toPandas()
     by = got.groupby("query_id")["vec_id"].apply(set)
     hit = 0
     for row in range(0, n, every):
         s = x @ x[row]
         s[row] = -np.inf
         hit += len(set(np.argpartition(s, -20)[-20:]) & by[row])
-    assert hit / (20 * (n // every)) >= 0.95
-    points = df.withColumn("place", F.lit(1)).withColumnRenamed("embedding", "vec")
-    index = ann.build_index(points)
-    single = ann.Index(index.graph, index.scale, index.bound)
-    assert len(single.probes_of(x[::every])[0]) < 0.5 * (n // every) * len(index.graph.c)
+    index = ann.build_index(df.withColumn("place", F.lit(1)).withColumnRenamed("embedding", "vec"), bound)
+    sizes = np.bincount(index.dealt(x, True)[1])
+    scanned = sizes[index.dealt(x[::every], False)[1]].sum() / (n // every) / sizes.sum()
+    lists = ann.Index(index.graph, index.scale, bound)  # without grouping of short lists
+    return hit / (20 * (n // every)), scanned, len(lists.dealt(x, True)[0]) / n, len(lists.dealt(x[::every], False)[0]) / (n // every) / len(index.graph.c)
+
+
+def test_recall_without_clusters(spark, tmp_path):
+    """60,000 vectors without clusters: the ratio alone decides; it keeps many lists, but not most."""
+    x = np.random.default_rng(11).normal(size=(60_000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    recall, _, replicas, probed = recall_and_scan(spark, str(tmp_path / "v.parquet"), x, 300, ann.IndexBound())
+    assert recall >= 0.9 and replicas > 1.2 and probed < 0.5
+
+
+def test_recall_with_clusters(spark, tmp_path):
+    """Where there are clusters, under 15 percent of the entries are met."""
+    rng = np.random.default_rng(12)
+    centers = rng.normal(size=(600, 32))
+    x = centers[rng.integers(0, 600, 60_000)] + 0.6 * rng.normal(size=(60_000, 32))
+    recall, scanned, replicas, probed = recall_and_scan(spark, str(tmp_path / "v.parquet"), x, 300, ann.IndexBound())
+    assert recall >= 0.9 and scanned < 0.15 and replicas > 1.2 and probed < 0.15
+
+
+def test_long_lists_are_divided(spark, tmp_path):
+    """With few centroids for the table, lists get centroids of their own, and queries go to some of their parts."""
+    rng = np.random.default_rng(13)
+    centers = rng.normal(size=(300, 16))
+    x = centers[rng.integers(0, 300, 30_000)] + 0.3 * rng.normal(size=(30_000, 16))
+    bound = ann.IndexBound(max_lists=6, part_rows=400)
+    assert recall_and_scan(spark, str(tmp_path / "v.parquet"), x, 300, bound)[0] >= 0.9
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert ann.nearest(df, F.col("vec_id") % 20 == 0).count() == 0
 
 
 def test_repeated_ids(spark):

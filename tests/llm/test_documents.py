@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,6 +214,19 @@ def test_sharding(request, spark, which):
         assert r["position"] in place[r["doc_id"], r["text_crc32"]]
 
 
+def test_sharding_deals_repeated_rows(spark):
+    """Rows that repeat an id and a text are dealt over buckets of bounded size, and every row keeps one place."""
+    rows = [(7, "same text " * 20)] * 3000 + [(i, f"text {i}") for i in range(500)] + [(None, None)] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sharding.shard_records(df, shards=3, bucket_bytes=32_000).select("bucket", "size", "position", "doc_id").collect()
+    assert sorted(r["position"] for r in got) == list(range(len(rows)))
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    bytes_of = Counter()
+    for r in got:
+        bytes_of[r["bucket"]] += r["size"]
+    assert max(bytes_of.values()) < 4 * 32_000
+
+
 def test_sharding_empty(empty):
     assert sharding.shard_records(empty).count() == 0
 
@@ -271,12 +285,45 @@ def test_packing_empty(empty):
     assert packing.pack_documents(empty).count() == 0
 
 
-def test_plan_uses_every_rank_once():
-    counts = np.random.default_rng(5).integers(0, 40, 101)
-    runs = packing.plan(counts)
-    for length, group in runs.sort_values("rank_lo").groupby("length"):
-        assert group["rank_lo"].iloc[0] == 0 and group["rank_hi"].iloc[-1] == counts[length]
-        assert (group["rank_lo"].iloc[1:].to_numpy() == group["rank_hi"].iloc[:-1].to_numpy()).all()
+def packed_lengths(spark, lengths, ids, capacity):
+    rows = spark.createDataFrame(list(zip(ids, lengths)), "doc_id long, length long").repartition(4)
+    got = packing.assign_sequences(rows, capacity).collect()
+    assert Counter((r["doc_id"], r["length"]) for r in got) == Counter(zip(ids, lengths))
+    return check_layout(got, capacity)
+
+
+@pytest.mark.parametrize("shape", ["tokens", "halves", "small", "hot"])
+def test_packing_against_sequential_best_fit(spark, monkeypatch, shape):
+    """Within one percent of best-fit decreasing by one process, over many small ranges; one id is on all rows of `hot`."""
+    monkeypatch.setattr(packing, "RANGE_ROWS", 500)
+    rng = np.random.default_rng(7)
+    lengths = {
+        "tokens": np.clip(rng.lognormal(5.8, 1.0, 8000), 1, 2048), "halves": rng.integers(300, 1300, 5000), "small": rng.integers(1, 60, 8000),
+        "hot": np.where(rng.random(6000) < 0.4, 700, rng.integers(1, 2049, 6000)),
+    }[shape].astype(int).tolist()
+    ids = [5 if shape == "hot" else i for i in range(len(lengths))]
+    assert packed_lengths(spark, lengths, ids, 2048) <= 1.01 * len(token_output.best_fit_decreasing(np.array(lengths), 2048)) + 1
+
+
+def test_sweep_takes_the_smallest_gap():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 7, 60):
+        size, gap = rng.integers(1, 20, n), rng.random(n) < 0.5
+        rows = pa.table({"size": size.astype(np.int64), "gap": gap, "id": np.arange(n), "slot": np.zeros(n, np.int32), "range": np.zeros(n, np.int64)})
+        got = packing.sweep_range(rows).to_pylist()
+        free, want = sorted(int(x) for x in size[gap]), []
+        for d in sorted((int(x) for x in size[~gap]), reverse=True):
+            fit = next((g for g in free if g >= d), None)
+            if fit is not None:
+                free.remove(fit)
+                want.append((d, fit))
+        assert sorted((r["size"], int(size[r["sequence"]])) for r in got if r["kind"] == "matched") == sorted(want)
+        assert sorted(r["size"] for r in got if r["kind"] == "gap") == free and len(got) == n - len(want)
+
+
+def test_ranges_left_over_meet_by_rank():
+    runs = packing.neighbours([(0, 2, 3), (1, 2, 0), (2, 0, 4), (3, 6, 1)])
+    assert runs == [(1, 0, 2, 0, 1), (3, 0, 4, 2, 0), (3, 4, 1, 0, 0)]
 
 
 @pytest.mark.parametrize("which", ["documents", "odd"])
@@ -348,6 +395,29 @@ def test_pieces_follow_the_lattice():
         assert abs(seen[ids] / n - p) < 5 * (p * (1 - p) / n) ** 0.5 + 1e-4
 
 
+def test_pieces_do_not_depend_on_the_slice():
+    lattice = piece_sampling.Lattice(piece_sampling.load_pieces(), alpha=0.3)
+    rng = np.random.default_rng(1)
+    texts = ["".join(rng.choice(list("abc de_{}().,  1▁\n"), 200)) for _ in range(300)] + [" " * 90 + "x_{y}" * 30, ""]
+    together = lattice.encode(texts, list(range(len(texts))))
+    for i, t in enumerate(texts):
+        assert (lattice.encode([t], [i])[0] == together[i]).all() and lattice.decode(together[i]) == t.encode()
+
+
+def test_every_piece_can_be_sampled():
+    pieces = piece_sampling.load_pieces()
+    lattice = piece_sampling.Lattice(pieces, alpha=0.01)
+    assert all(len(lattice.word.findall(p.replace(piece_sampling.BAR, " "))) == 1 for p in lattice.weight)
+    reached = {i for p in ("▁▁▁▁", "▁" * 8, "_{", "._", "}_") if p in lattice.weight for i in [lattice.weight[p][1]]}
+    texts = ["x        y", "a_{b}_c", "d._e"] * 3000
+    seen = {int(i) for x in lattice.encode(texts, list(range(len(texts)))) for i in x}
+    assert len(reached) >= 3 and reached <= seen
+
+
+def test_pieces_empty(empty):
+    assert piece_sampling.encode_digests(empty).count() == 0 and piece_sampling.encode_texts(empty).count() == 0
+
+
 # Classifiers
 
 
@@ -402,3 +472,19 @@ def test_jaccard_links_all_sets_of_a_repeated_id(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(df).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 30: 1, 5: 5, 20: 5, 25: 5}
+
+
+def test_jaccard_loose_copies_and_long_words(spark):
+    """Copies that are linked with few of the others, words that a polynomial hash would confuse, and very long words."""
+    rng = np.random.default_rng(17)
+    base = [f"w{rng.integers(5000)}" for _ in range(80)]
+    rows = []
+    for i in range(220):
+        words = list(base)
+        for at in rng.choice(80, int(rng.integers(1, 4)), replace=False):
+            words[at] = f"new{rng.integers(40)}"
+        rows.append((i, " ".join(words)))
+    thue = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
+    other = thue.translate(str.maketrans("ab", "ba"))
+    rows += [(1000, thue), (1001, other), (1002, "x" * 1_000_000), (1003, "x" * 1_000_001), (1004, "y" * 1_000_000), (1005, "X" * 1_000_000)]
+    check_jaccard(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), rows)
