@@ -21,26 +21,27 @@ def checked(value: str, allowed: Sequence[str], what: str) -> str:
     return value
 
 
-def claimable(now: Column, worker: str, include_failed: bool, ids: Sequence | None = None, id_col: str = "id") -> Column:
+def claimable(now: Column, worker: str, include_failed: bool) -> Column:
     """Rows that may be claimed: pending (or failed), or leased by the worker itself or not any more."""
     fresh = F.col("status").isin("pending", *(["failed"] if include_failed else []))
     stale = (F.col("status") == "translating") & ((F.col("lease_until") < now) | (F.col("lease_by") == worker))
-    wanted = F.lit(True) if ids is None else F.col(id_col).isin(*ids)
-    return (fresh | stale) & wanted
+    return fresh | stale
 
 
 def candidates(table: DataFrame, now: Column, worker: str, limit: int, include_failed: bool = False, ids: Sequence | None = None, order: Sequence[str] = ("created_at", "id")) -> DataFrame:
-    """The ids of the oldest claimable rows, `limit` at most."""
-    include_failed = include_failed or ids is not None
-    return table.filter(claimable(now, worker, include_failed, ids)).orderBy(*order).limit(limit).select("id")
+    """The ids of the oldest claimable rows, `limit` at most; of `ids` only, if given, which may be failed ones too."""
+    free = table.filter(claimable(now, worker, include_failed or ids is not None))
+    if ids is not None:
+        free = free.join(table.sparkSession.createDataFrame([(i,) for i in ids], f"id {table.schema['id'].dataType.simpleString()}"), "id", "left_semi")
+    return free.orderBy(*order).limit(limit).select("id")
 
 
 def claim(table: DataFrame, now: Column, worker: str, limit: int, include_failed: bool = False, ids: Sequence | None = None, minutes: int = LEASE_MINUTES) -> DataFrame:
-    """The table after a claim; `claimed` marks the rows that were taken. A batch's ids are few by its limit."""
+    """The table after a claim; `claimed` marks the rows that were taken."""
     taken = candidates(table, now, worker, limit, include_failed, ids).withColumn("claimed", F.lit(True))
     got = F.col("claimed")
     return (
-        table.join(F.broadcast(taken), "id", "left")
+        table.join(taken, "id", "left")
         .withColumn("claimed", F.coalesce("claimed", F.lit(False)))
         .withColumns(
             {

@@ -130,7 +130,10 @@ def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], left_at: str, ri
 def rates_on(dates: DataFrame, rates: DataFrame) -> DataFrame:
     """Rates (rate_date, currency, rate) in force on each day of `dates` (day): the latest day that is not later.
 
-    Each distinct day is matched once; rates are few, one small table of days decides."""
-    days = rates.select("rate_date").distinct()
-    on = dates.select("day").distinct().join(F.broadcast(days), F.col("rate_date") <= F.col("day")).groupBy("day").agg(F.max("rate_date").alias("rate_date"))
-    return on.join(rates, "rate_date")
+    The distinct days of both sides stand in one order and the last published one is carried forward. They are
+    days of a calendar, some thousand at any size of the tables, so one window may hold them."""
+    asked = dates.select("day", F.lit(True).alias("asked"), F.lit(None).cast("date").alias("rate_date"))
+    published = rates.select(F.col("rate_date").alias("day"), F.lit(False).alias("asked"), "rate_date")
+    days = asked.union(published).groupBy("day").agg(F.max("asked").alias("asked"), F.max("rate_date").alias("rate_date"))
+    in_force = F.last("rate_date", ignorenulls=True).over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return days.withColumn("rate_date", in_force).filter("asked and rate_date is not null").select("day", "rate_date").join(rates, "rate_date")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import materialize
+
 
 def last_non_empty(value: str, sequence: str) -> Column:
     """Aggregate: the value of the last row in which it is not empty, else ''."""
@@ -37,16 +39,32 @@ def top_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     return rows.withColumn("__n", F.row_number().over(window)).filter(F.col("__n") <= n).drop("__n")
 
 
+def placed(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """The place of each row within its key, from 0, as `name`; end the order with a unique column.
+
+    Rows are range-sorted over all tasks by key and order, so one frequent key is dealt over many; a place is the rows of
+    the key in earlier parts, one small count a key and part, and the row's distance from the key's first in its own."""
+    ordered = rows.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    # Written once: both uses below must see the same parts.
+    ordered = materialize(ordered.withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()}), "placed-rows")
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = ordered.groupBy(*keys, "__part").agg(F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    begins = begins.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    begins = begins.select(*[F.col(k).alias(f"__key{n}") for n, k in enumerate(keys)], F.col("__part").alias("__of"), "__first", "__before")
+    same = F.col("__part") == F.col("__of")
+    for n, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"__key{n}"))
+    return ordered.join(begins, same).withColumn(name, F.col("__before") + F.col("__row") - F.col("__first")).select(*rows.columns, name)
+
+
 def numbered(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], prefix: str, name: str) -> DataFrame:
     """Labels prefix0, prefix1, ... within each key."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn(name, F.concat(F.lit(prefix), (F.row_number().over(window) - 1).cast("string")))
+    return placed(rows, keys, order, name).withColumn(name, F.concat(F.lit(prefix), F.col(name).cast("string")))
 
 
 def chunked(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], size: int, name: str = "chunk") -> DataFrame:
     """Number of the chunk of `size` rows that each row falls in, counted within each key."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn(name, F.floor((F.row_number().over(window) - 1) / size))
+    return placed(rows, keys, order, name).withColumn(name, F.floor(F.col(name) / size))
 
 
 def unique_terms(terms: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.merge import first_per_key
@@ -91,5 +91,5 @@ def claimable_after(tasks: DataFrame, needs: str, unless: str, task_type: str) -
 
 def superseded(built: DataFrame, key: str = "native_id", at: str = "created_at", tie: str = "id") -> DataFrame:
     """Built records with their state: the latest of each key is current, those before it are superseded."""
-    latest = first_per_key(built, [key], [F.col(at).desc(), F.col(tie).desc()]).select("id", F.lit("current").alias("state"))
-    return built.join(latest, "id", "left").withColumn("state", F.coalesce("state", F.lit("superseded")))
+    newest = Window.partitionBy(key).orderBy(F.col(at).desc(), F.col(tie).desc())
+    return built.withColumn("state", F.when(F.row_number().over(newest) == 1, "current").otherwise("superseded"))

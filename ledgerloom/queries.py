@@ -2,39 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom import registry_queries
 from ledgerloom.functions import domains, money, scoring, text
 from ledgerloom.operators import claims, lookups, merge, states, upsert
 from ledgerloom.plans import discovery, registries, translation
+from ledgerloom.registration import ORACLE_SQL, QUERIES, joined, registered
 from ledgerloom.session import shared_path
 from ledgerloom.sources import pages as page_source
 from ledgerloom.sources.tables import table
 from ledgerloom.streaming import pull
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def registered(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(query: Query) -> Query:
-        QUERIES[query.__name__] = query
-        if sql is not None:
-            ORACLE_SQL[query.__name__] = sql
-        return query
-
-    return add
-
-
-def joined(x: Column) -> Column:
-    """An array as one string, so that engines compare it alike."""
-    return F.array_join(x, "|")
-
-
 # Upserts and sinks
 
 
@@ -309,14 +289,14 @@ def as_of_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @registered("""
-WITH r AS (SELECT CAST(ts AS DATE) AS rate_date, event_type AS currency, max(value) AS rate FROM events WHERE event_id % 97 = 0 GROUP BY 1, 2),
+WITH r AS (SELECT CAST(ts AS DATE) AS rate_date, event_type AS currency, max(value) AS rate FROM events WHERE event_type IN ('purchase', 'error') AND value > 60 GROUP BY 1, 2),
 d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events), m AS (SELECT day, max(rate_date) AS rate_date FROM d JOIN r ON rate_date <= day GROUP BY 1)
 SELECT m.day, rate_date, currency, rate FROM m JOIN r USING (rate_date)
 """)
 def rates_on(spark: SparkSession, sf: str) -> DataFrame:
     """Rates in force on each day: the latest published day that is not later."""
     e = table(spark, sf, "events")
-    rates = e.filter("event_id % 97 = 0").groupBy(F.to_date("ts").alias("rate_date"), F.col("event_type").alias("currency")).agg(F.max("value").alias("rate"))
+    rates = e.filter("event_type in ('purchase', 'error') and value > 60").groupBy(F.to_date("ts").alias("rate_date"), F.col("event_type").alias("currency")).agg(F.max("value").alias("rate"))
     return lookups.rates_on(e.select(F.to_date("ts").alias("day")), rates).select("day", "rate_date", "currency", "rate")
 
 
@@ -379,15 +359,15 @@ def asset_state(spark: SparkSession, sf: str) -> DataFrame:
 
 @registered(f"""
 WITH {_TASKS}, a AS (SELECT raw_id, arg_max(id, (ts, id)) AS artifact_id FROM t WHERE task_type = 'view' GROUP BY 1),
-k AS (SELECT raw_id, arg_max(status, (ts, id)) AS task_status FROM t WHERE task_type = 'click' AND id % 40 < 20 GROUP BY 1)
+k AS (SELECT raw_id, arg_max(status, (ts, id)) AS task_status FROM t WHERE task_type = 'click' GROUP BY 1)
 SELECT c_custkey AS raw_id, coalesce(task_status, 'pending') AS task_status, artifact_id
-FROM customer LEFT JOIN k ON k.raw_id = c_custkey LEFT JOIN a ON a.raw_id = c_custkey WHERE c_custkey % 5 <> 0
+FROM customer LEFT JOIN k ON k.raw_id = c_custkey LEFT JOIN a ON a.raw_id = c_custkey WHERE c_acctbal >= 0
 """)
 def asset_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Current records with their task state and latest artifact."""
     t = _tasks(spark, sf)
-    raw = table(spark, sf, "customer").select(F.col("c_custkey").alias("raw_id"), (F.col("c_custkey") % 5 != 0).alias("is_current"))
-    tasks = merge.first_per_key(t.filter("task_type = 'click' and id % 40 < 20"), ["raw_id"], [F.desc("ts"), F.desc("id")])
+    raw = table(spark, sf, "customer").select(F.col("c_custkey").alias("raw_id"), (F.col("c_acctbal") >= 0).alias("is_current"))
+    tasks = merge.first_per_key(t.filter("task_type = 'click'"), ["raw_id"], [F.desc("ts"), F.desc("id")])
     artifacts = t.filter("task_type = 'view'").withColumn("created_at", F.col("ts"))
     return states.asset_rows(raw, tasks, artifacts).select("raw_id", "task_status", "artifact_id")
 
@@ -395,11 +375,11 @@ def asset_rows(spark: SparkSession, sf: str) -> DataFrame:
 @registered(f"""
 WITH {_TASKS} SELECT id, raw_id FROM t WHERE task_type = 'click' AND status = 'pending'
 AND EXISTS (SELECT 1 FROM t d WHERE d.raw_id = t.raw_id AND d.task_type = 'signup' AND d.status IN ('succeeded', 'skipped', 'failed_terminal'))
-AND NOT EXISTS (SELECT 1 FROM t u WHERE u.raw_id = t.raw_id AND u.task_type = 'view' AND u.status = 'succeeded' AND u.id % 4 = 0)
+AND NOT EXISTS (SELECT 1 FROM t u WHERE u.raw_id = t.raw_id AND u.task_type = 'view' AND u.status = 'succeeded')
 """)
 def claimable_after(spark: SparkSession, sf: str) -> DataFrame:
     """Pending tasks whose record has one finished task and lacks another's success."""
-    t = _tasks(spark, sf).filter("not (task_type = 'view' and status = 'succeeded' and id % 4 <> 0)")
+    t = _tasks(spark, sf)
     return states.claimable_after(t, "signup", "view", "click").select("id", "raw_id")
 
 
@@ -423,14 +403,15 @@ def superseded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @registered("""
-WITH i AS (SELECT user_id, CASE WHEN event_type = 'error' AND event_id % 3 > 0 THEN 'failed' WHEN event_type = 'view' THEN 'skipped' ELSE 'succeeded' END AS s FROM events WHERE user_id % 3 = 0 OR event_type = 'error'),
-c AS (SELECT user_id, count(*) FILTER (s = 'succeeded') AS completed, count(*) FILTER (s = 'failed') AS failed, count(*) FILTER (s = 'skipped') AS skipped FROM i GROUP BY 1)
+WITH i AS (SELECT user_id, event_type, CASE WHEN event_type = 'error' AND value > 20 THEN 'failed' WHEN event_type = 'view' THEN 'skipped' WHEN value < 10 THEN 'failed' ELSE 'succeeded' END AS s FROM events),
+c AS (SELECT user_id, event_type, count(*) FILTER (s = 'succeeded') AS completed, count(*) FILTER (s = 'failed') AS failed, count(*) FILTER (s = 'skipped') AS skipped FROM i GROUP BY 1, 2)
 SELECT *, CASE WHEN failed = 0 THEN 'succeeded' WHEN completed + skipped = 0 THEN 'failed' ELSE 'partial' END AS status FROM c
 """)
 def batch_status(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events").filter("user_id % 3 = 0 or event_type = 'error'")
-    s = F.when((F.col("event_type") == "error") & (F.col("event_id") % 3 > 0), "failed").when(F.col("event_type") == "view", "skipped").otherwise("succeeded")
-    return states.batch_status(e.select("user_id", s.alias("status")), ["user_id"])
+    """Batches by user and kind of event: all well, all failed, or in part."""
+    kind, value = F.col("event_type"), F.col("value")
+    s = F.when((kind == "error") & (value > 20), "failed").when(kind == "view", "skipped").when(value < 10, "failed").otherwise("succeeded")
+    return states.batch_status(table(spark, sf, "events").select("user_id", "event_type", s.alias("status")), ["user_id", "event_type"])
 
 
 @registered("""
@@ -734,7 +715,7 @@ def streamed_upsert(spark: SparkSession, sf: str) -> DataFrame:
         F.col("user_id").cast("string").alias("native_id"), F.sha2("props", 256).alias("payload_hash"), F.col("ts").alias("last_seen_at"), F.lit("stream").alias("run_id")
     )
     empty = spark.createDataFrame([], rows.schema)
-    sink = pull.SnapshotSink(shared_path(spark, "stream-snapshots"), empty, lambda t, r: upsert.upsert_by_hash(t, r, "native_id"))
+    sink = pull.SnapshotSink(shared_path(spark, "stream-snapshots"), empty, lambda t, r: upsert.upsert_by_hash(t, r, "native_id"), "native_id")
     query = pull.run_available(rows, sink, shared_path(spark, "stream-checkpoint"))
     return sink.snapshot(spark, query.lastProgress["batchId"] if query.lastProgress else 0)
 
@@ -754,8 +735,13 @@ def streamed_fail_once(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(outcomes.schema).parquet(path)
 
 
-@registered()
+@registered("SELECT o_orderkey AS item, CAST((o_custkey + o_orderkey) % 3 AS INTEGER) AS attempt FROM orders")
 def retried_items(spark: SparkSession, sf: str) -> DataFrame:
     """Items that a flaky service leaves unanswered are sent again, three rounds in all."""
-    items = table(spark, sf, "orders").select(F.col("o_orderkey").alias("item"))
-    return pull.retry_missing(items, lambda left, attempt: left.filter(F.pmod(F.xxhash64("item"), F.lit(3)) <= attempt).withColumn("attempt", F.lit(attempt)), "item", 3)
+    items = table(spark, sf, "orders").select(F.col("o_orderkey").alias("item"), (F.col("o_custkey") + F.col("o_orderkey")).alias("load"))
+    answered = lambda left, attempt: left.filter(F.col("load") % 3 <= attempt).select("item", F.lit(attempt).alias("attempt"))
+    return pull.retry_missing(items, answered, "item", 3)
+
+
+#: Both modules register into the same two tables.
+__all__ = ["ORACLE_SQL", "QUERIES", "registry_queries"]

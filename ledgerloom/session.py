@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A temporary one is made only where the
-    session names none, as in tests on one machine."""
+    """The folder that driver and executors share. Where the session names none, a temporary one is
+    made on one machine, as in tests; a cluster has to name one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="ledgerloom-")
         spark.conf.set("spark.checkpoint.dir", path)
         atexit.register(shutil.rmtree, path, ignore_errors=True)
@@ -32,3 +34,13 @@ def materialize(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
     path = shared_path(spark, tag)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more."""
+    for table in tables:
+        spark, files = table.sparkSession, table.inputFiles()
+        own = f"{shared_dir(spark)}/ledgerloom/".split(":")[-1].lstrip("/")
+        if files and own in files[0]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

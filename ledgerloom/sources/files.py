@@ -8,6 +8,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import itertools
 import json
 import re
 import zipfile
@@ -18,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILES = "source string, dataset string, file_path string, snapshot_id string, sha256 string, format string, source_url string"
+#: Keys under which registries' documents hold their records.
+WRAPPERS = ("data", "records", "_embedded.enheter")
 RECORDS = "source string, dataset string, snapshot_id string, file_ord int, record_no long, record string"
 
 
@@ -69,39 +72,45 @@ def opened(content: bytes, sha256: str | None, kind: str) -> bytes:
 
 
 def json_elements(text: str, wrappers: Sequence[str]) -> Iterator[str]:
-    """Exact texts of a document's records: an array's elements, those of the wrapper keys, or the document itself."""
-    decoder, space = json.JSONDecoder(), re.compile(r"\s*")
+    """Exact texts of a document's records: an array's elements, those of the wrapper keys, or the document itself.
 
-    def elements(at: int) -> Iterator[str]:
-        at = space.match(text, at + 1).end()
-        while text[at] != "]":
+    A wrapper may be a path of keys, such as `outer.inner`."""
+    decoder, space = json.JSONDecoder(), re.compile(r"\s*")
+    skip = lambda at: space.match(text, at).end()
+
+    def members(at: int, named: bool) -> Iterator[tuple[str | None, int, int]]:
+        """(key, start, end) of what stands in the array or object that begins at `at`."""
+        at = skip(at + 1)
+        while text[at] not in "]}":
+            key = None
+            if named:
+                key, at = decoder.raw_decode(text, at)
+                at = skip(skip(at) + 1)
             _, end = decoder.raw_decode(text, at)
-            yield text[at:end]
-            at = space.match(text, end).end()
+            yield key, at, end
+            at = skip(end)
             if text[at] == ",":
-                at = space.match(text, at + 1).end()
-
-    start = space.match(text).end()
+                at = skip(at + 1)
+
+    def wrapped(at: int, path: str) -> Iterator[tuple[int, int]]:
+        """Places of the arrays under the wrappers."""
+        for key, start, end in members(at, True):
+            full = f"{path}{key}"
+            if full in wrappers and text[start] == "[":
+                yield start, end
+            elif text[start] == "{" and any(w.startswith(f"{full}.") for w in wrappers):
+                yield from wrapped(start, f"{full}.")
+
+    start = skip(0)
     if start == len(text):
         return
-    if text[start] == "[":
-        yield from elements(start)
-        return
-    if text[start] != "{":
+    if text[start] not in "[{":
         raise ValueError("neither a JSON array nor an object")
-    at, found = space.match(text, start + 1).end(), False
-    while text[at] != "}":
-        key, end = decoder.raw_decode(text, at)
-        at = space.match(text, space.match(text, end).end() + 1).end()
-        if key in wrappers and text[at] == "[":
-            found = True
-            yield from elements(at)
-        _, end = decoder.raw_decode(text, at)
-        at = space.match(text, end).end()
-        if text[at] == ",":
-            at = space.match(text, at + 1).end()
-    if not found:
-        yield text[start : at + 1]
+    arrays = [(start, len(text))] if text[start] == "[" else list(wrapped(start, ""))
+    for at, _ in arrays:
+        yield from (text[a:b] for _, a, b in members(at, False))
+    if not arrays:
+        yield text[start : decoder.raw_decode(text, start)[1]]
 
 
 def _contents(spark: SparkSession, files: DataFrame) -> DataFrame:
@@ -114,7 +123,16 @@ def _contents(spark: SparkSession, files: DataFrame) -> DataFrame:
     return joined.withColumn("kind", compression(F.col("content"), F.col("format"), F.col("file_path")))
 
 
-def json_records(spark: SparkSession, files: DataFrame, wrappers: Sequence[str] = ("data", "records")) -> DataFrame:
+def _frames(f, records: Iterator[str], size: int = 10_000) -> Iterator[pd.DataFrame]:
+    """A file's records with their places, some thousand at a time."""
+    for n in itertools.count(0, size):
+        some = list(itertools.islice(records, size))
+        if not some:
+            return
+        yield pd.DataFrame({"source": f.source, "dataset": f.dataset, "snapshot_id": f.snapshot_id, "file_ord": f.file_ord, "record_no": range(n, n + len(some)), "record": some})
+
+
+def json_records(spark: SparkSession, files: DataFrame, wrappers: Sequence[str] = WRAPPERS) -> DataFrame:
     """All records of JSON and JSON-lines files with their place (file_ord, record_no)."""
     wrappers = tuple(wrappers)
 
@@ -123,9 +141,7 @@ def json_records(spark: SparkSession, files: DataFrame, wrappers: Sequence[str]
             for f in batch.itertuples():
                 text = opened(f.content, f.sha256, f.kind).decode("utf-8-sig")
                 lines = (x for x in text.split("\n") if x.strip()) if is_json_lines(f.format or "", f.file_path) else json_elements(text, wrappers)
-                rows = [(f.source, f.dataset, f.snapshot_id, f.file_ord, n, r) for n, r in enumerate(lines)]
-                for start in range(0, len(rows), 10_000):
-                    yield pd.DataFrame(rows[start : start + 10_000], columns=["source", "dataset", "snapshot_id", "file_ord", "record_no", "record"])
+                yield from _frames(f, lines)
 
     return _contents(spark, files).mapInPandas(cut, RECORDS)
 
@@ -142,11 +158,8 @@ def csv_records(spark: SparkSession, files: DataFrame, separator: str, header_na
                 text = opened(f.content, f.sha256, f.kind).decode("utf-8-sig")
                 reader = csv.reader(io.StringIO(text, newline=""), delimiter=separator, skipinitialspace=True)
                 names = [header_name(h) for h in next(reader, [])]
-                rows = []
-                for n, values in enumerate(r for r in reader if r):
-                    record = {k: v.strip() for k, v in zip(names, values) if k and v.strip()}
-                    rows.append((f.source, f.dataset, f.snapshot_id, f.file_ord, n, json.dumps(record, sort_keys=True, separators=(",", ":"), ensure_ascii=False)))
-                yield pd.DataFrame(rows, columns=["source", "dataset", "snapshot_id", "file_ord", "record_no", "record"])
+                records = ({k: v.strip() for k, v in zip(names, values) if k and v.strip()} for values in reader if values)
+                yield from _frames(f, (json.dumps(r, sort_keys=True, separators=(",", ":"), ensure_ascii=False) for r in records))
 
     return _contents(spark, files).mapInPandas(cut, RECORDS)
 

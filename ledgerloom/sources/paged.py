@@ -1,7 +1,8 @@
 """Cursor-paged list APIs as a streaming source: the offset is the cursor, so Spark's checkpoint resumes it.
 
 Pages of a date bucket are read until one is short; a bucket that reaches the API's last page goes on
-from the day after the last record's date. The page reader is injected, nothing here opens a connection."""
+from the last record's date, whose records are then read again (the sinks drop known ones). A single day
+that fills all pages cannot be read whole this way, so it raises. The page reader is injected, nothing here opens a connection."""
 
 from __future__ import annotations
 
@@ -30,13 +31,15 @@ BRREG, COMPANIES_HOUSE = Paging(200, 49), Paging(100, 99)
 
 
 def next_cursor(cursor: dict, records: list[dict], paging: Paging) -> dict:
-    """Where to go on after a page. The cursor holds date, page and done."""
+    """Where to go on after a page. The cursor holds date, page and done. No record is passed over."""
     if len(records) < paging.page_size:
         return {**cursor, "done": True}
     if cursor["page"] < paging.last_page:
         return {**cursor, "page": cursor["page"] + 1}
-    day = dt.date.fromisoformat(records[-1]["date"][:10]) + dt.timedelta(days=1)
-    return {"date": day.isoformat(), "page": 0, "done": False}
+    day = dt.date.fromisoformat(records[-1]["date"][:10]).isoformat()
+    if day == cursor["date"]:
+        raise ValueError(f"{day} has more records than the {paging.last_page + 1} pages that the API serves; narrow the request")
+    return {"date": day, "page": 0, "done": False}
 
 
 def row_of(record: dict) -> tuple:

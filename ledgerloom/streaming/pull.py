@@ -5,27 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-
-class SnapshotSink:
-    """foreachBatch sink over versioned snapshots: batch n writes folder n from folder n - 1.
-
-    A batch that runs again overwrites its own folder from the same predecessor, so the effect is
-    exactly once. `merge(table, rows)` gives the next snapshot."""
-
-    def __init__(self, path: str, empty: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]):
-        self.path, self.empty, self.merge = path.rstrip("/"), empty, merge
-
-    def snapshot(self, spark: SparkSession, version: int) -> DataFrame:
-        return self.empty if version < 0 else spark.read.schema(self.empty.schema).parquet(f"{self.path}/v={version}")
-
-    def __call__(self, rows: DataFrame, batch: int) -> None:
-        table = self.snapshot(rows.sparkSession, batch - 1)
-        self.merge(table, rows).write.mode("overwrite").parquet(f"{self.path}/v={batch}")
+from ledgerloom.session import materialize
+from ledgerloom.streaming.snapshots import SnapshotSink
 
 
 def run_available(stream: DataFrame, sink: SnapshotSink, checkpoint: str) -> StreamingQuery:
@@ -52,10 +38,15 @@ def fail_once(calls: DataFrame) -> DataFrame:
 
 
 def retry_missing(items: DataFrame, call: Callable[[DataFrame, int], DataFrame], key: str, most_attempts: int) -> DataFrame:
-    """Answers of `call(items, attempt)`; items without one are sent again, `most_attempts` rounds in all."""
+    """Answers of `call(items, attempt)`; items without one are sent again, `most_attempts` rounds in all.
+
+    Each round's answers are written before the next begins, so an item is sent once a round, whatever the service answers."""
     answers, left = None, items
     for attempt in range(most_attempts):
-        got = call(left, attempt)
+        got = materialize(call(left, attempt), "retry-answers")
         answers = got if answers is None else answers.unionByName(got)
-        left = items.join(answers.select(key), key, "left_anti")
+        if attempt < most_attempts - 1:
+            left = materialize(left.join(got.select(key), key, "left_anti"), "retry-left")
+            if left.isEmpty():
+                break
     return answers

@@ -30,6 +30,10 @@ def test_json_elements_keep_their_text():
     assert list(files.json_elements(' {"meta":{"data":[9]}, "data":[ {"x":1} ,{"x":2}], "n":1}', ("data",))) == ['{"x":1}', '{"x":2}']
     assert list(files.json_elements('{"x":1}', ("data",))) == ['{"x":1}'] and list(files.json_elements("[]", ())) == [] and list(files.json_elements("  ", ())) == []
 
+    wrapped = '{"page":{"n":2}, "_embedded" : {"other":[1], "enheter": [ {"x": 1}, {"x":2} ]}, "_links":{}}'
+    assert list(files.json_elements(wrapped, files.WRAPPERS)) == ['{"x": 1}', '{"x":2}']
+    assert list(files.json_elements('{"_embedded":{"enheter":[]}}', files.WRAPPERS)) == []
+
 
 def test_gleif_shapes(spark, tmp_path):
     records = [
@@ -126,7 +130,9 @@ def test_cursor():
     page = [{"id": 1, "date": "2026-01-01"}, {"id": 2, "date": "2026-01-31"}]
     c = {"date": "2026-01-01", "page": 0, "done": False}
     assert paged.next_cursor(c, page, p)["page"] == 1
-    assert paged.next_cursor({**c, "page": 1}, page, p) == {"date": "2026-02-01", "page": 0, "done": False}
+    assert paged.next_cursor({**c, "page": 1}, page, p) == {"date": "2026-01-31", "page": 0, "done": False}
+    with pytest.raises(ValueError, match="2026-01-31"):  # no record of a day is passed over
+        paged.next_cursor({"date": "2026-01-31", "page": 1, "done": False}, page, p)
     assert paged.next_cursor(c, page[:1], p)["done"]
 
 
@@ -138,7 +144,7 @@ def test_paged_stream_resumes(spark, tmp_path):
 
     spark.dataSource.register(paged.paged_source("test_pages", read_page, paged.Paging(2, 50), "2026-01-01"))
     rows = spark.readStream.format("test_pages").load()
-    sink = pull.SnapshotSink(str(tmp_path / "t"), spark.createDataFrame([], rows.schema), lambda t, r: t.unionByName(r).dropDuplicates(["native_id"]))
+    sink = pull.SnapshotSink(str(tmp_path / "t"), spark.createDataFrame([], rows.schema), lambda t, r: t.unionByName(r).dropDuplicates(["native_id"]), "native_id", buckets=4)
     query = rows.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "c")).start()
     query.processAllAvailable()
     last = query.lastProgress["batchId"] if query.lastProgress else 0
