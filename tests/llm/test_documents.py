@@ -488,3 +488,78 @@ def test_jaccard_loose_copies_and_long_words(spark):
     other = thue.translate(str.maketrans("ab", "ba"))
     rows += [(1000, thue), (1001, other), (1002, "x" * 1_000_000), (1003, "x" * 1_000_001), (1004, "y" * 1_000_000), (1005, "X" * 1_000_000)]
     check_jaccard(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), rows)
+
+
+def brute_codes(text):
+    """Hashed n-grams of a text, one by one."""
+    data, out = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()), set()
+    for n in toxicity.SIZES:
+        for i in range(len(data) - n + 1):
+            h = (int.from_bytes(data[i : i + n], "big") + (n << 56)) * 0x9E3779B97F4A7C15 % 2**64
+            h ^= h >> 32
+            out.add((h * 0xBF58476D1CE4E5B9 % 2**64) >> (64 - toxicity.BITS))
+    return out
+
+
+def test_toxicity_by_brute_force(odd, odd_rows):
+    rows = [(t, i % 2) for i, (_, t) in enumerate(odd_rows) if t and len(t) < 6000]
+    sample = odd.sparkSession.createDataFrame(rows, "text string, toxic int").repartition(3)
+    want = defaultdict(lambda: [0, 0])
+    for t, y in rows:
+        for c in brute_codes(t):
+            want[c][y] += 1
+    got = {r["code"]: [r["clean"], r["toxic"]] for r in toxicity.class_counts(sample).collect()}
+    assert got == dict(want)
+    rng = np.random.default_rng(0)
+    pick = np.full(1 << toxicity.BITS, -1, np.int32)
+    codes = rng.choice(sorted(want), 200, replace=False)
+    pick[codes] = np.arange(200)
+    model = toxicity.Model(pick, rng.normal(size=200), -0.7)
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score_texts(odd, model).collect() if r["doc_id"] is not None}
+    for i, t in odd_rows:
+        if i is not None:
+            z = -0.7 + sum(model.weight[pick[c]] for c in brute_codes(t) if pick[c] >= 0)
+            assert abs(scored[i] - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_language_id_by_brute_force(odd, odd_rows):
+    """The whole query's scores against the network itself, run window by window over bytes cut in plain Python."""
+    net = langid.ByteCNN(["aa", "bb", "cc"], seed=9)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict_languages(odd, net).collect()}
+    step = langid.WINDOW - max(langid.WIDTHS) + 1
+    for i, t in odd_rows:
+        if i is None or not t or not any(c.isalpha() for c in t):
+            continue
+        data, windows, at = t.encode(), [], 0
+        while True:
+            windows.append(data[at : at + langid.WINDOW].ljust(langid.WINDOW, b"\0"))
+            if at + langid.WINDOW >= len(data):
+                break
+            at += step
+        hidden = net._pooled(np.array([list(w) for w in windows], np.uint8))[3]
+        logits = hidden @ net.p["out"] + net.p["out_bias"]
+        mean = (logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))).mean(axis=0)
+        prob = np.exp(mean) / np.exp(mean).sum()
+        assert got[i][0] == net.languages[prob.argmax()] and abs(got[i][1] - prob.max()) < 1e-3
+
+
+def test_every_labelled_language_is_learned(spark):
+    rows = [(i, "".join(chr(0x100 + i % 130 + k % 3) for k in range(40)), f"l{i % 130:03d}") for i in range(130 * 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = langid.labelled_sample(df, langid.TrainingBound(per_language=5))
+    assert sample["lang"].nunique() == 130 and sample.groupby("lang").size().max() == 5
+
+
+def test_without_labels_no_document_goes(odd):
+    kept = langid.keep_languages(odd, langid.train(langid.labelled_sample(odd.withColumn("lang", F.lit(None).cast("string")))), 0.4)
+    assert kept.count() == odd.count() and kept.columns == odd.columns
+
+
+def test_dedup_against_its_sql(spark, small):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    answer = con.execute(queries.ORACLE_SQL["op8_exact_dedup"])
+    names = [c[0] for c in answer.description]
+    assert sorted(answer.fetchall()) == sorted(tuple(r) for r in queries.QUERIES["op8_exact_dedup"](spark, small).select(*names).collect())
