@@ -49,7 +49,7 @@ class IndexBound:
     replicas: int = 3
     replicate: float = 1.15
     closer: float = 0.5
-    prune: float = 1.12
+    prune: float = 1.16
     least_probes: int = 4
     beam: int = 160
     part_rows: int = 4_096

@@ -112,7 +112,7 @@ def test_recall_with_clusters(spark, tmp_path):
     """Where there are clusters, under 15 percent of the entries are met."""
     rng = np.random.default_rng(12)
     centers = rng.normal(size=(600, 32))
-    x = centers[rng.integers(0, 600, 60_000)] + 0.6 * rng.normal(size=(60_000, 32))
+    x = centers[rng.integers(0, 600, 60_000)] + 0.3 * rng.normal(size=(60_000, 32))
     recall, scanned, replicas, probed = recall_and_scan(spark, str(tmp_path / "v.parquet"), x, 300, ann.IndexBound())
     assert recall >= 0.9 and scanned < 0.15 and replicas > 1.2 and probed < 0.15
 
