@@ -33,10 +33,11 @@ CAPACITY = 2048
 END_ID = 0
 #: Rows of a range, more if there would be more than MOST_RANGES ranges.
 RANGE_ROWS, MOST_RANGES = 1 << 15, 4096
-#: Times that what is left of a band is swept against the updated gaps before it opens new sequences.
-SWEEPS = 2
+#: Times that a band is swept against the gaps before what is left of it opens new sequences. More change little, since a
+#: gap is offered as all the slots that the band's largest document leaves room for.
+SWEEPS = 1
 #: Documents of at most the capacity's share 1 / LAST_BAND are one band.
-LAST_BAND = 32
+LAST_BAND = 16
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
