@@ -50,8 +50,8 @@ MOST_FREQUENT = 400_000
 #: Distinct shingles of documents that a task counts together, and the count below which it reports nothing.
 COUNTED, LEAST_COUNT = 1_500_000, 3
 #: Leaders that each node is compared with, by round. In a loose group a node may miss any one leader, so those that are
-#: left after the first round try several at once.
-LEADERS = (1, 6, 24)
+#: left after the first round try several at once. What is still left then is derived from the groups that were found.
+LEADERS = (1, 8)
 #: Bits of the map of ids that tells tasks which documents to read again, so that what is broadcast is bounded (4 MB).
 #: What it lets pass by chance is dropped by a join.
 ID_BITS = 1 << 25
