@@ -222,17 +222,18 @@ class Index:
 def build_index(points: DataFrame, bound: IndexBound = IndexBound()) -> Index | None:
     """Fit centroids on a bounded sample of the distinct vectors (chosen by hash of id and vector)."""
     first = points.filter("place = 1")
+    square = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
     largest = F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double"))))
-    norm = largest * F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + (x / largest) * (x / largest)))
-    stats = first.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("norm")).first()
+    stats = first.agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("square"), F.max(largest).alias("largest"), F.max(F.size("vec")).alias("d")).first()
     if not stats["n"]:
         return None
+    norm = np.sqrt(stats["square"])
+    scale = float(norm if np.isfinite(norm) else min(1e308, stats["largest"] * np.sqrt(stats["d"])))  # squares may overflow
     share = 0.95 * bound.sample_rows * (1 << 30) / stats["n"]
     chosen = first.filter(F.pmod(F.xxhash64("vec_id", "vec"), F.lit(1 << 30)) < share) if share < (1 << 30) else first
     sample = chosen.select("vec_id", "vec").limit(bound.sample_rows).toArrow().sort_by("vec_id")
     x = _matrix(sample["vec"])
     lists = max(1, min(bound.max_lists, stats["n"] // bound.list_rows, max(1, len(x) // 4)))
-    scale = min(float(stats["norm"]), 1e308)
     together = max(1, bound.part_rows * lists // (2 * stats["n"]))  # bisection numbers neighbouring lists in a row
     return Index(CentroidGraph(balanced_centroids(lifted(x, scale, True), lists)), scale, bound, together)
 
