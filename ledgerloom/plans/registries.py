@@ -176,7 +176,7 @@ ARIREGISTER_SCALARS = ["legal_name", "registration_status", "legal_form", "vat_n
 
 
 def ariregister_header(header: str) -> str:
-    name = header.removeprefix("﻿").strip().lower()
+    name = header.removeprefix("\ufeff").strip().lower()
     return next((k for k, names in ARIREGISTER_HEADERS.items() if name in names), name.replace(" ", "_"))
 
 
