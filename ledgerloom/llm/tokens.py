@@ -15,7 +15,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: White space on which Python and the tokenizer may differ.
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _MARKS = frozenset(".,;:!?")
 
 

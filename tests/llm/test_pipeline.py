@@ -39,3 +39,12 @@ def test_language_stage_keeps_clean(spark, documents, small):
     kept = corpus_pipeline.language_id(spark, documents, small)
     assert kept.count() >= 0.97 * documents.count()
     assert langid.UNDETERMINED == "und"
+
+
+def test_pipeline_empty(spark, empty, small):
+    docs = empty
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, small)
+        assert name == "packing" or out.columns == empty.columns
+        docs = corpus_pipeline.materialize(out, f"empty-{name}")
+        assert docs.count() == 0
