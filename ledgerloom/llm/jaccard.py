@@ -51,7 +51,7 @@ MOST_FREQUENT = 400_000
 COUNTED, LEAST_COUNT = 1_500_000, 3
 #: Leaders that each node is compared with, by round. In a loose group a node may miss any one leader, so those that are
 #: left after the first round try several at once. What is still left then is derived from the groups that were found.
-LEADERS = (1, 8)
+LEADERS = (1, 16)
 #: Bits of the map of ids that tells tasks which documents to read again, so that what is broadcast is bounded (4 MB).
 #: What it lets pass by chance is dropped by a join.
 ID_BITS = 1 << 25
@@ -444,12 +444,20 @@ def late_links(sets: DataFrame, postings: DataFrame, groups: DataFrame) -> DataF
     links = links.union(near.filter(linked).select("node_a", "node_b"))
     worth = 7 * F.col("common") - 3 * (F.col("n_a") + F.col("n_b"))
     rest = near.filter(~linked & (worth + F.col("gain_b") >= 0)).select("a", "b", F.col("node_a").alias("u"), worth.alias("worth"), F.concat("only_a", "only_b").alias("differs"))
-    # x must share so many of its differences, even with a y that is all but linked with L; so part of them will do, first what it has beyond L.
+    rest = materialize(rest, "jaccard-rest")
+    # A linked pair shares m differences with 7 m >= loss + 3 |beyond| + 4 |lacks| of x, so also 4 m >= loss. In one order of
+    # differences, rarest in the group first, the first shared one stands early in both.
     beyond, lacks = F.size("beyond"), F.size("lacks")
-    part = beyond + lacks - F.ceil((1 + 3 * beyond + 4 * lacks) / 7).cast("int") + 1
-    index = groups.filter(part > 0).select(F.col("head").alias("b"), F.col("d").alias("x"), F.explode(F.slice(F.concat("beyond", "lacks"), F.lit(1), part)).alias("token"))
-    probe = rest.select("a", "b", F.explode("differs").alias("token"))
-    met = probe.join(index, ["b", "token"]).select("a", "b", "x").distinct()
+    loss = rest.groupBy("b").agg(F.min(-F.col("worth")).alias("loss"))
+    asked = groups.withColumnRenamed("head", "b").join(loss, "b").withColumn("keep", beyond + lacks - F.ceil((F.col("loss") + 3 * beyond + 4 * lacks) / 7) + 1)
+    each = asked.filter("keep > 0").select("b", F.col("d").alias("x"), "keep", F.explode(F.concat("beyond", "lacks")).alias("token"))
+    each = materialize(each.withColumn("seen", F.count(F.lit(1)).over(Window.partitionBy("b", "token"))), "jaccard-differences")
+    seen = each.groupBy("b", "token").agg(F.max("seen").alias("seen"))
+    early = lambda *key: F.row_number().over(Window.partitionBy(*key).orderBy("seen", "token")) <= F.col("keep")
+    index = each.withColumn("early", early("b", "x")).filter("early").select("b", "token", "x")
+    own = rest.select("a", "b", (F.size("differs") + F.floor(F.col("worth") / 4) + 1).alias("keep"), F.explode("differs").alias("token"))
+    own = own.join(seen, ["b", "token"], "left").withColumn("seen", F.coalesce("seen", F.lit(0))).withColumn("early", early("a", "b"))
+    met = own.filter("early and seen > 0").select("a", "b", "token").join(index, ["b", "token"]).select("a", "b", "x").distinct()
     both = met.join(rest, ["a", "b"]).join(groups.select(F.col("d").alias("x"), F.col("node").alias("v"), "beyond", "lacks"), "x")
     shared = F.size(F.array_intersect(F.concat("beyond", "lacks"), "differs"))
     return links.union(both.filter(F.col("worth") + 7 * shared - 3 * beyond - 4 * lacks >= 0).select("u", "v"))
