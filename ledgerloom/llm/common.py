@@ -58,6 +58,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]], ends - ends[0]
 
 
+def bit_map(rows: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A map of `bits` bits, a multiple of 32,768, in which those that the column names are set; built by the executors."""
+    place = F.col(column) + 1
+    maps = rows.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    out = np.zeros((bits >> 15, 4096), np.uint8)
+    for row in maps:
+        out[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64 over an unsigned array: a bijection that spreads every bit."""
     x = x.astype(np.uint64, copy=True)
@@ -69,4 +79,4 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-__all__ = ["discard", "id_crc", "is_held_out", "join_uneven", "materialize", "mix64", "prepare", "read_table", "shared_dir", "shared_path", "text_bytes"]
+__all__ = ["bit_map", "discard", "id_crc", "is_held_out", "join_uneven", "materialize", "mix64", "prepare", "read_table", "shared_dir", "shared_path", "text_bytes"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import ann, exact_dedup, jaccard, langid, packing, piece_sampling, secret_scan, sharding, token_output, toxicity
+from ledgerloom.llm import ann, exact_dedup, fill_in_middle, importance, jaccard, langid, packing, piece_sampling, secret_scan, sharding, suffix_dedup, token_output, toxicity
 from ledgerloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return cut.select(F.col("others.doc_id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    digests = [F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"), F.sha2(fill_in_middle.restored().cast("binary"), 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -88,6 +105,9 @@ QUERIES: dict[str, Query] = {
         op8_exact_dedup,
         op9_secret_scan,
         op10_toxicity,
+        op11_importance_resampling,
+        op12_suffix_dedup,
+        op13_fill_in_middle,
     )
 }
 
@@ -103,5 +123,22 @@ WITH n AS (
   FROM n
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g
+""",
+    "op13_fill_in_middle": r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents
+), h AS (
+  SELECT *, CAST('0x' || x[1:8] AS BIGINT) % (n + 1) AS c1, CAST('0x' || x[9:16] AS BIGINT) % (n + 1) AS c2,
+         CAST('0x' || x[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || x[25:32] AS BIGINT) % 100 AS h4 FROM t
+), f AS (
+  SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b,
+         CASE WHEN n = 0 OR regexp_matches(t, '<[PSM]>') OR h3 >= 90 THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h
+), p AS (
+  SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1, n - b) AS suffix FROM f
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM p
 """,
 }
