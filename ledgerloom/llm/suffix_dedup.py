@@ -2,21 +2,22 @@
 
 *Where repeats can be.* A window's anchor is its leftmost gram of the least hash, so equal windows have equal anchors at equal
 places. Anchors are counted by hash; only around those that occur again can a window repeat. An anchor's surroundings are
-the bytes of all windows that it can be the anchor of. Surroundings that are equal as a whole repeat as a whole, which a
+the bytes of all windows whose anchor it is. Surroundings that are equal as a whole repeat as a whole, which a
 count of their digests shows. What is left are surroundings that differ somewhere, one of each: they are divided into parts
-by where a window begins, and a part counts only if its core, the bytes common to all its windows, is that of another part.
+by where a window begins, and a part counts only if its core, the bytes common to all windows that can begin there, is that
+of another part.
 
-*Suffix arrays.* Parts with equal cores go to one shard, or to several if they are more than a shard holds. A shard sorts the
-suffixes of its parts by Larsson-Sadakane refinement: doubling depths, in each only what is still unsorted. Common prefixes of neighbours
-follow by Kasai's argument: places whose preceding bytes differ are compared, all others follow from the place before.
-Runs of common prefixes of at least a window are equal windows.
+*Suffix arrays.* Parts with equal cores go to one shard, or to several if they are more than a shard holds. The core's bytes
+stand as its digest. A shard sorts the suffixes of its parts by Larsson-Sadakane refinement: doubling depths, in each only what is
+still unsorted. Common prefixes of neighbours follow by Kasai's argument: places whose preceding bytes differ are compared, all
+others follow from the place before. Runs of common prefixes of at least a window are equal windows.
 
 *Merging.* Windows of cores that are dealt over several shards are merged: each shard sends one of each of its distinct
 windows, which its core and the few bytes beside it determine, in sorted runs, cut into slices by content; a task merges the runs
 of a slice by binary search. So no task holds more than a shard or a slice, however often a passage occurs.
 
-Digests of whole surroundings, parts and cores have 128 bits. Broadcast is one bit map of a fixed size, which tells the tasks
-what surroundings to send; what it lets pass by chance is dropped by a join.
+Digests of whole surroundings, parts and cores have 128 bits. Broadcast are two bit maps of a fixed size, which tell the tasks
+what anchors occur again and what surroundings to send; what they let pass by chance drops out by exact counts and a join.
 
 Defined cases: a null text is the empty one; texts shorter than a window keep all; repeated rows are places of their own, so both
 go; overlapping occurrences within a text count; a text of any length is read whole, in pieces of CHUNK windows; what is
@@ -27,6 +28,7 @@ their names, and ids may be null or repeat.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +44,7 @@ GRAM, PARTS = 160, 8
 #: Windows whose anchors are found together; places of their grams have to fit in _PLACE bits.
 CHUNK, _PLACE = 1 << 19, 20
 #: Parts that one shard sorts, and windows of a slice that a task merges.
-SHARD, SLICE = 2048, 1 << 15
+SHARD, SLICE = 8192, 1 << 15
 #: Bits of the map of the surroundings that are wanted (4 MB).
 MAP_BITS = 1 << 25
 
@@ -75,10 +77,12 @@ class Anchors:
         np.cumsum(_VALUES[data] * self.up[: len(data)], out=sums[1:])
         return mix64((sums[self.gram :] - sums[: -self.gram]) * self.down[: len(data) - self.gram + 1])
 
-    def find(self, data: np.ndarray, valid: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the anchors of all (valid) windows of at most CHUNK + window - 1 bytes, in order, and their hashes."""
+    def find(self, data: np.ndarray, valid: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """Places of the anchors of all (valid) windows of at most CHUNK + window - 1 bytes, in order, the starts of the first and
+        last window of each, and their hashes."""
+        none = np.zeros(0, np.int64)
         if len(data) < self.window:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return none, none, none, np.zeros(0, np.uint64)
         hashes = self.hashes(data)
         least = (hashes & ~_BELOW) | np.arange(len(hashes), dtype=np.uint64)
         span = 1
@@ -88,15 +92,17 @@ class Anchors:
         if span < self.grams:
             least = np.minimum(least[: -(self.grams - span)], least[self.grams - span :])
         places = (least & _BELOW).astype(np.int64)
-        if valid is not None:
-            places = places[valid[: len(places)]]
+        start = np.arange(len(places)) if valid is None else np.flatnonzero(valid[: len(places)])
+        places = places[start]
         if not len(places):
-            return places, np.zeros(0, np.uint64)
-        places = places[np.concatenate([[True], places[1:] != places[:-1]])]
-        return places, hashes[places]
-
-    def of_texts(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(text, place in it, hash) of all anchors of some texts, a few hundred thousand windows at a time."""
+            return none, none, none, np.zeros(0, np.uint64)
+        heads = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
+        places = places[heads]
+        return places, start[heads], start[np.append(heads[1:] - 1, len(start) - 1)], hashes[places]
+
+    def of_texts(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(text, place in it, starts of the first and last window, hash) of the anchors of some texts, a few hundred thousand windows at
+        a time. Where a long text is cut, an anchor may come twice, with windows on both sides."""
         sizes = np.diff(offsets)
         part = (np.cumsum(sizes) - 1) // (CHUNK // 2)
         edges = np.append(np.searchsorted(part, np.unique(part)), len(sizes)).tolist()
@@ -104,60 +110,71 @@ class Anchors:
             if sizes[a:b].sum() <= CHUNK:
                 start, stop = int(offsets[a]), int(offsets[b])
                 own = np.arange(stop - start) + self.window <= np.repeat(offsets[a + 1 : b + 1] - start, sizes[a:b])
-                places, hashes = self.find(data[start:stop], own)
+                places, first, last, hashes = self.find(data[start:stop], own)
                 text = np.searchsorted(offsets[a : b + 1] - start, places, side="right") - 1 + a
-                yield text, places + start - offsets[text], hashes
+                before = offsets[text] - start
+                yield text, places - before, first - before, last - before, hashes
                 continue
             for i in range(a, b):  # the last text of a part may reach far beyond it
-                last = -1
                 for at in range(0, max(int(sizes[i]) - self.window + 1, 0), CHUNK):
-                    places, hashes = self.find(data[offsets[i] + at : offsets[i] + min(at + CHUNK + self.window - 1, int(sizes[i]))])
-                    places = places + at
-                    new = places > last  # an anchor of windows on both sides of the cut comes twice
-                    last = int(places[-1])
-                    yield np.full(int(new.sum()), i), places[new], hashes[new]
+                    places, first, last, hashes = self.find(data[offsets[i] + at : offsets[i] + min(at + CHUNK + self.window - 1, int(sizes[i]))])
+                    yield np.full(len(places), i), places + at, first + at, last + at, hashes
 
 
 def digest(content: bytes, before: int) -> bytes:
     return hashlib.blake2b(content, digest_size=16, salt=before.to_bytes(8)).digest()
 
 
+def hash_bits(hashes: np.ndarray) -> np.ndarray:
+    """The bit of a hash in the map."""
+    return (hashes & np.uint64(MAP_BITS - 1)).astype(np.int64)
+
+
 def place_bits(row: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """The bit of an anchor in the map."""
+    """The bit of surroundings in the map; they are known by where they begin."""
     return (mix64(mix64(row.astype(np.uint64)) + place.astype(np.uint64)) & np.uint64(MAP_BITS - 1)).astype(np.int64)
 
 
-def anchors_of(docs: DataFrame, window: int, gram: int, wanted=None) -> DataFrame:
-    """Anchors (row, place, hash, whole, bit) of `docs` (row, text); `whole` is the digest of an anchor's surroundings.
+def anchors_of(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """The hash of every anchor of `docs` (row, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Anchors(window, gram)
+        for batch in batches:
+            for *_, hashes in finder.of_texts(*text_bytes(batch.column(0))):
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["hash"])
 
-    With `wanted`, a broadcast map, only (row, place, before, content) of those whose bit is set: the surroundings themselves and
-    how many of their bytes stand before the anchor."""
+    return docs.select("text").mapInArrow(run, "hash long")
+
+
+def surroundings_of(docs: DataFrame, window: int, gram: int, wanted, by_hash: bool) -> DataFrame:
+    """Anchors of `docs` (row, text) that a broadcast map wants, and what surrounds them.
+
+    By hash: (row, place, before, after, hash, whole, bit), `whole` being the digest of the surroundings, of which `before` bytes stand
+    before the anchor and `after` from it on. Else by place: (row, place, before, content) with the surroundings themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder, reach = Anchors(window, gram), window - gram
+        finder = Anchors(window, gram)
         for batch in batches:
             rows = batch.column(0).to_numpy()
             data, offsets = text_bytes(batch.column(1))
-            sizes, view = np.diff(offsets), memoryview(data)
-            for text, place, hashes in finder.of_texts(data, offsets):
-                bit = place_bits(rows[text], place)
-                if wanted is not None:
-                    some = (wanted.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-                    text, place = text[some], place[some]
-                before = np.minimum(place, reach)
-                first = offsets[text] + place - before
-                last = offsets[text] + np.minimum(place + window, sizes[text])
-                pieces = [bytes(view[a:b]) for a, b in zip(first.tolist(), last.tolist())]
-                if wanted is not None:
-                    columns = [pa.array(rows[text]), pa.array(place), pa.array(before), pa.array(pieces, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["row", "place", "before", "content"])
-                else:
+            view = memoryview(data)
+            for text, place, first, last, hashes in finder.of_texts(data, offsets):
+                bit = hash_bits(hashes) if by_hash else place_bits(rows[text], first)
+                some = (wanted.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+                text, place, first, last, hashes = (x[some] for x in (text, place, first, last, hashes))
+                before = place - first
+                begin, end = offsets[text] + first, offsets[text] + last + window
+                pieces = [bytes(view[a:b]) for a, b in zip(begin.tolist(), end.tolist())]
+                columns = {"row": pa.array(rows[text]), "place": pa.array(place), "before": pa.array(before)}
+                if by_hash:
                     whole = [digest(p, n) for p, n in zip(pieces, before.tolist())]
-                    after = last - first - before
-                    columns = [pa.array(rows[text]), pa.array(place), pa.array(hashes.view(np.int64)), pa.array(whole, pa.binary()), pa.array(bit), pa.array(before), pa.array(after)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["row", "place", "hash", "whole", "bit", "before", "after"])
+                    columns |= {"after": pa.array(last + window - place), "hash": pa.array(hashes.view(np.int64)), "whole": pa.array(whole, pa.binary()), "bit": pa.array(place_bits(rows[text], first))}
+                else:
+                    columns |= {"content": pa.array(pieces, pa.binary())}
+                yield pa.RecordBatch.from_pydict(columns)
 
-    schema = "row long, place long, hash long, whole binary, bit long, before long, after long" if wanted is None else "row long, place long, before long, content binary"
+    schema = "row long, place long, before long, after long, hash long, whole binary, bit long" if by_hash else "row long, place long, before long, content binary"
     return docs.select("row", "text").mapInArrow(run, schema)
 
 
@@ -255,20 +272,23 @@ def repeats(group: np.ndarray, row: np.ndarray, place: np.ndarray) -> np.ndarray
 SHARDED = "whole binary, first long, last long, core binary, start long, beside binary, row long, place long, repeated boolean, sub int"
 
 
-def shard_windows(rows: pa.Table, window: int) -> pa.Table:
+def shard_windows(rows: pa.Table) -> pa.Table:
     """What repeats in a shard of parts: starts, against its anchor, of a part's first and last repeated window.
 
-    Of cores that are dealt over several shards also the windows, one of each that repeats here and all others: core, start, the
-    bytes beside the core, and the text and place where it stands."""
-    contents = rows["content"].to_pylist()
-    low, core_from, core_to, row, anchor = (rows[c].to_numpy() for c in ("low", "core_from", "core_to", "row", "place"))
+    A part stands as the bytes before its core, the core's digest, and the bytes after it, so `span`, the length of its windows, is
+    counted in these. Of cores that are dealt over several shards also the windows, one of each that repeats here and all others:
+    core, start, the bytes beside the core, and the text and place where it stands."""
+    left, core, right = (rows[c].to_pylist() for c in ("left", "core", "right"))
+    low, spans, row, anchor = (rows[c].to_numpy() for c in ("low", "span", "row", "place"))
+    contents = [b"".join(x) for x in zip(left, core, right)]
     sizes = np.array([len(c) for c in contents], np.int64)
     data = np.frombuffer(b"".join(contents), np.uint8)
     part_end = np.cumsum(sizes)
     ends = np.repeat(part_end, sizes)
     order = suffix_array(data, ends)
-    holds = (ends - np.arange(len(data)) >= window)[order]  # suffixes that begin with a window
-    shared = (common_prefixes(data, ends, order) >= window)[holds]
+    span = np.repeat(spans, sizes)[order]
+    holds = (ends - np.arange(len(data)))[order] >= span  # suffixes that begin with a window
+    shared = (common_prefixes(data, ends, order) >= span)[holds]
     at = order[holds]
     group = np.cumsum(~shared)
     part = np.searchsorted(part_end, at, side="right")
@@ -279,26 +299,24 @@ def shard_windows(rows: pa.Table, window: int) -> pa.Table:
     known[group[repeated | rows["repeated"].to_numpy(zero_copy_only=False)[part]]] = True
     repeated = known[group]
 
-    first, last = np.full(len(sizes), window), np.full(len(sizes), -window)
+    far = np.iinfo(np.int64).max
+    first, last = np.full(len(sizes), far), np.full(len(sizes), -far)
     np.minimum.at(first, part[repeated], start[repeated])
     np.maximum.at(last, part[repeated], start[repeated])
     some = np.flatnonzero(first <= last)
-    found = rows.select(["whole"]).take(some)
-    none = lambda kind: pa.nulls(len(some), kind)
-    types = [(c.split()[0], {"binary": pa.binary(), "long": pa.int64(), "boolean": pa.bool_(), "int": pa.int32()}[c.split()[1]]) for c in SHARDED.split(", ")]
-    columns = [found["whole"], pa.array(first[some]), pa.array(last[some]), *[none(kind) for _, kind in types[3:]]]
-    out = [pa.table(columns, schema=pa.schema(types))]
+    kinds = {"binary": pa.binary(), "long": pa.int64(), "boolean": pa.bool_(), "int": pa.int32()}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in SHARDED.split(", "))])
+    found = [rows["whole"].take(some), pa.array(first[some]), pa.array(last[some]), *[pa.nulls(len(some), f.type) for f in list(schema)[3:]]]
+    out = [pa.table(found, schema=schema)]
     if rows["parts"][0].as_py() > 1:
-        heads = np.concatenate([[True], group[1:] != group[:-1]])
-        sent = np.flatnonzero(heads | ~repeated)
-        whole, cores = rows["whole"].to_pylist(), rows["core"].to_pylist()
-        made = []
+        sent = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]) | ~repeated)
+        whole, sub, made = rows["whole"].to_pylist(), rows["sub"][0].as_py(), []
         for i in sent.tolist():
             p, s = part[i], int(start[i])
-            content, begin = contents[p], int(low[p])
-            beside = content[s - begin : core_from[p] - begin] + content[core_to[p] - begin : s + window - begin]
-            made.append((whole[p], None, None, cores[p], s, beside, int(row[i]), int(place[i]), bool(repeated[i]), rows["sub"][0].as_py()))
-        out.append(pa.table([pa.array(c, kind) for c, (_, kind) in zip(zip(*made), types)], schema=pa.schema(types)))
+            beside = left[p][s - low[p] :]
+            beside += right[p][: spans[p] - len(core[p]) - len(beside)]
+            made.append((whole[p], None, None, core[p], s, beside, int(row[i]), int(place[i]), bool(repeated[i]), sub))
+        out.append(pa.table([pa.array(c, f.type) for c, f in zip(zip(*made), schema)], schema=schema))
     return pa.concat_tables(out)
 
 
@@ -331,68 +349,70 @@ def _slice(content: str, begin: Column, end: Column, before: Column) -> Column:
     return F.substring(F.col(content), (before + begin + 1).cast("int"), (end - begin).cast("int"))
 
 
-def part_digests(around: DataFrame, window: int, gram: int, parts: int) -> DataFrame:
-    """Written table: the parts of surroundings, with starts of their first and last window, and digests of core and part."""
+def surrounded_parts(around: DataFrame, window: int, gram: int, parts: int) -> DataFrame:
+    """Written table: the parts of surroundings, with the starts of their first and last window, the digest of the core, and the
+    bytes of their windows to the left and to the right of it."""
     reach = window - gram
     cuts = [-reach + j * (reach + 1) // parts for j in range(parts + 1)]
     ranges = F.array(*[F.struct(F.lit(j).alias("part_no"), F.lit(cuts[j]).alias("least"), F.lit(cuts[j + 1] - 1).alias("most")) for j in range(parts) if cuts[j] < cuts[j + 1]])
     each = around.withColumn("after", F.length("content") - F.col("before")).select("*", F.inline(ranges))
     each = each.withColumns({"low": F.greatest("least", -F.col("before")), "high": F.least(F.col("most"), F.col("after") - window)}).filter("low <= high")
-    hashed = lambda *c: F.unhex(F.md5(F.concat(*c)))
-    before = F.col("before")
-    core = hashed(F.encode(F.col("part_no").cast("string"), "utf-8"), _slice("content", F.col("most"), F.col("least") + window, before))
-    part = hashed(F.encode(F.concat(F.col("low").cast("string"), F.lit(":")), "utf-8"), _slice("content", F.col("low"), F.col("high") + window, before))
-    columns = ["whole", "n", "row", "place", "low", "high", F.col("most").alias("core_from"), (F.col("least") + window).alias("core_to")]
-    return materialize(each.select(*columns, core.alias("core"), part.alias("part")), "suffix-parts")
+    low, high, least, most = (F.col(c) for c in ("low", "high", "least", "most"))
+    core = F.unhex(F.md5(F.concat(F.encode(F.col("part_no").cast("string"), "utf-8"), _slice("content", most, least + window, F.col("before")))))
+    left, right = _slice("content", low, most, F.col("before")), _slice("content", least + window, high + window, F.col("before"))
+    span = (most - least + F.length("core")).cast("long").alias("span")
+    columns = ["whole", "n", "row", "place", low.cast("long").alias("low"), high.cast("long").alias("high"), span, "core", left.alias("left"), right.alias("right")]
+    return materialize(each.withColumn("core", core).select(*columns), "suffix-parts", "zstd")
 
 
 def differing(around: DataFrame, window: int, gram: int, parts: int, shard: int, slice_rows: int) -> DataFrame:
     """(whole, from, to) of surroundings that differ from all others: the bytes, against the anchor, that repeated windows cover."""
-    each = part_digests(around, window, gram, parts)
-    one = F.min(F.struct("row", "place", "whole", "low", "high", "core_from", "core_to")).alias("one")
-    distinct = materialize(each.groupBy("core", "part").agg(F.sum("n").alias("copies"), F.count(F.lit(1)).alias("wholes"), one), "suffix-distinct-parts")
-    covered = lambda df, a, b: df.select("whole", F.col(a).cast("long").alias("from"), (F.col(b) + window).cast("long").alias("to"))
-    equal = distinct.filter("copies > 1").select("core", "part", "wholes")
-    out = covered(join_uneven(each, equal, ["core", "part"], "wholes"), "low", "high")
+    each = surrounded_parts(around, window, gram, parts)
+    same = ["core", "low", "left", "right"]  # equal parts have equal windows
+    one = F.min(F.struct("row", "place", "whole", "high", "span")).alias("one")
+    distinct = materialize(each.groupBy(*same).agg(F.sum("n").alias("copies"), F.count(F.lit(1)).alias("wholes"), one), "suffix-distinct-parts", "zstd")
+    covered = lambda df, a, b: df.select("whole", F.col(a).alias("from"), (F.col(b) + window).alias("to"))
+    out = covered(join_uneven(each, distinct.filter("copies > 1").select(*same, "wholes"), same, "wholes"), "low", "high")
 
     cores = distinct.groupBy("core").agg(F.count(F.lit(1)).alias("members"), F.count_if(F.col("copies") == 1).alias("single")).filter("members > 1 and single > 0")
-    cores = materialize(cores.select("core", "members", F.ceil(F.col("members") / shard).cast("int").alias("parts"), F.ceil(F.col("members") * (window - gram) / parts / slice_rows).cast("int").alias("slices")), "suffix-cores")
+    in_slices = F.ceil(F.col("members") * math.ceil((window - gram + 1) / parts) / slice_rows).cast("int")
+    cores = materialize(cores.select("core", "members", F.ceil(F.col("members") / shard).cast("int").alias("parts"), in_slices.alias("slices")), "suffix-cores")
     total = cores.agg(F.sum("members").alias("n")).first()["n"] or 0
     if not total:
         return out
-    shards = -(-total // shard)
-    met = join_uneven(distinct.select("core", "part", (F.col("copies") > 1).alias("repeated"), "one.*"), cores, ["core"], "members")
+    met = join_uneven(distinct.select(*same, (F.col("copies") > 1).alias("repeated"), "one.*"), cores, ["core"], "members")
     split = F.col("parts") > 1
     dealt = met.withColumns({
-        "shard": F.when(split, F.lit(-1)).otherwise(F.pmod(F.xxhash64("core"), F.lit(shards))),
-        "sub": F.when(split, F.pmod(F.xxhash64("part"), F.col("parts"))).otherwise(F.lit(0)).cast("int"),
+        "shard": F.when(split, F.lit(-1)).otherwise(F.pmod(F.xxhash64("core"), F.lit(-(-total // shard)))),
+        "sub": F.when(split, F.pmod(F.xxhash64("left", "right", "low"), F.col("parts"))).otherwise(F.lit(0)).cast("int"),
         "of": F.when(split, F.col("core")),
-    }).drop("part")
-    text = around.select("whole", "before", "content")
-    content = _slice("content", F.col("low"), F.col("high") + window, F.col("before")).alias("content")
-    wanted = ["whole", "core", "repeated", "row", "place", "low", "core_from", "core_to", "parts", "shard", "sub", "of"]
-    sorted_ = dealt.join(text, "whole").select(*wanted, content).groupBy("shard", "sub", "of").applyInArrow(lambda rows: shard_windows(rows, window), SHARDED)
-    sorted_ = materialize(sorted_, "suffix-shards")
+    })
+    wanted = ["whole", "core", "repeated", "row", "place", "low", "span", "left", "right", "parts", "shard", "sub", "of"]
+    sorted_ = materialize(dealt.select(*wanted).groupBy("shard", "sub", "of").applyInArrow(shard_windows, SHARDED), "suffix-shards")
     out = out.union(covered(sorted_.filter("core is null"), "first", "last"))
-    several = cores.filter(split).select("core", "slices", (F.col("members") * (window - gram)).alias("weight"))
-    windows = join_uneven(sorted_.filter("core is not null").drop("first", "last"), several, ["core"], "weight")
+    several = cores.filter(split).select("core", "slices", "members")
+    windows = join_uneven(sorted_.filter("core is not null").drop("first", "last"), several, ["core"], "members")
     windows = windows.withColumn("slice", F.pmod(F.xxhash64("start", "beside"), F.col("slices"))).drop("slices")
     return out.union(covered(windows.groupBy("core", "slice").applyInArrow(merged_windows, "whole binary, first long, last long"), "first", "last"))
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int | None = None, parts: int = PARTS, shard: int = SHARD, slice_rows: int = SLICE) -> DataFrame:
-    """row, spans (start and end in bytes, not yet united) of the rows of `docs` (row, text; read twice) that hold repeated windows."""
+    """row, spans (start and end in bytes, not yet united) of the rows of `docs` (row, text; read three times) that hold repeated windows."""
     gram = gram or max(1, window * GRAM // WINDOW)
-    anchors = materialize(anchors_of(docs, window, gram), "suffix-anchors", "zstd")
+    broadcast = docs.sparkSession.sparkContext.broadcast
+    seen = anchors_of(docs, window, gram).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    wanted = broadcast(bit_map(seen.select(F.col("hash").bitwiseAND(F.lit(MAP_BITS - 1)).alias("bit")), "bit", MAP_BITS))
+    anchors = materialize(surroundings_of(docs, window, gram, wanted, True), "suffix-anchors", "zstd")
     one = F.min(F.struct("row", "place", "bit")).alias("one")
-    cells = anchors.groupBy("hash", "whole").agg(F.count(F.lit(1)).alias("n"), one, F.min("before").alias("before"), F.min("after").alias("after"))
+    same = ["hash", "whole", "before", "after"]  # the digest alone decides
+    cells = anchors.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), one)
     cells = materialize(cells, "suffix-surroundings", "zstd")
     covered = cells.filter("n > 1").select("whole", (-F.col("before")).alias("from"), F.col("after").alias("to"))
     several = cells.groupBy("hash").agg(F.count(F.lit(1)).alias("wholes"), F.count_if(F.col("n") == 1).alias("single")).filter("wholes > 1 and single > 0")
     several = materialize(several.select("hash", "wholes"), "suffix-hashes")
-    open_ = materialize(join_uneven(cells.select("hash", "whole", "n", "one.*"), several, ["hash"], "wholes").select("whole", "n", "row", "place", "bit"), "suffix-open")
-    wanted = docs.sparkSession.sparkContext.broadcast(bit_map(open_, "bit", MAP_BITS))
-    around = anchors_of(docs, window, gram, wanted).join(open_.drop("bit"), ["row", "place"])
+    open_ = materialize(join_uneven(cells.select("hash", "whole", "before", "n", "one.*"), several, ["hash"], "wholes").select("whole", "before", "n", "row", "place", "bit"), "suffix-open")
+    wanted = broadcast(bit_map(open_, "bit", MAP_BITS))
+    around = surroundings_of(docs, window, gram, wanted, False).join(open_.drop("bit"), ["row", "place", "before"])
     around = materialize(around, "suffix-around", "zstd")
     covered = covered.union(differing(around, window, gram, parts, shard, slice_rows))
     ranges = covered.groupBy("whole").agg(F.min("from").alias("from"), F.max("to").alias("to"))

@@ -175,18 +175,22 @@ def test_suffix_arrays_and_common_prefixes(seed):
 
 
 def test_anchors_do_not_depend_on_how_texts_are_cut(monkeypatch):
+    """Each window of each text has one anchor, the same in whatever pieces the texts are read."""
     rng = np.random.default_rng(1)
-    texts = [bytes(rng.integers(97, 101, n, dtype=np.uint8)) for n in (0, 5, 19, 20, 700, 3000, 40, 41, 0, 2500)]
+    texts = [bytes(rng.integers(97, 101, n, dtype=np.uint8)) for n in (0, 5, 19, 20, 700, 3000, 40, 41, 0, 2500)] + [b"z" * 90]
     data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
 
-    def all_anchors():
-        return [x for t, p, h in suffix_dedup.Anchors(20, 6).of_texts(data, offsets) for x in zip(t.tolist(), p.tolist(), h.tolist())]
+    def anchor_of_windows():
+        found = [x for columns in suffix_dedup.Anchors(20, 6).of_texts(data, offsets) for x in zip(*(c.tolist() for c in columns))]
+        return sorted((text, window, place, value) for text, place, first, last, value in found for window in range(first, last + 1))
 
-    whole = all_anchors()
-    assert len(whole) == len(set(whole))
+    whole = anchor_of_windows()
+    assert [x[:2] for x in whole] == [(n, i) for n, t in enumerate(texts) for i in range(len(t) - 19)]
+    assert all(i <= place <= i + 14 for _, i, place, _ in whole)
+    assert len({(texts[n][p : p + 6], v) for n, _, p, v in whole}) == len({v for *_, v in whole})
     for size in (64, 100, 999):
         monkeypatch.setattr(suffix_dedup, "CHUNK", size)
-        assert all_anchors() == whole
+        assert anchor_of_windows() == whole
 
 
 # Fill in the middle
