@@ -305,6 +305,45 @@ def test_packing_against_sequential_best_fit(spark, monkeypatch, shape):
     assert packed_lengths(spark, lengths, ids, 2048) <= 1.01 * len(token_output.best_fit_decreasing(np.array(lengths), 2048)) + 1
 
 
+@pytest.mark.parametrize("shape", ["even", "wide", "two humps", "large and small", "tiny"])
+def test_packing_of_narrow_lengths(spark, monkeypatch, shape):
+    """As above on lengths that leave several documents' room in a gap, or whose own gaps the rest of their band fills."""
+    monkeypatch.setattr(packing, "RANGE_ROWS", 4_000)
+    rng = np.random.default_rng(11)
+    lengths = {
+        "even": rng.integers(600, 690, 12_000), "wide": rng.integers(300, 721, 12_000),
+        "two humps": np.concatenate([rng.integers(1100, 1500, 6_000), rng.integers(260, 500, 12_000)]),
+        "large and small": np.concatenate([rng.integers(1500, 2049, 4_000), rng.integers(1, 40, 20_000)]),
+        "tiny": rng.integers(1, 4, 12_000),
+    }[shape].tolist()
+    assert packed_lengths(spark, lengths, range(len(lengths)), 2048) <= 1.01 * len(token_output.best_fit_decreasing(np.array(lengths), 2048)) + 1
+
+
+@pytest.mark.parametrize("least", [1, 3])
+def test_sweep_fills_gaps_again(least):
+    """What is left of a gap, if it is large enough, holds further documents of the same sweep."""
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 9, 80):
+        size, gap = rng.integers(1, 30, n), rng.random(n) < 0.3
+        rows = pa.table({"size": size.astype(np.int64), "gap": gap, "id": np.arange(n), "slot": np.zeros(n, np.int32), "range": np.zeros(n, np.int64)})
+        got = packing.sweep_range(rows, least).to_pylist()
+        free, want = sorted(int(x) for x in size[gap]), []
+        for d in sorted((int(x) for x in size[~gap]), reverse=True):
+            fit = next((g for g in free if g >= d), None)
+            if fit is not None:
+                free.remove(fit)
+                if fit - d >= least:
+                    free = sorted([*free, fit - d])
+                want.append(d)
+        assert sorted(r["size"] for r in got if r["kind"] == "matched") == sorted(want)
+        used = Counter()
+        for r in got:
+            if r["kind"] == "matched":
+                used[r["sequence"]] += r["size"]
+        assert all(total <= size[g] for g, total in used.items())
+        assert sorted(r["sequence"] for r in got if r["kind"] == "gap") == sorted(set(np.flatnonzero(gap).tolist()) - set(used))
+
+
 def test_sweep_takes_the_smallest_gap():
     rng = np.random.default_rng(3)
     for n in (0, 1, 7, 60):
