@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import materialize
+
 NEW, OLD = "__new", "__old"
 
 
@@ -58,6 +60,30 @@ def insert_unless_known(table: DataFrame, rows: DataFrame, native_key: str, forc
     return upsert_by_hash(table, rows, native_key)
 
 
+def write_inputs(table: DataFrame, rows: DataFrame, native_key: str, force: bool = False, seen_at: str = "last_seen_at", run: str = "run_id") -> tuple[DataFrame, dict[str, int]]:
+    """Registry writer: the written next snapshot of `table`, and how many of `rows` were written, skipped and new payloads.
+
+    Rows without a native id are neither. Unless `force`, rows of ids that are known are skipped. The counts are observed while the
+    snapshot is written; table and rows are read once and shuffled once, by the native id."""
+    both = table.withColumn("__old", F.lit(1)).unionByName(rows.filter(F.col(native_key) != "").select(*table.columns).withColumn("__old", F.lit(0)))
+    known = F.max("__old").over(Window.partitionBy(native_key))
+    payload = Window.partitionBy(native_key, "payload_hash")
+    marked = both.withColumns({"__skip": (F.col("__old") == 0) & (known == 1) & F.lit(not force), "__there": F.max("__old").over(payload) == 1})
+    given, skip = F.col("__old") == 0, F.col("__skip")
+    first_of = F.row_number().over(payload.orderBy("__old", F.desc(seen_at))) == 1
+    counted = Observation("written")
+    marked = marked.withColumn("__first", first_of).observe(
+        counted, F.count_if(given & ~skip).alias("written"), F.count_if(given & skip).alias("skipped"), F.count_if(given & ~skip & ~F.col("__there") & F.col("__first")).alias("new_payloads")
+    )
+    # An existing row stays but for its last sight, which is that of the latest written row.
+    kept = F.max_by(F.struct(*table.columns), F.struct("__old", seen_at)).alias("kept")
+    sight = F.max_by(F.struct(seen_at, run), F.struct(1 - F.col("__old"), seen_at)).alias("sight")
+    merged = marked.filter(~skip).groupBy(native_key, "payload_hash").agg(kept, sight)
+    out = [F.col(f"sight.{c}" if c in (seen_at, run) else f"kept.{c}").alias(c) for c in table.columns]
+    snapshot = materialize(merged.select(*out), "raw-inputs")
+    return snapshot, {k: v or 0 for k, v in counted.get.items()}
+
+
 def seen_range(observations: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """First and last time that each key was observed: what any sequence of hash upserts leads to."""
     return observations.groupBy(*keys).agg(F.min(at).alias("first_seen_at"), F.max(at).alias("last_seen_at"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,6 +15,7 @@ from ledgerloom.operators import upsert
 from ledgerloom.operators.merge import first_per_key
 from ledgerloom.plans import registries
 from ledgerloom.sources import files as file_source
+from ledgerloom.sources import paged
 
 
 @dataclass(frozen=True)
@@ -26,12 +29,15 @@ class Registry:
 
 
 REGISTRIES = {
-    "brreg": Registry(registries.brreg_companies, "organization_number"),
+    "brreg": Registry(registries.brreg_companies, "organization_number", modes=("bulk", "incremental")),
     "gleif": Registry(registries.gleif_companies, "lei", registries.GLEIF_WRAPPERS, ("full", "delta")),
     "cvr": Registry(registries.cvr_companies, "cvr_number", modes=("bulk", "incremental")),
     "ariregister": Registry(registries.ariregister_companies, "registry_code"),
 }
 
+#: Registries that are read by pages of a list API.
+PAGED = {"brreg": paged.BRREG, "companies_house": paged.COMPANIES_HOUSE}
+
 RAW = "native_id string, payload_hash string, raw_payload string, first_seen_at timestamp_ntz, last_seen_at timestamp_ntz, run_id string"
 EXECUTIONS = "id string, status string, records_written long, pages_fetched long, completed_at timestamp_ntz"
 CHECKPOINTS = "source_name string, cursor string, last_completed_at timestamp_ntz"
@@ -69,35 +75,63 @@ def mark_complete(executions: DataFrame, checkpoints: DataFrame, execution_id: s
     return executions, checkpoints
 
 
-def import_companies(source: str, records: DataFrame, before: Pulled, run_id: str, execution_id: str, cursor: str, pages: Column | int, now: Column, force: bool = True) -> Pulled:
-    """All three tables after a registry's records. An unchanged payload moves only its last sight; with `force` off,
-    companies that are known are left alone."""
+def import_companies(source: str, records: DataFrame, before: Pulled, run_id: str, execution_id: str, cursor: str, pages: int, now: Column, force: bool = True) -> Pulled:
+    """All three tables after a registry's records; the raw inputs are written. An unchanged payload moves only its last sight; with `force`
+    off, companies that are known are left alone and not counted as written."""
     registry = REGISTRIES[source]
     rows = raw_inputs(registry.companies(records), registry.native_key, now, run_id)
-    raw = upsert.insert_unless_known(before.raw, rows, "native_id", force)
-    result = rows.agg(F.count(F.lit(1)).alias("records_written"), F.max(F.lit(pages) if isinstance(pages, int) else pages).alias("pages_fetched"))
-    result = result.withColumn("pages_fetched", F.coalesce("pages_fetched", F.lit(0)))
+    return _written(source, rows, before, execution_id, cursor, pages, now, force)
+
+
+def _written(source: str, rows: DataFrame, before: Pulled, execution_id: str, cursor: str, pages: int, now: Column, force: bool) -> Pulled:
+    raw, counts = upsert.write_inputs(before.raw, rows, "native_id", force)
+    result = rows.sparkSession.createDataFrame([(counts["written"], pages)], "records_written long, pages_fetched long")
     executions, checkpoints = mark_complete(before.executions, before.checkpoints, execution_id, source, cursor, result, now)
     return Pulled(raw, executions, checkpoints)
 
 
-def pull_files(spark: SparkSession, source: str, listed: DataFrame, before: Pulled, run_id: str, execution_id: str, now: Column, mode: str = "", snapshot: str = "", force: bool = True) -> Pulled:
-    """As `import_companies` for downloaded files (rows of `FILES`); CSV and JSON files may stand together."""
+def pull_files(spark: SparkSession, source: str, listed: DataFrame, before: Pulled, run_id: str, execution_id: str, now: Column, mode: str = "", snapshot: str = "", force: bool = True, split_from: int | None = None) -> Pulled:
+    """As `import_companies` for downloaded files (rows of `FILES`); CSV and JSON files may stand together, in the order in which they are
+    listed. Without a file the run is complete with no record."""
     registry = REGISTRIES[source]
     mode = mode or registry.modes[0]
     if mode not in registry.modes:
         raise ValueError(f"unknown mode for {source}: {mode}")
-    rows = listed.collect()  # a snapshot's few files
-    parts = []
+    rows = [(*r, n) for n, r in enumerate(listed.collect())]  # a snapshot's few files
+    records = spark.createDataFrame([], file_source.RECORDS)
     for csv in (False, True):
-        some = [r for r in rows if file_source.is_csv(r["format"] or "", r["file_path"]) == csv]
+        some = [r for r in rows if file_source.is_csv(r[5] or "", r[2]) == csv]
         if some:
-            part = spark.createDataFrame(some, file_source.FILES)
-            parts.append(file_source.csv_records(spark, part, ";", registries.ariregister_header) if csv else file_source.json_records(spark, part, registry.wrappers))
-    records = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+            part = spark.createDataFrame(some, file_source.FILES + ", file_ord int")
+            records = records.unionByName(file_source.csv_records(spark, part, ";", registries.ariregister_header, split_from) if csv else file_source.json_records(spark, part, registry.wrappers, split_from))
     return import_companies(source, records, before, run_id, execution_id, f"{mode}:{snapshot}" if snapshot else "", len(rows), now, force)
 
 
+def pull_pages(spark: SparkSession, source: str, read_page: paged.PageReader, folder: str, before: Pulled, run_id: str, execution_id: str, start: str, now: Column, force: bool = True, most_pages: int = 50, paging: paged.Paging | None = None) -> Pulled:
+    """As `import_companies` for a list API from the date `start` on, read page by page in batches of at most `most_pages`.
+
+    Each batch appends its records to `folder` and commits its cursor there, so a run that fails goes on from its last batch, within a
+    day, when it is called again with the same folder. All records are merged once, at the end."""
+    name = f"pages_{uuid.uuid4().hex}"
+    spark.dataSource.register(paged.paged_source(name, read_page, paging or PAGED[source], start, most_pages))
+    at, before_batch = None, None
+    while at is None or not (at["done"] or at == before_batch):
+        stream = spark.readStream.format(name).load()
+        query = stream.writeStream.format("parquet").option("path", f"{folder}/pages").option("checkpointLocation", f"{folder}/cursor").trigger(availableNow=True).start()
+        query.awaitTermination()
+        at, before_batch = _committed(spark, f"{folder}/cursor"), at
+    pages = spark.read.schema(paged.SCHEMA).parquet(f"{folder}/pages").withColumn("payload_hash", paged.payload_hash(F.col("raw_json")))
+    rows = raw_inputs(pages.withColumnRenamed("raw_json", "raw_payload"), "native_id", now, run_id)
+    return _written(source, rows, before, execution_id, f"{at['date']},{at['page']}", at["pages"], now, force)
+
+
+def _committed(spark: SparkSession, checkpoint: str) -> dict:
+    """The cursor of the last batch that a stream's checkpoint holds."""
+    lines = spark.read.text(f"{checkpoint}/offsets").select(F.input_file_name().alias("file"), "value").filter(F.col("value").contains('"done"'))
+    last = lines.withColumn("batch", F.regexp_extract("file", r"(\d+)$", 1).cast("long")).orderBy(F.desc("batch")).first()
+    return json.loads(last["value"])
+
+
 def append_to_latest(events: DataFrame, actions: DataFrame, done: DataFrame, status: str, message: str) -> DataFrame:
     """The log with one event for the latest translate action of each done record (raw_input_id, payload_hash).
 

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import domains, text
+from ledgerloom.operators import upsert
 from ledgerloom.operators.merge import unique_terms
 from ledgerloom.plans import batches, discovery, pulls, registries, translation
 from ledgerloom.registration import joined, registered
-from ledgerloom.sources import rates
+from ledgerloom.session import shared_path
+from ledgerloom.sources import files, rates
 from ledgerloom.sources.tables import table
 
 
@@ -105,6 +107,37 @@ def pulled_known(spark: SparkSession, sf: str) -> DataFrame:
     return _pulled(spark, sf, force=False).raw.select("native_id", "payload_hash", "last_seen_at", "run_id")
 
 
+@registered(f"""
+WITH a AS (SELECT CAST(c_custkey AS VARCHAR) AS id, sha256({_brreg_sql('c_name')}) AS h FROM customer), b AS (SELECT CAST(c_custkey AS VARCHAR) AS id, sha256({_brreg_sql(_RENAMED)}) AS h FROM customer WHERE c_custkey % 3 <> 0),
+k AS (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE c_custkey % 2 = 0), n AS (SELECT b.* FROM b JOIN a ON a.id = b.id WHERE NOT EXISTS (SELECT 1 FROM a x JOIN k ON k.id = x.id WHERE x.id = b.id AND x.h = b.h))
+SELECT true AS force, (SELECT count(*) FROM b) AS written, 0 AS skipped, (SELECT count(*) FROM n) AS new_payloads
+UNION ALL SELECT false, (SELECT count(*) FROM b WHERE id NOT IN (SELECT id FROM k)), (SELECT count(*) FROM b WHERE id IN (SELECT id FROM k)), (SELECT count(*) FROM b WHERE id NOT IN (SELECT id FROM k))
+""")
+def written_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What a registry writer counts while it writes: written, skipped and new payloads, with and without force."""
+    c = table(spark, sf, "customer")
+    companies = lambda rows, later: registries.brreg_companies(_records(rows, "c_custkey", _brreg(later)))
+    inputs = lambda rows, later: pulls.raw_inputs(companies(rows, later), "organization_number", F.lit(_SECOND if later else _FIRST), "r")
+    known, rows = inputs(c.filter("c_custkey % 2 = 0"), False), inputs(c.filter("c_custkey % 3 <> 0"), True)
+    counts = [(force, *upsert.write_inputs(known, rows, "native_id", force)[1].values()) for force in (True, False)]
+    return spark.createDataFrame(counts, "force boolean, written long, skipped long, new_payloads long")
+
+
+@registered(f"""
+SELECT CAST(c_custkey AS VARCHAR) AS native_id, sha256({_brreg_sql('c_name')}) AS payload_hash, 'r1' AS run_id, (SELECT count(*) FROM customer) AS written FROM customer
+""")
+def pulled_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A registry's snapshot out of JSON-lines files, each cut by several tasks."""
+    folder = shared_path(spark, "snapshot-files")
+    table(spark, sf, "customer").select(_brreg(False).alias("value")).repartition(3).write.text(folder)
+    paths = spark.read.text(folder).inputFiles()
+    listed = spark.createDataFrame([("brreg", "units", p, "20260101", "", "jsonl", "") for p in paths], files.FILES)
+    runs = spark.createDataFrame([("e1", "running", None, None, None)], pulls.EXECUTIONS)
+    before = pulls.Pulled(spark.createDataFrame([], pulls.RAW), runs, spark.createDataFrame([], pulls.CHECKPOINTS))
+    after = pulls.pull_files(spark, "brreg", listed, before, "r1", "e1", F.lit(_FIRST), snapshot="20260101", split_from=1 << 14)
+    return after.raw.select("native_id", "payload_hash", "run_id").crossJoin(F.broadcast(after.executions.select(F.col("records_written").alias("written"))))
+
+
 @registered(f"""
 SELECT 'execution' AS kind, 'e1' AS id, 'completed' AS status, count(*) AS records, TIMESTAMP '{_FIRST}' AS at FROM customer
 UNION ALL SELECT 'execution', 'e2', 'completed', count(*), TIMESTAMP '{_SECOND}' FROM customer WHERE c_acctbal > 1000

@@ -47,24 +47,33 @@ def row_of(record: dict) -> tuple:
     return tuple(None if record.get(k) is None else str(record[k]) for k in ("id", "name", "status", "type", "date")) + (text,)
 
 
-def paged_source(name: str, read_page: PageReader, paging: Paging, start: str) -> type[DataSource]:
-    """A data source class to register under `name`."""
+def paged_source(name: str, read_page: PageReader, paging: Paging, start: str, most_pages: int = 1) -> type[DataSource]:
+    """A data source class to register under `name`. A batch takes at most `most_pages` pages; its offset is the cursor, with the pages and
+    records read so far."""
 
     class Reader(SimpleDataSourceStreamReader):
         def initialOffset(self) -> dict:
-            return {"date": start, "page": 0, "done": False}
+            return {"date": start, "page": 0, "done": False, "pages": 0, "records": 0}
 
         def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-            if start["done"]:
-                return iter([]), start
-            records = read_page(start["date"], start["page"])
-            return iter([row_of(r) for r in records]), next_cursor(start, records, paging)
+            rows: list[tuple] = []
+            for _ in range(most_pages):
+                if start["done"]:
+                    break
+                records, start = self.page(start)
+                rows += map(row_of, records)
+            return iter(rows), start
 
         def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
             while start != end and not start["done"]:
-                records = read_page(start["date"], start["page"])
+                records, start = self.page(start)
                 yield from map(row_of, records)
-                start = next_cursor(start, records, paging)
+
+        @staticmethod
+        def page(at: dict) -> tuple[list[dict], dict]:
+            records = read_page(at["date"], at["page"])
+            totals = {"pages": at["pages"] + bool(records), "records": at["records"] + len(records)}
+            return records, {**next_cursor(at, records, paging), **totals}
 
         def commit(self, end: dict) -> None:
             pass
