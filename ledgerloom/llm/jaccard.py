@@ -12,12 +12,13 @@ can only match partners of sizes that follow from n and p. Index lists are cut i
 stands in the blocks of its interval, and a probe reads the blocks of its own size.
 
 *Derived answers.* In each leader round, every node is compared with the leaders that it shares most prefix shingles
-with. Nodes that are similar to one leader form its group, and what each has beyond its leader or lacks of it is kept.
-An index list then holds one entry a group, with the widest bounds of its members, and is probed once a group; groups
-that are already connected are never paired. What a set y shares with the members of a group is derived from what it
-shares with their leader L: let y and a member x differ from L in D(y) and D(x); then x and y have
-overlap(L, y) - |lacked by x| + |D(x) and D(y) shared| in common. So x can only be linked with y if it shares about half
-of its few differences with y's, and an inverted index over part of the differences finds those members.
+with. Nodes that resemble a first leader, or are linked with a later one, form its group, and what each has beyond its leader or
+lacks of it is kept. An index list then holds one entry a group, with the widest bounds of its members, and is probed once a
+group; groups that are already connected are never paired. Within a group all differences are turned to its centre C, the
+shingles that most of it has. Sets x and y then share |C| - |lacked by x| - |lacked by y| + |differences that both have|, so
+links follow from few differences: sets near the centre are linked whatever they share, all are compared with the
+members nearest to it, and what is still apart is found by indexes over part of the differences (`derived_links`). A set of
+another group is compared with this one's leader alone.
 
 *Bitmaps.* Before whole sets are sent anywhere, a pair must pass a bound on small bitmaps: a bit is
 the parity of the shingles that fall on it, so two bitmaps differ in at most as many bits as the sets
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import discard, materialize, mix64, text_bytes
+from ledgerloom.llm.common import discard, join_uneven, materialize, mix64, text_bytes
 
 WORDS = 5
 #: A shingle that tasks have reported so often is frequent: its list is hot, so it is told to the tasks and never shuffled to be counted.
@@ -52,6 +53,10 @@ COUNTED, LEAST_COUNT = 1_500_000, 3
 #: Leaders that each node is compared with, by round. In a loose group a node may miss any one leader, so those that are
 #: left after the first round try several at once. What is still left then is derived from the groups that were found.
 LEADERS = (1, 16)
+#: Least similarity, in percent, to the first leader of what is in its group.
+LOOSE = 40
+#: Members of a group nearest to its centre that all others are compared with.
+HUBS = 16
 #: Bits of the map of ids that tells tasks which documents to read again, so that what is broadcast is bounded (4 MB).
 #: What it lets pass by chance is dropped by a join.
 ID_BITS = 1 << 25
@@ -352,29 +357,34 @@ def live_postings(postings: DataFrame, components: DataFrame | None, tag: str) -
     return materialize(placed.join(mixed, "token", "left_semi"), tag)
 
 
-def leader_pairs(postings: DataFrame, round_no: int, leaders: int) -> DataFrame:
+def leader_pairs(postings: DataFrame, round_no: int, leaders: int, loose: bool) -> DataFrame:
     """(a, b): each node with the `leaders` ones it shares most prefix shingles with, unless both are connected already.
 
-    A list's leaders are the nodes whose hashes, seeded by the round, are least. Sizes and the shingle's places must
-    allow a link, as they do at the first shingle that two linked sets share."""
+    A list's leaders are the nodes whose hashes, seeded by the round, are least. Unless `loose`, sizes and the shingle's places
+    must allow a link, as they do at the first shingle that two linked sets share."""
     node = [F.col("d").alias("b"), F.col("n").alias("n_b"), F.col("p").alias("p_b"), F.col("comp").alias("comp_b")]
     least = [F.min_by(F.struct(*node), F.xxhash64(F.lit(round_no), F.lit(k), "d")) for k in range(leaders)]
     leads = postings.groupBy("token").agg(F.array_distinct(F.array(*least)).alias("leads")).select("token", F.inline("leads"))
-    met = (F.col("d") != F.col("b")) & (F.col("comp") != F.col("comp_b")) & (4 * F.col("n") >= 3 * F.col("n_b")) & (4 * F.col("n_b") >= 3 * F.col("n"))
-    most = F.least(F.col("n") - F.col("p"), F.col("n_b") - F.col("p_b"))
-    votes = postings.join(leads, "token").filter(met & (7 * most >= 3 * (F.col("n") + F.col("n_b")))).groupBy(F.col("d").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"))
+    met = (F.col("d") != F.col("b")) & (F.col("comp") != F.col("comp_b"))
+    if not loose:
+        most = F.least(F.col("n") - F.col("p"), F.col("n_b") - F.col("p_b"))
+        met = met & (4 * F.col("n") >= 3 * F.col("n_b")) & (4 * F.col("n_b") >= 3 * F.col("n")) & (7 * most >= 3 * (F.col("n") + F.col("n_b")))
+    votes = postings.join(leads, "token").filter(met).groupBy(F.col("d").alias("a"), "b").agg(F.count(F.lit(1)).alias("votes"))
     most = Window.partitionBy("a").orderBy(F.desc("votes"), "b")
     return votes.withColumn("place", F.row_number().over(most)).filter(F.col("place") <= leaders).select("a", "b")
 
 
 def similar_groups(led: DataFrame) -> DataFrame:
-    """Written table d, node, head, beyond, lacks of the members of groups: each is similar to its head, which is in no other
-    group; it has `beyond` more than its head and lacks `lacks` of it.
-
-    `led` holds links (a, b, node_a, common, only_a, only_b) of nodes and leaders. A node's choice is the leader it overlaps
-    most with; heads are the nodes that are chosen more often than their own choice."""
-    best = led.groupBy("a").agg(F.max(F.struct("common", "b", "node_a", "only_a", "only_b")).alias("l"))
-    best = materialize(best.select(F.col("a").alias("d"), F.col("l.node_a").alias("node"), F.col("l.b").alias("head"), F.col("l.only_a").alias("beyond"), F.col("l.only_b").alias("lacks")), "jaccard-choices")
+    """Written table d, node, head, head_node, n_head, beyond, lacks of the members of groups: each resembles its head, which is in no
+    other group; it has `beyond` more than its head and lacks `lacks` of it.
+
+    `led` holds pairs (a, b, node_a, node_b, n_b, common, only_a, only_b) of nodes and leaders, linked ones and looser ones. A node's choice is
+    its leader that leads most nodes, so that groups are few; heads are the nodes that are chosen more often than their own choice."""
+    one = F.count(F.lit(1))
+    followed = materialize(led.groupBy("b").agg(one.alias("times"), one.alias("rows")), "jaccard-followed")
+    choice = join_uneven(led.select("a", "b", "common"), followed, ["b"], "rows").groupBy("a").agg(F.max(F.struct("times", "common", "b"))["b"].alias("b"))
+    named = {"d": "a", "node": "node_a", "head": "b", "head_node": "node_b", "n_head": "n_b", "beyond": "only_a", "lacks": "only_b"}
+    best = materialize(led.join(choice, ["a", "b"]).select(*[F.col(old).alias(new) for new, old in named.items()]), "jaccard-choices")
     chosen = best.groupBy(F.col("head").alias("x")).agg(F.count(F.lit(1)).alias("times"))
     weight = lambda c, out: chosen.select(F.col("x").alias(c), F.col("times").alias(out))
     rated = best.select("d", "head").join(weight("d", "own"), "d", "left").join(weight("head", "its"), "head").withColumn("own", F.coalesce("own", F.lit(0)))
@@ -383,8 +393,55 @@ def similar_groups(led: DataFrame) -> DataFrame:
     return materialize(best.join(members, "d"), "jaccard-groups")
 
 
+def group_centres(groups: DataFrame) -> DataFrame:
+    """Written table of a group's centre (head, members, n_c, added, removed): the set of the shingles that more than half of the group has, heads
+    included, as what it has beyond the head and what it lacks of it. A centre need not be anybody's set."""
+    sizes = groups.groupBy("head").agg((F.count(F.lit(1)) + 1).alias("members"), F.sum(F.size("beyond") + F.size("lacks")).alias("n"), F.first("n_head").alias("n_head"))
+    sizes = materialize(sizes, "jaccard-group-counts")
+    times = F.count(F.lit(1)).alias("times")
+    side = lambda c, most: (
+        join_uneven(groups.select("head", F.explode(c).alias("token")).groupBy("head", "token").agg(times), sizes.select("head", "members", "n"), ["head"], "n")
+        .filter(2 * F.col("times") > F.col("members")).groupBy("head").agg(F.collect_list("token").alias(most))
+    )
+    none = F.array().cast("array<long>")
+    both = sizes.join(side("beyond", "added"), "head", "left").join(side("lacks", "removed"), "head", "left").withColumns({c: F.coalesce(c, none) for c in ("added", "removed")})
+    return materialize(both.select("head", "members", (F.col("n_head") + F.size("added") - F.size("removed")).cast("long").alias("n_c"), "added", "removed"), "jaccard-centres")
+
+
+def from_centre(sets: DataFrame, centres: DataFrame) -> DataFrame:
+    """`sets` (b, a head, with beyond and lacks against it) with both against the head's centre, and n_c, c = 4 lacks + 3 beyond and
+    h = 3 (lacks - beyond) of their numbers. Two sets with m differences in common share n_c - lacks of both + m."""
+    met = join_uneven(sets, centres.withColumnRenamed("head", "b"), ["b"], "members")
+    beyond = F.concat(F.array_except("beyond", "added"), F.array_except("removed", "lacks"))
+    lacks = F.concat(F.array_except("lacks", "removed"), F.array_except("added", "beyond"))
+    met = met.withColumns({"beyond": beyond, "lacks": lacks}).drop("added", "removed")
+    more, less = F.size("beyond").cast("long"), F.size("lacks").cast("long")
+    return met.withColumns({"b_n": more, "l_n": less, "c": 4 * less + 3 * more, "h": 3 * (less - more)})
+
+
+def centred_members(groups: DataFrame, centres: DataFrame) -> DataFrame:
+    """Written table b, x, v, beyond, lacks, ... of the heads and members of groups against their centres; x is a set, v its node."""
+    none = F.array().cast("array<long>")
+    heads = groups.groupBy("head").agg(F.first("head_node").alias("v")).select(F.col("head").alias("b"), F.col("head").alias("x"), "v", none.alias("beyond"), none.alias("lacks"))
+    members = groups.select(F.col("head").alias("b"), F.col("d").alias("x"), F.col("node").alias("v"), "beyond", "lacks")
+    return materialize(from_centre(members.union(heads), centres), "jaccard-centred")
+
+
+def hub_links(centred: DataFrame, components: DataFrame | None) -> DataFrame:
+    """Written links (u, v) between members of a group and its hubs, the members nearest to the centre in each of HUBS parts of the group.
+
+    Two sets with c(a) + c(x) <= n_c are linked whatever they share; then both are linked with the member of least c."""
+    placed = _with_component(centred, "v", components, "comp")
+    nearest = placed.groupBy("b", F.pmod(F.xxhash64("x"), F.lit(HUBS)).alias("part")).agg(F.min(F.struct("c", "x", "v", "comp", "beyond", "lacks")).alias("hub"), F.count(F.lit(1)).alias("n"))
+    nearest = materialize(nearest.select("b", "hub", "n").withColumn("n", F.sum("n").over(Window.partitionBy("b"))), "jaccard-hubs")
+    met = join_uneven(placed, nearest, ["b"], "n", most=128).filter(F.col("comp") != F.col("hub.comp"))
+    shared = F.size(F.array_intersect("beyond", "hub.beyond")) + F.size(F.array_intersect("lacks", "hub.lacks"))
+    met = met.filter(7 * shared >= F.col("c") + F.col("hub.c") - F.col("n_c"))
+    return materialize(met.select(F.col("v").alias("u"), F.col("hub.v").alias("v")), "jaccard-hub-links")
+
+
 def group_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
-    """(a, b): heads of groups of different components of which members share a prefix shingle at places that allow a link.
+    """(a, b): heads of groups, not all of one component, of which members share a prefix shingle at places that allow a link.
 
     Written with n and slack of both: the smallest and largest member, and by how much one may differ from its head."""
     step = math.log(4 / 3)
@@ -394,17 +451,18 @@ def group_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
     )
     rest = F.col("n") - F.col("p")
     own = F.floor(7 * rest / 3).cast("long") - F.col("n")  # the largest partner that the places allow
-    entries = placed.withColumns({"own": own}).groupBy("token", "g", "comp").agg(
-        F.min("n").alias("n"), F.max("n").alias("most_n"), F.max("own").alias("own"), F.max("slack").alias("slack"), F.max("beyond").alias("beyond")
+    entries = placed.withColumns({"own": own}).groupBy("token", "g").agg(
+        F.min("comp").alias("comp"), F.max("comp").alias("last_comp"), F.min("n").alias("n"), F.max("n").alias("most_n"), F.max("own").alias("own"), F.max("slack").alias("slack"), F.max("beyond").alias("beyond")
     )
     # A probe is the smaller set of a pair; partner sizes m are within the ratio and at most `own`.
     least = F.ceil(3 * F.col("n") / 4).cast("long")
     most = F.least("most_n", "own")
-    named = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("comp", "n", "most_n", "own", "slack", "beyond")]
+    named = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("comp", "last_comp", "n", "most_n", "own", "slack", "beyond")]
     index = entries.filter(most >= least).select("token", F.explode(F.sequence(block(least), block(most))).alias("block"), F.col("g").alias("b"), *named("b"))
     probe = entries.filter(F.col("own") >= F.col("n")).select("token", F.explode(F.sequence(block(F.col("n")), block(F.col("most_n")))).alias("block"), F.col("g").alias("a"), *named("a"))
     met = probe.join(index, ["token", "block"]).filter(
-        (F.col("comp_a") != F.col("comp_b"))
+        (F.col("a") != F.col("b"))
+        & (F.least("comp_a", "comp_b") != F.greatest("last_comp_a", "last_comp_b"))
         & (F.col("n_a") <= F.col("most_n_b"))
         & (4 * F.col("most_n_a") >= 3 * F.col("n_b"))
         & (F.col("n_a") <= F.col("own_b"))
@@ -417,50 +475,93 @@ def group_pairs(postings: DataFrame, groups: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(*[(F.min if c == "n" else F.max)(f"{c}_{s}").alias(f"{c}{'' if c != 'n' else 's'}_{s}") for c in ("n", "slack", "beyond", "most_n") for s in "ab"])
 
 
-def late_links(sets: DataFrame, postings: DataFrame, groups: DataFrame) -> DataFrame:
-    """Links (u, v) between nodes of different components.
+def nearest_links(everyone: DataFrame) -> DataFrame:
+    """Links (u, v) of sets (b, v, c, n_c) with the one nearest to their group's centre, if they are near enough to need no shared difference."""
+    least = materialize(everyone.groupBy("b").agg(F.min(F.struct("c", "v")).alias("least"), F.count(F.lit(1)).alias("n")), "jaccard-nearest")
+    met = join_uneven(everyone, least, ["b"], "n").filter((F.col("c") + F.col("least.c") <= F.col("n_c")) & (F.col("v") != F.col("least.v")))
+    return met.select(F.col("v").alias("u"), F.col("least.v").alias("v"))
+
 
-    Heads of groups are compared first. Where members may still be linked, each member y of the smaller group is compared
-    with the larger one's head L, and what y shares with L's other members follows from that."""
+def late_links(sets: DataFrame, postings: DataFrame, groups: DataFrame, centres: DataFrame, centred: DataFrame, components: DataFrame | None) -> DataFrame:
+    """Links (u, v) between nodes of different components, after each group's hubs have been met.
+
+    Of groups that may have links, the heads are compared first, then each member of the smaller one with the larger one's head.
+    What the component of a group's member nearest to the centre does not hold is asked about its own group."""
     sizes = groups.select("d", "head", F.size("beyond").cast("long").alias("beyond"), F.size("lacks").cast("long").alias("lacks"))
     # The sizes in a pair's bitmap bound are the heads'; members may be larger by what they have beyond them.
     slack = lambda sides: sum((F.col(f"beyond_{s}") + 7 * F.col(f"slack_{s}") for s in sides), F.lit(0))
     heads = overlaps(sets, plausible(group_pairs(postings, sizes), sets, "jaccard-candidates", slack("ab")))
     linked = is_link(F.col("n_a"), F.col("n_b"), F.col("common"))
     links = heads.filter(linked).select(F.col("node_a").alias("u"), F.col("node_b").alias("v"))
-    still = heads.filter(~linked & (7 * (F.col("common") + F.col("beyond_a") + F.col("beyond_b")) >= 3 * (F.col("ns_a") + F.col("ns_b"))))
+    placed = materialize(_with_component(centred, "v", components, "comp"), "jaccard-members")
     # A link's worth is 7 overlap - 3 (sizes); of L and y, a member x gains 4 by what both have beyond L and 3 by what both lack of it.
-    members = groups.groupBy("head").agg(F.count(F.lit(1)).alias("members"), F.max(4 * F.size("beyond") + 3 * F.size("lacks")).cast("long").alias("gain"))
-    of = lambda s: members.select(F.col("head").alias(s), F.col("members").alias(f"members_{s}"), F.col("gain").alias(f"gain_{s}"))
+    gain = groups.groupBy("head").agg(F.max(4 * F.size("beyond") + 3 * F.size("lacks")).cast("long").alias("gain"))
+    members = placed.groupBy(F.col("b").alias("head")).agg((F.count(F.lit(1)) - 1).alias("members"), (F.min("comp") != F.max("comp")).alias("mixed"), F.min(F.struct("c", "x", "comp")).alias("near"))
+    members = materialize(members.join(gain, "head"), "jaccard-group-sizes")
+    of = lambda s: members.select(F.col("head").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("members", "gain", "mixed")])
+    still = heads.filter(7 * (F.col("common") + F.col("beyond_a") + F.col("beyond_b")) >= 3 * (F.col("ns_a") + F.col("ns_b")))
     sided = still.join(of("a"), "a", "left").join(of("b"), "b", "left").filter("members_a is not null or members_b is not null")
+    sided = sided.filter(~linked | F.coalesce("mixed_a", F.lit(False)) | F.coalesce("mixed_b", F.lit(False)))
     turned = F.coalesce("members_a", F.lit(0)) > F.coalesce("members_b", F.lit(0))
     pick = lambda x, y: F.when(turned, F.col(x)).otherwise(F.col(y))
-    sided = sided.select(pick("b", "a").alias("small"), pick("a", "b").alias("b"), *[pick(f"{c}_a", f"{c}_b").alias(f"{c}_b") for c in ("beyond", "slack", "gain")])
+    sided = sided.select(pick("b", "a").alias("small"), pick("a", "b").alias("b"), *[pick(f"{c}_a", f"{c}_b").alias(f"{c}_b") for c in ("beyond", "slack", "gain", "mixed")])
     sided = materialize(sided, "jaccard-open")
-    if sided.isEmpty():
-        return links
-    own = sided.withColumnRenamed("small", "a").unionByName(sided.join(groups.select(F.col("head").alias("small"), F.col("d").alias("a")), "small").drop("small"))
-    near = overlaps(sets, plausible(own.distinct(), sets, "jaccard-near", slack("b")), F.lit(True))
-    links = links.union(near.filter(linked).select("node_a", "node_b"))
-    worth = 7 * F.col("common") - 3 * (F.col("n_a") + F.col("n_b"))
-    rest = near.filter(~linked & (worth + F.col("gain_b") >= 0)).select("a", "b", F.col("node_a").alias("u"), worth.alias("worth"), F.concat("only_a", "only_b").alias("differs"))
-    rest = materialize(rest, "jaccard-rest")
-    # A linked pair shares m differences with 7 m >= loss + 3 |beyond| + 4 |lacks| of x, so also 4 m >= loss. In one order of
-    # differences, rarest in the group first, the first shared one stands early in both.
-    beyond, lacks = F.size("beyond"), F.size("lacks")
-    loss = rest.groupBy("b").agg(F.min(-F.col("worth")).alias("loss"))
-    asked = groups.withColumnRenamed("head", "b").join(loss, "b").withColumn("keep", beyond + lacks - F.ceil((F.col("loss") + 3 * beyond + 4 * lacks) / 7) + 1)
-    each = asked.filter("keep > 0").select("b", F.col("d").alias("x"), "keep", F.explode(F.concat("beyond", "lacks")).alias("token"))
-    each = materialize(each.withColumn("seen", F.count(F.lit(1)).over(Window.partitionBy("b", "token"))), "jaccard-differences")
-    seen = each.groupBy("b", "token").agg(F.max("seen").alias("seen"))
-    early = lambda *key: F.row_number().over(Window.partitionBy(*key).orderBy("seen", "token")) <= F.col("keep")
-    index = each.withColumn("early", early("b", "x")).filter("early").select("b", "token", "x")
-    own = rest.select("a", "b", (F.size("differs") + F.floor(F.col("worth") / 4) + 1).alias("keep"), F.explode("differs").alias("token"))
-    own = own.join(seen, ["b", "token"], "left").withColumn("seen", F.coalesce("seen", F.lit(0))).withColumn("early", early("a", "b"))
-    met = own.filter("early and seen > 0").select("a", "b", "token").join(index, ["b", "token"]).select("a", "b", "x").distinct()
-    both = met.join(rest, ["a", "b"]).join(groups.select(F.col("d").alias("x"), F.col("node").alias("v"), "beyond", "lacks"), "x")
-    shared = F.size(F.array_intersect(F.concat("beyond", "lacks"), "differs"))
-    return links.union(both.filter(F.col("worth") + 7 * shared - 3 * beyond - 4 * lacks >= 0).select("u", "v"))
+    near = members.filter("mixed").select(F.col("head").alias("b"), F.col("near.comp").alias("near_comp"), "members")
+    asked = join_uneven(placed, near, ["b"], "members").filter("comp <> near_comp").select(F.col("x").alias("a"), "b", F.col("v").alias("u"), F.col("comp").alias("of"), "n_c", "beyond", "lacks", "b_n", "l_n", "c", "h")
+    if not sided.isEmpty():
+        own = sided.withColumnRenamed("small", "a").unionByName(sided.join(groups.select(F.col("head").alias("small"), F.col("d").alias("a")), "small").drop("small"))
+        near = overlaps(sets, plausible(own.distinct(), sets, "jaccard-near", slack("b")), F.lit(True))
+        links = links.union(near.filter(linked).select("node_a", "node_b"))
+        worth = 7 * F.col("common") - 3 * (F.col("n_a") + F.col("n_b"))
+        others = near.filter((~linked | F.coalesce("mixed_b", F.lit(False))) & (worth + F.col("gain_b") >= 0))
+        others = _with_component(others, "node_a", components, "of").select("a", "b", F.col("node_a").alias("u"), "of", F.col("only_a").alias("beyond"), F.col("only_b").alias("lacks"))
+        others = materialize(from_centre(others, centres).select(*asked.columns), "jaccard-others")
+        links = links.union(nearest_links(placed.select("b", "v", "c", "n_c").union(others.select("b", "u", "c", "n_c"))))
+        asked = asked.unionByName(others)
+    asked = materialize(asked, "jaccard-rest")
+    return links if asked.isEmpty() else links.union(derived_links(asked, placed))
+
+
+def derived_links(asked: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (u, v) of sets `asked` (a, b, u, of) with `members` (b, x, v, comp) of the group b, neither in one component, derived from what both
+    have beyond the group's centre and lack of it.
+
+    With m differences in common, a and x are linked if 7 m >= c(a) + c(x) - n_c. Let e = c - n_c. If they share none beyond the centre, m
+    is at most what either lacks, so h(x) >= e(a) and h(a) >= e(x). Else 7 times what they share beyond it is at least e(a) - h(x) and
+    e(x) - h(a). So two indexes do: of what sets have beyond the centre, and, for the few that lack more than they have beyond or are near the
+    centre, of what they lack. In an order of rarity the first shared difference stands early in both. What shares no difference has met a hub."""
+    e = F.col("c") - F.col("n_c")
+    bound = asked.groupBy("b").agg(F.min(e).alias("least_e"), F.max("h").alias("most_h"))
+    most = members.groupBy("b").agg(F.max("h").alias("most_hx"), F.min(e).alias("least_ex"))
+    bounds = materialize(bound.join(most, "b"), "jaccard-bounds")
+    held, asked = members.join(bounds, "b"), asked.join(bounds, "b")
+    need = lambda x: F.greatest(F.lit(1), F.ceil(x / 7))
+    c, h, col = F.col("c"), F.col("h"), F.col
+
+    def met(own: DataFrame, index: DataFrame) -> DataFrame:
+        """(a, b, x) of sets (a, b, of, tokens, keep) and members (b, x, comp, tokens, keep) with a shared token early in both."""
+        each = materialize(index.filter("keep > 0").select("b", "x", "comp", "keep", F.explode("tokens").alias("token")), "jaccard-differences")
+        one = F.count(F.lit(1))
+        seen = materialize(each.groupBy("b", "token").agg(one.alias("seen"), one.alias("times")), "jaccard-seen")
+        early = lambda *key: F.row_number().over(Window.partitionBy(*key).orderBy("seen", "token")) <= col("keep")
+        index = join_uneven(each, seen, ["b", "token"], "times").withColumn("early", early("b", "x")).filter("early").select("b", "token", "x", "comp")
+        own = own.filter("keep > 0").select("a", "b", "of", "keep", F.explode("tokens").alias("token")).join(seen.drop("times"), ["b", "token"], "left")
+        own = own.withColumn("seen", F.coalesce("seen", F.lit(0))).withColumn("early", early("a", "b")).filter("early and seen > 0").select("a", "b", "of", "token")
+        return own.join(index, ["b", "token"]).filter((col("of") != col("comp")) & (col("a") != col("x"))).select("a", "b", "x").distinct()
+
+    beyond = met(
+        asked.select("a", "b", "of", col("beyond").alias("tokens"), (col("b_n") - need(e - col("most_hx")) + 1).alias("keep")),
+        held.select("b", "x", "comp", col("beyond").alias("tokens"), (col("b_n") - need(F.greatest(col("least_e") - h, e - col("most_h"))) + 1).alias("keep")),
+    )
+    lacked = met(
+        asked.filter((col("most_hx") >= e) & (h >= col("least_ex"))).select("a", "b", "of", col("lacks").alias("tokens"), (col("l_n") - need(c + col("least_ex")) + 1).alias("keep")),
+        held.filter((h >= col("least_e")) & (col("most_h") >= e)).select("b", "x", "comp", col("lacks").alias("tokens"), (col("l_n") - need(c + col("least_e")) + 1).alias("keep")),
+    )
+    pairs = materialize(beyond.union(lacked).distinct(), "jaccard-derived")
+    x_side = members.select("b", "x", "v", col("beyond").alias("beyond_x"), col("lacks").alias("lacks_x"), c.alias("c_x"))
+    both = pairs.join(asked.select("a", "b", "u", "n_c", "beyond", "lacks", "c"), ["a", "b"]).join(x_side, ["b", "x"])
+    shared = F.size(F.array_intersect("beyond", "beyond_x")) + F.size(F.array_intersect("lacks", "lacks_x"))
+    return both.filter(7 * shared >= c + col("c_x") - col("n_c")).select("u", "v")
 
 
 def _profiled(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, int]:
@@ -498,19 +599,30 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     led = None
     postings = live_postings(postings, components, "jaccard-live")
     for n, each in enumerate(LEADERS):
-        pairs = plausible(leader_pairs(postings, n, each), sets, "jaccard-led-pairs")
+        # A first leader heads also what only resembles it, since differences to it tell apart what is not linked.
+        looser = 2 * (F.col("size_a") + F.col("size_b")) if n == 0 else None
+        pairs = plausible(leader_pairs(postings, n, each, n == 0), sets, "jaccard-led-pairs", looser)
         if pairs.isEmpty():
             break
         linked = is_link(F.col("n_a"), F.col("n_b"), F.col("common"))
-        linked = overlaps(sets, pairs, linked).filter(linked)
-        links = links.union(linked.select("node_a", "node_b"))
-        led = linked if led is None else led.union(linked)
+        near = linked if n else 100 * F.col("common") >= LOOSE * (F.col("n_a") + F.col("n_b") - F.col("common"))
+        found = overlaps(sets, pairs, near).filter(near)
+        links = links.union(found.filter(linked).select("node_a", "node_b"))
+        led = found if led is None else led.union(found)
         components = connected_components(links)
         before, postings = postings, live_postings(postings, components, "jaccard-live")
         discard(before, pairs)
     if led is None:
-        led = sets.sparkSession.createDataFrame([], "a long, b long, node_a long, common long, only_a array<long>, only_b array<long>")
-    more = materialize(late_links(sets, postings, similar_groups(led)), "jaccard-late-links")
+        led = sets.sparkSession.createDataFrame([], "a long, b long, node_a long, node_b long, n_b long, common long, only_a array<long>, only_b array<long>")
+    groups = similar_groups(led)
+    centres = group_centres(groups)
+    centred = centred_members(groups, centres)
+    hubs = hub_links(centred, components)
+    if not hubs.isEmpty():
+        links = links.union(hubs)
+        components = connected_components(links)
+        postings = live_postings(postings, components, "jaccard-live")
+    more = materialize(late_links(sets, postings, groups, centres, centred, components), "jaccard-late-links")
     if not more.isEmpty():
         components = connected_components(links.union(more))
 
