@@ -73,8 +73,8 @@ def _winner() -> Column:
     return F.min(F.struct((-F.col("len")).alias("neg_len"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
 
 
-def dedup_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """One row per row of `docs`: doc_id, keep_id, group_size, kept, text_sha256 and the digest's bytes."""
+def _groups(docs: DataFrame, id_col: str, text_col: str, counters: int) -> tuple[DataFrame, DataFrame]:
+    """Written table of frequent digests (digest, winner, group_size), and all rows (row_id, doc_id, digest, len) with it, null for other digests."""
     slim = materialize(
         docs.select(
             F.monotonically_increasing_id().alias("row_id"),
@@ -94,16 +94,13 @@ def dedup_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "dedup-heavy",
     )
     # Fewer than `counters` + 1 digests can exceed the limit, so this side stays small at any size.
-    marked = slim.join(F.broadcast(heavy), "digest", "left")
-    frequent = marked.filter(F.col("winner").isNotNull())
-    group = Window.partitionBy("digest")
-    rest = (
-        marked.filter(F.col("winner").isNull())
-        .drop("winner", "group_size")
-        .withColumn("winner", _winner().over(group))
-        .withColumn("group_size", F.count(F.lit(1)).over(group))
-    )
-    return frequent.unionByName(rest).select(
+    return heavy, slim.join(F.broadcast(heavy), "digest", "left")
+
+
+def dedup_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
+    """One row per row of `docs`: doc_id, keep_id, group_size, kept, text_sha256 and the digest's bytes."""
+    _, marked = _groups(docs, id_col, text_col, counters)
+    return marked.filter(F.col("winner").isNotNull()).unionByName(_infrequent(marked)).select(
         "doc_id",
         F.col("winner.doc_id").alias("keep_id"),
         "group_size",
@@ -113,15 +110,46 @@ def dedup_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def _infrequent(marked: DataFrame) -> DataFrame:
+    """The rows of digests that are not frequent, with their winner and group_size."""
+    group = Window.partitionBy("digest")
+    rest = marked.filter(F.col("winner").isNull()).drop("winner", "group_size")
+    return rest.withColumn("winner", _winner().over(group)).withColumn("group_size", F.count(F.lit(1)).over(group))
+
+
+def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a task for each value of the last column, which holds at most as many as there are frequent digests."""
+    seen: set[bytes] = set()
+    for batch in batches:
+        keep = []
+        for i, key in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+            if key not in seen:
+                seen.add(key)
+                keep.append(i)
+        if keep:
+            yield batch.take(pa.array(keep))
+
+
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
     """`docs` with one row of each group of equal texts, all columns as they were.
 
-    The winners meet the rows on (id, digest). Only rows that repeat both are left after that; they are
-    numbered under the same partitioning, so texts are shuffled once."""
-    keys = ["__id", "__none", "__digest"]
+    The winners of frequent digests are broadcast: tasks drop all other rows of these, and of rows that equal a winner in id, text and
+    length each task passes on the first, so no copy of a frequent text is shuffled. The winners of the others meet their rows on (id,
+    digest); rows that repeat both are numbered under the same partitioning, so texts are shuffled once."""
     key_of = lambda c: {"__id": F.coalesce(F.col(c).cast("string"), F.lit("")), "__none": F.col(c).isNull()}
-    winners = dedup_decisions(docs, id_col, text_col, counters).filter("kept").withColumns(key_of("doc_id"))
-    winners = winners.withColumnRenamed("digest", "__digest").select(*keys)
-    found = docs.withColumns({**key_of(id_col), "__digest": text_digest(text_col)}).join(winners, keys)
-    longest = Window.partitionBy(*keys).orderBy(F.char_length(text_col).desc())
-    return found.withColumn("__place", F.row_number().over(longest)).filter("__place = 1").select(*docs.columns)
+    heavy, marked = _groups(docs, id_col, text_col, counters)
+    length = F.coalesce(F.char_length(text_col), F.lit(0)).cast("long")
+    found = docs.withColumns({**key_of(id_col), "__digest": text_digest(text_col), "__len": length})
+
+    told = heavy.select(F.col("digest").alias("__digest"), F.col("winner.doc_id").alias("__won"), (-F.col("winner.neg_len")).alias("__most"))
+    told = told.withColumns({"__won_id": key_of("__won")["__id"], "__won_none": key_of("__won")["__none"]}).drop("__won")
+    met = found.join(F.broadcast(told), "__digest")  # at most `counters` winners
+    met = met.filter((F.col("__id") == F.col("__won_id")) & (F.col("__none") == F.col("__won_none")) & (F.col("__len") == F.col("__most"))).select(*docs.columns, "__digest")
+    once = met.mapInArrow(first_of_each, met.schema)
+    frequent = once.withColumn("__place", F.row_number().over(Window.partitionBy("__digest").orderBy(F.lit(0)))).filter("__place = 1").select(*docs.columns)
+
+    keys = ["__id", "__none", "__digest"]
+    winners = _infrequent(marked).filter(F.col("row_id") == F.col("winner.row_id")).withColumns(key_of("doc_id")).withColumnRenamed("digest", "__digest").select(*keys)
+    rest = found.join(F.broadcast(told.select("__digest")), "__digest", "left_anti").join(winners, keys)
+    longest = Window.partitionBy(*keys).orderBy(F.desc("__len"))
+    return rest.withColumn("__place", F.row_number().over(longest)).filter("__place = 1").select(*docs.columns).unionByName(frequent)

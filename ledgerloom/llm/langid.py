@@ -57,7 +57,8 @@ def labelled_sample(docs: DataFrame, bound: TrainingBound = TrainingBound()) ->
     ]
     windows = [f"w{i}" for i in range(bound.windows_per_text)]
     first = Window.partitionBy("lang").orderBy("place", "doc_id", *windows)
-    rows = chosen.select("lang", "doc_id", "place", *pieces).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= each)
+    one = chosen.select("lang", "doc_id", "place", *pieces).groupBy("lang", "doc_id", "place").agg(F.min(F.struct(*windows)).alias("one"))  # one row an id
+    rows = one.select("lang", "doc_id", "place", "one.*").withColumn("n", F.row_number().over(first)).filter(F.col("n") <= each)
     return rows.toPandas().sort_values(["lang", "n"], kind="stable")[["lang", *windows]]
 
 

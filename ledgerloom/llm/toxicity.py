@@ -6,8 +6,10 @@ scale. The `features` n-grams with the strongest evidence keep a weight, fitted
 regression on the scaled presence of each in a text. Whole texts are scored.
 
 Defined cases: a null or empty text has no n-gram and gets the intercept's score; with no labelled
-row, or only one class, every score is the smoothed base rate; a label without a document, or null,
-counts for nothing; of repeated labels the larger holds; other columns are ignored.
+row, or only one class, every score is the smoothed base rate (0.5 without a label, so every text is then predicted toxic);
+a label without a document, or null, counts for nothing; of repeated labels the larger holds; of documents that repeat an
+id one is learned from and each is scored; equal texts have equal scores; texts of any length are read whole; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -74,7 +76,7 @@ def presence(column: pa.Array, pick: np.ndarray | None = None) -> tuple[np.ndarr
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, bound: FitBound) -> DataFrame:
-    """text and toxic of at most `labelled_rows` labelled rows that are not held out, chosen by the hash of their id."""
+    """text and toxic of at most `labelled_rows` labelled ids that are not held out, chosen by their hash; of an id's texts one."""
     known = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out("doc_id"))
         .groupBy("doc_id")
@@ -82,7 +84,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, bound: FitBound) -> DataF
     )
     share = bound.labelled_rows * (1 << 20) / max(1, known.count())
     sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * 0.97).limit(bound.labelled_rows)
-    return materialize(docs.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic"), "toxic-sample")
+    one = F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
+    return materialize(docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(one).select("doc_id", "text", "toxic"), "toxic-sample")
 
 
 def class_counts(sample: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators on documents against brute force, and on odd rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -128,6 +129,23 @@ def test_jaccard_chain_and_passages(spark):
     check_jaccard(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
 
 
+def test_jaccard_families_of_loose_copies(spark):
+    """Copies with a few words replaced or dropped, whose links are few among many that resemble one another; two families share a half."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    other = base[:60] + [f"o{i}" for i in range(60)]
+    rows = []
+    for kind in ("common", "new", "dropped", "other"):
+        for _ in range(60):
+            words = list(other if kind == "other" else base)
+            for _ in range(rng.randint(1, 5)):
+                words[rng.randrange(len(words))] = f"f{rng.random()}" if kind == "new" else f"v{rng.randrange(20)}"
+            for _ in range(rng.randint(0, 4) if kind == "dropped" else 0):
+                del words[rng.randrange(len(words))]
+            rows.append((len(rows), f"{kind[0]} " * (kind == "new") + " ".join(words)))
+    check_jaccard(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
+
+
 def test_jaccard_empty(empty):
     assert jaccard.near_duplicates(empty).count() == 0
 
@@ -190,6 +208,28 @@ def test_redaction(spark, odd, odd_rows):
     assert out.columns == odd.columns and out.count() == len(odd_rows)
 
 
+def test_one_row_very_often_is_dropped_where_it_is_read(spark, tmp_path):
+    """One row 100,000 times, another copy with more white space, and rows of their own; copies of the frequent text are not shuffled."""
+    text = "the same text again"
+    many = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"), F.lit("x").alias("node"))
+    few = spark.createDataFrame([(3, "the  same text again ", "y"), (3, "the  same text again ", "y"), (8, None, "z"), (9, "", "z"), (None, "alone", "z"), (10, "other", "z")], "doc_id long, text string, node string")
+    docs = many.unionByName(few).repartition(6)
+    kept = exact_dedup.drop_duplicates(docs)
+    rows = sorted(tuple(r) for r in kept.filter("doc_id is not null").collect())
+    assert rows in ([(3, "the  same text again ", "y"), (8, None, "z"), (10, "other", "z")], [(3, "the  same text again ", "y"), (9, "", "z"), (10, "other", "z")])
+    assert kept.filter("doc_id is null").count() == 1 and kept.columns == docs.columns
+    shuffled = list(exact_dedup.first_of_each(iter([pa.RecordBatch.from_pydict({"t": ["a"] * 5, "d": [b"1", b"1", b"2", b"1", b"2"]})] * 3)))
+    assert sum(b.num_rows for b in shuffled) == 2
+
+
+def test_a_repeated_id_is_learned_from_once(spark):
+    labels = spark.createDataFrame([(i, 0, int(i % 2)) for i in range(400)], "doc_id long, quality int, toxic int")
+    texts = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("words of "), F.col("id").cast("string")).alias("text"))
+    often = spark.range(100_000).select(F.lit(5).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    sample = toxicity.labelled_texts(texts.unionByName(often), labels, toxicity.FitBound(labelled_rows=100))
+    assert sample.count() <= 100 and sample.select("doc_id").distinct().count() == sample.count()
+
+
 # Sharding
 
 
