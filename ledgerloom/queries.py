@@ -13,7 +13,7 @@ from ledgerloom.registration import ORACLE_SQL, QUERIES, joined, registered
 from ledgerloom.session import shared_path
 from ledgerloom.sources import pages as page_source
 from ledgerloom.sources.tables import table
-from ledgerloom.streaming import pull
+from ledgerloom.streaming import pull, tasks
 
 # Upserts and sinks
 
@@ -743,5 +743,23 @@ def retried_items(spark: SparkSession, sf: str) -> DataFrame:
     return pull.retry_missing(items, answered, "item", 3)
 
 
+@registered("""
+WITH e AS (SELECT user_id || '-' || day(ts) AS task, event_id, ts AS moment, CASE event_type WHEN 'signup' THEN 'created' WHEN 'click' THEN 'claimed' WHEN 'view' THEN 'failed_retryable' WHEN 'error' THEN 'failed_terminal' ELSE 'succeeded' END AS kind FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY task ORDER BY moment, kind) AS n FROM e), f AS (SELECT *, min(CASE WHEN kind IN ('succeeded', 'failed_terminal') THEN n END) OVER (PARTITION BY task) AS fin FROM o),
+l AS (SELECT task, count(*) FILTER (kind = 'claimed') AS attempts, arg_max(kind, n) AS kind, arg_max(moment, n) + INTERVAL 1 HOUR * arg_max(event_id % 500, n) AS until FROM f WHERE fin IS NULL OR n <= fin GROUP BY 1),
+d AS (SELECT *, kind IN ('claimed', 'failed_retryable') AS timed, until <= (SELECT max(ts) FROM events) AS due FROM l)
+SELECT task, CAST(attempts AS INTEGER) AS attempts, timed AND NOT due AS waits, CASE WHEN kind = 'created' OR (timed AND due) THEN 'pending' WHEN kind = 'claimed' THEN 'running' ELSE kind END AS status FROM d
+""")
+def task_machine(spark: SparkSession, sf: str) -> DataFrame:
+    """Tasks after a stream of their events: leases that ran out and retries that came due by the last event's time are pending again."""
+    kinds = {"signup": "created", "click": "claimed", "view": "failed_retryable", "error": "failed_terminal", "purchase": "succeeded"}
+    stream = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[F.col("event_type")]
+    until = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + (F.col("event_id") % 500) * 3_600_000_000)
+    events = stream.select(F.concat(F.col("user_id").cast("string"), F.lit("-"), F.dayofmonth("ts").cast("string")).alias("task"), kind.alias("kind"), F.col("ts").cast("timestamp").alias("at"), until.alias("until"))
+    done = tasks.current_tasks(tasks.run_tasks(events, shared_path(spark, "tasks")))
+    return done.select("task", "attempts", F.col("until").isNotNull().alias("waits"), "status")
+
+
 #: Both modules register into the same two tables.
 __all__ = ["ORACLE_SQL", "QUERIES", "registry_queries"]
