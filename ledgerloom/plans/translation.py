@@ -284,6 +284,111 @@ def parse_answer(text: str) -> dict[str, str]:
     return out
 
 
+def balanced_slices(text: str) -> list[str]:
+    """The balanced objects and arrays of a text that are in no larger one, in order. Brackets inside strings do not count; a bracket that
+    closes another kind than is open ends all that is open, and what never closes leaves what it holds."""
+    found: list[tuple[int, int]] = []
+    stack: list[tuple[str, int]] = []
+    inside = escaped = False
+    for i, c in enumerate(text):
+        if inside:
+            inside, escaped = escaped or c != '"', c == "\\" and not escaped
+        elif c == '"':
+            inside = bool(stack)  # outside of brackets a quote is prose
+        elif c in "{[":
+            stack.append(("}" if c == "{" else "]", i))
+        elif c in "}]" and stack:
+            closer, start = stack.pop()
+            if closer != c:
+                stack = []
+                continue
+            while found and found[-1][0] > start:
+                found.pop()
+            found.append((start, i + 1))
+    return [text[a:b] for a, b in found]
+
+
+def answer_candidates(text: str) -> list[str]:
+    """Texts that may be the JSON of an answer, the likeliest first, each once: fenced blocks, the whole, then balanced slices."""
+    text = re.sub(r"(?si)<think>.*?</think>", "", text).strip()
+    fenced = [m.strip() for m in re.findall(r"(?si)```(?:json)?\s*(.*?)```", text)]
+    return list(dict.fromkeys(c for c in [*fenced, text, *balanced_slices(text)] if c))
+
+
+def _read(candidate: str):
+    """A candidate's value; bare keys and commas before a closing bracket are mended. Raises ValueError."""
+    bare = re.sub(r"([{,]\s*)([A-Za-z_][A-Za-z0-9_:]*)\s*:", r'\1"\2":', candidate)
+    for text in (candidate, re.sub(r",\s*([}\]])", r"\1", candidate), re.sub(r",\s*([}\]])", r"\1", bare)):
+        try:
+            return json.loads(text)
+        except ValueError:
+            continue
+    raise ValueError("not JSON")
+
+
+def parse_analysis(text: str, list_key: str | None = None) -> dict:
+    """The first candidate of an answer that is an object, or, where `list_key` is given, an array, put under that key."""
+    for candidate in answer_candidates(text):
+        try:
+            value = _read(candidate)
+        except ValueError:
+            continue
+        if isinstance(value, list) and list_key is not None:
+            return {list_key: value}
+        if isinstance(value, dict):
+            return value
+    raise ValueError(f"the answer holds no JSON: {' '.join(text.split())[:300]}")
+
+
+def parse_response(text: str, expected_ids: set[str], require_all: bool = True) -> dict[str, str]:
+    """item id -> translation of the expected ids in a service's answer: a map, or a list under translations, items or translations_json.
+
+    With `require_all` an answer that lacks one of them raises."""
+    value = None
+    for candidate in answer_candidates(text):
+        try:
+            value = _read(candidate)
+            break
+        except ValueError:
+            continue
+    else:
+        raise ValueError("the answer holds no JSON")
+    if isinstance(value, dict):
+        listed = value.get("translations") or value.get("items")
+        nested = value.get("translations_json")
+        nested = _read(nested) if isinstance(nested, str) else nested
+        value = listed if isinstance(listed, list) else nested if isinstance(nested, list) else value
+    found: dict[str, str] = {}
+    if isinstance(value, dict):
+        found = {k: str(v).strip() for k, v in value.items() if k in expected_ids and str(v).strip()}
+    for item in value if isinstance(value, list) else []:
+        said = isinstance(item, dict) and (item.get("translation") or item.get("translated_text") or item.get("text"))
+        if isinstance(said, str) and said.strip() and item.get("id") in expected_ids:
+            found[item["id"]] = said.strip()
+    if require_all and (missing := sorted(expected_ids - set(found))):
+        raise ValueError(f"missing translations for ids: {', '.join(missing)}")
+    return found
+
+
+ANSWERS = "request string, item string, translation string, error string"
+
+
+def read_answers(rows: DataFrame, require_all: bool = True) -> DataFrame:
+    """One row per translated item of answers (request, expected_ids, content), or one with the error of an answer that cannot be read."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for request, expected, content in batch.itertuples(index=False):
+                try:
+                    out += [(request, k, v, None) for k, v in parse_response(content or "", set(expected), require_all).items()]
+                except ValueError as error:
+                    out.append((request, None, None, str(error)))
+            yield pd.DataFrame(out, columns=["request", "item", "translation", "error"])
+
+    return rows.select(F.col("request").cast("string"), "expected_ids", "content").mapInPandas(read, ANSWERS)
+
+
 def validate_translations(rows: DataFrame) -> DataFrame:
     """Problems of translated items (text, translated, expected_any, forbidden_any): an array of names, empty if fine."""
     t = F.lower(F.coalesce("translated", F.lit("")))

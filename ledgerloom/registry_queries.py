@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import domains, text
 from ledgerloom.operators import upsert
 from ledgerloom.operators.merge import unique_terms
-from ledgerloom.plans import batches, discovery, pulls, registries, translation
+from ledgerloom.plans import batches, discovery, pulls, quality, registries, translation
 from ledgerloom.registration import joined, registered
 from ledgerloom.session import shared_path
 from ledgerloom.sources import files, rates
@@ -271,6 +271,49 @@ def translation_problems(spark: SparkSession, sf: str) -> DataFrame:
     return translation.validate_translations(rows).select("p_partkey", joined(F.col("problems")).alias("problems"))
 
 
+@registered("""
+WITH i AS (SELECT role AS category, conv_id || '/' || role AS c, turn, text, length(text) AS n FROM conversations),
+t AS (SELECT *, lower(trim(CASE WHEN n % 5 = 0 THEN ' ' WHEN n % 7 = 0 THEN text ELSE 'said: ' || left(text, 60) END)) AS said FROM i),
+w AS (SELECT category, c, n, CASE WHEN said = '' THEN 1 ELSE CAST(said = lower(trim(text)) AS INT) + CAST(NOT contains(said, 'said') AND NOT contains(said, 'and') AS INT) + CAST(contains(said, 'un') AS INT) + CAST(contains(said, ' es') AS INT) END AS wrong FROM t),
+k AS (SELECT category, c, count(*) AS item_count, sum(wrong) + CAST(max(n) % 11 = 0 AS INT) AS errors, CAST(max(n) AS DOUBLE) / 8 AS seconds FROM w GROUP BY 1, 2)
+SELECT category, c AS "case", CASE WHEN grouping(category) = 1 THEN 'run' WHEN grouping(c) = 1 THEN 'category' ELSE 'case' END AS level, count(*) AS case_count, CAST(sum(item_count) AS BIGINT) AS item_count,
+  CAST(sum(errors) AS BIGINT) AS error_count, count(*) FILTER (errors > 0) AS failed_cases, bool_and(errors = 0) AS ok, sum(seconds) AS seconds, quantile_cont(seconds, 0.5) AS median_seconds, quantile_cont(seconds, 0.95) AS p95_seconds
+FROM k GROUP BY ROLLUP (category, c)
+""")
+def quality_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A translator's run over cases of turns: errors of items, cases, categories and the run, with percentiles of the cases' seconds."""
+    c, n = table(spark, sf, "conversations"), F.char_length("text")
+    case = F.concat(F.col("conv_id").cast("string"), F.lit("/"), "role").alias("case")
+    said = F.when(n % 5 == 0, F.lit(" ")).when(n % 7 == 0, F.col("text")).otherwise(F.concat(F.lit("said: "), F.left("text", F.lit(60))))
+    words = lambda *x: F.array(*map(F.lit, x))
+    items = c.select(F.col("role").alias("category"), case, F.col("turn").alias("item"), "text", said.alias("translated"), words("said", "AND").alias("expected_any"), words("Un", " es").alias("forbidden_any"))
+    calls = c.groupBy(case).agg((F.max(n) / 8).alias("seconds"), F.when(F.max(n) % 11 == 0, F.lit("failed")).alias("error"))
+    return quality.run_summary(items, calls)
+
+
+@registered("""
+WITH p AS (SELECT page_id, length(html) % 4 AS kind FROM pages)
+SELECT CAST(page_id AS VARCHAR) AS request, CASE WHEN kind < 3 THEN item END AS item, CASE WHEN kind < 3 THEN item || ' {of} "' || page_id || '"' END AS translation,
+  CASE WHEN kind = 3 THEN 'missing translations for ids: b' END AS error
+FROM p, (VALUES ('a'), ('b')) v(item) WHERE kind < 3 OR item = 'a'
+""")
+def model_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Items out of answers in several shapes: fenced lists, objects within prose, nested JSON, and one that lacks an id."""
+    p, i = table(spark, sf, "pages"), F.col("page_id").cast("string")
+    said = lambda item: F.concat(F.lit(f'{item} {{of}} \\"'), i, F.lit('\\"'))
+    listed = F.concat(F.lit('[{"id": "a", "translation": "'), said("a"), F.lit('"}, {"id": "b", "text": " '), said("b"), F.lit(' "},]'))
+    mapped = F.concat(F.lit('{a: "'), said("a"), F.lit('", "b": "'), said("b"), F.lit('", "c": "x"}'))
+    kind = F.char_length("html") % 4
+    content = (
+        F.when(kind == 0, F.concat(F.lit("<think>{</think>Here:\n```json\n"), listed, F.lit("\n```")))
+        .when(kind == 1, F.concat(F.lit('The "answer" is } '), mapped, F.lit(" as {asked}.")))
+        .when(kind == 2, F.to_json(F.struct(listed.alias("translations_json"))))
+        .otherwise(F.concat(F.lit('{"items": [{"id": "a", "translated_text": "'), said("a"), F.lit('"}, {"id": "b", "text": " "}]}')))
+    )
+    answers = p.select(i.alias("request"), F.array(F.lit("a"), F.lit("b")).alias("expected_ids"), content.alias("content"))
+    return translation.read_answers(answers)
+
+
 # Discovery
 
 
