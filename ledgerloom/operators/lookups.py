@@ -31,6 +31,41 @@ def not_yet(ids: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return ids.join(done.select(key), key, "left_anti")
 
 
+#: Bits of the filter for each new id, of which two are set, and the most that all maps together have (64 MB to broadcast).
+BITS_PER_ID, MOST_BITS = 32, 1 << 29
+#: Bits that Spark's bitmap functions put in one map.
+MAP = 32_768
+
+
+def may_hold(rows: DataFrame, key: str, of: DataFrame, n: int) -> DataFrame:
+    """The rows whose key may be among those of `of` (about n): all that are, and about one of 260 others.
+
+    A Bloom filter of two bits a key, in maps of 32,768 bits by the key's hash. Executors build the maps; they are broadcast, BITS_PER_ID
+    bits a key in all, and rows are dropped where they are read."""
+    maps = max(1, -(-n * BITS_PER_ID // MAP))
+    if maps * MAP > MOST_BITS:
+        return rows
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(maps)).cast("int")
+    place = lambda c, salt: F.pmod(F.xxhash64(F.lit(salt), c), F.lit(MAP))
+    bits = of.select(bucket(key).alias("__bucket"), F.explode(F.array(place(key, 1), place(key, 2))).alias("__place"))
+    built = bits.groupBy("__bucket").agg(F.bitmap_construct_agg("__place").alias("__bits"))
+
+    def is_set(salt: int) -> Column:
+        at = place(key, salt)
+        byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        return byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0
+
+    met = rows.withColumn("__bucket", bucket(key)).join(F.broadcast(built), "__bucket").filter(is_set(1) & is_set(2))
+    return met.select(*rows.columns)
+
+
+def not_yet_of_many(ids: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """As `not_yet` where `done` is much larger than `ids` (read three times) and grows: of the keys done, only those that may be among the
+    ids are shuffled, so what is moved follows the ids. Past 16 million ids it is a plain anti-join."""
+    wanted = ids.filter(F.col(key).isNotNull())
+    return ids.join(may_hold(done.select(key), key, wanted, wanted.count()), key, "left_anti")
+
+
 def known(ids: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return ids.join(done.select(key), key, "left_semi")
 

@@ -224,6 +224,13 @@ def need_discovery(spark: SparkSession, sf: str) -> DataFrame:
     return lookups.not_yet(table(spark, sf, "documents").select("doc_id", "source"), table(spark, sf, "labels"), "doc_id")
 
 
+@registered("SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45)")
+def not_yet_of_many(spark: SparkSession, sf: str) -> DataFrame:
+    """New ids against a much larger table of known ones, which is filtered where it is read."""
+    known = table(spark, sf, "lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
+    return lookups.not_yet_of_many(table(spark, sf, "part").select("p_partkey", "p_name"), known, "p_partkey")
+
+
 @registered("""
 SELECT c_custkey AS native_id, c_custkey * 10 AS raw_id FROM customer
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F' AND o_totalprice > 400000)
