@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import domains, text
 from ledgerloom.operators import upsert
 from ledgerloom.operators.merge import unique_terms
-from ledgerloom.plans import batches, discovery, pulls, quality, registries, translation
+from ledgerloom.plans import artifacts, batches, discovery, pulls, quality, registries, translation
 from ledgerloom.registration import joined, registered
 from ledgerloom.session import shared_path
 from ledgerloom.sources import files, rates
@@ -378,6 +378,37 @@ def website_or_search(spark: SparkSession, sf: str) -> DataFrame:
     return own.select("s_suppkey", F.lit("website").alias("way"), "url").union(search.select("s_suppkey", F.lit("search"), F.lit(None).cast("string")))
 
 
+_CRAWLED = """
+WITH u AS (SELECT page_id, url, regexp_extract(url, '^https?://([^/?#:]*)', 1) AS domain, length(html) AS n FROM pages),
+c AS (SELECT domain, url, arg_max(page_id, page_id) AS page_id, max(page_id) FILTER (n % 3 = 0) AS again FROM u GROUP BY 1, 2)
+"""
+
+
+def _artifacts(spark: SparkSession, sf: str) -> tuple[DataFrame, artifacts.Bucketed]:
+    """Result pages' links, and a bucketed table of crawls after a second crawl of some."""
+    p = table(spark, sf, "pages").select("page_id", "url", F.regexp_extract("url", "^https?://([^/?#:]*)", 1).alias("domain"), (F.char_length("html") % 3).alias("n"))
+    entry = lambda k: F.create_map(F.lit(k), F.col("page_id").cast("string")).alias("metadata")
+    latest = [F.desc("page_id")]
+    first = upsert.last_by_key(p.select("domain", "url", "page_id", F.lit("crawled").alias("status"), entry("first")), ["domain", "url"], latest)
+    crawls = artifacts.write_bucketed(first, "crawls", ["domain", "url"])
+    again = p.filter("n = 0").select("domain", "url", "page_id", F.lit("again").alias("status"), entry("again"))
+    return p.select("page_id", "domain", "url"), artifacts.upsert_artifacts(crawls, again, latest, "crawls")
+
+
+@registered(_CRAWLED + "SELECT domain, url, CASE WHEN again IS NULL THEN 'crawled' ELSE 'again' END AS status, CAST(page_id AS VARCHAR) AS first, CAST(again AS VARCHAR) AS again FROM c")
+def crawl_artifacts(spark: SparkSession, sf: str) -> DataFrame:
+    """Crawl artifacts after a second crawl: one row a domain and address, statuses replaced, metadata merged."""
+    crawls = _artifacts(spark, sf)[1].read(spark)
+    return crawls.select("domain", "url", "status", F.col("metadata")["first"].alias("first"), F.col("metadata")["again"].alias("again"))
+
+
+@registered(_CRAWLED + "SELECT u.page_id, u.url, CASE WHEN again IS NULL THEN 'crawled' ELSE 'again' END AS status FROM u JOIN c ON u.domain = c.domain AND u.url = c.url")
+def crawled_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Search artifacts with the state of their crawl."""
+    search, crawls = _artifacts(spark, sf)
+    return artifacts.crawled_results(search, crawls.read(spark).select("domain", "url", "status")).select("page_id", "url", "status")
+
+
 @registered("SELECT DISTINCT lang || '/' || source AS text, 'c' AS category FROM documents")
 def terms_of_lists(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct terms of JSON lists or bare strings."""
