@@ -28,15 +28,15 @@ def claimable(now: Column, worker: str, include_failed: bool) -> Column:
     return fresh | stale
 
 
-def candidates(table: DataFrame, now: Column, worker: str, limit: int, include_failed: bool = False, ids: Sequence | None = None, order: Sequence[str] = ("created_at", "id")) -> DataFrame:
-    """The ids of the oldest claimable rows, `limit` at most; of `ids` only, if given, which may be failed ones too."""
+def candidates(table: DataFrame, now: Column, worker: str, limit: int | None, include_failed: bool = False, ids: Sequence | None = None, order: Sequence[str] = ("created_at", "id")) -> DataFrame:
+    """The ids of the oldest claimable rows, `limit` at most (all, without one); of `ids` only, if given, which may be failed ones too."""
     free = table.filter(claimable(now, worker, include_failed or ids is not None))
     if ids is not None:
         free = free.join(table.sparkSession.createDataFrame([(i,) for i in ids], f"id {table.schema['id'].dataType.simpleString()}"), "id", "left_semi")
-    return free.orderBy(*order).limit(limit).select("id")
+    return free.select("id") if limit is None else free.orderBy(*order).limit(limit).select("id")
 
 
-def claim(table: DataFrame, now: Column, worker: str, limit: int, include_failed: bool = False, ids: Sequence | None = None, minutes: int = LEASE_MINUTES) -> DataFrame:
+def claim(table: DataFrame, now: Column, worker: str, limit: int | None, include_failed: bool = False, ids: Sequence | None = None, minutes: int = LEASE_MINUTES) -> DataFrame:
     """The table after a claim; `claimed` marks the rows that were taken."""
     taken = candidates(table, now, worker, limit, include_failed, ids).withColumn("claimed", F.lit(True))
     got = F.col("claimed")

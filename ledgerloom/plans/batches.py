@@ -36,11 +36,11 @@ class Settings:
     model: str = ""
 
 
-def one_batch(tables: Tables, settings: Settings, translator: translation.Translator, now: Column, rates: dict | None = None, ids: Sequence | None = None) -> tuple[Tables, int]:
-    """The tables after one batch, written, and how many rows it claimed. Only misses reach the translator; results, cache
-    and events follow from one written claim, so they agree."""
+def one_batch(tables: Tables, settings: Settings, translator: translation.Translator, now: Column, rates: dict | None = None, ids: Sequence | None = None, batches: int | None = 1) -> tuple[Tables, int]:
+    """The tables after one claim of so many batches (all there are, for None), written, and how many rows it claimed. Only misses reach the
+    translator; results, cache and events follow from one written claim, so they agree."""
     lang = translation.source_language(settings.source)
-    claimed = materialize(claims.claim(tables.raw, now, settings.worker, settings.batch, ids=ids), "batch-claimed")
+    claimed = materialize(claims.claim(tables.raw, now, settings.worker, None if batches is None else batches * settings.batch, ids=ids), "batch-claimed")
     taken = claimed.filter("claimed")
     n = taken.count()
     if not n:
@@ -70,14 +70,11 @@ def one_batch(tables: Tables, settings: Settings, translator: translation.Transl
 
 
 def translate_all(tables: Tables, settings: Settings, translator: translation.Translator, now: Column, rates: dict | None = None, ids: Sequence | None = None, most_batches: int | None = None) -> tuple[Tables, int]:
-    """The tables after all batches, and the rows claimed. Given ids are tried once."""
-    total, done = 0, 0
-    while most_batches is None or done < most_batches:
-        tables, n = one_batch(tables, settings, translator, now, rates, ids)
-        total, done = total + n, done + 1
-        if not n or ids is not None:
-            break
-    return tables, total
+    """The tables after all batches, or `most_batches` of them, and the rows claimed. Given ids are one batch.
+
+    Batches only limit what one claim of a small worker holds. Here they are claimed together: a term that several would miss is translated
+    once, and every table is written once, not once a batch."""
+    return one_batch(tables, settings, translator, now, rates, ids, 1 if ids is not None else most_batches)
 
 
 __all__ = ["Settings", "Tables", "one_batch", "term_hash", "translate_all"]

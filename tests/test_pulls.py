@@ -127,3 +127,30 @@ def test_pages_go_on_after_a_failure(spark, tmp_path):
     assert {r["native_id"] for r in after.raw.collect()} == {r["id"] for r in every}
     again = pulls.pull_pages(spark, "companies_house", flaky, *given, most_pages=2, paging=paging)  # nothing is left to read
     assert run_of(again) == run_of(after) and again.raw.count() == len(every)
+
+
+def test_all_batches_are_claimed_and_written_together(spark):
+    """As one batch after another; with `most_batches` the oldest rows only."""
+    from ledgerloom.functions import text
+    from ledgerloom.plans import batches, translation
+
+    none = lambda kind: F.lit(None).cast(kind)
+    raw = spark.range(9).select(
+        "id", F.concat(F.lit('{"organisasjonsform":{"beskrivelse":"T'), (F.col("id") % 3).cast("string"), F.lit('"}}')).alias("payload"), F.lit("pending").alias("status"), (-F.col("id")).alias("created_at"), F.lit(0).alias("attempts"),
+        none("string").alias("error"), none("string").alias("lease_by"), none("timestamp_ntz").alias("lease_until"), none("string").alias("payload_en"), none("timestamp_ntz").alias("translated_at"),
+    )
+    cache = spark.createDataFrame([], "category string, original_hash string, source_lang string, target_lang string, prompt_version string, model string, original_text string, translated_text string")
+    events = spark.createDataFrame([], "action_id string, status string, message string")
+    start, given = batches.Tables(raw, cache, events), (batches.Settings("brreg", "w", 2, model="m"), translation.mock_translator, F.lit("2026-01-01 00:00:00").cast("timestamp_ntz"))
+    step, claimed = start, []
+    while True:
+        step, n = batches.one_batch(step, *given)
+        if not n:
+            break
+        claimed.append(n)
+    whole, n = batches.translate_all(start, *given)
+    assert claimed == [2, 2, 2, 2, 1] and n == 9 and text.term_hash is not None
+    for one, other in ((step.raw, whole.raw), (step.cache, whole.cache), (step.events, whole.events)):
+        assert sorted(map(repr, one.collect())) == sorted(map(repr, other.select(one.columns).collect()))
+    some, n = batches.translate_all(start, *given, most_batches=2)
+    assert n == 4 and {r["id"] for r in some.raw.filter("status = 'translated'").collect()} == {5, 6, 7, 8}
