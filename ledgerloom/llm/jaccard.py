@@ -609,19 +609,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
         found = overlaps(sets, pairs, near).filter(near)
         links = links.union(found.filter(linked).select("node_a", "node_b"))
         led = found if led is None else led.union(found)
-        components = connected_components(links)
-        before, postings = postings, live_postings(postings, components, "jaccard-live")
-        discard(before, pairs)
+        if n == 0:
+            components = connected_components(links)
+            before, postings = postings, live_postings(postings, components, "jaccard-live")
+            discard(before, pairs)
     if led is None:
         led = sets.sparkSession.createDataFrame([], "a long, b long, node_a long, node_b long, n_b long, common long, only_a array<long>, only_b array<long>")
     groups = similar_groups(led)
     centres = group_centres(groups)
     centred = centred_members(groups, centres)
-    hubs = hub_links(centred, components)
-    if not hubs.isEmpty():
-        links = links.union(hubs)
-        components = connected_components(links)
-        postings = live_postings(postings, components, "jaccard-live")
+    # The last leaders' links and the hubs' are joined together.
+    links = links.union(hub_links(centred, components))
+    components = connected_components(links)
+    postings = live_postings(postings, components, "jaccard-live")
     more = materialize(late_links(sets, postings, groups, centres, centred, components), "jaccard-late-links")
     if not more.isEmpty():
         components = connected_components(links.union(more))
