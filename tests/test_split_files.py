@@ -39,7 +39,7 @@ def values(rng, depth=0):
         return "".join(rng.choice('ab"\\{}[],: é漢\n') for _ in range(rng.randrange(25)))
     if kind == 4:
         return [values(rng, depth + 1) for _ in range(rng.randrange(4))]
-    return {values(rng, 9) if False else f"k{i}}}\"": values(rng, depth + 1) for i in range(rng.randrange(4))}
+    return {f'k{i}}}"': values(rng, depth + 1) for i in range(rng.randrange(4))}
 
 
 def document(rng, shape):
