@@ -1,19 +1,23 @@
 """Approximate nearest neighbours by inner product over balanced posting lists.
 
-Vectors are lifted by one component so that the largest inner product is the smallest distance. A
-balanced bisection of a bounded sample gives centroids. They are few (`max_lists`), so each task
+Vectors of one length whose norms differ by less than the square root of 2 are a zone. Within a zone they are
+lifted by one component so that the largest inner product is the smallest distance, and a balanced bisection
+of a bounded sample gives the zone's centroids. They are few (`max_lists`), so each task
 holds them and searches them by a graph of their neighbours. A vector goes to its nearest list and,
 if it stands near a boundary, to further ones (replicas whose distance is within `replicate` of the
-nearest, and that are not much closer to a list chosen before). A query probes all lists whose distance
+nearest, and that are not much closer to a list chosen before). A query probes, in each zone, all lists whose distance
 is within `prune` of the nearest, however many: the graph finds those of most queries, and where its
-`beam` ends within the ratio all centroids are compared.
+`beam` ends within the ratio all centroids are compared. A length's rarest norms share a zone, and
+lengths beyond the most frequent ones have a single list each, found without the broadcast.
 
-Lists follow the table's size. Short neighbouring ones form a group of about `part_rows` / 2 rows, which
-is scored whole, so a query goes to a group once. Long ones are split by centroids of their own, fitted
+Lists follow the table's size. Short neighbouring ones are scored in one task's group, each by its own queries.
+Long ones are split by centroids of their own, fitted
 on the list's sample: vectors go to the nearest part and boundary replicas, queries to the parts within
 the ratio. What the broadcast holds does not grow; the parts' centroids meet their list in a shuffle.
 
-A query's nearest group is scored first. Its worst score there bounds what the other groups send.
+The lists of a query's best centroids are scored first. The worst of its best scores there bounds what other lists send,
+and a zone whose largest norm times the query's own cannot reach it is not visited, which loses no result. A query that met
+fewer than k others probes on, further lists each time, until it has k or has seen all.
 Scores are inner products of the original vectors in double precision.
 
 Rows with equal id and vector are one row. Of equal vectors only the k + 1 smallest ids can be in a
@@ -21,8 +25,8 @@ result, and a per-group limit drops the others before the shuffle. Equal queries
 very common ones take their answer from a broadcast of fewer than 2,048 of them.
 This loses no result and keeps a very common vector from filling one list or task.
 
-Defined cases: null, zero or non-finite vectors, rows without an id, and vectors of another length
-than the most frequent one take no part; of rows that repeat an id the best score counts; ties go to
+Defined cases: null, zero or non-finite vectors and rows without an id take no part; vectors meet only those of their own
+length; of rows that repeat an id the best score counts; ties go to
 the smaller id; an empty table gives no rows; other columns are ignored.
 """
 
@@ -33,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +46,7 @@ from ledgerloom.llm.common import join_uneven, materialize
 
 @dataclass(frozen=True)
 class IndexBound:
-    """Bounds of the sample and the centroids, and the two distance ratios."""
+    """Bounds of the sample, the centroids and the zones that have centroids, and the two distance ratios."""
 
     sample_rows: int = 32_768
     max_lists: int = 8_192
@@ -49,10 +54,12 @@ class IndexBound:
     replicas: int = 3
     replicate: float = 1.15
     closer: float = 0.5
-    prune: float = 1.16
+    prune: float = 1.2
     least_probes: int = 4
     beam: int = 160
     part_rows: int = 4_096
+    lengths: int = 8
+    norms: int = 24
 
 
 def usable_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -63,15 +70,36 @@ def usable_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     usable = df.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec")).filter(
         F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0)
     )
-    sizes = usable.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    return usable.filter(F.size("vec") == (sizes["d"] if sizes else 0)).withColumn("vec_hash", F.xxhash64("vec"))
+    return usable.withColumn("vec_hash", F.xxhash64("vec"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
+    """Vectors of one length."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def _by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of each length and their vectors."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    for d in np.unique(sizes):
+        rows = np.flatnonzero(sizes == d)
+        yield rows, _matrix(column.take(pa.array(rows)))
+
+
+def norms(x: np.ndarray) -> np.ndarray:
+    """Lengths of rows that are not zero; no square overflows."""
+    largest = np.abs(x).max(axis=1, keepdims=True, initial=0)
+    with np.errstate(over="ignore"):
+        return np.minimum(1e308, largest[:, 0] * np.sqrt(((x / largest) ** 2).sum(axis=1)))
+
+
+def norm_bands(norm: np.ndarray) -> np.ndarray:
+    """Bands of a width of the square root of 2; those of norm 1 are in the middle of one."""
+    return np.floor(2 * np.log2(norm) + 0.5).astype(np.int32)
+
+
 def balanced_centroids(x: np.ndarray, lists: int, seed: int = 1) -> np.ndarray:
     """Means of `lists` parts of x whose sizes differ by little: bisection, each cut at the share of its two sides."""
     rng = np.random.default_rng(seed)
@@ -152,7 +180,6 @@ class CentroidGraph:
         d = d[rows, order] + (q**2).sum(axis=1)[:, None]
         return ids[rows, order], np.sqrt(np.maximum(d, 0))
 
-
     def all_of(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and distances of all centroids of each query, nearest first."""
         q = q.astype(np.float32)
@@ -190,153 +217,233 @@ def probed_lists(ids: np.ndarray, d: np.ndarray, bound: IndexBound, least: int)
     return rows, ids[rows, at]
 
 
+#: The band of those norms of a length that have no zone of their own.
+_REST = -(1 << 20)
+
+
 @dataclass(frozen=True)
-class Index:
+class Zone:
+    """Centroids of vectors of one length and band of norms; list numbers start at `first`."""
+
     graph: CentroidGraph
     scale: float  # the largest norm
+    first: int
+
+
+@dataclass(frozen=True)
+class Index:
+    zones: dict[tuple[int, int], Zone]  # by length and band
     bound: IndexBound
-    together: int = 1  # neighbouring lists in a group
-
-    def dealt(self, x: np.ndarray, stored: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, group, whether it is the row's nearest) of vectors to store or of queries."""
-        rows, lists, nearest = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
-        for start in range(0, len(x), 256):
-            part = lifted(x[start : start + 256], self.scale, stored)
-            if stored:
-                ids, d = self.graph.search(part, 32)
-                found = [(np.arange(len(part)), *stored_lists(self.graph.c, ids, d, self.bound))]
-            else:
-                ids, d = self.graph.search(part, self.bound.beam)
-                more = ~(np.isfinite(d[:, -1]) & (d[:, -1] > self.bound.prune * d[:, 0]))  # the beam may have missed some
-                every = self.graph.all_of(part[more])
-                found = [(np.flatnonzero(~more), *probed_lists(ids[~more], d[~more], self.bound, self.bound.least_probes)), (np.flatnonzero(more), *probed_lists(*every, self.bound, self.bound.least_probes))]
-            nearest.append(ids[:, 0] // self.together)
-            for at, r, c in found:
-                rows.append(at[r] + start)
-                lists.append(c // self.together)
-        groups = len(self.graph.c) // self.together + 1
-        row, group = np.divmod(np.unique(np.concatenate(rows) * groups + np.concatenate(lists)), groups)
-        return row, group, group == np.concatenate(nearest or [np.zeros(0, np.int64)])[row]
+    lists: int
+    together: int = 1  # neighbouring lists that are scored in one group
+
+    def _stored(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, list) pairs of vectors of one length."""
+        d, bands = x.shape[1], norm_bands(norms(x))
+        bands[~np.isin(bands, [b for n, b in self.zones if n == d])] = _REST
+        for band in np.unique(bands):
+            zone, of = self.zones.get((d, int(band))), np.flatnonzero(bands == band)
+            if zone is None:
+                yield of, np.full(len(of), -d)
+                continue
+            for start in range(0, len(of), 256):
+                at = of[start : start + 256]
+                rows, lists = stored_lists(zone.graph.c, *zone.graph.search(lifted(x[at], zone.scale, True), 32), self.bound)
+                yield at[rows], lists + zone.first
+
+    def _probed(self, x: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, list, score of the list's centroid, the most that a vector of its zone can score) of queries of one length."""
+        d, norm = x.shape[1], norms(x)
+        zones = [zone for (n, _), zone in self.zones.items() if n == d]
+        if not zones:
+            yield np.arange(len(x)), np.full(len(x), -d), np.zeros(len(x)), np.full(len(x), np.inf)
+        for zone in zones:
+            for start in range(0, len(x), 256):
+                part = lifted(x[start : start + 256], zone.scale, False)
+                ids, far = zone.graph.search(part, self.bound.beam)
+                # The beam may have missed some.
+                more = ~(np.isfinite(far[:, -1]) & (far[:, -1] > self.bound.prune * far[:, 0])) | (least > ids.shape[1])
+                for some, found in ((~more, (ids[~more], far[~more])), (more, zone.graph.all_of(part[more]))):
+                    rows, lists = probed_lists(*found, self.bound, least)
+                    at = np.flatnonzero(some)[rows]
+                    score = np.einsum("nd,nd->n", part[at], zone.graph.c[lists]) * zone.scale
+                    with np.errstate(over="ignore"):
+                        yield at + start, lists + zone.first, score, norm[at + start] * zone.scale * (1 + 1e-9)
+
+    def dealt(self, x: np.ndarray, stored: bool, least: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, list, whether it is among the row's first lists, the most that its zone can score) of vectors of one length, to store or as queries."""
+        if stored:
+            found = [np.concatenate(v) for v in zip((np.zeros(0, np.int64),) * 2, *self._stored(x))]
+            return *found, np.zeros(len(found[0]), bool), np.zeros(len(found[0]))
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+        row, lists, score, most = (np.concatenate(v) for v in zip(none, *self._probed(x, least or self.bound.least_probes)))
+        order = np.lexsort((lists, -score, row))
+        row, lists, most = row[order], lists[order], most[order]
+        return row, lists, np.arange(len(row)) - np.searchsorted(row, row) < self.bound.least_probes, most
+
+
+def zone_sizes(points: DataFrame) -> DataFrame:
+    """Rows (n) and the largest norm of each length (d) and band."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, x in _by_length(batch.column(0)):
+                norm = norms(x)
+                bands, at = np.unique(norm_bands(norm), return_inverse=True)
+                largest = np.zeros(len(bands))
+                np.maximum.at(largest, at, norm)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(bands), x.shape[1])), pa.array(bands), pa.array(np.bincount(at, minlength=len(bands))), pa.array(largest)], names=["d", "band", "n", "largest"]
+                )
+
+    each = points.select("vec").mapInArrow(count, "d long, band int, n long, largest double")
+    return each.groupBy("d", "band").agg(F.sum("n").alias("n"), F.max("largest").alias("largest"))
+
+
+def indexed_zones(sizes: DataFrame, bound: IndexBound) -> DataFrame:
+    """d, band, n and largest of the zones that have centroids: at most `lengths` * (`norms` + 1)."""
+    lengths = sizes.groupBy("d").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "d").limit(bound.lengths).select("d")
+    by_size = Window.partitionBy("d").orderBy(F.desc("n"), "band")
+    placed = sizes.join(lengths, "d").withColumn("band", F.when(F.row_number().over(by_size) <= bound.norms, F.col("band")).otherwise(_REST))
+    return placed.groupBy("d", "band").agg(F.sum("n").alias("n"), F.max("largest").alias("largest"))
 
 
 def build_index(points: DataFrame, bound: IndexBound = IndexBound()) -> Index | None:
-    """Fit centroids on a bounded sample of the distinct vectors (chosen by hash of id and vector)."""
+    """Fit each zone's centroids on its part of a bounded sample of the distinct vectors (chosen by hash of id and vector)."""
     first = points.filter("place = 1")
-    square = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
-    largest = F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double"))))
-    stats = first.agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("square"), F.max(largest).alias("largest"), F.max(F.size("vec")).alias("d")).first()
-    if not stats["n"]:
+    rows = indexed_zones(zone_sizes(first), bound).orderBy("d", "band").collect()
+    total = sum(row["n"] for row in rows)
+    if not total:
         return None
-    norm = np.sqrt(stats["square"])
-    scale = float(norm if np.isfinite(norm) else min(1e308, stats["largest"] * np.sqrt(stats["d"])))  # squares may overflow
-    share = 0.95 * bound.sample_rows * (1 << 30) / stats["n"]
+    share = 0.95 * bound.sample_rows * (1 << 30) / total
     chosen = first.filter(F.pmod(F.xxhash64("vec_id", "vec"), F.lit(1 << 30)) < share) if share < (1 << 30) else first
+    chosen = chosen.filter(F.size("vec").isin(sorted({row["d"] for row in rows})))
     sample = chosen.select("vec_id", "vec").limit(bound.sample_rows).toArrow().sort_by("vec_id")
-    x = _matrix(sample["vec"])
-    lists = max(1, min(bound.max_lists, stats["n"] // bound.list_rows, max(1, len(x) // 4)))
-    together = max(1, bound.part_rows * lists // (2 * stats["n"]))  # bisection numbers neighbouring lists in a row
-    return Index(CentroidGraph(balanced_centroids(lifted(x, scale, True), lists)), scale, bound, together)
-
-
-def _dealt(df: DataFrame, index, stored: bool) -> DataFrame:
-    """(list, id, vec, near) rows of each vector's groups of lists."""
+    by_length = {x.shape[1]: x for _, x in _by_length(sample["vec"])}
+    zones, lists = {}, 0
+    for row in rows:
+        x = by_length.get(row["d"], np.zeros((0, row["d"])))
+        bands = norm_bands(norms(x)) if len(x) else np.zeros(0, np.int32)
+        own = [other["band"] for other in rows if other["d"] == row["d"]]
+        x = lifted(x[~np.isin(bands, own) if row["band"] == _REST else bands == row["band"]], row["largest"], True)
+        if not len(x):  # a zone too small for the sample
+            x = np.append(np.zeros(row["d"]), 1.0)[None]
+        most = min(bound.max_lists * row["n"] // total, row["n"] // bound.list_rows, len(x) // 4)
+        zones[row["d"], row["band"]] = Zone(CentroidGraph(balanced_centroids(x, max(1, most))), row["largest"], lists)
+        lists += max(1, most)
+    together = max(1, bound.part_rows * lists // (2 * total))  # bisection numbers neighbouring lists in a row
+    return Index(zones, bound, lists, together)
+
+
+def _dealt(df: DataFrame, index, stored: bool, least: int | None = None) -> DataFrame:
+    """(list, id, vec, near, most) rows of each vector's lists; `most` bounds a query's scores there."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
-                rows, lists, near = index.value.dealt(_matrix(part.column(1)), stored)
-                take = part.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), take.column(0), take.column(1), pa.array(near)], names=["list", "id", "vec", "near"])
+                for at, x in _by_length(part.column(1)):
+                    rows, lists, near, most = index.value.dealt(x, stored, least)
+                    take = part.take(pa.array(at[rows]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(lists.astype(np.int32)), take.column(0), take.column(1), pa.array(near), pa.array(most)], names=["list", "id", "vec", "near", "most"]
+                    )
 
-    return df.mapInArrow(deal, f"list int, id long, vec {df.schema['vec'].dataType.simpleString()}, near boolean")
+    return df.mapInArrow(deal, f"list int, id long, vec {df.schema['vec'].dataType.simpleString()}, near boolean, most double")
 
 
-def _divided(rows: DataFrame, parts: DataFrame, centers: DataFrame | None, index, stored: bool) -> DataFrame:
-    """`rows` (list, id, vec, near) with `part`: 0 in a list of one part, else the nearest parts by the list's own centroids.
+def _divided(rows: DataFrame, parts: DataFrame, centers: DataFrame | None, bound: IndexBound, stored: bool, least: int = 1) -> DataFrame:
+    """`rows` (list, id, vec, near, most) with `part`: 0 in a list of one part, else the nearest parts by the list's own centroids.
 
     A long list's rows meet its centroids in groups of about `part_rows` rows."""
     if centers is None:
         return rows.withColumn("part", F.lit(0))
-    bound, scale = index.bound, index.scale
-    schema = "list int, id long, vec {}, near boolean, part int".format(rows.schema["vec"].dataType.simpleString())
+    kept = ["list", "id", "vec", "near", "most"]
+    schema = "list int, id long, vec {}, near boolean, most double, part int".format(rows.schema["vec"].dataType.simpleString())
 
     def place(left: pa.Table, right: pa.Table) -> pa.Table:
-        c = _matrix(right["centers"].combine_chunks().flatten()).astype(np.float32) if right.num_rows else np.zeros((1, 1), np.float32)
-        rows_, parts_, near_ = [], [], []
+        if not right.num_rows:  # a list without a sample stays one part
+            return left.select(kept).append_column("part", pa.array(np.zeros(left.num_rows, np.int32)))
+        c, scale = _matrix(right["centers"].combine_chunks().flatten()).astype(np.float32), right["scale"][0].as_py()
+        rows_, parts_, near_ = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
         x = _matrix(left["vec"])
         for start in range(0, len(x), 1024):
             q = lifted(x[start : start + 1024], scale, stored).astype(np.float32)
             d = np.sqrt(np.maximum(0, (q**2).sum(axis=1)[:, None] + (c**2).sum(axis=1) - 2 * q @ c.T))
             ids = np.argsort(d, axis=1, kind="stable")
             d = np.take_along_axis(d, ids, axis=1)
-            r, at = stored_lists(c, ids, d, bound) if stored else probed_lists(ids, d, bound, 1)
+            r, at = stored_lists(c, ids, d, bound) if stored else probed_lists(ids, d, bound, least)
             rows_.append(r + start)
             parts_.append(at)
             near_.append(at == ids[r, 0])
-        take = np.concatenate(rows_ or [np.zeros(0, np.int64)])
-        out = left.select(["list", "id", "vec", "near"]).take(pa.array(take))
-        near = np.concatenate(near_ or [np.zeros(0, bool)]) & out["near"].to_numpy().astype(bool)
-        return pa.table([out["list"], out["id"], out["vec"], pa.array(near), pa.array(np.concatenate(parts_ or [np.zeros(0, np.int64)]).astype(np.int32))], names=["list", "id", "vec", "near", "part"])
+        out = left.select(kept).take(pa.array(np.concatenate(rows_)))
+        near = np.concatenate(near_) & out["near"].to_numpy().astype(bool)
+        return out.set_column(3, "near", pa.array(near)).append_column("part", pa.array(np.concatenate(parts_).astype(np.int32)))
 
-    long_ = parts.filter("parts > 1")
+    long_ = parts.filter("parts > 1").select("list")
     groups = rows.join(long_, "list").groupBy("list").agg(F.ceil(F.count(F.lit(1)) / bound.part_rows).cast("int").alias("groups"))
     salted = rows.join(groups, "list").withColumn("salt", F.pmod(F.xxhash64("id", "vec"), F.col("groups")).cast("int")).drop("groups")
-    met = centers.join(groups, "list").select("list", "centers", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"))
+    met = centers.join(groups, "list").select("list", "centers", "scale", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"))
     placed = salted.groupBy("list", "salt").cogroup(met.groupBy("list", "salt")).applyInArrow(place, schema)
     return rows.join(long_, "list", "left_anti").withColumn("part", F.lit(0)).unionByName(placed)
 
 
-def list_centers(postings: DataFrame, parts: DataFrame, index) -> DataFrame | None:
-    """Written table of the centroids of the parts of long lists (list, centers), from a sample of 64 rows a part; none if no list is long."""
+def list_centers(postings: DataFrame, parts: DataFrame) -> DataFrame | None:
+    """Written table of the centroids of the parts of long lists (list, centers, scale), from a sample of 64 rows a part; none if no list is long."""
     long_ = materialize(parts.filter("parts > 1"), "ann-long-lists")
     if long_.isEmpty():
         return None
     sample = postings.join(long_, "list").filter(F.pmod(F.xxhash64(F.lit(5), "id", "vec"), F.lit(1 << 30)) < F.lit(64.0 * (1 << 30)) * F.col("parts") / F.col("n"))
-    scale = index.scale
+    schema = pa.schema([("list", pa.int32()), ("centers", pa.list_(pa.list_(pa.float32()))), ("scale", pa.float64())])
 
     def fit(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("id")
-        c = balanced_centroids(lifted(_matrix(rows["vec"]), scale, True), min(rows["parts"][0].as_py(), rows.num_rows))
-        return pa.table({"list": [key[0].as_py()], "centers": [c.tolist()]}, schema=pa.schema([("list", pa.int32()), ("centers", pa.list_(pa.list_(pa.float32())))]))
+        x = _matrix(rows["vec"])
+        scale = float(norms(x).max())  # a longer vector that the sample misses counts as one of this norm
+        c = balanced_centroids(lifted(x, scale, True), min(rows["parts"][0].as_py(), rows.num_rows))
+        return pa.table({"list": [key[0].as_py()], "centers": [c.tolist()], "scale": [scale]}, schema=schema)
+
+    return materialize(sample.groupBy("list").applyInArrow(fit, "list int, centers array<array<float>>, scale double"), "ann-centers")
 
-    return materialize(sample.groupBy("list").applyInArrow(fit, "list int, centers array<array<float>>"), "ann-centers")
 
+def _best_scores(x: np.ndarray, ids: np.ndarray, q: np.ndarray, of: np.ndarray, bar: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, id, score) of one list's rows, in order of id, that may be among the best k + 1 ids of a query; an id may repeat."""
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])[: len(ids)])
+    for start in range(0, len(q) if len(x) else 0, 512):
+        rough = q[start : start + 512] @ x.T
+        each = rough if len(first) == len(ids) else np.maximum.reduceat(rough, first, axis=1)  # the best of each id
+        least = np.partition(each, -(k + 1), axis=1)[:, -(k + 1)] if each.shape[1] > k + 1 else each.min(axis=1)
+        least = np.maximum(least, bar[start : start + 512])
+        r, c = np.nonzero(rough >= (least - 1e-9 * (1 + np.abs(least)))[:, None])
+        yield of[start + r], ids[c], (q[start + r] * x[c]).sum(axis=1)  # each row alone, so equal vectors score equally
 
-def _scored(lists: DataFrame, probes: DataFrame, k: int) -> DataFrame:
-    """query_id, vec_id, score of the best k + 1 ids of each query in each part, above the query's `least` score."""
+
+def _scored(lists: DataFrame, probes: DataFrame, together: int, k: int) -> DataFrame:
+    """query_id, vec_id, score of the best k + 1 ids of each query in each group of lists, above the query's `least` score.
+
+    Lists that stand together share a task's group; each is met by its own queries alone."""
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        x, q = _matrix(left["vec"]), _matrix(right["vec"])
-        ids, of, bar = left["id"].to_numpy(), right["id"].to_numpy(), right["least"].to_numpy()
-        by_id = np.argsort(ids, kind="stable")
-        x, ids = x[by_id], ids[by_id]
-        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])[: len(ids)])
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        for start in range(0, len(q) if len(x) else 0, 512):
-            rough = q[start : start + 512] @ x.T
-            each = rough if len(first) == len(ids) else np.maximum.reduceat(rough, first, axis=1)  # the best of each id
-            if each.shape[1] > k + 1:
-                least = np.partition(each, -(k + 1), axis=1)[:, -(k + 1)]
-            else:
-                least = each.min(axis=1)
-            least = np.maximum(least, bar[start : start + 512])
-            r, c = np.nonzero(rough >= (least - 1e-9 * (1 + np.abs(least)))[:, None])
-            exact = (q[start + r] * x[c]).sum(axis=1)  # each row alone, so equal vectors score equally
-            out.append((of[start + r], ids[c], exact))
+        left, right = left.sort_by([("list", "ascending"), ("id", "ascending")]).combine_chunks(), right.sort_by("list").combine_chunks()
+        stored, probed = left["list"].to_numpy(), right["list"].to_numpy()
+        for number in np.intersect1d(stored, probed):
+            a, b = np.searchsorted(stored, (number, number + 1))
+            rows = left.slice(a, b - a)
+            a, b = np.searchsorted(probed, (number, number + 1))
+            asked = right.slice(a, b - a)
+            out += _best_scores(_matrix(rows["vec"]), rows["id"].to_numpy(), _matrix(asked["vec"]), asked["id"].to_numpy(), asked["least"].to_numpy(), k)
         query, vec, value = (np.concatenate(v) for v in zip(*out))
+        once = np.lexsort((-value, vec, query))  # replicas and rows that repeat an id: the best score counts
+        query, vec, value = query[once], vec[once], value[once]
+        new = np.append(True, (query[1:] != query[:-1]) | (vec[1:] != vec[:-1]))[: len(vec)]
+        query, vec, value = query[new], vec[new], value[new]
         order = np.lexsort((vec, -value, query))
         query, vec, value = query[order], vec[order], value[order]
-        if len(first) < len(ids):  # of each query's rows of an id the first has the best score
-            once = np.lexsort((np.arange(len(vec)), vec, query))
-            new = np.append(True, (query[once][1:] != query[once][:-1]) | (vec[once][1:] != vec[once][:-1]))[: len(once)]
-            keep = np.sort(once[new])
-            query, vec, value = query[keep], vec[keep], value[keep]
-        place = np.arange(len(query)) - np.searchsorted(query, query)
-        top = place <= k
+        top = np.arange(len(query)) - np.searchsorted(query, query) <= k
         return pa.table({"query_id": query[top], "vec_id": vec[top], "score": value[top]})
 
-    keys = ["list", "part", "slice"]
+    keys = [F.floor(F.col("list") / together).alias("cell"), F.col("part"), F.col("slice")]
     return lists.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInArrow(score, "query_id long, vec_id long, score double")
 
 
@@ -361,32 +468,50 @@ def nearest(
 
     # Lists of more than two parts' rows are divided; a part that is still too long is dealt in slices that all its queries meet.
     parts = materialize(postings.groupBy("list").agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.when(F.col("n") > 2 * bound.part_rows, F.ceil(F.col("n") / bound.part_rows)).otherwise(1).cast("int")), "ann-list-sizes")
-    centers = list_centers(postings, parts, fitted)
-    stored = _divided(postings, parts, centers, fitted, stored=True)
-    probes = _divided(_dealt(distinct.select("qid", "vec"), index, stored=False), parts, centers, fitted, stored=False)
+    centers = list_centers(postings, parts)
+    stored = _divided(postings, parts, centers, bound, stored=True)
     if centers is not None:
-        stored, probes = materialize(stored, "ann-parts"), materialize(probes, "ann-probes")
+        stored = materialize(stored, "ann-parts")
     slices = stored.groupBy("list", "part").agg(F.ceil(F.count(F.lit(1)) / (4 * bound.part_rows)).cast("int").alias("slices"))
     slices = materialize(slices, "ann-slices")
-    stored = stored.join(slices, ["list", "part"]).withColumn("slice", F.pmod(F.xxhash64("id", "vec"), F.col("slices")).cast("int")).drop("slices", "near")
-    probes = probes.join(slices, ["list", "part"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
-    probes = materialize(probes, "ann-probes")
+    stored = stored.join(slices, ["list", "part"]).withColumn("slice", F.pmod(F.xxhash64("id", "vec"), F.col("slices")).cast("int")).drop("slices", "near", "most")
+
+    def probed(queries: DataFrame, least: int) -> DataFrame:
+        probes = _divided(_dealt(queries.select("qid", "vec"), index, stored=False, least=least), parts, centers, bound, stored=False, least=max(1, least // bound.least_probes))
+        if centers is not None:
+            probes = materialize(probes, "ann-probed-parts")
+        probes = probes.join(slices, ["list", "part"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+        return materialize(probes, "ann-probes")
 
     lowest = F.lit(-float("inf"))
-    near = materialize(_scored(stored, probes.filter("near").withColumn("least", lowest), k), "ann-near")
-    each = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    scores = F.sort_array(F.collect_list("score"), asc=False)  # those of one group's parts
-    kth = each.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count(F.lit(1)) > k, F.get(scores, F.lit(k))).alias("bar"))
-    far = _scored(stored, probes.filter("not near").join(kth, "id", "left").withColumn("least", F.coalesce("bar", lowest)).drop("bar"), k)
+    at_best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def searched(queries: DataFrame, least: int) -> DataFrame:
+        """Written table of the best k + 1 ids met by each query."""
+        probes = probed(queries, least)
+        near = materialize(_scored(stored, probes.filter("near").withColumn("least", lowest), fitted.together, k), "ann-near")
+        each = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        scores = F.sort_array(F.collect_list("score"), asc=False)  # those of a few lists
+        kth = each.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count(F.lit(1)) > k, F.get(scores, F.lit(k))).alias("bar"))
+        rest = probes.filter("not near").join(kth, "id", "left").filter("bar is null or most >= bar")
+        far = _scored(stored, rest.withColumn("least", F.coalesce("bar", lowest)).drop("bar"), fitted.together, k)
+        top = near.union(far).groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(at_best))
+        return materialize(top.filter(F.col("rank") <= k + 1).select(F.col("query_id").alias("qid"), "vec_id", "score"), "ann-met")
+
+    # Queries that met too few go on with more lists of each zone, all of them in the end.
+    there = points.groupBy(F.size("vec").alias("d")).agg(F.least(F.lit(k + 1), F.countDistinct("vec_id")).alias("need"))
+    there = materialize(there, "ann-needs")
+    top, open_, least = searched(distinct, bound.least_probes), distinct, bound.least_probes
+    most = max(16 * bound.least_probes, fitted.lists, (parts.agg(F.max("parts")).first()[0] or 1) * bound.least_probes)
+    while least < most:
+        met = top.groupBy("qid").agg(F.count(F.lit(1)).alias("met"))
+        few = open_.withColumn("d", F.size("vec")).join(there, "d").join(met, "qid", "left").filter("coalesce(met, 0) < need")
+        open_ = materialize(few.select(*distinct.columns), "ann-open")
+        if open_.isEmpty():
+            break
+        least = min(most, 16 * least)
+        top = top.join(open_, "qid", "left_anti").union(searched(open_, least))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    top = (
-        near.union(far)
-        .groupBy("query_id", "vec_id")
-        .agg(F.max("score").alias("score"))
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k + 1)
-        .select(F.col("query_id").alias("qid"), "vec_id", "score")
-    )
     numbered = join_uneven(asked, distinct, ["vec_hash", "vec"], "rows").select("query_id", "qid")
     answers = materialize(top.join(distinct.select("qid", "rows"), "qid"), "ann-top")
     return (

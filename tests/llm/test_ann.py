@@ -62,6 +62,9 @@ def test_recall_on_the_table(spark):
         hit += len(set(ids[np.lexsort((ids, -s))[:20]]) & by[ids[row]])
         n += 20
     assert hit / n >= 0.9
+    index = ann.build_index(df.withColumn("place", F.lit(1)).withColumnRenamed("embedding", "vec"))
+    # This table has hardly any clusters: the ratio keeps most of its lists, but each query still chooses among them.
+    assert index.lists == 31 and met_share(index, x, np.flatnonzero(ids % 20 == 0)) < 1
 
 
 def test_graph_search_finds_nearest():
@@ -94,10 +97,25 @@ def recall_and_scan(spark, path, x, every, bound):
         s[row] = -np.inf
         hit += len(set(np.argpartition(s, -20)[-20:]) & by[row])
     index = ann.build_index(df.withColumn("place", F.lit(1)).withColumnRenamed("embedding", "vec"), bound)
-    sizes = np.bincount(index.dealt(x, True)[1])
-    scanned = sizes[index.dealt(x[::every], False)[1]].sum() / (n // every) / sizes.sum()
-    lists = ann.Index(index.graph, index.scale, bound)  # without grouping of short lists
-    return hit / (20 * (n // every)), scanned, len(lists.dealt(x, True)[0]) / n, len(lists.dealt(x[::every], False)[0]) / (n // every) / len(index.graph.c)
+    queries = np.arange(0, n, every)
+    assert (got.groupby("query_id").size() == 20).all() and set(by.index) == set(queries)
+    return hit / (20 * len(queries)), met_share(index, x, queries), len(index.dealt(x, True)[0]) / n, len(index.dealt(x[queries], False)[0]) / len(queries) / index.lists
+
+
+def met_share(index, x, queries, k=20):
+    """The share of all stored entries that a query is scored against: its first lists, then those whose zone can reach its bar."""
+    rows, lists, _, _ = index.dealt(x, True)
+    order = np.argsort(lists, kind="stable")
+    rows, ends = rows[order], np.searchsorted(lists[order], np.arange(index.lists + 1))
+    of, probed, near, most = index.dealt(x[queries], False)
+    met = 0
+    for q in range(len(queries)):
+        own = of == q
+        first = np.unique(np.concatenate([rows[ends[c] : ends[c + 1]] for c in probed[own & near]]))
+        scores = np.sort(x[first] @ x[queries[q]])[::-1]
+        bar = scores[k] if len(scores) > k else -np.inf
+        met += sum(ends[c + 1] - ends[c] for c in probed[own & (near | (most >= bar))])
+    return met / len(queries) / len(rows)
 
 
 def test_recall_without_clusters(spark, tmp_path):
@@ -150,3 +168,63 @@ def test_repeated_ids(spark):
         want = sorted(scores.items(), key=lambda s: (-s[1], s[0]))[:20]
         assert len({v for v, _ in got[q]}) == 20
         assert np.allclose([s for _, s in got[q]], [s for _, s in want]) and [v for v, _ in got[q]] == [v for v, _ in want]
+
+
+def test_uneven_norms(spark, tmp_path):
+    """Log-normal norms and one vector much longer than all others: zones of norms keep most entries out of sight."""
+    rng = np.random.default_rng(14)
+    centers = rng.normal(size=(300, 64))
+    x = centers[rng.integers(0, 300, 20_000)] + 0.3 * rng.normal(size=(20_000, 64))
+    x *= (np.exp(0.5 * rng.normal(size=20_000)) / np.linalg.norm(x, axis=1))[:, None]
+    x[17] *= 20 / np.linalg.norm(x[17])
+    recall, scanned, _, _ = recall_and_scan(spark, str(tmp_path / "v.parquet"), x, 100, ann.IndexBound())
+    assert recall >= 0.9 and scanned < 0.3
+
+
+def test_one_long_vector(spark, tmp_path):
+    """Unit vectors without clusters beside one of norm 20."""
+    x = np.random.default_rng(15).normal(size=(20_000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[17] *= 20
+    recall, scanned, _, _ = recall_and_scan(spark, str(tmp_path / "v.parquet"), x, 100, ann.IndexBound())
+    assert recall >= 0.9 and scanned < 0.3
+
+
+def test_each_length_is_answered_within_itself(spark):
+    """Lengths with zones of their own and, past `lengths`, those with one list, which is divided where it is long."""
+    rng = np.random.default_rng(16)
+    rows = [(i, rng.normal(size=2 + i % 4).tolist()) for i in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    for bound in (ann.IndexBound(), ann.IndexBound(lengths=1, norms=2), ann.IndexBound(lengths=1, part_rows=64)):
+        got = {}
+        for r in ann.nearest(df, F.col("vec_id") % 20 == 0, 20, bound=bound).collect():
+            got.setdefault(r["query_id"], {})[r["vec_id"]] = r["score"]
+        hit = 0
+        for i, q in rows[::20]:
+            scores = {j: float(np.dot(q, v)) for j, v in rows if j != i and len(v) == len(q)}
+            assert len(got[i]) == 20 and all(abs(scores[j] - s) < 1e-9 for j, s in got[i].items())
+            hit += len(set(sorted(scores, key=lambda j: (-scores[j], j))[:20]) & set(got[i]))
+        assert hit / (20 * 60) >= 0.9
+
+
+def test_queries_probe_on_until_k_are_met(spark):
+    """Lists of about two rows and one probe a zone: every query still gets 20."""
+    rng = np.random.default_rng(17)
+    df = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(600)], "vec_id long, embedding array<double>")
+    bound = ann.IndexBound(list_rows=4, least_probes=1, prune=1.0, replicas=1)
+    counts = ann.nearest(df, F.col("vec_id") % 20 == 0, bound=bound).groupBy("query_id").count().collect()
+    assert len(counts) == 30 and all(r["count"] == 20 for r in counts)
+
+
+def test_norms_of_any_size():
+    x = np.array([[3.0, 4.0], [1e300, 1e300], [5e-324, 0.0], [1.7e308, 1.7e308]])
+    assert np.allclose(ann.norms(x)[:2], [5, 2**0.5 * 1e300]) and (ann.norms(x) > 0).all() and np.isfinite(ann.norms(x)).all()
+    assert ann.norm_bands(np.array([1 - 1e-7, 1 + 1e-7])).tolist() == [0, 0]
+
+
+def test_a_small_table_is_no_single_group(spark, tmp_path):
+    """2,000 clustered vectors: queries choose among lists at this size too."""
+    rng = np.random.default_rng(18)
+    x = rng.normal(size=(40, 32))[rng.integers(0, 40, 2_000)] + 0.3 * rng.normal(size=(2_000, 32))
+    recall, scanned, _, _ = recall_and_scan(spark, str(tmp_path / "v.parquet"), x, 20, ann.IndexBound())
+    assert recall >= 0.9 and scanned < 0.6
