@@ -21,6 +21,7 @@ segmentations, repeated rows the same one; an empty table gives no rows; other c
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -34,8 +35,6 @@ from ledgerloom.llm.common import mix64
 
 BAR = "▁"
 ALPHA = 1.5
-#: Longest piece looked up, in characters.
-LONGEST = 24
 _WHOLE = re.compile(r"(?s).+")
 #: Shares of a node's edges are whole numbers up to this.
 _SHARES = 1 << 32
@@ -105,11 +104,11 @@ class Lattice:
         if self.byte_id.min() < 0:
             raise ValueError("the vocabulary has no piece for some byte")
         self.text_of = [text_of.get(i, b"") for i in range(max(text_of) + 1)]
-        self.longest = min(LONGEST, max(map(len, self.weight)))
+        self.longest = max(map(len, self.weight))
         self.word = word_pattern(list(self.weight))
         self.spelled_weight = (len(pieces) + 10.0) ** -alpha
         self.seed = np.uint64(seed * 0x9E3779B97F4A7C15 & (2**64 - 1))
-        self.by_length = [self._table(n) for n in range(1, self.longest + 1)]
+        self.by_length = [self._table(n) for n in range(1, min(self.longest, self.SHORT) + 1)]
 
     def _table(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of the pieces of n characters: a small bit table of hashes, sorted hashes, weights and ids."""
@@ -184,10 +183,10 @@ class Lattice:
         return target * _SHARES + share, source, piece
 
     def _filtered_long(self, word: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """As `_filtered` for one long word, with sums scaled on the way."""
+        """As `_filtered` for one long word; a node's sum is a fraction and a power of two, so it never vanishes beside others."""
         s = word.replace(BAR, _NO_PIECE).replace(" ", BAR)
         n, weight = len(s), self.weight
-        sums = [1.0] + [0.0] * n
+        sums, powers = [1.0] + [0.0] * n, [0] * (n + 1)
         keys, sources, ids = [], [], []
         for end in range(1, n + 1):
             edges = []
@@ -197,6 +196,8 @@ class Lattice:
                     edges.append((sums[start] * found[0], start, found[1]))
             if s[end - 1] not in weight:
                 edges.append((sums[end - 1] * self.spelled_weight, end - 1, -1 - ord(word[end - 1])))
+            top = max(powers[start] for _, start, _ in edges)
+            edges = [(math.ldexp(w, powers[start] - top), start, piece) for w, start, piece in edges]
             total, run = sum(e[0] for e in edges), 0.0
             for w, start, piece in edges:
                 run += w
@@ -204,10 +205,8 @@ class Lattice:
                 sources.append(start)
                 ids.append(piece)
             keys[-1] = (end + 1) * _SHARES
-            sums[end] = total
-            if total < 1e-200:  # only relations matter, and no edge reaches back further than the longest piece
-                for i in range(max(0, end - self.longest), end + 1):
-                    sums[i] *= 1e200
+            sums[end], power = math.frexp(total)
+            powers[end] = top + power
         return np.array(keys, np.int64), np.array(sources, np.int64), np.array(ids, np.int64)
 
     def encode(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:

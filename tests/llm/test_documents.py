@@ -493,6 +493,18 @@ def test_every_piece_can_be_sampled():
     assert len(reached) >= 3 and reached <= seen
 
 
+def test_pieces_of_any_length_are_sampled():
+    """Pieces longer than any word on arrays, and words so unlikely that their weights are below the least double."""
+    pieces = [(f"<0x{i:02X}>", i, True) for i in range(256)] + [("a", 256, False), ("b", 257, False), ("b" * 40, 258, False), ("a" * 100, 259, False), ("x" * 400, 260, False)]
+    lattice = piece_sampling.Lattice(pieces)
+    decode = lambda ids: b"".join(lattice.text_of[i] for i in ids).decode()
+    texts = ["a" * 150, "b" * 41, "x" * 399, "x" * 400, "x" * 401, "a" * 99]
+    for key in range(5):
+        ids = lattice.encode(texts, [key] * len(texts))
+        assert [decode(i) for i in ids] == texts
+        assert [sum(i == long) for i, long in zip(ids, (259, 258, 260, 260, 260, 259))] == [1, 1, 0, 1, 1, 0]
+
+
 def test_pieces_empty(empty):
     assert piece_sampling.encode_digests(empty).count() == 0 and piece_sampling.encode_texts(empty).count() == 0
 
