@@ -40,6 +40,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ledgerloom.llm.common import join_uneven, materialize
 
@@ -237,6 +238,13 @@ class Index:
     lists: int
     together: int = 1  # neighbouring lists that are scored in one group
 
+    def cells(self, lists: np.ndarray) -> np.ndarray:
+        """The group of `together` lists of one zone in which each list is scored; a list without a zone is its own."""
+        first = np.array([zone.first for zone in self.zones.values()])
+        each = -(-np.diff(first, append=self.lists) // self.together)
+        zone = np.maximum(0, np.searchsorted(first, lists, side="right") - 1)
+        return np.where(lists < 0, lists, np.cumsum(each)[zone] - each[zone] + (lists - first[zone]) // self.together)
+
     def _stored(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(row, list) pairs of vectors of one length."""
         d, bands = x.shape[1], norm_bands(norms(x))
@@ -335,8 +343,10 @@ def build_index(points: DataFrame, bound: IndexBound = IndexBound()) -> Index |
     return Index(zones, bound, lists, together)
 
 
-def _dealt(df: DataFrame, index, stored: bool, least: int | None = None) -> DataFrame:
-    """(list, id, vec, near, most) rows of each vector's lists; `most` bounds a query's scores there."""
+def _dealt(df: DataFrame, index, stored: bool, least: int | None = None, grouped: bool = False) -> DataFrame:
+    """(list, cell, id, vec, near, most, lists) rows of each vector's lists; `most` bounds a query's scores there.
+
+    `grouped` gives one row for those `lists` of a cell that are alike in near and most, and no list of its own."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -344,22 +354,30 @@ def _dealt(df: DataFrame, index, stored: bool, least: int | None = None) -> Data
                 part = batch.slice(start, 2048)
                 for at, x in _by_length(part.column(1)):
                     rows, lists, near, most = index.value.dealt(x, stored, least)
-                    take = part.take(pa.array(at[rows]))
+                    cells = index.value.cells(lists)
+                    begins = np.arange(len(rows))
+                    if grouped:
+                        order = np.lexsort((lists, near, cells, rows))
+                        rows, lists, near, most, cells = rows[order], lists[order], near[order], most[order], cells[order]
+                        same = (rows[1:] == rows[:-1]) & (cells[1:] == cells[:-1]) & (near[1:] == near[:-1])
+                        begins = np.flatnonzero(np.append(True, ~same)[: len(rows)])  # a cell is of one zone, so `most` is the same
+                    each = pa.ListArray.from_arrays(pa.array(np.append(begins, len(rows)).astype(np.int32)), pa.array(lists.astype(np.int32)))
+                    take = part.take(pa.array(at[rows[begins]]))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(lists.astype(np.int32)), take.column(0), take.column(1), pa.array(near), pa.array(most)], names=["list", "id", "vec", "near", "most"]
+                        [pa.array(lists[begins].astype(np.int32)), pa.array(cells[begins].astype(np.int32)), take.column(0), take.column(1), pa.array(near[begins]), pa.array(most[begins]), each],
+                        names=["list", "cell", "id", "vec", "near", "most", "lists"],
                     )
 
-    return df.mapInArrow(deal, f"list int, id long, vec {df.schema['vec'].dataType.simpleString()}, near boolean, most double")
+    return df.mapInArrow(deal, f"list int, cell int, id long, vec {df.schema['vec'].dataType.simpleString()}, near boolean, most double, lists array<int>")
 
 
 def _divided(rows: DataFrame, parts: DataFrame, centers: DataFrame | None, bound: IndexBound, stored: bool, least: int = 1) -> DataFrame:
-    """`rows` (list, id, vec, near, most) with `part`: 0 in a list of one part, else the nearest parts by the list's own centroids.
+    """`rows` of `_dealt` with `part`: 0 in a list of one part, else the nearest parts by the list's own centroids.
 
     A long list's rows meet its centroids in groups of about `part_rows` rows."""
     if centers is None:
         return rows.withColumn("part", F.lit(0))
-    kept = ["list", "id", "vec", "near", "most"]
-    schema = "list int, id long, vec {}, near boolean, most double, part int".format(rows.schema["vec"].dataType.simpleString())
+    kept, schema = rows.columns, StructType([*rows.schema, StructField("part", IntegerType())])
 
     def place(left: pa.Table, right: pa.Table) -> pa.Table:
         if not right.num_rows:  # a list without a sample stays one part
@@ -378,7 +396,7 @@ def _divided(rows: DataFrame, parts: DataFrame, centers: DataFrame | None, bound
             near_.append(at == ids[r, 0])
         out = left.select(kept).take(pa.array(np.concatenate(rows_)))
         near = np.concatenate(near_) & out["near"].to_numpy().astype(bool)
-        return out.set_column(3, "near", pa.array(near)).append_column("part", pa.array(np.concatenate(parts_).astype(np.int32)))
+        return out.set_column(kept.index("near"), "near", pa.array(near)).append_column("part", pa.array(np.concatenate(parts_).astype(np.int32)))
 
     long_ = parts.filter("parts > 1").select("list")
     groups = rows.join(long_, "list").groupBy("list").agg(F.ceil(F.count(F.lit(1)) / bound.part_rows).cast("int").alias("groups"))
@@ -418,20 +436,23 @@ def _best_scores(x: np.ndarray, ids: np.ndarray, q: np.ndarray, of: np.ndarray,
         yield of[start + r], ids[c], (q[start + r] * x[c]).sum(axis=1)  # each row alone, so equal vectors score equally
 
 
-def _scored(lists: DataFrame, probes: DataFrame, together: int, k: int) -> DataFrame:
+def _scored(lists: DataFrame, probes: DataFrame, k: int) -> DataFrame:
     """query_id, vec_id, score of the best k + 1 ids of each query in each group of lists, above the query's `least` score.
 
     Lists that stand together share a task's group; each is met by its own queries alone."""
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        left, right = left.sort_by([("list", "ascending"), ("id", "ascending")]).combine_chunks(), right.sort_by("list").combine_chunks()
-        stored, probed = left["list"].to_numpy(), right["list"].to_numpy()
+        left, right = left.sort_by([("list", "ascending"), ("id", "ascending")]).combine_chunks(), right.combine_chunks()
+        asks = right["lists"].combine_chunks()
+        probed, row = asks.flatten().to_numpy(), pc.list_parent_indices(asks).to_numpy()
+        order = np.argsort(probed, kind="stable")
+        stored, probed, row = left["list"].to_numpy(), probed[order], row[order]
         for number in np.intersect1d(stored, probed):
             a, b = np.searchsorted(stored, (number, number + 1))
             rows = left.slice(a, b - a)
             a, b = np.searchsorted(probed, (number, number + 1))
-            asked = right.slice(a, b - a)
+            asked = right.take(pa.array(row[a:b]))
             out += _best_scores(_matrix(rows["vec"]), rows["id"].to_numpy(), _matrix(asked["vec"]), asked["id"].to_numpy(), asked["least"].to_numpy(), k)
         query, vec, value = (np.concatenate(v) for v in zip(*out))
         once = np.lexsort((-value, vec, query))  # replicas and rows that repeat an id: the best score counts
@@ -443,7 +464,7 @@ def _scored(lists: DataFrame, probes: DataFrame, together: int, k: int) -> DataF
         top = np.arange(len(query)) - np.searchsorted(query, query) <= k
         return pa.table({"query_id": query[top], "vec_id": vec[top], "score": value[top]})
 
-    keys = [F.floor(F.col("list") / together).alias("cell"), F.col("part"), F.col("slice")]
+    keys = ["cell", "part", "slice"]
     return lists.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInArrow(score, "query_id long, vec_id long, score double")
 
 
@@ -474,13 +495,14 @@ def nearest(
         stored = materialize(stored, "ann-parts")
     slices = stored.groupBy("list", "part").agg(F.ceil(F.count(F.lit(1)) / (4 * bound.part_rows)).cast("int").alias("slices"))
     slices = materialize(slices, "ann-slices")
-    stored = stored.join(slices, ["list", "part"]).withColumn("slice", F.pmod(F.xxhash64("id", "vec"), F.col("slices")).cast("int")).drop("slices", "near", "most")
+    stored = stored.join(slices, ["list", "part"]).withColumn("slice", F.pmod(F.xxhash64("id", "vec"), F.col("slices")).cast("int")).drop("slices", "near", "most", "lists")
 
     def probed(queries: DataFrame, least: int) -> DataFrame:
-        probes = _divided(_dealt(queries.select("qid", "vec"), index, stored=False, least=least), parts, centers, bound, stored=False, least=max(1, least // bound.least_probes))
-        if centers is not None:
-            probes = materialize(probes, "ann-probed-parts")
-        probes = probes.join(slices, ["list", "part"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+        dealt = _dealt(queries.select("qid", "vec"), index, stored=False, least=least, grouped=centers is None)
+        if centers is None:  # every list is one part and one slice
+            return materialize(dealt.drop("list").withColumns({"part": F.lit(0), "slice": F.lit(0)}), "ann-probes")
+        probes = materialize(_divided(dealt, parts, centers, bound, stored=False, least=max(1, least // bound.least_probes)), "ann-probed-parts")
+        probes = probes.join(slices, ["list", "part"]).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices", "list")
         return materialize(probes, "ann-probes")
 
     lowest = F.lit(-float("inf"))
@@ -489,12 +511,12 @@ def nearest(
     def searched(queries: DataFrame, least: int) -> DataFrame:
         """Written table of the best k + 1 ids met by each query."""
         probes = probed(queries, least)
-        near = materialize(_scored(stored, probes.filter("near").withColumn("least", lowest), fitted.together, k), "ann-near")
+        near = materialize(_scored(stored, probes.filter("near").withColumn("least", lowest), k), "ann-near")
         each = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         scores = F.sort_array(F.collect_list("score"), asc=False)  # those of a few lists
         kth = each.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count(F.lit(1)) > k, F.get(scores, F.lit(k))).alias("bar"))
         rest = probes.filter("not near").join(kth, "id", "left").filter("bar is null or most >= bar")
-        far = _scored(stored, rest.withColumn("least", F.coalesce("bar", lowest)).drop("bar"), fitted.together, k)
+        far = _scored(stored, rest.withColumn("least", F.coalesce("bar", lowest)).drop("bar"), k)
         top = near.union(far).groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(at_best))
         return materialize(top.filter(F.col("rank") <= k + 1).select(F.col("query_id").alias("qid"), "vec_id", "score"), "ann-met")
 
