@@ -2,16 +2,17 @@
 
 Events of a task are created, claimed (until a time), succeeded, skipped, failed_retryable (until the next try) and failed_terminal.
 Each moves the task's state; claims and retryable failures set one timer at their time, which the watermark fires, whether or not
-the task has another event. A claimed task whose time passes is pending again, as is a retryable one; a later event replaces the timer."""
+the task has another event. A claimed task whose time passes is pending again, as is a retryable one; a later event replaces the timer.
 
-from __future__ import annotations
+A batch moves all its tasks by one shuffle, a window and a grouping. The state is kept in versioned buckets: a batch rewrites those that
+have events or a timer that is due, and each bucket's next timer stands beside its version."""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from ledgerloom.streaming.snapshots import SnapshotSink
 
 #: The state that an event leads to.
 STATES = {
@@ -27,77 +28,104 @@ TIMED, FINAL = ("running", "failed_retryable"), ("succeeded", "skipped", "failed
 EVENTS = "task string, kind string, at timestamp, until timestamp"
 
 
-class TaskMachine(StatefulProcessor):
-    """Processor for `transformWithStateInPandas` over EVENTS grouped by task; emits a row for each batch or timer that changes a task."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("task", "status string, attempts int, changed_at long, until long")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.state.get() if self.state.exists() else (None, 0, None, None)
-        before, (status, attempts, changed, until) = held, held
-        # A task's own events of one batch, in order; those of earlier batches are in its state.
-        events = pd.concat([r[["kind", "at_us", "until_us"]] for r in rows], ignore_index=True).sort_values(["at_us", "kind"], kind="stable")
-        for kind, at, limit in events.itertuples(index=False):
-            at, limit = int(at), None if pd.isna(limit) else int(limit)
-            if status in FINAL or (changed is not None and at < changed):
-                continue  # nothing leaves a final state, and an older event is known to be overtaken
-            if kind == "claimed":
-                attempts += 1
-            status, changed, until = STATES[kind], at, limit if STATES[kind] in TIMED else None
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        if until is not None and until <= now:
-            status, changed, until = "pending", until, None
-        if (status, attempts, changed, until) != tuple(before):
-            self._timer(before[3], until)
-            self.state.update((status, attempts, changed, until))
-            yield self._row(key[0], status, attempts, changed, until)
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        status, attempts, _, until = self.state.get()
-        if until is not None and status in TIMED and until <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
-            self.state.update(("pending", attempts, until, None))
-            yield self._row(key[0], "pending", attempts, until, None)
-
-    def _timer(self, before: int | None, until: int | None) -> None:
+STATE = "task string, status string, attempts int, changed_us long, until_us long"
+CHANGES = "task string, status string, attempts int, changed_at timestamp, until timestamp"
+#: State columns, and the same as a batch's events leave them before its timers fire.
+HELD, MOVED = ("status", "attempts", "changed_us", "until_us"), ("moved_status", "moved_attempts", "moved_changed_us", "moved_until_us")
+WRITTEN = f"{STATE}, moved_status string, moved_attempts int, moved_changed_us long, moved_until_us long, moved boolean, bucket int"
+
+
+def moved_tasks(state: DataFrame, events: DataFrame) -> DataFrame:
+    """STATE after events (task, kind, at_us, until_us), with what was held before as `held` (null: a new task).
+
+    Nothing leaves a final state, and an event older than the state's last change is known to be overtaken."""
+    led_to = F.coalesce(F.create_map(*[F.lit(x) for pair in STATES.items() for x in pair])[F.col("kind")], F.raise_error(F.concat(F.lit("unknown event: "), F.coalesce("kind", F.lit("null")))))
+    nothing = lambda schema: F.lit(None).cast(schema)
+    held = state.select("task", nothing("long").alias("at_us"), nothing("string").alias("kind"), nothing("long").alias("until_us"), F.struct(*HELD).alias("held"), F.col("status").alias("to"))
+    given = events.select("task", "at_us", "kind", "until_us", F.lit(None).cast(held.schema["held"].dataType).alias("held"), led_to.alias("to"))
+    # A task's state comes first, then its events in order.
+    order = Window.partitionBy("task").orderBy(F.asc_nulls_first("at_us"), "kind")
+    rows = held.unionByName(given).withColumn("since", F.max(F.col("held.changed_us")).over(order))
+    rows = rows.withColumn("counts", F.col("held").isNull() & (F.coalesce("since", "at_us") <= F.col("at_us")))
+    ends = F.col("to").isin(*FINAL) & (F.col("held").isNotNull() | F.col("counts"))
+    over = F.coalesce(F.max(ends).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
+    rows = rows.withColumn("counts", F.col("counts") & ~over)
+    claims = F.count(F.when(F.col("counts") & (F.col("kind") == "claimed"), 1)).cast("int")
+    last = F.max(F.when(F.col("counts"), F.struct("at_us", "kind", "to", "until_us")))
+    done = rows.groupBy("task").agg(F.max("held").alias("held"), claims.alias("claims"), last.alias("last"))
+    until = F.when(F.col("last").isNull(), F.col("held.until_us")).when(F.col("last.to").isin(*TIMED), F.col("last.until_us"))
+    return done.select(
+        "task", "held", F.coalesce("last.to", "held.status").alias("status"), (F.coalesce("held.attempts", F.lit(0)) + F.col("claims")).alias("attempts"),
+        F.coalesce("last.at_us", "held.changed_us").alias("changed_us"), until.alias("until_us"),
+    )
+
+
+def timers_fired(tasks: DataFrame, now: int) -> DataFrame:
+    """Tasks whose time has come by `now` (microseconds) are pending since that time."""
+    due = F.coalesce(F.col("until_us") <= now, F.lit(False))
+    fired = {"status": F.when(due, "pending").otherwise(F.col("status")), "changed_us": F.when(due, F.col("until_us")).otherwise(F.col("changed_us"))}
+    return tasks.withColumns({**fired, "until_us": F.when(~due, F.col("until_us"))})
+
+
+class TaskSink(SnapshotSink):
+    """foreachBatch sink of EVENTS: state in versioned buckets, with each batch's changes in `changes/batch=n`.
+
+    Events at or before the watermark of earlier batches come too late and are left out; a batch's own watermark fires timers at its end."""
+
+    def __init__(self, folder: str, empty: DataFrame, delay: str, buckets: int = 64):
+        super().__init__(f"{folder}/state", empty, moved_tasks, "task", buckets)
+        self.changes, self.delay = f"{folder}/changes", delay
+
+    def __call__(self, rows: DataFrame, batch: int) -> None:
+        spark, bucket = rows.sparkSession, self._bucket().alias("bucket")
+        micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+        places: dict[int, tuple[int, int | None]] = {}
+        before = None
+        if batch > 0:  # one row a bucket, at most `buckets`
+            for r in spark.read.schema("bucket int, version int, due_us long, watermark_us long").parquet(f"{self.path}/m={batch - 1}").collect():
+                before = r["watermark_us"]
+                if r["bucket"] is not None:
+                    places[r["bucket"]] = (r["version"], r["due_us"])
+        events = rows.select("task", "kind", F.coalesce(micros("at"), F.raise_error(F.lit("an event without a time"))).alias("at_us"), micros("until").alias("until_us"))
         if before is not None:
-            self.handle.deleteTimer(-(-before // 1000))
-        if until is not None:
-            self.handle.registerTimer(-(-until // 1000))
-
-    @staticmethod
-    def _row(task: str, status: str, attempts: int, changed: int, until: int | None) -> pd.DataFrame:
-        return pd.DataFrame({"task": [task], "status": [status], "attempts": [attempts], "changed_us": [changed], "until_us": pd.array([until], "Int64")})
-
-    def close(self) -> None:
-        pass
-
-
-def prepare(spark: SparkSession) -> None:
-    """Timers need the state store that Spark keeps on disk."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-
-
-def task_changes(events: DataFrame, delay: str = "0 seconds") -> DataFrame:
-    """Changes of tasks of a stream of EVENTS; what comes later than `delay` after the latest event is too late to set a timer for the past."""
-    prepare(events.sparkSession)
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    keyed = events.withWatermark("at", delay).select("task", "kind", "at", micros("at").alias("at_us"), micros("until").alias("until_us")).groupBy("task")
-    changes = keyed.transformWithStateInPandas(TaskMachine(), "task string, status string, attempts int, changed_us long, until_us long", "Update", "EventTime")
-    return changes.select("task", "status", "attempts", F.timestamp_micros("changed_us").alias("changed_at"), F.timestamp_micros("until_us").alias("until"))
-
-
-def run_tasks(events: DataFrame, folder: str) -> DataFrame:
+            events = events.filter(F.col("at_us") > before // 1000 * 1000)  # as Spark's watermarks, in milliseconds
+        latest = F.max(F.unix_micros(F.timestamp_micros("at_us") - F.expr(f"INTERVAL {self.delay}")))
+        met = {r["bucket"]: r["latest"] for r in events.groupBy(bucket).agg(latest.alias("latest")).collect()}
+        now = max([x for x in (before, *met.values()) if x is not None], default=None)
+        touched = set(met) | {b for b, (_, due) in places.items() if due is not None and now is not None and due <= now}
+        table = self._read(spark, {b: v for b, (v, _) in places.items() if b in touched}).select("task", *HELD)
+        after = self.merge(table, events)
+        if before is not None:
+            after = timers_fired(after, before)
+        after = after.withColumns({m: F.col(c) for c, m in zip(HELD, MOVED)})
+        if now is not None:
+            after = timers_fired(after, now)
+        after = after.withColumn("moved", ~F.col("held").eqNullSafe(F.struct(*[F.col(m).alias(c) for c, m in zip(HELD, MOVED)]))).drop("held")
+        written = f"{self.path}/v={batch}"
+        after.withColumn("bucket", self._bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(written)
+        # Without rows nothing but the marker of a finished write is there, so the schema is given.
+        here = spark.read.schema(WRITTEN).parquet(written)
+        self._write_changes(here, batch)
+        due = here.groupBy("bucket").agg(F.min("until_us").alias("due")).collect()
+        places.update({r["bucket"]: (batch, r["due"]) for r in due})
+        meta = [(b, v, due, now) for b, (v, due) in places.items()] or [(None, None, None, now)]
+        spark.createDataFrame(meta, "bucket int, version int, due_us long, watermark_us long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/m={batch}")
+
+    def _write_changes(self, here: DataFrame, batch: int) -> None:
+        """A row for each task that the batch's events moved, and one for each timer that fired."""
+        row = lambda *c: F.struct(F.col(c[0]).alias("status"), F.col(c[1]).alias("attempts"), F.timestamp_micros(c[2]).alias("changed_at"), F.timestamp_micros(c[3]).alias("until"))
+        fired = F.col("moved_until_us").isNotNull() & F.col("until_us").isNull()
+        both = F.filter(F.array(F.when(F.col("moved"), row(*MOVED)), F.when(fired, row(*HELD))), lambda x: x.isNotNull())
+        here.select("task", F.inline(both)).write.mode("overwrite").parquet(f"{self.changes}/batch={batch}")
+
+
+def run_tasks(events: DataFrame, folder: str, delay: str = "0 seconds") -> DataFrame:
     """All changes so far of a stream of EVENTS, after what is there now has been read; `folder` holds them and the state for the next run."""
-
-    def write(rows: DataFrame, batch: int) -> None:  # a batch that runs again replaces its own folder
-        rows.write.mode("overwrite").parquet(f"{folder}/changes/batch={batch}")
-
-    changes = task_changes(events)
-    query = changes.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    spark = events.sparkSession
+    sink = TaskSink(folder, spark.createDataFrame([], STATE), delay)
+    query = events.writeStream.foreachBatch(sink).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return events.sparkSession.read.schema(changes.schema).parquet(f"{folder}/changes").select(*changes.columns)
+    return spark.read.schema(CHANGES).parquet(f"{folder}/changes").select("task", "status", "attempts", "changed_at", "until")
 
 
 def current_tasks(changes: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """The task machine: its timers, its order of events, and that it goes on where it stopped."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.streaming import tasks
@@ -39,3 +40,29 @@ def test_timers_fire_without_input_and_over_runs(spark, tmp_path):
     second = state(tasks.run_tasks(stream(), run))
     assert second == {**first, "lease": ("running", 2, 30, 58), "long": ("pending", 1, 50, None), "new": ("failed_terminal", 0, 55, None)}
     assert state(tasks.run_tasks(stream(), run)) == second  # nothing to do
+
+
+def test_a_batch_is_planned_without_python_and_leaves_other_buckets(spark, tmp_path):
+    """Tasks used to go one by one through Python workers, some milliseconds each."""
+    folder, run = str(tmp_path / "events"), str(tmp_path / "run")
+    stream = lambda: spark.readStream.schema(tasks.EVENTS).parquet(folder)
+    plan = tasks.moved_tasks(spark.createDataFrame([], tasks.STATE), spark.createDataFrame([], "task string, kind string, at_us long, until_us long"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    assert plan.count("Exchange hashpartitioning") <= 1
+    write(spark, folder, ("a", "created", 20, None), ("b", "claimed", 10, 40), ("b", "skipped", 4, None), ("c", "failed_retryable", 5, 20), (None, "claimed", 6, 59))
+    expected = {"a": ("pending", 0, 20, None), "b": ("skipped", 0, 4, None), "c": ("pending", 0, 20, None), None: ("running", 1, 6, 59)}
+    assert state(tasks.run_tasks(stream(), run)) == expected
+    # Late events are left out; a time that is over at once leaves no lease; the null task has one state.
+    write(spark, folder, ("late", "created", 5, None), ("c", "succeeded", 20, None), ("z", "claimed", 21, 19), (None, "failed_terminal", 22, None))
+    changes = tasks.run_tasks(stream(), run)
+    assert state(changes) == {**expected, "z": ("pending", 1, 19, None), None: ("failed_terminal", 1, 22, None)}
+    assert sorted(r["status"] for r in changes.filter("task = 'c'").collect()) == ["failed_retryable", "pending"]
+    old = {p.parent.name: p for p in (tmp_path / "run/state/v=1").glob("bucket=*/*.parquet")}
+    assert 1 <= len(old) <= 2
+
+
+def test_unknown_events_raise(spark, tmp_path):
+    folder = str(tmp_path / "events")
+    write(spark, folder, ("a", "lost", 1, None))
+    with pytest.raises(Exception, match="unknown event: lost"):
+        tasks.run_tasks(spark.readStream.schema(tasks.EVENTS).parquet(folder), str(tmp_path / "run"))
