@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: What counts as white space, as a pattern and as characters.
 SPACE = r"[\s\x{0085}\x{00A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
+SPACES = " \t\n\x0b\f\r\x85\xa0" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def trimmed(x: Column) -> Column:
     """Without white space of any kind at both ends; Spark's own trim only takes spaces."""
-    return F.regexp_replace(x, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.trim(x, F.lit(SPACES))
 
 
 def bound(x: Column, body: Callable[[Column], Column]) -> Column:
@@ -30,7 +34,7 @@ def empty_if_null(x: Column) -> Column:
 
 def first_non_empty(*candidates: Column) -> Column:
     """The first candidate with anything but white space, as it is; else ''."""
-    return F.coalesce(*[F.when(trimmed(x) != "", x) for x in candidates], F.lit(""))
+    return F.coalesce(*[bound(x, lambda v: F.when(trimmed(v) != "", v)) for x in candidates], F.lit(""))
 
 
 def payload_hash(x: Column) -> Column:

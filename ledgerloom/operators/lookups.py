@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -120,18 +121,20 @@ def suffix_match(rows: DataFrame, domain: str, suffixes: DataFrame, suffix: str
 
 def listed_suffix(domain: Column, listed: Sequence[str]) -> Column:
     """As `suffix_match` for a short fixed list, without a join."""
-    found = F.filter(domain_suffixes(domain), lambda s: s.isin(*listed)) if listed else F.array().cast("array<string>")
-    return F.get(found, F.lit(0))
+    if not listed:
+        return F.lit(None).cast("string")
+    # Most domains are below no entry, which one pattern tells.
+    below = domain.rlike(rf"(?:^|\.)(?:{'|'.join(map(re.escape, listed))})\z")
+    return F.when(below, F.get(F.filter(domain_suffixes(domain), lambda s: s.isin(*listed)), F.lit(0)))
 
 
 def exclusion_reason(domain: Column, excluded: Sequence[str] = (*DIRECTORY_DOMAINS, *REGISTRY_DOMAINS), allowed: Sequence[str] = ()) -> Column:
     """struct<reason, matched>: why a domain is no candidate; null if it may be one."""
 
     def why(d: Column) -> Column:
-        engine, directory = listed_suffix(d, SEARCH_DOMAINS), listed_suffix(d, excluded)
-        found = F.when(engine.isNotNull(), F.struct(F.lit("search_provider").alias("reason"), engine.alias("matched"))).when(
-            directory.isNotNull(), F.struct(F.lit("directory_or_registry").alias("reason"), directory.alias("matched"))
-        )
+        reason = lambda name, listed, other: bound(listed_suffix(d, listed), lambda at: F.when(at.isNotNull(), F.struct(F.lit(name).alias("reason"), at.alias("matched"))).otherwise(other))
+        nothing = F.lit(None).cast("struct<reason:string,matched:string>")
+        found = reason("search_provider", SEARCH_DOMAINS, reason("directory_or_registry", excluded, nothing))
         return F.when((d != "") & listed_suffix(d, allowed).isNull(), found)
 
     return bound(normalized_domain(domain), why)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.domains import candidate_domains, domain_of_url, normalized_url, safe_domain, unwrapped_url
 from ledgerloom.functions.scoring import bucket, site_check, with_context, with_known_site
+from ledgerloom.functions.text import bound
 from ledgerloom.operators.lookups import exclusion_reason
 from ledgerloom.operators.merge import first_per_key, top_per_key
 
@@ -64,9 +65,10 @@ def external_call(rows: DataFrame, call: Callable[[dict], dict], schema: str) ->
 
 def page_candidates(links: DataFrame, limit: int = CANDIDATES) -> DataFrame:
     """Candidates (company_id, url, domain, score, excluded, pos) of a search page's links (company_id, pos, link)."""
-    url = unwrapped_url(F.col("link"))
-    rows = links.withColumn("url", url).withColumn("domain", domain_of_url(F.col("url"))).filter("domain <> ''")
-    rows = rows.withColumn("excluded", exclusion_reason(F.col("domain"))["reason"])
+    # Generators' columns are computed once; filters on plain ones would compute all that they are made of again.
+    named = lambda url: F.struct(url.alias("url"), domain_of_url(url).alias("domain"))
+    rows = links.select("*", F.inline(F.array(bound(unwrapped_url(F.col("link")), named)))).filter("domain <> ''")
+    rows = rows.select("*", F.explode(F.array(exclusion_reason(F.col("domain"))["reason"])).alias("excluded"))
     rows = rows.filter(F.coalesce(F.col("excluded"), F.lit("")) != "search_provider")
     firsts = first_per_key(rows, ["company_id", "domain"], [F.col("pos")])
     return top_per_key(firsts, ["company_id"], [F.col("pos")], limit).select("company_id", "url", "domain", F.lit(THRESHOLD).alias("score"), "excluded", "pos")
