@@ -23,7 +23,8 @@ LINKS_SEEN, LINKS_KEPT, CANDIDATES, SITE_CHECKS, THRESHOLD = 15, 5, 5, 3, 50
 
 def link_signal(links: DataFrame, signal: str = "duckduckgo") -> DataFrame:
     """(native_id, domain, signal, confidence, pos) from search links (native_id, pos, href): the first few domains."""
-    seen = links.filter(F.col("pos") < LINKS_SEEN).withColumn("domain", safe_domain(F.col("href")))
+    # A generator's column is computed once; a filter on a plain one would compute it again.
+    seen = links.filter(F.col("pos") < LINKS_SEEN).select("*", F.explode(F.array(safe_domain(F.col("href")))).alias("domain"))
     named = seen.filter(F.col("domain").isNotNull() & ~F.contains("domain", F.lit("duckduckgo.com")))
     firsts = first_per_key(named, ["native_id", "domain"], [F.col("pos")])
     kept = top_per_key(firsts, ["native_id"], [F.col("pos")], LINKS_KEPT)

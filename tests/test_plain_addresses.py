@@ -36,3 +36,5 @@ def test_links_are_read_once(spark):
     """Filters on columns used to be moved below them, each with all that the column is made of."""
     pages = spark.createDataFrame([(1, 1, "https://a.no")], "company_id long, pos long, link string")
     assert analyzed(discovery.page_candidates(pages)).count("uddg") <= 3
+    links = pages.withColumnsRenamed({"company_id": "native_id", "link": "href"})
+    assert analyzed(discovery.link_signal(links)).count("25[0-5]") <= 3
