@@ -9,21 +9,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import digits_padded, empty_if_null, first_non_empty, header_key, null_if_empty, payload_hash, trimmed
+from ledgerloom.functions.text import bound, digits_padded, empty_if_null, first_non_empty, header_key, null_if_empty, payload_hash, trimmed
 from ledgerloom.operators.merge import first_per_key, last_non_empty, merge_fragments
 
 
 def json_text(record: Column, path: str) -> Column:
     """Trimmed scalar at a JSON path; of an object its "$"; '' if it is missing or anything else. Numbers keep their text."""
-    value = F.get_json_object(record, path)
     inner = F.get_json_object(record, f"{path}['$']")
-    return empty_if_null(trimmed(F.when(value.startswith("{"), inner).when(~value.startswith("["), value)))
+    scalar = bound(F.get_json_object(record, path), lambda value: F.when(value.startswith("{"), inner).when(~value.startswith("["), value))
+    return empty_if_null(trimmed(scalar))
 
 
 def fragments(x: Column) -> Column:
     """A JSON text as a list of JSON texts: nothing for null, one for a scalar or object, an array's entries without nulls."""
-    entries = F.filter(F.from_json(x, "array<string>"), lambda v: v.isNotNull())
-    return F.when(x.isNull() | (x == "null"), F.array().cast("array<string>")).when(x.startswith("["), entries).otherwise(F.array(x))
+    entries = lambda v: F.filter(F.from_json(v, "array<string>"), lambda e: e.isNotNull())
+    return bound(x, lambda v: F.when(v.isNull() | (v == "null"), F.array().cast("array<string>")).when(v.startswith("["), entries(v)).otherwise(F.array(v)))
 
 
 # GLEIF
@@ -45,18 +45,16 @@ def gleif_mode(mode: str, window: str = "") -> str:
 def gleif_companies(records: DataFrame) -> DataFrame:
     """lei, legal_name, registration_status, country, raw_payload and payload_hash of records in any of the published shapes."""
     r = F.col("record")
-    entity = F.when(F.get_json_object(r, "$.attributes.entity").startswith("{"), F.lit("a")).otherwise(F.lit("g"))
-    api = lambda p: F.when(entity == "a", json_text(r, f"$.attributes.entity.{p}")).otherwise(F.lit(""))
-    golden = lambda p: F.when(entity == "a", json_text(r, f"$.attributes.entity.{p}")).otherwise(json_text(r, f"$.Entity.{p}"))
-    lower = lambda p: F.when(entity == "a", api(p)).otherwise(json_text(r, f"$.Entity.{p}"))
-    out = records.select(
+    of = lambda is_api, path: F.when(is_api, json_text(r, f"$.attributes.entity.{path}")).otherwise(json_text(r, f"$.Entity.{path}"))
+    fields = lambda is_api: F.struct(
         first_non_empty(json_text(r, "$.lei"), json_text(r, "$.id"), json_text(r, "$.attributes.lei"), json_text(r, "$.LEI")).alias("lei"),
-        first_non_empty(lower("legalName.name"), golden("LegalName"), golden("LegalName.name"), json_text(r, "$.legalName")).alias("legal_name"),
-        first_non_empty(lower("status"), golden("EntityStatus"), json_text(r, "$.entityStatus")).alias("registration_status"),
-        first_non_empty(lower("headquartersAddress.country"), golden("HeadquartersAddress.Country"), json_text(r, "$.headquartersCountry")).alias("country"),
-        r.alias("raw_payload"),
-        payload_hash(r).alias("payload_hash"),
+        first_non_empty(*[of(is_api, p) for p in ("legalName.name", "LegalName", "LegalName.name")], json_text(r, "$.legalName")).alias("legal_name"),
+        first_non_empty(*[of(is_api, p) for p in ("status", "EntityStatus")], json_text(r, "$.entityStatus")).alias("registration_status"),
+        first_non_empty(*[of(is_api, p) for p in ("headquartersAddress.country", "HeadquartersAddress.Country")], json_text(r, "$.headquartersCountry")).alias("country"),
     )
+    is_api = F.coalesce(F.get_json_object(r, "$.attributes.entity").startswith("{"), F.lit(False))
+    # A generator's columns are computed once; a filter on plain ones would compute them again.
+    out = records.select(F.inline(F.array(bound(is_api, fields))), r.alias("raw_payload"), payload_hash(r).alias("payload_hash"))
     return out.filter("lei <> ''").withColumns({c: null_if_empty(F.col(c)) for c in ("legal_name", "registration_status", "country")})
 
 

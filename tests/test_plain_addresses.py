@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import domains, text
-from ledgerloom.plans import discovery
+from ledgerloom.plans import discovery, registries
 
 ODD = [
     "", " ", "https://a.no", "https://A.No/x", "http://www.a.no:80/x", "https://www.www.a.no", "https://u:p@a.no/x", "https://a.b@c.no", "https://a.no:8@c.no", "https://-a.no", "https://a-.no",
@@ -38,3 +38,10 @@ def test_links_are_read_once(spark):
     assert analyzed(discovery.page_candidates(pages)).count("uddg") <= 3
     links = pages.withColumnsRenamed({"company_id": "native_id", "link": "href"})
     assert analyzed(discovery.link_signal(links)).count("25[0-5]") <= 3
+
+
+def test_members_of_records_are_read_once(spark):
+    records = spark.createDataFrame([(0, 1, "{}")], "file_ord int, record_no long, record string")
+    assert analyzed(registries.gleif_companies(records)).count("get_json_object") <= 45
+    names = spark.createDataFrame([("a", "NO")], "n string, c string").select(domains.candidate_domains(F.col("n"), F.col("c")).alias("d"))
+    assert analyzed(names).count("aksjeselskap") == 1
