@@ -314,6 +314,12 @@ def is_link(n_a: Column, n_b: Column, common: Column) -> Column:
     return 100 * common >= 75 * (n_a + n_b - common)
 
 
+def _both(df: DataFrame, one: tuple, two: tuple) -> DataFrame:
+    """Two rows (u, v) of each row of `df`, which is read once."""
+    pair = lambda x: F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(name) for c, name in zip(x, "uv")])
+    return df.select(F.inline(F.array(pair(one), pair(two))))
+
+
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Written table (node, component) for the nodes of `edges` (u, v); component is the smallest node reached.
 
@@ -322,19 +328,18 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
     for _ in range(most_rounds):
         # Done when every node has one smaller neighbour at most, and those that are such a neighbour have none.
-        ends = edges.select(F.col("u").alias("node"), F.col("v").alias("to")).union(edges.select("v", F.lit(None).cast("long")))
+        ends = _both(edges, ("u", "v"), ("v", F.lit(None).cast("long"))).toDF("node", "to")
         open_ends = ends.groupBy("node").agg(F.min("to").alias("lo"), F.max("to").alias("hi"), F.count_if(F.col("to").isNull()).alias("below")).filter("lo < hi or (lo is not null and below > 0)")
         if open_ends.isEmpty():
             break
         # Large star: neighbours larger than a node go to the smallest node around it.
-        around = edges.union(edges.select("v", "u"))
+        around = _both(edges, ("u", "v"), ("v", "u"))
         least = around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = around.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         large = materialize(large, "cc-large")
         # Small star: a node and its smaller neighbours go to the smallest of these.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.select("u", F.col("m").alias("v")).union(joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
+        small = _both(large.join(least, "u"), ("u", "m"), ("v", "m")).filter("u <> v").distinct()
         before, edges = edges, materialize(small, "cc-small")
         discard(before, large)
     else:
@@ -404,7 +409,8 @@ def group_centres(groups: DataFrame) -> DataFrame:
         .filter(2 * F.col("times") > F.col("members")).groupBy("head").agg(F.collect_list("token").alias(most))
     )
     none = F.array().cast("array<long>")
-    both = sizes.join(side("beyond", "added"), "head", "left").join(side("lacks", "removed"), "head", "left").withColumns({c: F.coalesce(c, none) for c in ("added", "removed")})
+    added, removed = materialize(side("beyond", "added"), "jaccard-added"), materialize(side("lacks", "removed"), "jaccard-removed")
+    both = sizes.join(added, "head", "left").join(removed, "head", "left").withColumns({c: F.coalesce(c, none) for c in ("added", "removed")})
     return materialize(both.select("head", "members", (F.col("n_head") + F.size("added") - F.size("removed")).cast("long").alias("n_c"), "added", "removed"), "jaccard-centres")
 
 
@@ -547,6 +553,7 @@ def derived_links(asked: DataFrame, members: DataFrame) -> DataFrame:
         index = join_uneven(each, seen, ["b", "token"], "times").withColumn("early", early("b", "x")).filter("early").select("b", "token", "x", "comp")
         own = own.filter("keep > 0").select("a", "b", "of", "keep", F.explode("tokens").alias("token")).join(seen.drop("times"), ["b", "token"], "left")
         own = own.withColumn("seen", F.coalesce("seen", F.lit(0))).withColumn("early", early("a", "b")).filter("early and seen > 0").select("a", "b", "of", "token")
+        own, index = materialize(own, "jaccard-asked-early"), materialize(index, "jaccard-held-early")  # plans of few scans, or the driver holds many stages at once
         return own.join(index, ["b", "token"]).filter((col("of") != col("comp")) & (col("a") != col("x"))).select("a", "b", "x").distinct()
 
     beyond = met(
